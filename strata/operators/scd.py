@@ -162,8 +162,8 @@ class Scd2State:
         return self.spark.read.option("basePath", self.root).parquet(self.root)
 
     def open_at(self, batch: str) -> DataFrame:
-        return (self._read().filter((F.col("batch_key") == batch) & (F.col("kind") == "open"))
-                .drop("batch_key", "kind"))
+        # read by exact path: no listing of the other batches' directories
+        return self.spark.read.parquet(f"{self.root}/batch_key={batch}/kind=open")
 
     def history_at(self, batch: str) -> DataFrame:
         d = self._read()

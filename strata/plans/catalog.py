@@ -112,11 +112,15 @@ def scd2_events_current(spark, sf):
 def scd2_events_replay(spark, sf):
     """The per-batch path over every batch, in order; must equal the
     set-based history."""
-    staged = feeds.staged_users(spark, sf)
+    root = scratch_dir(spark, "scd2-replay")
+    # the staging table, written once, partitioned by batch: each step of the
+    # replay reads one partition (pruned), and the write cuts the lineage
+    (feeds.staged_users(spark, sf).select("user_id", "event_type", "event_date", "batch_key")
+     .write.mode("overwrite").partitionBy("batch_key").parquet(f"{root}/staged"))
+    staged = spark.read.parquet(f"{root}/staged")
     batches = [r[0] for r in staged.select("batch_key").distinct().orderBy("batch_key").collect()]
-    state = scd.Scd2State(spark, scratch_dir(spark, "scd2-replay"), feeds.USER_KEYS, feeds.USER_TRACKED,
-                          feeds.USER_EFFECTIVE)
-    return scd.replay(spark, staged.select("user_id", "event_type", "event_date", "batch_key"), batches, state) \
+    state = scd.Scd2State(spark, f"{root}/state", feeds.USER_KEYS, feeds.USER_TRACKED, feeds.USER_EFFECTIVE)
+    return scd.replay(spark, staged, batches, state) \
         .select("user_id", "event_type", "valid_from", "valid_to", "is_current")
 
 
