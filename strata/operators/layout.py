@@ -42,11 +42,16 @@ def compact(df: DataFrame, path: str, by: Sequence[str] = (), files: int = 8,
             partition_by: Sequence[str] = ()) -> None:
     """Rewrite ``df`` to ``path`` as about ``files`` files (per output
     partition), clustered by ``by``. Same rows, fewer files."""
+    # A row hash as the last range column splits a value that holds a large
+    # share of the rows over several ranges (deterministic, so a retried task
+    # sends every row to the same place).
+    spread = F.xxhash64(*[F.col(c) for c in df.columns]).alias("_h")
     if len(by) >= 2:
-        out = df.withColumn("_z", zorder_key(df, by)).repartitionByRange(files, "_z") \
-            .sortWithinPartitions("_z").drop("_z")
+        out = (df.withColumn("_z", zorder_key(df, by)).withColumn("_h", spread)
+               .repartitionByRange(files, "_z", "_h").sortWithinPartitions("_z").drop("_z", "_h"))
     elif len(by) == 1:
-        out = df.repartitionByRange(files, *by).sortWithinPartitions(*by)
+        out = (df.withColumn("_h", spread).repartitionByRange(files, by[0], "_h")
+               .sortWithinPartitions(*by).drop("_h"))
     else:
         out = df.repartition(files)
     w = out.write.mode("overwrite")
@@ -55,10 +60,21 @@ def compact(df: DataFrame, path: str, by: Sequence[str] = (), files: int = 8,
     w.parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, cols: Sequence[str], dynamic: bool = False) -> None:
+def write_partitioned(df: DataFrame, path: str, cols: Sequence[str], dynamic: bool = False,
+                      writers_per_partition: int | None = None) -> None:
     """Partitioned overwrite. ``dynamic`` replaces only the partitions present
     in ``df`` (an incremental refresh); a full rebuild uses static overwrite
-    so that a partition that became empty is cleared too."""
-    (df.repartition(*cols).write.mode("overwrite")
+    so that a partition that became empty is cleared too.
+
+    By default there is no shuffle: every upstream task writes its own rows
+    (no skew, no extra stage). ``writers_per_partition`` bounds the file count
+    instead: rows are shuffled by the partition columns plus a row-hash salt,
+    so a partition holding a third of the rows is still written by that many
+    tasks, never by one."""
+    out = df
+    if writers_per_partition:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(writers_per_partition))
+        out = df.repartition(*[F.col(c) for c in cols], salt)
+    (out.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
      .partitionBy(*cols).parquet(path))

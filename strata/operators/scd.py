@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import changed, tracked_struct
@@ -123,22 +123,23 @@ def scd2_apply(open_prev: DataFrame, staged_batch: DataFrame, keys: Sequence[str
     closed_rows = F.struct(*[F.col(k) for k in keys],
                            *[F.col(f"_o_{c}").alias(c) for c in value_cols],
                            F.col("_o_from").alias("valid_from"), F.col("_s_eff").alias("valid_to"),
-                           F.lit(False).alias("is_current"), F.lit("closed").alias("kind"))
+                           F.lit(False).alias("is_current"), F.lit("closed").alias("kind"),
+                           F.lit(False).alias("_new"))
     open_new = F.struct(*[F.col(k) for k in keys],
                         *[F.col(f"_s_{c}").alias(c) for c in value_cols],
                         F.col("_s_eff").alias("valid_from"), F.lit(None).cast("date").alias("valid_to"),
-                        F.lit(True).alias("is_current"), F.lit("open").alias("kind"))
+                        F.lit(True).alias("is_current"), F.lit("open").alias("kind"), F.lit(True).alias("_new"))
     open_kept = F.struct(*[F.col(k) for k in keys],
                          *[F.col(f"_o_{c}").alias(c) for c in value_cols],
                          F.col("_o_from").alias("valid_from"), F.lit(None).cast("date").alias("valid_to"),
-                         F.lit(True).alias("is_current"), F.lit("open").alias("kind"))
+                         F.lit(True).alias("is_current"), F.lit("open").alias("kind"), F.lit(False).alias("_new"))
     # Each joined row yields one or two output rows; explode a small array
     # instead of unioning three filtered copies of the join (one pass).
     rows = F.filter(F.array(
         F.when(F.col("_chg") & F.col("_in_o2"), closed_rows),
         F.when(F.col("_chg"), open_new).otherwise(F.when(F.col("_in_o2"), open_kept)),
     ), lambda r: r.isNotNull())
-    return j.select(F.explode(rows).alias("r")).select("r.*")
+    return j.select(F.explode(rows).alias("r")).select("r.*")  # _new marks versions opened here
 
 
 class Scd2State:
@@ -171,7 +172,9 @@ class Scd2State:
                ((F.col("kind") == "open") & (F.col("batch_key") == batch))
         return d.filter(keep).drop("batch_key", "kind")
 
-    def apply(self, batch: str, staged_batch: DataFrame, previous: str | None) -> None:
+    def apply(self, batch: str, staged_batch: DataFrame, previous: str | None) -> dict:
+        """Apply one batch; returns ``{closed, opened, current}`` row counts.
+        A batch without changes opens and closes nothing (``opened == 0``)."""
         if previous is None:
             empty_schema = staged_batch.select(
                 *self.keys, *self.tracked, *self.carry,
@@ -181,8 +184,14 @@ class Scd2State:
         else:
             open_prev = self.open_at(previous)
         rows = scd2_apply(open_prev, staged_batch, self.keys, self.tracked, self.effective_col, self.carry)
-        (rows.write.mode("overwrite").partitionBy("kind")
+        # counts ride along the single write (no second evaluation to count)
+        obs = Observation(f"scd2_{batch}")
+        rows = rows.observe(obs, F.count(F.when(F.col("kind") == "closed", 1)).alias("closed"),
+                            F.count(F.when((F.col("kind") == "open") & F.col("_new"), 1)).alias("opened"),
+                            F.count(F.when(F.col("kind") == "open", 1)).alias("current"))
+        (rows.drop("_new").write.mode("overwrite").partitionBy("kind")
          .parquet(f"{self.root}/batch_key={batch}"))
+        return obs.get
 
 
 def replay(spark: SparkSession, staged: DataFrame, batches: Sequence[str], state: Scd2State,

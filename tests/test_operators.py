@@ -173,3 +173,28 @@ def test_ranking_top_n_is_total_order(spark):
     from strata.operators.gold import rank_top
     got = [(r.customer_id, r.ranking) for r in rank_top(df, "total_amount", "customer_id", 4).orderBy("ranking").collect()]
     assert got == [(2, 1), (5, 2), (8, 3), (1, 4)]
+
+
+def test_ensure_table_never_replaces_data(spark, workdir):
+    from strata.sources.schemas import SCHEMAS, ensure_all, ensure_table
+    paths = ensure_all(spark, f"{workdir}/t")
+    assert spark.read.parquet(paths["dim_customers_type2"]).count() == 0
+    schema, _ = SCHEMAS["dim_customers_type1"]
+    spark.createDataFrame([(1, "a", "b", D(2026, 1, 1))], schema).write.mode("append") \
+        .parquet(paths["dim_customers_type1"])
+    assert ensure_table(spark, paths["dim_customers_type1"], schema) is False
+    assert spark.read.parquet(paths["dim_customers_type1"]).count() == 1
+
+
+def test_apply_reports_counts_once(spark, workdir):
+    rows = [(101, "SF", D(2026, 1, 1), "2026-01"), (102, "SJ", D(2026, 1, 1), "2026-01"),
+            (101, "MV", D(2026, 6, 1), "2026-06"), (102, "SJ", D(2026, 6, 1), "2026-06"),
+            (104, "SV", D(2026, 6, 1), "2026-06")]
+    staged = _staged(spark, rows)
+    st = scd.Scd2State(spark, f"{workdir}/c", ["k"], ["v"], "eff")
+    first = st.apply("2026-01", staged.filter("batch_key = '2026-01'").drop("batch_key"), None)
+    second = st.apply("2026-06", staged.filter("batch_key = '2026-06'").drop("batch_key"), "2026-01")
+    assert first == {"closed": 0, "opened": 2, "current": 2}
+    assert second == {"closed": 1, "opened": 2, "current": 3}
+    again = st.apply("2026-06", staged.filter("batch_key = '2026-06'").drop("batch_key"), "2026-01")
+    assert again == second
