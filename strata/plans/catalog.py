@@ -348,7 +348,7 @@ def check_intervals(spark, sf):
 
 def _ingest(spark, name, fmt, df, options=None):
     root = scratch_dir(spark, f"ingest-{name}")
-    land(df, f"{root}/landing", fmt)
+    land(df, f"{root}/landing", fmt, files_per_batch=8)
     spec = B.SourceSpec(name, fmt, f"{root}/landing", options or {})
     B.ingest(spark, spec, f"{root}/bronze", f"{root}/_checkpoint", f"{root}/_schema")
     return root, B.read_bronze(spark, f"{root}/bronze")

@@ -11,14 +11,19 @@ def land(df: DataFrame, path: str, fmt: str, batch_col: str = "batch_key", files
          text_sep: str = "|") -> None:
     """Write ``df`` as ``fmt`` files partitioned by ``batch_col`` (append, so a
     zone can receive several drops). Text landing joins the columns with
-    ``text_sep`` into one ``value`` line."""
+    ``text_sep`` into one ``value`` line. ``files_per_batch``: number of write
+    tasks over contiguous batch ranges (fewer, larger files) instead of one
+    file per task and batch."""
     out = df
     if fmt == "text":
         data = [c for c in df.columns if c != batch_col]
         out = df.select(F.concat_ws(text_sep, *[F.col(c).cast("string") for c in data]).alias("value"),
                         batch_col)
     if files_per_batch:
-        out = out.repartition(files_per_batch, batch_col)
+        # contiguous ranges of batches per task: about one file per batch, and
+        # the row hash splits a batch that holds a large share of the rows
+        out = out.repartitionByRange(files_per_batch, F.col(batch_col),
+                                     F.xxhash64(*[F.col(c) for c in out.columns]))
     w = out.write.mode("append").partitionBy(batch_col)
     if fmt == "csv":
         w = w.option("header", "true")
