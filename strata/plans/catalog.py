@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.columns import business_date, valid_on
-from strata.operators import access, asof, checks, gold, layout, merge, scd
+from strata.operators import access, asof, checks, gold, joins, layout, merge, scd
 from strata.operators import clean as C
 from strata.plans import feeds
 from strata.session import scratch_dir
@@ -235,32 +235,32 @@ def customer_top10(spark, sf):
 
 def join_inner(spark, sf):
     dim, fact = _join_sides(spark, sf)
-    return dim.join(fact, "customer_id", "inner")
+    return joins.inner(dim, fact, "customer_id")
 
 
 def join_left(spark, sf):
     dim, fact = _join_sides(spark, sf)
-    return dim.join(fact, "customer_id", "left")
+    return joins.left_outer(dim, fact, "customer_id")
 
 
 def join_right(spark, sf):
     dim, fact = _join_sides(spark, sf)
-    return dim.join(fact, "customer_id", "right")
+    return joins.right_outer(dim, fact, "customer_id")
 
 
 def join_outer(spark, sf):
     dim, fact = _join_sides(spark, sf)
-    return dim.join(fact, "customer_id", "outer")
+    return joins.full_outer(dim, fact, "customer_id")
 
 
 def join_anti(spark, sf):
     dim, fact = _join_sides(spark, sf)
-    return dim.join(fact, "customer_id", "left_anti")
+    return joins.anti(dim, fact, "customer_id")
 
 
 def join_semi(spark, sf):
     dim, fact = _join_sides(spark, sf)
-    return dim.join(fact, "customer_id", "left_semi")
+    return joins.semi(dim, fact, "customer_id")
 
 
 def join_flagged(spark, sf):

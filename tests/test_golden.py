@@ -13,11 +13,32 @@ from strata.streaming.bronze import SourceSpec
 D = dt.date
 
 
+# Orders of our own (the reference ships none): 4 in January, 3 in June, plus
+# dirty rows that cleaning must reject and one order re-sent in June.
+ORDERS = [
+    ("1", "101", "P001", "999.0", "2026-01-10", "2026-01"), ("2", "102", "P003", "29.9", "2026-01-11", "2026-01"),
+    ("3", "103", "P002", "2499.0", "2026-01-12", "2026-01"), ("4", "101", "P004", "15.9", "2026-01-13", "2026-01"),
+    ("5", "104", "P005", "199.0", "2026-06-02", "2026-06"), ("6", "101", "P001", "899.0", "2026-06-03", "2026-06"),
+    ("7", "102", "P003", "34.9", "2026-06-04", "2026-06"),
+    ("x8", "101", "P001", "10.0", "2026-06-05", "2026-06"),      # bad id
+    ("9", "101", None, "10.0", "2026-06-05", "2026-06"),         # no product
+    ("10", "101", "P001", None, "2026-06-05", "2026-06"),        # no amount -> 0 -> rejected
+    ("4", "101", "P004", "15.9", "2026-01-13", "2026-06"),       # re-sent
+]
+
+
 def _run(spark, workdir):
+    from strata.sources.landing import land
     write_customers(f"{workdir}/land/customers")
     write_products(f"{workdir}/land/products")
+    orders = spark.createDataFrame(ORDERS, "order_id string, customer_id string, product_id string, "
+                                           "amount string, order_date string, batch_key string")
+    import os
+    if not os.path.exists(f"{workdir}/land/orders"):
+        land(orders, f"{workdir}/land/orders", "parquet", files_per_batch=1)
     landing = Landing(SourceSpec("customers", "json", f"{workdir}/land/customers"),
-                      SourceSpec("products", "csv", f"{workdir}/land/products"))
+                      SourceSpec("products", "csv", f"{workdir}/land/products"),
+                      SourceSpec("orders", "parquet", f"{workdir}/land/orders"))
     return run_layers(spark, landing, f"{workdir}/lake", as_of="2026-07-01")
 
 
@@ -62,12 +83,25 @@ def test_sample_batches(spark, workdir):
         read("silver/stg_customers"), ["customer_id"], ["name", "city"], "event_date").collect()}
     assert log == {"2026-01": (3, 0, 0), "2026-06": (1, 2, 1)}
 
+    fact = read("silver/fact_orders")
+    assert sorted(r.order_id for r in fact.collect()) == [1, 2, 3, 4, 5, 6, 7]
+    assert {r.reject_reason for r in read("silver/rejects_orders").collect()} == {
+        "order_id is null or not parseable", "product_id is null or not parseable", "amount not > 0"}
+    city = {r.city: (r.total_orders, r.total_amount) for r in read("gold/sales_by_city").collect()}
+    assert city == {"Mountain View": (3, 1913.9), "Cupertino": (2, 64.8), "Palo Alto": (1, 2499.0),
+                    "Sunnyvale": (1, 199.0)}
+    cat = {r.category: (r.total_orders, r.unique_products) for r in read("gold/sales_by_category").collect()}
+    assert cat == {"Electronics": (4, 3), "Clothing": (2, 1), "Groceries": (1, 1)}
+    top = [(r.ranking, r.customer_id) for r in read("gold/ranking_customers").orderBy("ranking").collect()]
+    assert top == [(1, 103), (2, 101), (3, 104), (4, 102)]
+
 
 def test_rerun_is_idempotent(spark, workdir):
     first = _run(spark, workdir)
     snap = spark.read.parquet(first["silver/dim_customers_type2"]).collect()
     again = _run(spark, workdir)  # same landing files, same checkpoints
     assert spark.read.parquet(again["bronze_customers"]).count() == 7
+    assert spark.read.parquet(again["silver/fact_orders"]).count() == 7
     assert sorted(spark.read.parquet(again["silver/dim_customers_type2"]).collect()) == sorted(snap)
 
 
