@@ -29,6 +29,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,28 +73,54 @@ def _store(spark: SparkSession, schema_path: str, schema: T.StructType) -> None:
         .write.mode("overwrite").text(schema_path)
 
 
-def _discovered(spark: SparkSession, spec: SourceSpec) -> T.StructType:
-    """Read schema of the landing files as the stream must read them:
+def _norm(uri: str) -> tuple[str, str, str]:
+    u = urlparse(uri)
+    return u.scheme or "file", u.netloc, unquote(u.path)
+
+
+def new_files(spark: SparkSession, spec: SourceSpec, bronze_path: str | None) -> list[str]:
+    """Landing files not yet in bronze. Listing only (the text format has a
+    fixed schema, so nothing is read); the ingested set comes from the
+    bronze ``_source_file`` column, one distributed distinct."""
+    try:
+        listed = spark.read.format("text").load(spec.path).inputFiles()
+    except Exception:  # empty or missing landing zone
+        return []
+    if not bronze_path:
+        return list(listed)
+    try:
+        seen = {_norm(r[0]) for r in read_bronze(spark, bronze_path).select("_source_file").distinct().collect()}
+    except Exception:  # no bronze yet
+        return list(listed)
+    return [f for f in listed if _norm(f) not in seen]
+
+
+def _discovered(spark: SparkSession, spec: SourceSpec, files: list[str]) -> T.StructType:
+    """Read schema of the given landing files as the stream must read them:
     all-string for text formats, native for Parquet/ORC (cast later)."""
-    opts = dict(spec.options)
+    string_value = T.StructType([T.StructField("value", T.StringType())])
+    if spec.fmt in ("text", "csv"):  # csv columns are resolved per file group in foreachBatch
+        return string_value
+    if not files:
+        return T.StructType([])
+    opts = {**dict(spec.options), "basePath": spec.path}
     if spec.fmt == "json":
-        s = spark.read.options(**opts).option("primitivesAsString", "true").json(spec.path).schema
-    elif spec.fmt in ("parquet", "orc"):
-        s = spark.read.options(**opts).option("mergeSchema", "true").format(spec.fmt).load(spec.path).schema
-    elif spec.fmt == "text":
-        s = T.StructType([T.StructField("value", T.StringType())])
-    else:  # csv: columns are resolved per file group in foreachBatch
-        s = T.StructType([T.StructField("value", T.StringType())])
+        s = spark.read.options(**opts).option("primitivesAsString", "true").json(files).schema
+    else:
+        s = spark.read.options(**opts).option("mergeSchema", "true").format(spec.fmt).load(files).schema
     # partition columns of the landing layout are replaced by our envelope
     return T.StructType([f for f in s.fields if f.name not in ENVELOPE
                          and f.name != "_corrupt_record"])
 
 
-def evolve_schema(spark: SparkSession, spec: SourceSpec, schema_path: str) -> T.StructType:
+def evolve_schema(spark: SparkSession, spec: SourceSpec, schema_path: str,
+                  bronze_path: str | None = None) -> T.StructType:
     """Stored schema plus any new columns, appended in discovery order.
-    A column keeps its first-seen type (types never narrow or flip)."""
+    A column keeps its first-seen type (types never narrow or flip). Only
+    files not yet in ``bronze_path`` are inspected, so the cost of a run
+    follows what landed since the last one, not the whole landing zone."""
     stored = _read_stored(spark, schema_path)
-    found = _discovered(spark, spec)
+    found = _discovered(spark, spec, new_files(spark, spec, bronze_path if stored is not None else None))
     if stored is None:
         merged = found
     else:
@@ -145,10 +172,12 @@ def _csv_by_header(spark: SparkSession, spec: SourceSpec, lines: DataFrame) -> D
 def ingest(spark: SparkSession, spec: SourceSpec, bronze_path: str, checkpoint_path: str,
            schema_path: str, max_files_per_trigger: int = 1000, wait: bool = True):
     """Drain new files of ``spec`` into ``bronze_path``; returns the query
-    (finished when ``wait``)."""
+    (finished when ``wait``), or None when nothing has landed yet."""
     if spec.fmt == "csv":
         return _ingest_csv(spark, spec, bronze_path, checkpoint_path, max_files_per_trigger, wait)
-    schema = evolve_schema(spark, spec, schema_path)
+    schema = evolve_schema(spark, spec, schema_path, bronze_path)
+    if not schema.fields:  # nothing landed yet
+        return None
     reader = (spark.readStream.schema(schema).options(**dict(spec.options))
               .option("maxFilesPerTrigger", str(max_files_per_trigger)))
     src = reader.format(spec.fmt).load(spec.path)

@@ -123,4 +123,7 @@ def test_csv_reordered_header_and_new_json_column(spark, workdir):
     ingest(spark, SourceSpec("customers", "json", f"{workdir}/land/customers"),
            f"{workdir}/b/c", f"{workdir}/c/c", f"{workdir}/s/c")
     assert read_bronze(spark, f"{workdir}/b/c").count() == 7
+    from strata.streaming.bronze import new_files
+    spec = SourceSpec("customers", "json", f"{workdir}/land/customers")
+    assert new_files(spark, spec, f"{workdir}/b/c") == []  # schema inference skips ingested files
     assert b.filter(F.col("_source_file").endswith("customers_2026-06.json")).count() == 4
