@@ -42,11 +42,15 @@ def positive(c: str) -> Rule:
     return Rule(f"{c} not > 0", f"`{c}` > 0")
 
 
-def typed(df: DataFrame, exprs: Mapping[str, Column | str], keep_raw: Sequence[str] = ()) -> DataFrame:
-    """Project raw (string) columns to typed ones. A string value is a target
-    type, applied with ``try_cast``; ``"date"`` / ``"date:<pattern>"`` parse
-    with ``try_to_date``; a Column is used as is."""
+def typed(df: DataFrame, exprs: Mapping[str, Column | str] | Sequence[str],
+          keep_raw: Sequence[str] = ()) -> DataFrame:
+    """Project raw (string) columns to typed ones. In a mapping, a string
+    value is a target type, applied with ``try_cast``; ``"date"`` /
+    ``"date:<pattern>"`` parse with ``try_to_date``; a Column is used as is.
+    A plain list holds SQL select expressions (``"TRY_CAST(x AS INT) AS x"``)."""
     cols = [F.col(c).alias(f"_raw_{c}") for c in keep_raw]
+    if not isinstance(exprs, Mapping):  # SQL select expressions, selectExpr style
+        return df.select(*cols, *[F.expr(e) for e in exprs])
     for name, e in exprs.items():
         if isinstance(e, str) and e.startswith("date"):
             fmt = e.partition(":")[2]
@@ -78,7 +82,7 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
     return best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in payload])
 
 
-def clean(df: DataFrame, exprs: Mapping[str, Column | str], rules: Sequence[Rule],
+def clean(df: DataFrame, exprs: Mapping[str, Column | str] | Sequence[str], rules: Sequence[Rule],
           key: Sequence[str] | None = None, order: Sequence[str | Column] = (),
           fill: Mapping[str, object] | None = None, raw_cols: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Typed, rule-checked, deduplicated rows and the rejected rows.

@@ -209,14 +209,16 @@ def fact_partitioned(spark, sf):
 
 
 def sales_by_city(spark, sf):
+    """Read sorted by amount, as the gold reads are (a range-partitioned sort
+    of one row per city)."""
     return gold.sales_by(feeds.fact_orders(spark, sf), _current_customers(spark, sf), "customer_id", ["city"],
-                         "amount", "order_id", as_of=feeds.AS_OF)
+                         "amount", "order_id", as_of=feeds.AS_OF).orderBy(F.col("total_amount").desc())
 
 
 def sales_by_category(spark, sf):
     cur = feeds.part_history(spark, sf).filter("is_current")
     return gold.sales_by(feeds.fact_lines(spark, sf), cur, "product_id", ["category"], "amount", "order_id",
-                         distinct_key=True, as_of=feeds.AS_OF)
+                         distinct_key=True, as_of=feeds.AS_OF).orderBy(F.col("total_amount").desc())
 
 
 def _ranking(spark, sf, n):
@@ -230,7 +232,7 @@ def customer_ranking(spark, sf):
 
 
 def customer_top10(spark, sf):
-    return _ranking(spark, sf, 10)
+    return _ranking(spark, sf, 10).orderBy("ranking")
 
 
 def join_inner(spark, sf):

@@ -27,7 +27,7 @@ ORDERS = [
 ]
 
 
-def _run(spark, workdir):
+def _run(spark, workdir, counts=None):
     from strata.sources.landing import land
     write_customers(f"{workdir}/land/customers")
     write_products(f"{workdir}/land/products")
@@ -39,11 +39,12 @@ def _run(spark, workdir):
     landing = Landing(SourceSpec("customers", "json", f"{workdir}/land/customers"),
                       SourceSpec("products", "csv", f"{workdir}/land/products"),
                       SourceSpec("orders", "parquet", f"{workdir}/land/orders"))
-    return run_layers(spark, landing, f"{workdir}/lake", as_of="2026-07-01")
+    return run_layers(spark, landing, f"{workdir}/lake", as_of="2026-07-01", counts=counts)
 
 
 def test_sample_batches(spark, workdir):
-    paths = _run(spark, workdir)
+    counts = {}
+    paths = _run(spark, workdir, counts)
     read = lambda k: spark.read.parquet(paths[k])
     assert read("bronze_customers").count() == 7
     assert read("bronze_products").count() == 9
@@ -83,6 +84,8 @@ def test_sample_batches(spark, workdir):
         read("silver/stg_customers"), ["customer_id"], ["name", "city"], "event_date").collect()}
     assert log == {"2026-01": (3, 0, 0), "2026-06": (1, 2, 1)}
 
+    assert counts["silver/dim_customers_type1"] == 4 and counts["silver/dim_customers_type2"] == 6
+    assert counts["silver/dim_products_type2"] == 7 and counts["silver/fact_orders"] == 7
     fact = read("silver/fact_orders")
     assert sorted(r.order_id for r in fact.collect()) == [1, 2, 3, 4, 5, 6, 7]
     assert {r.reject_reason for r in read("silver/rejects_orders").collect()} == {
