@@ -160,7 +160,9 @@ class Scd2State:
         self.keys, self.tracked, self.effective_col, self.carry = list(keys), list(tracked), effective_col, list(carry)
 
     def _read(self) -> DataFrame:
-        return self.spark.read.option("basePath", self.root).parquet(self.root)
+        # partition discovery may type a key like 2026-01-01 as DATE: keep keys as text
+        d = self.spark.read.option("basePath", self.root).parquet(self.root)
+        return d.withColumn("batch_key", F.col("batch_key").cast("string"))
 
     def open_at(self, batch: str) -> DataFrame:
         # read by exact path: no listing of the other batches' directories
@@ -194,6 +196,35 @@ class Scd2State:
         return obs.get
 
 
+def applied_batches(state: Scd2State) -> list[str]:
+    """Batches whose state is written (partition values of the state root)."""
+    try:
+        d = state._read()
+    except Exception:  # nothing applied yet
+        return []
+    return sorted(r[0] for r in d.select("batch_key").distinct().collect())
+
+
+def catch_up(spark: SparkSession, staged: DataFrame, state: Scd2State, batch_col: str = BATCH) -> list[str]:
+    """Apply every staged batch that is not applied yet. A late batch (one
+    that sorts before batches already applied) is applied and every later
+    batch is re-applied after it, so the result equals processing in order.
+    Returns the batches (re)applied."""
+    done = applied_batches(state)
+    staged_keys = sorted(r[0] for r in staged.select(batch_col).distinct().collect())
+    pending = [b for b in staged_keys if b not in set(done)]
+    if not pending:
+        return []
+    start = pending[0]
+    todo = [b for b in staged_keys if b >= start]
+    before = [b for b in staged_keys if b < start]
+    prev = before[-1] if before else None
+    for b in todo:
+        state.apply(b, staged.filter(F.col(batch_col) == b).drop(batch_col), prev)
+        prev = b
+    return todo
+
+
 def replay(spark: SparkSession, staged: DataFrame, batches: Sequence[str], state: Scd2State,
            batch_col: str = BATCH) -> DataFrame:
     """Apply batches in order (the driver loop walks batch keys only, a short

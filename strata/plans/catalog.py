@@ -117,7 +117,7 @@ def scd2_events_replay(spark, sf):
     # replay reads one partition (pruned), and the write cuts the lineage
     (feeds.staged_users(spark, sf).select("user_id", "event_type", "event_date", "batch_key")
      .write.mode("overwrite").partitionBy("batch_key").parquet(f"{root}/staged"))
-    staged = spark.read.parquet(f"{root}/staged")
+    staged = spark.read.parquet(f"{root}/staged").withColumn("batch_key", F.col("batch_key").cast("string"))
     batches = [r[0] for r in staged.select("batch_key").distinct().orderBy("batch_key").collect()]
     state = scd.Scd2State(spark, f"{root}/state", feeds.USER_KEYS, feeds.USER_TRACKED, feeds.USER_EFFECTIVE)
     return scd.replay(spark, staged, batches, state) \

@@ -219,6 +219,7 @@ def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
     """Bronze rows of one source (all columns ever seen; NULL where a file
     did not have the column)."""
     df = spark.read.option("mergeSchema", "true").parquet(bronze_path)
+    df = df.withColumn("batch_key", F.col("batch_key").cast("string"))  # a partition value, kept as text
     return df.drop("epoch") if "epoch" in df.columns else df
 
 

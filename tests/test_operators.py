@@ -212,3 +212,36 @@ def test_skew_safe_joins_equal_plain_joins(spark, how):
     plain = dim.join(fact, "k", how)
     assert ours.columns == plain.columns
     assert ours.exceptAll(plain).count() == 0 and plain.exceptAll(ours).count() == 0
+
+
+def test_catch_up_handles_late_batch(spark, workdir):
+    rows = _random_batches(11, batches=6)
+    staged = _staged(spark, rows)
+    keys = sorted({r[3] for r in rows})
+    late = keys[2]
+    st = scd.Scd2State(spark, f"{workdir}/late", ["k"], ["v"], "eff")
+    # everything but one batch arrives first
+    assert scd.catch_up(spark, staged.filter(F.col("batch_key") != late), st) == [k for k in keys if k != late]
+    assert scd.catch_up(spark, staged.filter(F.col("batch_key") != late), st) == []  # nothing pending
+    # the late batch: it and every later batch are re-applied
+    assert scd.catch_up(spark, staged, st) == keys[2:]
+    assert _set(st.history_at(keys[-1])) == _set(scd.scd2(staged, ["k"], ["v"], "eff"))
+
+
+def test_csv_header_found_when_files_are_split(spark, workdir):
+    from sample import write_products
+    from strata.streaming.bronze import SourceSpec, ingest, read_bronze
+    many = {f"products_2026-0{m}.csv": [(f"P{m}{i:03d}", f"item {i}", "Cat", f"{i}.50", "2026-01-01")
+                                         for i in range(300)] for m in (1, 2)}
+    write_products(f"{workdir}/land", files=many, header=("price", "product_id", "product_name", "category",
+                                                           "launch_date"))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")  # several splits per file
+    try:
+        ingest(spark, SourceSpec("p", "csv", f"{workdir}/land"), f"{workdir}/b", f"{workdir}/c", f"{workdir}/s")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    b = read_bronze(spark, f"{workdir}/b")
+    assert b.count() == 600
+    assert b.filter(~F.col("product_id").startswith("P")).count() == 0  # no header rows, no swapped columns
+    assert b.filter(F.col("price").endswith(".50")).count() == 600
