@@ -70,6 +70,3 @@ def money_sum(c: str | Column) -> Column:
     return F.sum(col_of(c).cast(MONEY_SUM_TYPE)).cast("double")
 
 
-def to_date_safe(c: str | Column, fmt: str | None = "yyyy-MM-dd") -> Column:
-    """String -> date that yields NULL on dirty input instead of raising."""
-    return F.try_to_date(col_of(c), fmt) if fmt else F.try_to_date(col_of(c))

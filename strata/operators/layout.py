@@ -19,17 +19,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _range_bucket(c: str, bounds: Sequence) -> Column:
+def _range_bucket(c: Column, bounds: Sequence) -> Column:
     # number of bounds <= value: 0 .. len(bounds)
-    return sum((F.when(F.col(c) >= F.lit(b), 1).otherwise(0) for b in bounds), F.lit(0))
+    return sum((F.when(c >= F.lit(b), 1).otherwise(0) for b in bounds), F.lit(0))
+
+
+def _orderable(df: DataFrame, c: str) -> Column:
+    """A numeric stand-in with the column's order: strings map to their first
+    7 UTF-8 bytes as a 56-bit integer (byte order = Spark's string order),
+    booleans to 0/1; numbers, dates and timestamps are used as they are."""
+    t = dict(df.dtypes)[c]
+    if t == "string":
+        prefix = F.rpad(F.substring(F.hex(F.encode(F.col(c), "UTF-8")), 1, 14), 14, "0")
+        return F.conv(prefix, 16, 10).cast("long")
+    if t == "boolean":
+        return F.col(c).cast("int")
+    return F.col(c)
 
 
 def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 4) -> Column:
     """Morton key over ``2**bits`` approximate-quantile buckets per column."""
     n = 2 ** bits
     probs = [i / n for i in range(1, n)]
-    row = df.agg(*[F.percentile_approx(F.col(c), probs, 1000).alias(c) for c in cols]).first()
-    buckets = [_range_bucket(c, sorted(set(row[c] or []))) for c in cols]
+    keyed = df.select(*[_orderable(df, c).alias(c) for c in cols])
+    row = keyed.agg(*[F.percentile_approx(F.col(c), probs, 1000).alias(c) for c in cols]).first()
+    buckets = [_range_bucket(_orderable(df, c), sorted(set(row[c] or []))) for c in cols]
     key = F.lit(0).cast("long")
     for bit in range(bits):
         for i, b in enumerate(buckets):

@@ -130,3 +130,14 @@ def test_csv_reordered_header_and_new_json_column(spark, workdir):
     spec = SourceSpec("customers", "json", f"{workdir}/land/customers")
     assert new_files(spark, spec, f"{workdir}/b/c") == []  # schema inference skips ingested files
     assert b.filter(F.col("_source_file").endswith("customers_2026-06.json")).count() == 4
+
+
+def test_optimize_keeps_rows(spark, workdir):
+    from strata.plans.flow import optimize_layers
+    paths = _run(spark, workdir)
+    new = optimize_layers(spark, paths, "v2", files=2)
+    for name in ("silver/fact_orders", "silver/dim_customers_type2", "bronze_customers"):
+        a = spark.read.parquet(paths[name])
+        b = spark.read.parquet(new[name]).select(*a.columns)
+        assert new[name].endswith("@v2")
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
