@@ -141,3 +141,21 @@ def test_optimize_keeps_rows(spark, workdir):
         b = spark.read.parquet(new[name]).select(*a.columns)
         assert new[name].endswith("@v2")
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_views_and_bound_parameters(spark, workdir):
+    from strata.plans.flow import register_views
+    paths = _run(spark, workdir)
+    views = register_views(spark, paths)
+    assert "silver_dim_customers_type2" in views
+    rows = spark.sql("""
+        SELECT customer_id, city FROM silver_dim_customers_type2
+        WHERE valid_from <= :d AND (valid_to > :d OR valid_to IS NULL)
+        ORDER BY customer_id""", args={"d": dt.date(2026, 3, 15)}).collect()
+    assert [(r.customer_id, r.city) for r in rows] == [(101, "San Francisco"), (102, "San Jose"), (103, "Palo Alto")]
+    counts = {r.table_name: r.rows for r in spark.sql("""
+        SELECT 'dim_customers_type1' AS table_name, COUNT(*) AS rows FROM silver_dim_customers_type1
+        UNION ALL SELECT 'dim_customers_type2', COUNT(*) FROM silver_dim_customers_type2
+        UNION ALL SELECT 'dim_products_type2', COUNT(*) FROM silver_dim_products_type2
+        UNION ALL SELECT 'fact_orders', COUNT(*) FROM silver_fact_orders""").collect()}
+    assert counts == {"dim_customers_type1": 4, "dim_customers_type2": 6, "dim_products_type2": 7, "fact_orders": 7}
