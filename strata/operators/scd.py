@@ -105,41 +105,44 @@ def scd2_apply(open_prev: DataFrame, staged_batch: DataFrame, keys: Sequence[str
     """Apply one staged batch to the current rows.
 
     Returns every row this batch produces, tagged by ``kind``: ``closed`` (a
-    version this batch ended) or ``open`` (all current rows after the batch).
-    One evaluation and one write yield both, so the close and the insert can
-    never disagree, and no key is ever without a current row.
+    version this batch ended) or ``open`` (all current rows after the batch),
+    and ``_new`` (a version opened by this batch). One write yields both kinds,
+    so the close and the insert can never disagree, and no key is ever without
+    a current row.
+
+    Plan: the current rows are the large side and the batch the small one, so
+    the current rows are only ever scanned, never shuffled, whenever the batch
+    fits the broadcast limit (Spark's own size check decides):
+    current LEFT JOIN batch gives kept, closed and re-opened rows; the keys
+    new to the dimension are the batch keys minus those found among the
+    current rows (a key-only semi join, then an anti join of two small sides).
     """
     value_cols = [*tracked, *carry]
     s = staged_batch.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in value_cols],
                             F.col(effective_col).alias("_s_eff"), F.lit(True).alias("_in_s"))
     o = open_prev.select(*keys, *[F.col(c).alias(f"_o_{c}") for c in value_cols],
-                         F.col("valid_from").alias("_o_from"), F.lit(True).alias("_in_o"))
-    j = s.join(o, list(keys), "full_outer")
+                         F.col("valid_from").alias("_o_from"))
+    j = o.join(s, list(keys), "left")
     in_s = F.coalesce(F.col("_in_s"), F.lit(False))
-    in_o = F.coalesce(F.col("_in_o"), F.lit(False))
-    is_change = in_s & (~in_o | changed(F.struct(*[F.col(f"_s_{c}") for c in tracked]),
-                                        F.struct(*[F.col(f"_o_{c}") for c in tracked])))
-    j = j.withColumn("_chg", is_change).withColumn("_in_o2", in_o)
-    closed_rows = F.struct(*[F.col(k) for k in keys],
-                           *[F.col(f"_o_{c}").alias(c) for c in value_cols],
-                           F.col("_o_from").alias("valid_from"), F.col("_s_eff").alias("valid_to"),
-                           F.lit(False).alias("is_current"), F.lit("closed").alias("kind"),
-                           F.lit(False).alias("_new"))
-    open_new = F.struct(*[F.col(k) for k in keys],
-                        *[F.col(f"_s_{c}").alias(c) for c in value_cols],
-                        F.col("_s_eff").alias("valid_from"), F.lit(None).cast("date").alias("valid_to"),
-                        F.lit(True).alias("is_current"), F.lit("open").alias("kind"), F.lit(True).alias("_new"))
-    open_kept = F.struct(*[F.col(k) for k in keys],
-                         *[F.col(f"_o_{c}").alias(c) for c in value_cols],
-                         F.col("_o_from").alias("valid_from"), F.lit(None).cast("date").alias("valid_to"),
-                         F.lit(True).alias("is_current"), F.lit("open").alias("kind"), F.lit(False).alias("_new"))
-    # Each joined row yields one or two output rows; explode a small array
-    # instead of unioning three filtered copies of the join (one pass).
-    rows = F.filter(F.array(
-        F.when(F.col("_chg") & F.col("_in_o2"), closed_rows),
-        F.when(F.col("_chg"), open_new).otherwise(F.when(F.col("_in_o2"), open_kept)),
-    ), lambda r: r.isNotNull())
-    return j.select(F.explode(rows).alias("r")).select("r.*")  # _new marks versions opened here
+    chg = in_s & changed(F.struct(*[F.col(f"_s_{c}") for c in tracked]),
+                         F.struct(*[F.col(f"_o_{c}") for c in tracked]))
+
+    def row(prefix: str, valid_from: str, valid_to, current: bool, kind: str, new: bool):
+        return F.struct(*[F.col(k) for k in keys], *[F.col(f"{prefix}{c}").alias(c) for c in value_cols],
+                        F.col(valid_from).alias("valid_from"), valid_to.alias("valid_to"),
+                        F.lit(current).alias("is_current"), F.lit(kind).alias("kind"), F.lit(new).alias("_new"))
+
+    open_to = F.lit(None).cast("date")
+    # each current row yields itself, or (if its key changed) a closed copy and the new version
+    out_rows = F.when(chg, F.array(row("_o_", "_o_from", F.col("_s_eff"), False, "closed", False),
+                                   row("_s_", "_s_eff", open_to, True, "open", True))) \
+        .otherwise(F.array(row("_o_", "_o_from", open_to, True, "open", False)))
+    from_current = j.select(F.explode(out_rows).alias("r")).select("r.*")
+
+    found = o.select(*keys).join(s.select(*keys), list(keys), "left_semi")
+    fresh = s.join(found, list(keys), "left_anti")
+    new_keys = fresh.select(row("_s_", "_s_eff", open_to, True, "open", True).alias("r")).select("r.*")
+    return from_current.unionByName(new_keys)
 
 
 class Scd2State:
