@@ -1,8 +1,8 @@
 """Upsert without a table format: the merged table is a new snapshot.
 
 ``upsert`` is ``MERGE ... WHEN MATCHED UPDATE SET ... WHEN NOT MATCHED INSERT``
-expressed as one full outer join on the key. The result is written to a new
-location (or returned); it never overwrites the table it reads.
+expressed as joins on the key. The result is written to a new location (or
+returned); it never overwrites the table it reads.
 """
 
 from __future__ import annotations
@@ -22,20 +22,26 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     """Matched keys take ``set_cols``; source-only keys take ``insert_cols``;
     target-only keys are kept. Expressions refer to ``target.<c>`` and
     ``source.<c>``. The source must hold one row per key (dedup it first), as
-    a merge would fail on several matching source rows."""
-    t = target.alias("target").withColumn("_in_t", F.lit(True))
+    a merge would fail on several matching source rows.
+
+    The target (a whole dimension) is the large side and the source (a batch)
+    the small one: target LEFT JOIN source lets Spark broadcast the batch
+    behind its size check, so the target is scanned, not shuffled; keys new
+    to the target come from a key-only semi join and an anti join of two
+    small sides."""
+    t = target.alias("target")
     s = source.alias("source").withColumn("_in_s", F.lit(True))
     cond = [F.col(f"target.{k}") == F.col(f"source.{k}") for k in keys]
-    j = t.join(s, cond, "full_outer")
-    matched = F.col("_in_t").isNotNull() & F.col("_in_s").isNotNull()
-    only_s = F.col("_in_t").isNull()
-    out = []
-    for c in target.columns:
-        keep = F.col(f"target.{c}")
-        upd = _expr(set_cols[c]) if c in set_cols else keep
-        ins = _expr(insert_cols[c]) if c in insert_cols else F.lit(None)
-        out.append(F.when(matched, upd).when(only_s, ins).otherwise(keep).alias(c))
-    return j.select(*out)
+    j = t.join(s, cond, "left")
+    matched = F.col("_in_s").isNotNull()
+    updated = j.select(*[F.when(matched, _expr(set_cols[c])).otherwise(F.col(f"target.{c}")).alias(c)
+                         if c in set_cols else F.col(f"target.{c}") for c in target.columns])
+    found = target.select(*keys).join(source.select(*keys), list(keys), "left_semi")
+    fresh = source.join(found, list(keys), "left_anti").alias("source")
+    types = dict(target.dtypes)
+    inserted = fresh.select(*[(_expr(insert_cols[c]) if c in insert_cols else F.lit(None)).cast(types[c]).alias(c)
+                              for c in target.columns])
+    return updated.unionByName(inserted)
 
 
 def update_matched(target: DataFrame, source: DataFrame, keys: Sequence[str],
