@@ -199,7 +199,40 @@ class Scd2State:
         return obs.get
 
 
-def applied_batches(state: Scd2State) -> list[str]:
+class Scd1State:
+    """Per-batch snapshots of a type 1 dimension: ``batch_key=<b>/`` holds
+    the table after batch ``b``, built by upserting the batch into the
+    previous snapshot (every matched key is updated, like a merge)."""
+
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], cols: Sequence[str],
+                 effective_col: str, update_col: str = "update_date"):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.keys, self.cols, self.effective_col, self.update_col = list(keys), list(cols), effective_col, update_col
+
+    def _read(self) -> DataFrame:
+        d = self.spark.read.option("basePath", self.root).parquet(self.root)
+        return d.withColumn("batch_key", F.col("batch_key").cast("string"))
+
+    def snapshot_at(self, batch: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/batch_key={batch}")
+
+    def apply(self, batch: str, staged_batch: DataFrame, previous: str | None) -> dict:
+        from strata.operators.merge import upsert
+        src = staged_batch.select(*self.keys, *self.cols, F.col(self.effective_col).alias(self.update_col))
+        if previous is None:
+            prev = self.spark.createDataFrame([], src.schema)
+        else:
+            prev = self.snapshot_at(previous)
+        every = [*self.cols, self.update_col]
+        merged = upsert(prev, src, self.keys, {c: f"source.{c}" for c in every},
+                        {c: f"source.{c}" for c in [*self.keys, *every]})
+        obs = Observation(f"scd1_{batch}")
+        merged.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
+            .parquet(f"{self.root}/batch_key={batch}")
+        return obs.get
+
+
+def applied_batches(state) -> list[str]:
     """Batches whose state is written (partition values of the state root)."""
     try:
         d = state._read()
@@ -208,17 +241,22 @@ def applied_batches(state: Scd2State) -> list[str]:
     return sorted(r[0] for r in d.select("batch_key").distinct().collect())
 
 
-def catch_up(spark: SparkSession, staged: DataFrame, state: Scd2State, batch_col: str = BATCH) -> list[str]:
-    """Apply every staged batch that is not applied yet. A late batch (one
-    that sorts before batches already applied) is applied and every later
-    batch is re-applied after it, so the result equals processing in order.
+def catch_up(spark: SparkSession, staged: DataFrame, state, batch_col: str = BATCH,
+             force_from: str | None = None) -> list[str]:
+    """Apply every staged batch that is not applied yet (``state`` is a
+    ``Scd2State`` or ``Scd1State``). A late batch (one that sorts before
+    batches already applied) is applied and every later batch is re-applied
+    after it, so the result equals processing in order. ``force_from``
+    re-applies from that batch on even if it was applied (its input changed).
     Returns the batches (re)applied."""
-    done = applied_batches(state)
-    staged_keys = sorted(r[0] for r in staged.select(batch_col).distinct().collect())
-    pending = [b for b in staged_keys if b not in set(done)]
-    if not pending:
+    done = set(applied_batches(state))
+    staged_keys = sorted(r[0] for r in staged.select(F.col(batch_col).cast("string")).distinct().collect())
+    starts = [b for b in staged_keys if b not in done]
+    if force_from is not None:
+        starts.append(force_from)
+    if not starts:
         return []
-    start = pending[0]
+    start = min(starts)
     todo = [b for b in staged_keys if b >= start]
     before = [b for b in staged_keys if b < start]
     prev = before[-1] if before else None
