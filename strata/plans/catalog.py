@@ -124,6 +124,18 @@ def scd2_events_replay(spark, sf):
         .select("user_id", "event_type", "valid_from", "valid_to", "is_current")
 
 
+def scd1_events_replay(spark, sf):
+    """Type 1 batch by batch (each batch upserted into the previous
+    snapshot), over every batch in order; must equal the set-based type 1."""
+    root = scratch_dir(spark, "scd1-replay")
+    (feeds.staged_users(spark, sf).select("user_id", "event_type", "event_date", "batch_key")
+     .write.mode("overwrite").partitionBy("batch_key").parquet(f"{root}/staged"))
+    staged = spark.read.parquet(f"{root}/staged").withColumn("batch_key", F.col("batch_key").cast("string"))
+    state = scd.Scd1State(spark, f"{root}/state", feeds.USER_KEYS, feeds.USER_TRACKED, feeds.USER_EFFECTIVE)
+    scd.catch_up(spark, staged, state)
+    return state.snapshot_at(scd.applied_batches(state)[-1])
+
+
 def scd2_part_price_history(spark, sf):
     return feeds.part_history(spark, sf)
 
@@ -456,6 +468,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_events_replay": scd2_events_replay,
     "scd2_part_price_history": scd2_part_price_history,
     "scd1_events": scd1_events,
+    "scd1_events_replay": scd1_events_replay,
     "upsert_events": upsert_events,
     "close_changed": close_changed,
     "state_as_of_date": state_as_of_date,

@@ -165,6 +165,9 @@ GROUP BY h.category""",
     "scd2_part_price_history": w(PART_FEED, PART_HISTORY) + "SELECT * FROM part_history",
     "scd1_events": w(USERS) + """SELECT user_id, event_type, event_date AS update_date FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY batch_key DESC, event_date DESC) AS rn
+  FROM staged_users) t WHERE rn = 1""",
+    "scd1_events_replay": w(USERS) + """SELECT user_id, event_type, event_date AS update_date FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY batch_key DESC, event_date DESC) AS rn
   FROM staged_users) t WHERE rn = 1""",
     "upsert_events": w(USERS) + """SELECT user_id, event_type, event_date AS update_date FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY batch_key DESC, event_date DESC) AS rn
