@@ -201,6 +201,10 @@ def test_incremental_runs_equal_rebuild(spark, workdir):
     with open(f"{land_c}/customers_2026-03.json", "w") as f:
         f.write(json.dumps({"customer_id": "101", "name": "John", "city": "Oakland",
                             "event_date": "2026-03-01"}) + "\n")
+    # a run that stopped right after ingesting: the next run must still stage it
+    from strata.streaming.bronze import ingest
+    ingest(spark, landing.customers, f"{lake}/bronze/customers", f"{lake}/_checkpoints/customers",
+           f"{lake}/_schemas/customers")
     out = check()
     john = sorted((r.valid_from, r.city) for r in out["dim_customers_type2"].filter("customer_id = 101").collect())
     assert [c for _, c in john] == ["San Francisco", "Oakland", "Mountain View"]
