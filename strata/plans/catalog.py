@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.columns import business_date, valid_on
+from strata.functions.columns import batch_key_of, business_date, valid_on
 from strata.operators import access, asof, checks, gold, joins, layout, merge, scd
 from strata.operators import clean as C
 from strata.plans import feeds
@@ -187,13 +187,15 @@ def batch_change_log(spark, sf):
 
 
 def discover_batches(spark, sf):
+    """Batch keys over every source's file names (events land as one file a
+    day in a dated directory, orders one file a month); the key is taken from
+    the basename, so the directory date never leaks in."""
     ev = table(spark, sf, "events").select(F.concat(
         F.lit("/landing/events/"), F.date_format("ts", "yyyy-MM"), F.lit("/events_"),
         F.date_format("ts", "yyyy-MM-dd"), F.lit(".json")).alias("_source_file"))
     od = table(spark, sf, "orders").select(F.concat(
         F.lit("/landing/orders/orders_"), F.date_format("o_orderdate", "yyyy-MM"), F.lit(".parquet"))
         .alias("_source_file"))
-    from strata.functions.columns import batch_key_of
     srcs = [d.select(batch_key_of("_source_file").alias("batch_key")) for d in (ev, od)]
     return B.discover_batches(*srcs).select("batch_key", business_date("batch_key").alias("business_date"))
 

@@ -29,9 +29,8 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
-from urllib.parse import unquote, urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,26 +72,29 @@ def _store(spark: SparkSession, schema_path: str, schema: T.StructType) -> None:
         .write.mode("overwrite").text(schema_path)
 
 
-def _norm(uri: str) -> tuple[str, str, str]:
-    u = urlparse(uri)
-    return u.scheme or "file", u.netloc, unquote(u.path)
+def _norm(c: Column) -> Column:
+    """One spelling per file: ``file:///x`` and ``file:/x`` are the same file,
+    and percent-escapes are decoded."""
+    return F.try_url_decode(F.regexp_replace(c, r"^file:(//)?/", "file:/"))
 
 
 def new_files(spark: SparkSession, spec: SourceSpec, bronze_path: str | None) -> list[str]:
-    """Landing files not yet in bronze. Listing only (the text format has a
-    fixed schema, so nothing is read); the ingested set comes from the
-    bronze ``_source_file`` column, one distributed distinct."""
+    """Landing files not yet in bronze. The landing zone is listed (the text
+    format has a fixed schema, so nothing is read; Spark lists on the driver
+    either way); the comparison with the ingested files is an anti join in
+    Spark, so only the new names come back to the driver."""
     try:
         listed = spark.read.format("text").load(spec.path).inputFiles()
     except Exception:  # empty or missing landing zone
         return []
-    if not bronze_path:
+    if not bronze_path or not listed:
         return list(listed)
     try:
-        seen = {_norm(r[0]) for r in read_bronze(spark, bronze_path).select("_source_file").distinct().collect()}
+        seen = read_bronze(spark, bronze_path).select(_norm(F.col("_source_file")).alias("_n")).distinct()
     except Exception:  # no bronze yet
         return list(listed)
-    return [f for f in listed if _norm(f) not in seen]
+    files = spark.createDataFrame([(f,) for f in listed], "f string").withColumn("_n", _norm(F.col("f")))
+    return [r[0] for r in files.join(seen, "_n", "left_anti").select("f").collect()]
 
 
 def _discovered(spark: SparkSession, spec: SourceSpec, files: list[str]) -> T.StructType:
