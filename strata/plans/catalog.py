@@ -140,6 +140,17 @@ def scd2_part_price_history(spark, sf):
     return feeds.part_history(spark, sf)
 
 
+def scd2_part_price_replay(spark, sf):
+    """Per-batch type 2 over the three price-list batches (effective date =
+    the batch's business date); must equal the set-based price history."""
+    root = scratch_dir(spark, "scd2-part-replay")
+    staged = feeds.part_feed(spark, sf)
+    state = scd.Scd2State(spark, f"{root}/state", feeds.PART_KEYS, feeds.PART_TRACKED, "business_date")
+    scd.catch_up(spark, staged, state)
+    return state.history_at(scd.applied_batches(state)[-1]) \
+        .select(*feeds.PART_KEYS, *feeds.PART_TRACKED, "valid_from", "valid_to", "is_current")
+
+
 def scd1_events(spark, sf):
     return scd.scd1(feeds.staged_users(spark, sf), feeds.USER_KEYS, feeds.USER_TRACKED, feeds.USER_EFFECTIVE)
 
@@ -469,6 +480,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_events_current": scd2_events_current,
     "scd2_events_replay": scd2_events_replay,
     "scd2_part_price_history": scd2_part_price_history,
+    "scd2_part_price_replay": scd2_part_price_replay,
     "scd1_events": scd1_events,
     "scd1_events_replay": scd1_events_replay,
     "upsert_events": upsert_events,

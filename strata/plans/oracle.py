@@ -163,6 +163,7 @@ GROUP BY h.category""",
     "scd2_events_current": w(USERS, user_history()) + "SELECT * FROM user_history WHERE is_current",
     "scd2_events_replay": w(USERS, user_history()) + "SELECT * FROM user_history",
     "scd2_part_price_history": w(PART_FEED, PART_HISTORY) + "SELECT * FROM part_history",
+    "scd2_part_price_replay": w(PART_FEED, PART_HISTORY) + "SELECT * FROM part_history",
     "scd1_events": w(USERS) + """SELECT user_id, event_type, event_date AS update_date FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY batch_key DESC, event_date DESC) AS rn
   FROM staged_users) t WHERE rn = 1""",
