@@ -208,3 +208,21 @@ def test_incremental_runs_equal_rebuild(spark, workdir):
     out = check()
     john = sorted((r.valid_from, r.city) for r in out["dim_customers_type2"].filter("customer_id = 101").collect())
     assert [c for _, c in john] == ["San Francisco", "Oakland", "Mountain View"]
+
+
+def test_command_line_run(workdir, tmp_path):
+    import json
+    import subprocess
+    import sys as _sys
+    from pathlib import Path
+    root = Path(__file__).resolve().parents[1]
+    land_dir = tmp_path / "land"  # tiny fixture files for the child process
+    write_customers(str(land_dir / "customers"))
+    write_products(str(land_dir / "products"))
+    out = subprocess.run([_sys.executable, "-m", "strata", "run", "--customers", str(land_dir / "customers"),
+                          "--products", str(land_dir / "products"), "--root", f"{workdir}/cli",
+                          "--as-of", "2026-07-01", "--master", "local[2]"],
+                         cwd=root, capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    counts = json.loads(out.stdout.strip().splitlines()[-1])
+    assert counts["silver/dim_customers_type2"] == 6 and counts["silver/dim_products_type2"] == 7
