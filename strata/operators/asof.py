@@ -22,13 +22,28 @@ def state_on(dim: DataFrame, day: str | Column) -> DataFrame:
     return dim.filter(valid_on(day))
 
 
+def _bucket(d: Column, unit: str) -> Column:
+    if unit == "month":
+        return F.year(d) * 12 + F.month(d) - 1
+    if unit == "year":
+        return F.year(d)
+    raise ValueError(f"bucket must be 'month' or 'year', not {unit!r}")
+
+
 def pit_join(fact: DataFrame, dim: DataFrame, keys: Sequence[str] | Mapping, date_col: str,
-             how: str = "inner", dim_cols: Sequence[str] | None = None) -> DataFrame:
+             how: str = "inner", dim_cols: Sequence[str] | None = None, bucket: str | None = None) -> DataFrame:
     """Fact rows joined to the dimension version valid on ``fact[date_col]``.
 
     ``keys`` is a list of shared key names or a ``{fact_col: dim_col}`` map.
     Returns the fact columns plus ``dim_cols`` (default: the dimension's
     non-key, non-interval columns).
+
+    Each fact row is checked against the versions of its key, so the cost is
+    fact rows × versions per key (at most one version per batch). For
+    dimensions with long histories per key, ``bucket="month"`` / ``"year"``
+    replicates each version into the periods it covers and adds the period
+    to the join key: a fact row then meets only the versions overlapping its
+    period. Open versions run to the last fact date (one aggregated value).
     """
     pairs = dict(keys) if isinstance(keys, dict) else {k: k for k in keys}
     drop = set(pairs.values()) | {"valid_from", "valid_to", "is_current"}
@@ -36,10 +51,21 @@ def pit_join(fact: DataFrame, dim: DataFrame, keys: Sequence[str] | Mapping, dat
     d = dim.select(*[F.col(v).alias(f"_d_{v}") for v in pairs.values()],
                    F.col("valid_from").alias("_d_from"), F.col("valid_to").alias("_d_to"), *dim_cols)
     f = fact
-    on = [f[fk] == d[f"_d_{dk}"] for fk, dk in pairs.items()]
     day = f[date_col].cast("date")
+    if bucket:
+        last = fact.agg(F.max(F.col(date_col).cast("date"))).first()[0]
+        if last is None:  # no facts: nothing can match
+            last = "1970-01-01"
+        hi = F.coalesce(F.date_sub(F.col("_d_to"), 1), F.to_date(F.lit(str(last))))
+        d = (d.filter(F.col("_d_to").isNull() | (F.col("_d_to") > F.col("_d_from")))
+             .filter(hi >= F.col("_d_from"))
+             .withColumn("_d_b", F.explode(F.sequence(_bucket(F.col("_d_from"), bucket), _bucket(hi, bucket)))))
+        f = fact.withColumn("_f_b", _bucket(F.col(date_col).cast("date"), bucket))
+        day = f[date_col].cast("date")
+    on = [f[fk] == d[f"_d_{dk}"] for fk, dk in pairs.items()]
+    if bucket:
+        on.append(f["_f_b"] == d["_d_b"])
     on.append(d["_d_from"] <= day)
     on.append(d["_d_to"].isNull() | (d["_d_to"] > day))
     joined = f.join(d, on, how)
     return joined.select(*[f[c] for c in fact.columns], *[d[c] for c in dim_cols])
-

@@ -245,3 +245,24 @@ def test_csv_header_found_when_files_are_split(spark, workdir):
     assert b.count() == 600
     assert b.filter(~F.col("product_id").startswith("P")).count() == 0  # no header rows, no swapped columns
     assert b.filter(F.col("price").endswith(".50")).count() == 600
+
+
+@pytest.mark.parametrize("bucket", ["month", "year"])
+def test_bucketed_pit_join_equals_plain(spark, bucket):
+    rnd = random.Random(5)
+    versions = []
+    for k in range(6):
+        day = D(2025, 1, 1)
+        for _ in range(rnd.randint(1, 12)):
+            nxt = day + dt.timedelta(days=rnd.randint(0, 60))  # zero-length versions too
+            versions.append((k, float(rnd.randint(1, 99)), day, nxt))
+            day = nxt
+        versions.append((k, 0.5, day, None))
+    dim = spark.createDataFrame([(k, p, a, b, b is None) for k, p, a, b in versions],
+                                "k long, price double, valid_from date, valid_to date, is_current boolean")
+    fact = spark.createDataFrame([(i, rnd.randint(0, 6), D(2024, 12, 1) + dt.timedelta(days=rnd.randint(0, 900)))
+                                  for i in range(400)], "id long, k long, d date")
+    for how in ("inner", "left"):
+        plain = pit_join(fact, dim, ["k"], "d", how)
+        bucketed = pit_join(fact, dim, ["k"], "d", how, bucket=bucket)
+        assert plain.exceptAll(bucketed).count() == 0 and bucketed.exceptAll(plain).count() == 0
