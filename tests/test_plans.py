@@ -51,3 +51,17 @@ def test_flagship_scans_only_needed_columns(spark):
     p = plan(Q.pit_revenue_by_type(spark, SF))
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double>" in p
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in p
+
+
+def test_one_batch_read_prunes_partitions(spark, workdir):
+    from strata.sources.landing import land
+    from strata.streaming.bronze import SourceSpec, ingest, read_bronze
+    df = spark.range(0, 300).select(F.col("id").cast("string").alias("id"),
+                                    F.concat(F.lit("2026-0"), (F.col("id") % 3 + 1).cast("string"),
+                                             F.lit("-15")).alias("batch_key"))
+    land(df, f"{workdir}/land", "json")
+    ingest(spark, SourceSpec("x", "json", f"{workdir}/land"), f"{workdir}/b", f"{workdir}/c", f"{workdir}/s")
+    one = read_bronze(spark, f"{workdir}/b").filter(F.col("batch_key") == "2026-02-15")
+    p = plan(one)
+    assert "PartitionFilters: [" in p and "2026-02-15" in p.split("PartitionFilters: [")[1].split("]")[0]
+    assert one.count() == 100
