@@ -145,6 +145,20 @@ def scd2_apply(open_prev: DataFrame, staged_batch: DataFrame, keys: Sequence[str
     return from_current.unionByName(new_keys)
 
 
+def _log(spark: SparkSession, root: str, batch: str, counts: dict) -> None:
+    """One row per applied batch (a rerun replaces it): what the batch did
+    and when, next to the state, not inside it."""
+    row = {"batch_key": batch, **{k: int(v) for k, v in counts.items()}}
+    (spark.createDataFrame([row]).withColumn("applied_at", F.current_timestamp()).coalesce(1)
+     .write.mode("overwrite").parquet(f"{root}_log/batch_key={batch}"))
+
+
+def read_log(spark: SparkSession, root: str) -> DataFrame:
+    """The per-batch log of a state directory, oldest batch first."""
+    d = spark.read.option("basePath", f"{root}_log").parquet(f"{root}_log")
+    return d.withColumn("batch_key", F.col("batch_key").cast("string")).orderBy("batch_key")
+
+
 class Scd2State:
     """Immutable per-batch state of one type 2 dimension, no table format.
 
@@ -154,12 +168,13 @@ class Scd2State:
     result still clears it) and never overwrites what it reads. The history
     after ``b`` is every ``closed`` row with batch <= b plus the ``open`` rows of
     ``b``. Every write cuts the lineage, so a lost executor only recomputes
-    the current batch.
+    the current batch. With ``log=True`` every apply also records its counts
+    (``log()``), one small extra write per batch.
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], tracked: Sequence[str],
-                 effective_col: str, carry: Sequence[str] = ()):
-        self.spark, self.root = spark, root.rstrip("/")
+                 effective_col: str, carry: Sequence[str] = (), log: bool = False):
+        self.spark, self.root, self.keep_log = spark, root.rstrip("/"), log
         self.keys, self.tracked, self.effective_col, self.carry = list(keys), list(tracked), effective_col, list(carry)
 
     def _read(self) -> DataFrame:
@@ -196,7 +211,13 @@ class Scd2State:
                             F.count(F.when(F.col("kind") == "open", 1)).alias("current"))
         (rows.drop("_new").write.mode("overwrite").partitionBy("kind")
          .parquet(f"{self.root}/batch_key={batch}"))
-        return obs.get
+        counts = obs.get
+        if self.keep_log:
+            _log(self.spark, self.root, batch, counts)
+        return counts
+
+    def log(self) -> DataFrame:
+        return read_log(self.spark, self.root)
 
 
 class Scd1State:
@@ -205,8 +226,8 @@ class Scd1State:
     previous snapshot (every matched key is updated, like a merge)."""
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], cols: Sequence[str],
-                 effective_col: str, update_col: str = "update_date"):
-        self.spark, self.root = spark, root.rstrip("/")
+                 effective_col: str, update_col: str = "update_date", log: bool = False):
+        self.spark, self.root, self.keep_log = spark, root.rstrip("/"), log
         self.keys, self.cols, self.effective_col, self.update_col = list(keys), list(cols), effective_col, update_col
 
     def _read(self) -> DataFrame:
@@ -229,7 +250,13 @@ class Scd1State:
         obs = Observation(f"scd1_{batch}")
         merged.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
             .parquet(f"{self.root}/batch_key={batch}")
-        return obs.get
+        counts = obs.get
+        if self.keep_log:
+            _log(self.spark, self.root, batch, counts)
+        return counts
+
+    def log(self) -> DataFrame:
+        return read_log(self.spark, self.root)
 
 
 def applied_batches(state) -> list[str]:

@@ -191,13 +191,15 @@ def test_apply_reports_counts_once(spark, workdir):
             (101, "MV", D(2026, 6, 1), "2026-06"), (102, "SJ", D(2026, 6, 1), "2026-06"),
             (104, "SV", D(2026, 6, 1), "2026-06")]
     staged = _staged(spark, rows)
-    st = scd.Scd2State(spark, f"{workdir}/c", ["k"], ["v"], "eff")
+    st = scd.Scd2State(spark, f"{workdir}/c", ["k"], ["v"], "eff", log=True)
     first = st.apply("2026-01", staged.filter("batch_key = '2026-01'").drop("batch_key"), None)
     second = st.apply("2026-06", staged.filter("batch_key = '2026-06'").drop("batch_key"), "2026-01")
     assert first == {"closed": 0, "opened": 2, "current": 2}
     assert second == {"closed": 1, "opened": 2, "current": 3}
     again = st.apply("2026-06", staged.filter("batch_key = '2026-06'").drop("batch_key"), "2026-01")
     assert again == second
+    log = [(r.batch_key, r.closed, r.opened, r.current) for r in st.log().collect()]
+    assert log == [("2026-01", 0, 2, 2), ("2026-06", 1, 2, 3)]  # the rerun replaced its row
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "right", "outer", "left_semi", "left_anti"])
