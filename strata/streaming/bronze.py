@@ -115,6 +115,27 @@ def _discovered(spark: SparkSession, spec: SourceSpec, files: list[str]) -> T.St
                          and f.name != "_corrupt_record"])
 
 
+# Native types a column may widen to when later files carry the wider one;
+# Spark's Parquet reader reads the older, narrower files as the wider type.
+_WIDER = {("integer", "long"), ("integer", "double"), ("float", "double"), ("short", "integer"),
+          ("short", "long"), ("byte", "short"), ("byte", "integer"), ("byte", "long")}
+
+
+def _widen(stored: T.StructField, found: T.StructField | None) -> T.StructField:
+    """The stored field, widened if newer files carry a wider numeric type.
+    A narrower type in newer files keeps the stored one; an incompatible
+    change stops here with a clear message instead of failing inside a task."""
+    if found is None or found.dataType == stored.dataType:
+        return stored
+    a, b = stored.dataType.typeName(), found.dataType.typeName()
+    if (a, b) in _WIDER:
+        return T.StructField(stored.name, found.dataType, True)
+    if (b, a) in _WIDER:
+        return stored
+    raise ValueError(f"column {stored.name!r} changed type from {a} to {b}; "
+                     "land it under a new column name or re-ingest the source")
+
+
 def evolve_schema(spark: SparkSession, spec: SourceSpec, schema_path: str,
                   bronze_path: str | None = None) -> T.StructType:
     """Stored schema plus any new columns, appended in discovery order.
@@ -126,8 +147,10 @@ def evolve_schema(spark: SparkSession, spec: SourceSpec, schema_path: str,
     if stored is None:
         merged = found
     else:
+        seen = {f.name: f for f in found.fields}
+        kept = [_widen(f, seen.get(f.name)) for f in stored.fields]
         names = {f.name for f in stored.fields}
-        merged = T.StructType(list(stored.fields) + [f for f in found.fields if f.name not in names])
+        merged = T.StructType(kept + [f for f in found.fields if f.name not in names])
     if stored is None or merged != stored:
         _store(spark, schema_path, merged)
     return merged

@@ -226,3 +226,19 @@ def test_command_line_run(workdir, tmp_path):
     assert out.returncode == 0, out.stderr[-2000:]
     counts = json.loads(out.stdout.strip().splitlines()[-1])
     assert counts["silver/dim_customers_type2"] == 6 and counts["silver/dim_products_type2"] == 7
+
+
+def test_parquet_column_widens(spark, workdir):
+    from pyspark.sql import functions as F
+    from strata.sources.landing import land
+    from strata.streaming.bronze import ingest, read_bronze
+    spec = SourceSpec("o", "parquet", f"{workdir}/land")
+    args = (f"{workdir}/b", f"{workdir}/c", f"{workdir}/s")
+    land(spark.range(0, 5).select(F.col("id").cast("int").alias("qty"), F.lit("2026-01").alias("batch_key")),
+         spec.path, "parquet")
+    ingest(spark, spec, *args)
+    big = spark.range(0, 5).select((F.col("id") + 3_000_000_000).alias("qty"), F.lit("2026-02").alias("batch_key"))
+    land(big, spec.path, "parquet")
+    ingest(spark, spec, *args)
+    got = sorted(int(r.qty) for r in read_bronze(spark, f"{workdir}/b").collect())
+    assert got == [0, 1, 2, 3, 4] + [3_000_000_000 + i for i in range(5)]
