@@ -160,10 +160,20 @@ def evolve_schema(spark: SparkSession, spec: SourceSpec, schema_path: str,
 # Streams
 # ----------------------------------------------------------------------------
 
+def _as_text(df: DataFrame, c: str) -> Column:
+    """A raw column as text: nested values (struct, array, map) as JSON,
+    everything else by a plain cast."""
+    t = df.schema[c].dataType
+    col = F.col(f"`{c}`")
+    if isinstance(t, (T.StructType, T.ArrayType, T.MapType)):
+        return F.to_json(col).alias(c)
+    return col.cast("string").alias(c)
+
+
 def _envelope(df: DataFrame, pattern: str) -> DataFrame:
     data_cols = [c for c in df.columns if c not in ENVELOPE and c != "_file"]
     return df.select(
-        *[F.col(f"`{c}`").cast("string").alias(c) for c in data_cols],
+        *[_as_text(df, c) for c in data_cols],
         F.current_timestamp().alias("_ingestion_ts"),
         F.current_date().alias("_ingestion_date"),
         F.col("_file").alias("_source_file"),

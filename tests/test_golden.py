@@ -242,3 +242,15 @@ def test_parquet_column_widens(spark, workdir):
     ingest(spark, spec, *args)
     got = sorted(int(r.qty) for r in read_bronze(spark, f"{workdir}/b").collect())
     assert got == [0, 1, 2, 3, 4] + [3_000_000_000 + i for i in range(5)]
+
+
+def test_nested_json_lands_as_json_text(spark, workdir):
+    import json
+    import os
+    from strata.streaming.bronze import ingest, read_bronze
+    os.makedirs(f"{workdir}/land", exist_ok=True)
+    with open(f"{workdir}/land/customers_2026-01.json", "w") as f:
+        f.write(json.dumps({"customer_id": "1", "address": {"city": "SF", "zip": "94105"}, "tags": ["a", "b"]}) + "\n")
+    ingest(spark, SourceSpec("c", "json", f"{workdir}/land"), f"{workdir}/b", f"{workdir}/c", f"{workdir}/s")
+    r = read_bronze(spark, f"{workdir}/b").first()
+    assert json.loads(r.address) == {"city": "SF", "zip": "94105"} and json.loads(r.tags) == ["a", "b"]
