@@ -110,9 +110,9 @@ def _discovered(spark: SparkSession, spec: SourceSpec, files: list[str]) -> T.St
         s = spark.read.options(**opts).option("primitivesAsString", "true").json(files).schema
     else:
         s = spark.read.options(**opts).option("mergeSchema", "true").format(spec.fmt).load(files).schema
-    # partition columns of the landing layout are replaced by our envelope
-    return T.StructType([f for f in s.fields if f.name not in ENVELOPE
-                         and f.name != "_corrupt_record"])
+    # partition columns of the landing layout are replaced by our envelope;
+    # `_corrupt_record` stays: it keeps the text of malformed lines
+    return T.StructType([f for f in s.fields if f.name not in ENVELOPE])
 
 
 # Native types a column may widen to when later files carry the wider one;

@@ -254,3 +254,18 @@ def test_nested_json_lands_as_json_text(spark, workdir):
     ingest(spark, SourceSpec("c", "json", f"{workdir}/land"), f"{workdir}/b", f"{workdir}/c", f"{workdir}/s")
     r = read_bronze(spark, f"{workdir}/b").first()
     assert json.loads(r.address) == {"city": "SF", "zip": "94105"} and json.loads(r.tags) == ["a", "b"]
+
+
+def test_malformed_json_line_is_rejected_with_its_text(spark, workdir):
+    import os
+    from strata.plans.flow import MALFORMED, stage_customers
+    from strata.streaming.bronze import ingest, read_bronze
+    os.makedirs(f"{workdir}/land", exist_ok=True)
+    with open(f"{workdir}/land/customers_2026-01.json", "w") as f:
+        f.write('{"customer_id": "101", "name": "John", "city": "SF", "event_date": "2026-01-01"}\n')
+        f.write('{"customer_id": "102", "name": "Mary", "city": \n')  # cut off
+    ingest(spark, SourceSpec("c", "json", f"{workdir}/land"), f"{workdir}/b", f"{workdir}/c", f"{workdir}/s")
+    good, bad = stage_customers(read_bronze(spark, f"{workdir}/b"))
+    assert [r.customer_id for r in good.collect()] == [101]
+    rej = bad.collect()
+    assert len(rej) == 1 and rej[0].reject_reason == MALFORMED and '"Mary"' in rej[0]._corrupt_record
