@@ -65,3 +65,22 @@ def test_one_batch_read_prunes_partitions(spark, workdir):
     p = plan(one)
     assert "PartitionFilters: [" in p and "2026-02-15" in p.split("PartitionFilters: [")[1].split("]")[0]
     assert one.count() == 100
+
+
+def test_shared_root_without_checkpoint_setting(tmp_path):
+    """A session with no spark.checkpoint.dir gets one through the context
+    (a core setting cannot be changed on a running session)."""
+    import os
+    import subprocess
+    import sys
+    conf = tmp_path / "conf"
+    conf.mkdir()
+    code = ("import sys; sys.path.insert(0, %r)\n"
+            "from pyspark.sql import SparkSession\n"
+            "s = SparkSession.builder.master('local[1]').getOrCreate()\n"
+            "from strata.session import shared_root\n"
+            "a = shared_root(s); b = shared_root(s)\n"
+            "print('ROOT', a == b and bool(a))\n") % str(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", code], env={**os.environ, "SPARK_CONF_DIR": str(conf)},
+                         capture_output=True, text=True, timeout=300)
+    assert "ROOT True" in out.stdout, out.stderr[-1500:]
