@@ -17,6 +17,8 @@ struct of the tracked columns, so a change to or from NULL is a change.
 
 from __future__ import annotations
 
+import uuid
+
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
@@ -205,7 +207,7 @@ class Scd2State:
             open_prev = self.open_at(previous)
         rows = scd2_apply(open_prev, staged_batch, self.keys, self.tracked, self.effective_col, self.carry)
         # counts ride along the single write (no second evaluation to count)
-        obs = Observation(f"scd2_{batch}")
+        obs = Observation(f"scd2_{batch}_{uuid.uuid4().hex[:8]}")
         rows = rows.observe(obs, F.count(F.when(F.col("kind") == "closed", 1)).alias("closed"),
                             F.count(F.when((F.col("kind") == "open") & F.col("_new"), 1)).alias("opened"),
                             F.count(F.when(F.col("kind") == "open", 1)).alias("current"))
@@ -247,7 +249,7 @@ class Scd1State:
         every = [*self.cols, self.update_col]
         merged = upsert(prev, src, self.keys, {c: f"source.{c}" for c in every},
                         {c: f"source.{c}" for c in [*self.keys, *every]})
-        obs = Observation(f"scd1_{batch}")
+        obs = Observation(f"scd1_{batch}_{uuid.uuid4().hex[:8]}")
         merged.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
             .parquet(f"{self.root}/batch_key={batch}")
         counts = obs.get
