@@ -188,11 +188,38 @@ class Scd2State:
         # read by exact path: no listing of the other batches' directories
         return self.spark.read.parquet(f"{self.root}/batch_key={batch}/kind=open")
 
+    def _bases(self) -> list[str]:
+        try:
+            d = self.spark.read.option("basePath", f"{self.root}_base").parquet(f"{self.root}_base")
+        except Exception:  # never consolidated
+            return []
+        return sorted(str(r[0]) for r in d.select(F.col("batch_key").cast("string")).distinct().collect())
+
     def history_at(self, batch: str) -> DataFrame:
+        """Closed rows up to ``batch`` plus the open rows of ``batch``; closed
+        rows come from the newest consolidated base at or before ``batch``
+        plus the batches after it."""
         d = self._read()
-        keep = ((F.col("kind") == "closed") & (F.col("batch_key") <= batch)) | \
-               ((F.col("kind") == "open") & (F.col("batch_key") == batch))
-        return d.filter(keep).drop("batch_key", "kind")
+        base = [b for b in self._bases() if b <= batch]
+        lo = base[-1] if base else None
+        closed = (F.col("kind") == "closed") & (F.col("batch_key") <= batch)
+        if lo is not None:
+            closed = closed & (F.col("batch_key") > lo)
+        keep = closed | ((F.col("kind") == "open") & (F.col("batch_key") == batch))
+        out = d.filter(keep).drop("batch_key", "kind")
+        if lo is not None:
+            out = self.spark.read.parquet(f"{self.root}_base/batch_key={lo}").unionByName(out)
+        return out
+
+    def consolidate(self, batch: str, files: int = 8) -> None:
+        """Fold every closed version up to ``batch`` into one base dataset of
+        about ``files`` files, so reads stop listing one small directory per
+        old batch. Per-batch directories stay (reruns and older reads use
+        them); the base is written by explicit path, so redoing it is safe."""
+        closed = self._read().filter((F.col("kind") == "closed") & (F.col("batch_key") <= batch)) \
+            .drop("batch_key", "kind")
+        closed.repartition(files, *self.keys).write.mode("overwrite") \
+            .parquet(f"{self.root}_base/batch_key={batch}")
 
     def apply(self, batch: str, staged_batch: DataFrame, previous: str | None) -> dict:
         """Apply one batch; returns ``{closed, opened, current}`` row counts.

@@ -268,3 +268,16 @@ def test_bucketed_pit_join_equals_plain(spark, bucket):
         plain = pit_join(fact, dim, ["k"], "d", how)
         bucketed = pit_join(fact, dim, ["k"], "d", how, bucket=bucket)
         assert plain.exceptAll(bucketed).count() == 0 and bucketed.exceptAll(plain).count() == 0
+
+
+def test_consolidated_state_reads_the_same(spark, workdir):
+    rows = _random_batches(21, batches=7)
+    staged = _staged(spark, rows)
+    keys = sorted({r[3] for r in rows})
+    st = scd.Scd2State(spark, f"{workdir}/cons", ["k"], ["v"], "eff")
+    scd.replay(spark, staged, keys, st)
+    before = {b: _set(st.history_at(b)) for b in (keys[1], keys[4], keys[-1])}
+    st.consolidate(keys[3], files=2)
+    for b, want in before.items():
+        assert _set(st.history_at(b)) == want  # before and after the base
+    assert _set(st.history_at(keys[-1])) == _set(scd.scd2(staged, ["k"], ["v"], "eff"))
