@@ -226,6 +226,13 @@ def test_command_line_run(workdir, tmp_path):
     assert out.returncode == 0, out.stderr[-2000:]
     counts = json.loads(out.stdout.strip().splitlines()[-1])
     assert counts["silver/dim_customers_type2"] == 6 and counts["silver/dim_products_type2"] == 7
+    inc = subprocess.run([_sys.executable, "-m", "strata", "run", "--customers", str(land_dir / "customers"),
+                          "--products", str(land_dir / "products"), "--root", f"{workdir}/cli-inc",
+                          "--as-of", "2026-07-01", "--master", "local[2]", "--incremental"],
+                         cwd=root, capture_output=True, text=True, timeout=600)
+    assert inc.returncode == 0, inc.stderr[-2000:]
+    assert json.loads(inc.stdout.strip().splitlines()[-1]) == [
+        "dim_customers_type1", "dim_customers_type2", "dim_products_type2"]
 
 
 def test_parquet_column_widens(spark, workdir):
