@@ -102,10 +102,12 @@ def pit_revenue_by_type(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scd2_events_history(spark, sf):
+    """Type 2 history of each user's daily state, set-based."""
     return feeds.user_history(spark, sf)
 
 
 def scd2_events_current(spark, sf):
+    """Current version of every user (H-1)."""
     return feeds.user_history(spark, sf).filter("is_current")
 
 
@@ -137,6 +139,7 @@ def scd1_events_replay(spark, sf):
 
 
 def scd2_part_price_history(spark, sf):
+    """Type 2 history of the product price list (effective date = batch's business date)."""
     return feeds.part_history(spark, sf)
 
 
@@ -152,10 +155,12 @@ def scd2_part_price_replay(spark, sf):
 
 
 def scd1_events(spark, sf):
+    """Type 1: each user's last state and the date it was last seen."""
     return scd.scd1(feeds.staged_users(spark, sf), feeds.USER_KEYS, feeds.USER_TRACKED, feeds.USER_EFFECTIVE)
 
 
 def upsert_events(spark, sf):
+    """Type 1 state up to UPSERT_SPLIT, then the later batches upserted into it (D-1)."""
     staged = feeds.staged_users(spark, sf)
     target = scd.scd1(staged.filter(F.col("batch_key") <= UPSERT_SPLIT), ["user_id"], ["event_type"], "event_date")
     later = C.dedup_latest(staged.filter(F.col("batch_key") > UPSERT_SPLIT)
@@ -183,16 +188,19 @@ def close_changed(spark, sf):
 
 
 def state_as_of_date(spark, sf):
+    """State of every user on AS_OF_DATE (half-open intervals)."""
     return asof.state_on(feeds.user_history(spark, sf), AS_OF_DATE) \
         .select("user_id", "event_type", "valid_from", "valid_to")
 
 
 def state_as_of_batch(spark, sf):
+    """The type 2 table as it stood right after batch AS_OF_BATCH."""
     return scd.as_of_batch(feeds.staged_users(spark, sf), AS_OF_BATCH, feeds.USER_KEYS, feeds.USER_TRACKED,
                            feeds.USER_EFFECTIVE)
 
 
 def batch_change_log(spark, sf):
+    """Per batch: users inserted, updated and unchanged."""
     return scd.batch_change_log(feeds.staged_users(spark, sf), feeds.USER_KEYS, feeds.USER_TRACKED,
                                 feeds.USER_EFFECTIVE)
 
@@ -212,18 +220,22 @@ def discover_batches(spark, sf):
 
 
 def dedup_latest(spark, sf):
+    """One row per (user, day): the day's last event."""
     return feeds.staged_users(spark, sf)
 
 
 def clean_orders(spark, sf):
+    """Typed, rule-checked, deduplicated orders (the fact)."""
     return _clean_orders(spark, sf)[0]
 
 
 def clean_orders_rejects(spark, sf):
+    """Order rows rejected by cleaning, with the raw id and the reason."""
     return _clean_orders(spark, sf)[1]
 
 
 def fact_partitioned(spark, sf):
+    """The clean fact written partitioned by year and month, read back."""
     good, _ = _clean_orders(spark, sf)
     path = scratch_dir(spark, "fact-orders")
     layout.write_partitioned(good, path, ["year", "month"])
@@ -253,39 +265,47 @@ def _ranking(spark, sf, n):
 
 
 def customer_ranking(spark, sf):
+    """Top 100 customers by exact total spend (ties: lower id first)."""
     return _ranking(spark, sf, 100)
 
 
 def customer_top10(spark, sf):
+    """Top 10 of the ranking, in rank order."""
     return _ranking(spark, sf, 10).orderBy("ranking")
 
 
 def join_inner(spark, sf):
+    """Customers of JOIN_SEGMENT with their orders before JOIN_BEFORE."""
     dim, fact = _join_sides(spark, sf)
     return joins.inner(dim, fact, "customer_id")
 
 
 def join_left(spark, sf):
+    """Every customer of the segment, with orders if any."""
     dim, fact = _join_sides(spark, sf)
     return joins.left_outer(dim, fact, "customer_id")
 
 
 def join_right(spark, sf):
+    """Every order before JOIN_BEFORE, with its customer if in the segment."""
     dim, fact = _join_sides(spark, sf)
     return joins.right_outer(dim, fact, "customer_id")
 
 
 def join_outer(spark, sf):
+    """Both sides, NULL where there is no match."""
     dim, fact = _join_sides(spark, sf)
     return joins.full_outer(dim, fact, "customer_id")
 
 
 def join_anti(spark, sf):
+    """Customers of the segment without orders."""
     dim, fact = _join_sides(spark, sf)
     return joins.anti(dim, fact, "customer_id")
 
 
 def join_semi(spark, sf):
+    """Customers of the segment with orders (customer columns only)."""
     dim, fact = _join_sides(spark, sf)
     return joins.semi(dim, fact, "customer_id")
 
@@ -310,21 +330,25 @@ def _versions(spark, sf):
 
 
 def union_all(spark, sf):
+    """Current and closed versions, by position."""
     cur, old = _versions(spark, sf)
     return cur.unionAll(old)
 
 
 def union_distinct(spark, sf):
+    """Current and closed versions, duplicates removed."""
     cur, old = _versions(spark, sf)
     return cur.union(old).distinct()
 
 
 def union_by_name(spark, sf):
+    """Current and closed versions, matched by column name."""
     cur, old = _versions(spark, sf)
     return cur.unionByName(old.select("event_type", "user_id"))
 
 
 def check_row_counts(spark, sf):
+    """Row counts of the layered tables (Q-1)."""
     good, bad = _clean_orders(spark, sf)
     return checks.row_counts({
         "staged_users": feeds.staged_users(spark, sf),
@@ -341,6 +365,7 @@ def check_row_counts(spark, sf):
 
 
 def check_current_versions(spark, sf):
+    """Keys without exactly one current version, on a double-loaded copy (Q-2)."""
     return checks.current_version_violations({
         "users_double_loaded": (_double_loaded(spark, sf), "user_id"),
         "products": (feeds.part_history(spark, sf), "product_id"),
@@ -348,6 +373,7 @@ def check_current_versions(spark, sf):
 
 
 def check_open_interval(spark, sf):
+    """Current rows with an end date or closed rows without one, on a stale-flag copy (Q-3)."""
     return checks.open_interval_violations({
         "users_stale_flags": (_stale_flags(spark, sf), "user_id"),
         "products": (feeds.part_history(spark, sf), "product_id"),
@@ -355,6 +381,7 @@ def check_open_interval(spark, sf):
 
 
 def check_orphans(spark, sf):
+    """Fact rows whose key has no dimension row (Q-4)."""
     good, _ = _clean_orders(spark, sf)
     lines = feeds.fact_lines(spark, sf)
     a = checks.orphans(good, "order_id", {"orphan customer_id": ("customer_id", feeds.customer_dim(spark, sf),
@@ -365,6 +392,7 @@ def check_orphans(spark, sf):
 
 
 def check_intervals(spark, sf):
+    """Versions that overlap or run backwards, on a double-loaded copy (Q-6)."""
     return checks.interval_violations({
         "users_double_loaded": (_double_loaded(spark, sf), "user_id"),
         "products": (feeds.part_history(spark, sf), "product_id"),
@@ -382,6 +410,7 @@ def _ingest(spark, name, fmt, df, options=None):
 
 
 def ingest_json(spark, sf):
+    """Customers landed as JSON, ingested by stream, read back typed."""
     c = table(spark, sf, "customer").withColumn("batch_key", F.lit(feeds.CUSTOMER_BATCH))
     _, b = _ingest(spark, "customers", "json", c)
     return b.select(F.col("c_custkey").try_cast("bigint").alias("c_custkey"), "c_name",
@@ -395,6 +424,7 @@ def _orders_landing(spark, sf):
 
 
 def ingest_parquet(spark, sf):
+    """Orders landed as Parquet (one directory per month), ingested, read back typed."""
     _, b = _ingest(spark, "orders", "parquet", _orders_landing(spark, sf))
     return b.select(F.col("o_orderkey").try_cast("bigint").alias("o_orderkey"),
                     F.col("o_custkey").try_cast("bigint").alias("o_custkey"), "o_orderstatus",
@@ -404,6 +434,7 @@ def ingest_parquet(spark, sf):
 
 
 def ingest_csv(spark, sf):
+    """Parts landed as CSV with a header, ingested, read back typed."""
     p = table(spark, sf, "part").withColumn("batch_key", F.lit(feeds.PRICE_BATCHES[0]))
     _, b = _ingest(spark, "products", "csv", p)
     return b.select(F.col("p_partkey").try_cast("bigint").alias("p_partkey"), "p_name", "p_brand", "p_type",
@@ -412,6 +443,7 @@ def ingest_csv(spark, sf):
 
 
 def ingest_orc(spark, sf):
+    """Suppliers landed as ORC, ingested, read back typed."""
     s = table(spark, sf, "supplier").withColumn("batch_key", F.lit(feeds.CUSTOMER_BATCH))
     _, b = _ingest(spark, "suppliers", "orc", s)
     return b.select(F.col("s_suppkey").try_cast("bigint").alias("s_suppkey"), "s_name",
@@ -420,6 +452,7 @@ def ingest_orc(spark, sf):
 
 
 def ingest_text(spark, sf):
+    """Nations landed as text lines, ingested, split back into columns."""
     n = table(spark, sf, "nation").withColumn("batch_key", F.lit(feeds.CUSTOMER_BATCH))
     _, b = _ingest(spark, "nations", "text", n)
     parts = F.split(F.col("value"), r"\|")
@@ -448,6 +481,7 @@ def ingest_evolution(spark, sf):
 
 
 def ingest_lineage(spark, sf):
+    """Rows ingested and first order date per batch (Q-5)."""
     _, b = _ingest(spark, "orders", "parquet", _orders_landing(spark, sf))
     return (b.groupBy("batch_key")
             .agg(F.count(F.lit(1)).alias("rows_ingested"),
@@ -457,15 +491,18 @@ def ingest_lineage(spark, sf):
 # --- access, layout ---------------------------------------------------------
 
 def masked_customers(spark, sf):
+    """Current customers as an analyst sees them: names masked (F-11)."""
     return access.mask_columns(_current_customers(spark, sf).select("customer_id", "name", "city"),
                                ["name"], ANALYST)
 
 
 def row_filtered_history(spark, sf):
+    """User history as an analyst sees it: current rows only (F-12)."""
     return access.restrict_rows(feeds.user_history(spark, sf), ANALYST)
 
 
 def compact_orders(spark, sf):
+    """Orders rewritten into few files clustered on (customer, date), read back."""
     o = table(spark, sf, "orders")
     path = scratch_dir(spark, "compact-orders")
     layout.compact(o, path, by=["o_custkey", "o_orderdate"], files=4)
