@@ -37,7 +37,7 @@ HASHES = BANDS * BAND
 IDF_SHARE = 0.25
 SLOTS = 1 << 20
 _PARTS = 64  # that the frequency array is summed up in
-_TABLE = 1 << 16
+_TABLE = 1 << 12  # quantiles of a Gamma variate; draws need few, as b and the pair spread them
 _U = np.uint64
 
 _BLANK = np.zeros(256, bool)
@@ -158,7 +158,7 @@ def _quantiles() -> tuple[np.ndarray, np.ndarray]:
 
 
 _GAMMA, _LOG_GAMMA = _quantiles()
-_SEEDS = _mix(np.arange(1, HASHES + 1, dtype=_U) * _U(_BASE))
+_SEEDS = _mix(np.arange(1, HASHES // 2 + 1, dtype=_U) * _U(_BASE))
 _ROWS = 1024
 
 
@@ -174,21 +174,21 @@ def draws(run: np.ndarray, weight: np.ndarray) -> np.ndarray:
     log_weight = np.log(weight).astype(np.float32)
     for at in range(0, len(run), _ROWS):
         own, lw = run[at:at + _ROWS], log_weight[at:at + _ROWS]
+        # 32 bits for each hash function, two from each 64-bit hash
         x = own[None, :] ^ _SEEDS[:, None]
         x ^= x >> _U(32)
         x *= _U(0xD6E8FEB86659FD93)
         x ^= x >> _U(32)
         x *= _U(0xD6E8FEB86659FD93)
         x ^= x >> _U(29)
-        r = _GAMMA[(x & _U(_TABLE - 1)).astype(np.int32)]
-        b = ((x >> _U(16)) & _U(0xFFFF)).astype(np.float32)
+        x = x.view(np.uint32).reshape(len(_SEEDS), len(own), 2).transpose(2, 0, 1).reshape(HASHES, len(own))
+        r = _GAMMA[x & np.uint32(_TABLE - 1)]
+        b = ((x >> np.uint32(12)) & np.uint32(255)).astype(np.float32)
         b += np.float32(0.5)
-        b *= np.float32(1 / 65536)
+        b *= np.float32(1 / 256)
         t = np.floor(lw / r + b)
-        a = _LOG_GAMMA[((x >> _U(32)) & _U(_TABLE - 1)).astype(np.int32)]
+        a = _LOG_GAMMA[x >> np.uint32(20)]
         a -= r * (t - b + np.float32(1))
-        # ties of the tables' finite steps go by the hash's remaining bits
-        a += (x >> _U(48)).astype(np.float32) * np.float32(1e-9)
         k = a.argmin(1)
         rows = np.arange(HASHES)
         least = a[rows, k]

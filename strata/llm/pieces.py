@@ -141,7 +141,7 @@ class Pieces:
         """Puts units that the cache lacks into it."""
         if len(self.units) > _CACHE:
             self.units.clear()
-        for unit, ids in zip(units, self.plain.encode(units), strict=True):
+        for unit, ids in zip(units, self.plain.encode(units, num_threads=1), strict=True):
             if self.unknown in ids:  # without byte pieces; its text is what the model says
                 found = self.plain.encode(unit, out_type="immutable_proto").pieces
                 ids, sizes = [p.id for p in found], [len(p.surface.replace(" ", SPACE).encode()) for p in found]

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import language, lines, mixing, neardup, pieces, quality
+from strata.llm import language, lines, mixing, neardup, pieces, pii, quality, spans, tokencount, vectors
 from strata.llm.common import ship
 from strata.sources.tables import table
 
@@ -55,6 +55,27 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", _sha(F.col("text")).alias("kept_sha256"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after its cleaning edits."""
+    import public_tokenizers
+
+    ranks = tokencount.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = tokencount.count_edited(docs, ranks, public_tokenizers.PATTERN)
+    return counted.select("doc_id", "n_tokens_before", "n_edits", "n_reencoded", "n_tokens")
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without sentences of repeated passages."""
+    kept = spans.drop_repeated_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_sentences", "n_removed", _sha(F.col("text")).alias("kept_sha256"))
+
+
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of near-duplicate vectors within their label."""
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes."""
     taken = mixing.allocate(table(spark, sf_dir, "documents"))
@@ -66,6 +87,18 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(table(spark, sf_dir, "documents"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that reveal it, of every document."""
+    found = pii.find(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda x: x["kind"] < 4)
+
+    def count(k: int):
+        return F.size(F.filter("spans", lambda x: x["kind"] == k)).cast("long")
+
+    return found.select("doc_id", *[count(k).alias(f"n_{pii.KINDS[k]}") for k in range(4)],
+                        _sha(pii.names(base)).alias("base_sha256"), pii.names(F.col("spans")).alias("spans"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document, and what they decode to, as digests."""
     coded = pieces.round_trip(table(spark, sf_dir, "documents"), piece_model())
@@ -75,4 +108,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: _query(f) for f in (
-    op1_language_id, op2_quality_rules, op3_line_dedup, op7_mixing, op8_minhash_near_dedup, op10_sentencepiece)}
+    op1_language_id, op2_quality_rules, op3_line_dedup, op4_token_counts, op5_substring_dedup, op6_embedding_near_dedup,
+    op7_mixing, op8_minhash_near_dedup, op9_pii, op10_sentencepiece)}
