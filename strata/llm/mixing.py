@@ -4,7 +4,9 @@ Sources (by code point, null last) weigh 5, 2, 1, 5, 2, 1 ...; they share a
 budget of words, a source's target stops at twice its size, and the excess is
 shared again by weight. A source is taken whole as often as its target holds it;
 the rest of the target is a draw of documents in the order of a hash of their
-ids, so every rerun takes the same ones.
+ids, so every rerun takes the same ones. Long documents are drawn before short
+ones, each length class its share of the rest, and a shorter class makes up for
+what the longer ones left open, so that a source ends near its target.
 
 Output shards are filled by a splitting tree. A source's documents form equal
 hash ranges (blocks), and each pass over the source offers every block once, the
@@ -25,6 +27,8 @@ from pyspark.sql.window import Window
 
 from strata.llm.common import materialise, word_count
 
+#: Length classes: documents of more words than the first, than the second, others.
+LENGTHS = (1024, 128)
 WEIGHTS = (5, 2, 1)
 BUDGET = 1.5
 MOST = 2
@@ -83,57 +87,85 @@ def quotas(slots: DataFrame, shards: int) -> DataFrame:
     return tree.withColumnRenamed("node", "shard")
 
 
-def allocate(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: struct ``row`` (its columns), ``doc_id``,
-    ``size`` (words; null text: 0), ``source_size``, ``target``, ``copies`` (0 to
-    2) and ``shards`` (the output shard of each copy).
+def _drawn(quota: Column) -> Column:
+    """Whether the middle of a document's words lies within its class's quota."""
+    return (quota > 0) & (2 * F.col("before") + F.col("size") <= 2 * quota)
 
-    The draw takes a document if the middle of its words lies before the rest of
-    its source's target. Equal ids share a place and are taken in order of size;
-    null ids and null sources are values like any other, sources without words
-    have target 0, and an empty table gives no rows.
-    """
+
+def draw(docs: DataFrame, carry: list[str]) -> DataFrame:
+    """One row per row of ``docs``: struct ``row`` (the columns in ``carry``),
+    ``source``, ``size``, ``source_size``, ``target``, ``place``, ``passes`` (times
+    the source is taken whole) and ``more`` (whether the rest's draw takes it)."""
     number = max(1, -(-docs.count() // RANGE_DOCS))
-    sized = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("doc_id"), F.col("source").alias("source"),
-                        word_count(F.col("text")).alias("size"), place(F.col("doc_id")).alias("place"))
-    sized = sized.withColumn("range", _range(F.col("place"), number))
-    ranges = materialise(sized.groupBy("source", "range").agg(F.sum("size").alias("words")), "mix-ranges")
-    goals = materialise(targets(ranges.groupBy("source").agg(F.sum("words").alias("source_size"))), "mix-targets")
-    goals = goals.withColumn("passes", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
-                             .otherwise(0).cast("int"))
-    goals = goals.withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size"))
-    words = goals.agg(F.sum("target")).first()[0] or 0
+    size = word_count(F.col("text"))
+    sized = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col("source").alias("source"),
+                        size.alias("size"), place(F.col("doc_id")).alias("place"))
+    length = F.when(F.col("size") > LENGTHS[0], 0).when(F.col("size") > LENGTHS[1], 1).otherwise(2)
+    sized = sized.withColumn("length", length).withColumn("range", _range(F.col("place"), number))
+    ranges = materialise(sized.groupBy("source", "length", "range").agg(F.sum("size").alias("words")), "mix-ranges")
+    goals = targets(ranges.groupBy("source").agg(F.sum("words").alias("source_size")))
+    passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
+    goals = goals.withColumn("passes", passes).withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size"))
+    goals = materialise(goals, "mix-targets")
+    before = F.coalesce(F.sum("words").over(Window.partitionBy("source", "length").orderBy("range").rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0))
+    starts = ranges.select(F.col("source").alias("s1"), F.col("length").alias("l1"), F.col("range").alias("r1"), before.alias("ahead"))
+    met = sized.join(starts, F.col("source").eqNullSafe(F.col("s1")) & (F.col("length") == F.col("l1")) & (F.col("range") == F.col("r1")))
+    within = Window.partitionBy("source", "length", "range").orderBy("place", "size").rowsBetween(Window.unboundedPreceding, 0)
+    met = met.withColumn("before", F.col("ahead") + F.sum("size").over(within) - F.col("size"))
+    met = materialise(met.select("row", "source", "size", "place", "length", "before"), "mix-sums")
+    # class by class: its share of the rest, and what the longer classes left open
+    share = (ranges.groupBy("source").pivot("length", [0, 1, 2]).agg(F.sum("words"))
+             .select(F.col("source").alias("s2"), *[F.coalesce(F.col(f"`{k}`"), F.lit(0)).alias(f"w{k}") for k in range(3)]))
+    plan = goals.join(share, F.col("source").eqNullSafe(F.col("s2"))).drop("s2")
+    part = F.when(F.col("source_size") > 0, F.col("rest") / F.col("source_size")).otherwise(0.0)
+    plan = plan.withColumn("q0", part * F.col("w0"))
+    for k in range(1, 3):
+        known = plan.select(F.col("source").alias("s3"), F.col(f"q{k - 1}").alias("quota"))
+        took = (met.where(F.col("length") == k - 1).join(known, F.col("source").eqNullSafe(F.col("s3")))
+                .where(_drawn(F.col("quota"))).groupBy(F.col("source").alias("s3")).agg(F.max(F.col("before") + F.col("size")).alias("took")))
+        plan = plan.join(took, F.col("source").eqNullSafe(F.col("s3")), "left").drop("s3")
+        plan = plan.withColumn(f"t{k - 1}", F.coalesce("took", F.lit(0))).drop("took")
+        taken = F.col("t0") if k == 1 else F.col("t0") + F.col("t1")
+        quota = part * (F.col("w0") + F.col("w1")) - taken if k == 1 else F.col("rest") - taken
+        plan = materialise(plan.withColumn(f"q{k}", quota), "mix-quotas")
+    plan = plan.select(F.col("source").alias("s4"), "source_size", "target", "passes", F.array("q0", "q1", "q2").alias("quotas"))
+    met = met.join(plan, F.col("source").eqNullSafe(F.col("s4")))
+    return met.select("row", "source", "size", "source_size", "target", "place", "passes",
+                      _drawn(F.get("quotas", F.col("length"))).alias("more"))
+
+
+def allocate(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """One row per row of ``docs``: struct ``row`` (its columns, or those in
+    ``carry``), ``size`` (words; null text: 0), ``source_size``, ``target``,
+    ``copies`` (0 to 2), ``shards`` (the output shard of each copy) and ``place``.
+
+    Equal ids share a place and are taken in order of size; null ids and null
+    sources are values like any other, sources without words have target 0, and
+    an empty table gives no rows.
+    """
+    drawn = draw(docs, docs.columns if carry is None else carry)
+    sources = drawn.groupBy("source").agg(F.first("target").alias("target"), F.first("passes").alias("passes"))
+    sources = materialise(sources, "mix-sources")
+    words = sources.agg(F.sum("target")).first()[0] or 0
     shards = 1 << max(3, min(int(math.log2(MOST_SHARDS)), math.ceil(math.log2(max(1, words / SHARD_WORDS)))))
     blocks = BLOCKS_PER_SHARD * shards
-    # a source's blocks in a permuted order, once a pass
-    offered = goals.select("source", F.explode(F.sequence(F.lit(0), F.lit(MOST - 1))).alias("pass"),
-                           F.col("passes").alias("full"), "rest")
-    offered = offered.where("pass < full OR pass = full AND rest > 0").select(
-        "source", "pass", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    drawn = drawn.withColumn("block", _range(F.col("place"), blocks))
+    # every block once a pass, and once more where the rest's draw reaches it
+    whole = sources.select("source", F.explode(F.sequence(F.lit(0), F.col("passes"))).alias("pass"), "passes").where("pass < passes")
+    whole = whole.select("source", "pass", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
+    rest = drawn.where("more").select("source", F.col("passes").alias("pass"), "block").distinct()
     slot = F.row_number().over(Window.partitionBy("source").orderBy(
         F.xxhash64(F.lit(SEED), "source", "pass", "block"), "pass", "block"))
-    permuted = offered.withColumn("slot", slot)
-    dealt = permuted.join(quotas(permuted.select("source", "slot"), shards).withColumnRenamed("source", "s2").withColumnRenamed("slot", "slot2"),
-                          F.col("source").eqNullSafe(F.col("s2")) & (F.col("slot") == F.col("slot2")))
-    homes = materialise(dealt.groupBy("source", "block").agg(
+    permuted = materialise(whole.union(rest).withColumn("slot", slot), "mix-slots")
+    homes = quotas(permuted.select("source", "slot"), shards).select(F.col("source").alias("s5"), F.col("slot").alias("slot5"), "shard")
+    dealt = permuted.join(homes, F.col("source").eqNullSafe(F.col("s5")) & (F.col("slot") == F.col("slot5")))
+    dealt = materialise(dealt.groupBy(F.col("source").alias("s6"), F.col("block").alias("block6")).agg(
         F.map_from_entries(F.collect_list(F.struct("pass", "shard"))).alias("homes")), "mix-shards")
-
-    ahead = F.coalesce(F.sum("words").over(Window.partitionBy("source").orderBy("range").rowsBetween(
-        Window.unboundedPreceding, -1)), F.lit(0))
-    starts = ranges.withColumn("ahead", ahead).select(F.col("source").alias("s1"), F.col("range").alias("r1"), "ahead")
-    goals = goals.withColumnRenamed("source", "s3")
-    starts = starts.join(goals, F.col("s1").eqNullSafe(F.col("s3"))).drop("s3")
-    homes = homes.withColumnRenamed("source", "s4")
-    met = sized.join(starts, F.col("source").eqNullSafe(F.col("s1")) & (F.col("range") == F.col("r1")))
-    within = Window.partitionBy("source", "range").orderBy("place", "size")
-    met = met.withColumn("before", F.col("ahead") + F.sum("size").over(
-        within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-    more = (2 * F.col("before") + F.col("size") <= 2 * F.col("rest")) & (F.col("rest") > 0)
-    met = met.withColumn("copies", F.col("passes") + more.cast("int"))
-    met = met.withColumn("block1", _range(F.col("place"), blocks))
-    met = met.join(homes, F.col("source").eqNullSafe(F.col("s4")) & (F.col("block1") == F.col("block")), "left")
-    found = F.when(F.col("copies") > 0, F.transform(F.sequence(F.lit(0), F.col("copies") - 1), lambda k: F.col("homes")[k]))
-    return met.select("row", "doc_id", "size", "source_size", "target", "copies",
+    met = drawn.join(dealt, F.col("source").eqNullSafe(F.col("s6")) & (F.col("block") == F.col("block6")), "left")
+    copies = F.col("passes") + F.col("more").cast("int")
+    found = F.when(copies > 0, F.transform(F.sequence(F.lit(0), copies - 1), lambda k: F.col("homes")[k]))
+    return met.select("row", "size", "source_size", "target", copies.alias("copies"),
                       F.coalesce(found, F.array().cast("array<int>")).alias("shards"), "place")
 
 

@@ -1,5 +1,123 @@
-"""DuckDB SQL for the queries of this package that SQL can express."""
+"""DuckDB SQL for the queries of this package that SQL can express.
+
+The others are tested against brute force, the libraries themselves or held-out
+rows in ``tests/llm``: language ID (1), edited token counts (4), sentence spans
+(5), consistent sampling (8), co-occurrence PII (9) and pieces (10).
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
+def _op2() -> str:
+    """The same integer arithmetic throughout; the operator's limits restated."""
+    from strata.llm.quality import LEAST_GROUP, RATIOS, REACH
+
+    ratios = ", ".join(f"1000 * {a} // greatest({b}, 1) AS {k}" for k, (a, b, _) in RATIOS.items())
+    unpivot = " UNION ALL ".join(f"SELECT lang, source, '{k}' AS ratio, {k} AS v FROM ok" for k in RATIOS)
+    spread = "CASE ratio " + " ".join(f"WHEN '{k}' THEN {v[2]}" for k, v in RATIOS.items()) + " END"
+    own = ("min(CASE WHEN 4 * upto >= total THEN bin END) AS low, min(CASE WHEN 4 * upto >= 3 * total THEN bin END) AS high, "
+           "max(total) AS total")
+
+    def quartiles(keys: str) -> str:
+        by = f"{keys}, ratio" if keys else "ratio"
+        return (f"SELECT {by}, {own} FROM (SELECT {by}, bin, sum(n) OVER (PARTITION BY {by} ORDER BY bin) AS upto, "
+                f"sum(n) OVER (PARTITION BY {by}) AS total FROM (SELECT {by}, bin, sum(n) AS n FROM bins GROUP BY ALL)) GROUP BY {by}")
+
+    pivot = ", ".join(f"max(CASE WHEN ratio = '{k}' THEN high + {REACH} * spread END) AS {k}_most" for k in RATIOS)
+    met = " AND ".join(f"f.{k} <= b.{k}_most" for k in RATIOS)
+    return rf"""
+WITH w AS (SELECT doc_id, lang, source, coalesce(text, '') AS text, {_WORDS} AS w,
+             list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+           FROM documents),
+c AS (SELECT doc_id, lang, source, len(w)::BIGINT AS n_words, w, len(lines)::BIGINT AS n_lines,
+        length(array_to_string(w, ''))::BIGINT AS word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+        (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines FROM w),
+tri AS (SELECT doc_id, unnest(range(1, n_words - 1)) AS i, w FROM c WHERE n_words >= 3),
+tri2 AS (SELECT doc_id, i, array_to_string(w[i:i+2], ' ') AS t FROM tri),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, t) AS n FROM tri2) WHERE n > 1),
+rep AS (SELECT doc_id, count(DISTINCT p)::BIGINT AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY doc_id),
+f0 AS (SELECT c.* EXCLUDE (w), coalesce(rep.n, 0) AS n_repeat_words FROM c LEFT JOIN rep USING (doc_id)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {ratios} FROM f0),
+ok AS (SELECT * FROM f WHERE NOT base_failed),
+long AS ({unpivot}),
+bins AS (SELECT lang, source, ratio, (v >> greatest(length(bin(v)) - 8, 0)) << greatest(length(bin(v)) - 8, 0) AS bin, count(*) AS n
+         FROM long GROUP BY ALL),
+own AS ({quartiles('lang, source')}), wide AS ({quartiles('lang')}), every AS ({quartiles('')}),
+picked AS (SELECT own.lang, own.source, own.ratio,
+             CASE WHEN own.total >= {LEAST_GROUP} THEN own.low WHEN wide.total >= {LEAST_GROUP} THEN wide.low ELSE every.low END AS low,
+             CASE WHEN own.total >= {LEAST_GROUP} THEN own.high WHEN wide.total >= {LEAST_GROUP} THEN wide.high ELSE every.high END AS high
+           FROM own JOIN wide ON own.lang IS NOT DISTINCT FROM wide.lang AND own.ratio = wide.ratio JOIN every ON own.ratio = every.ratio),
+spread AS (SELECT *, greatest(high - low, {spread}) AS spread FROM picked),
+b AS (SELECT lang, source, {pivot}, max(CASE WHEN ratio = 'word_length' THEN low - {REACH} * spread END) AS word_length_least
+      FROM spread GROUP BY lang, source)
+SELECT f.doc_id, f.n_words, f.word_chars, f.n_symbols, f.n_dup_lines, f.n_repeat_words, f.base_failed,
+  NOT f.base_failed AND coalesce({met} AND f.word_length >= b.word_length_least, false) AS kept
+FROM f LEFT JOIN b ON f.lang IS NOT DISTINCT FROM b.lang AND f.source IS NOT DISTINCT FROM b.source
+"""
+
+
+OP3 = r"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+             generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+d AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+m AS (SELECT k.doc_id, k.pos, k.line, d.key IS NOT NULL AND d.keeper <> k.doc_id AS gone FROM k LEFT JOIN d ON k.key = d.key)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+OP6 = """
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings WHERE label IS NOT NULL),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+         WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT vec_id, vec_id AS other FROM embeddings UNION SELECT r.vec_id, l.b FROM reach r JOIN link l ON r.other = l.a),
+comp AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+n AS (SELECT a AS vec_id, count(*)::BIGINT AS n FROM link GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, comp.component_id, e.vec_id = comp.component_id AS kept
+FROM embeddings e JOIN comp USING (vec_id) LEFT JOIN n USING (vec_id)
+"""
+
+OP7 = rf"""
+WITH d AS (SELECT doc_id, source, len({_WORDS})::BIGINT AS size, md5('mix|' || coalesce(doc_id::VARCHAR, '')) AS place FROM documents),
+s0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+s1 AS (SELECT *, 2 * source_size AS most,
+         [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM s0),
+s2 AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER ()::DOUBLE
+           - coalesce(sum(most) OVER (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+         / sum(weight) OVER (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM s1),
+s3 AS (SELECT *, (SELECT level FROM s2 WHERE level <= most / weight ORDER BY most / weight, source NULLS LAST LIMIT 1) AS lev FROM s2),
+s4 AS (SELECT source, source_size, CASE WHEN source_size = 0 THEN 0.0::DOUBLE
+         ELSE least(most::DOUBLE, coalesce(lev * weight, most::DOUBLE)) END AS target FROM s3),
+s5 AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS passes FROM s4),
+s AS (SELECT *, target - passes * source_size AS rest,
+        CASE WHEN source_size > 0 THEN (target - passes * source_size) / source_size ELSE 0 END AS part FROM s5),
+r AS (SELECT d.*, CASE WHEN size > 1024 THEN 0 WHEN size > 128 THEN 1 ELSE 2 END AS length FROM d),
+b AS (SELECT *, (sum(size) OVER (PARTITION BY source, length ORDER BY place, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size)::BIGINT
+        AS before FROM r),
+w AS (SELECT source, sum(CASE WHEN length = 0 THEN size ELSE 0 END)::BIGINT AS w0, sum(CASE WHEN length = 1 THEN size ELSE 0 END)::BIGINT AS w1
+      FROM r GROUP BY source),
+p AS (SELECT s.*, w.w0, w.w1, part * w0 AS q0 FROM s JOIN w ON s.source IS NOT DISTINCT FROM w.source),
+t0 AS (SELECT b.source, max(before + size) AS took FROM b JOIN p ON b.source IS NOT DISTINCT FROM p.source
+       WHERE length = 0 AND q0 > 0 AND 2 * before + size <= 2 * q0 GROUP BY b.source),
+p1 AS (SELECT p.*, coalesce(t0.took, 0) AS t0, part * (w0 + w1) - coalesce(t0.took, 0) AS q1
+       FROM p LEFT JOIN t0 ON p.source IS NOT DISTINCT FROM t0.source),
+t1 AS (SELECT b.source, max(before + size) AS took FROM b JOIN p1 ON b.source IS NOT DISTINCT FROM p1.source
+       WHERE length = 1 AND q1 > 0 AND 2 * before + size <= 2 * q1 GROUP BY b.source),
+p2 AS (SELECT p1.*, rest - (p1.t0 + coalesce(t1.took, 0)) AS q2 FROM p1 LEFT JOIN t1 ON p1.source IS NOT DISTINCT FROM t1.source)
+SELECT b.doc_id, b.size, p2.source_size, p2.target,
+  (size * (passes + CASE WHEN (CASE length WHEN 0 THEN q0 WHEN 1 THEN q1 ELSE q2 END) > 0
+     AND 2 * before + size <= 2 * (CASE length WHEN 0 THEN q0 WHEN 1 THEN q1 ELSE q2 END) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM b JOIN p2 ON b.source IS NOT DISTINCT FROM p2.source
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_quality_rules": _op2(),
+    "op3_line_dedup": OP3,
+    "op6_embedding_near_dedup": OP6,
+    "op7_mixing": OP7,
+}
