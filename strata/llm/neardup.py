@@ -11,8 +11,9 @@ group is large.
 Improved consistent weighted sampling draws for each of ``HASHES`` hash functions
 one (run, level) pair per document; two documents draw the same pair with the
 probability of their weighted Jaccard similarity. Draws are banded; documents
-that share a band are compared with the band's smallest document, those that
-prove dissimilar go on to the next one, until no one is left. A link is a
+share a band are compared with the band's smallest document; those that are near
+none of the anchors so far go on to the next ones, four times as many a round,
+until no one is left. A link is a
 verified weighted Jaccard similarity of ``LEAST`` or more; groups are connected
 components. Texts of equal words are one class, compared once.
 """
@@ -26,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from strata.llm.common import BLANKS, materialise
 from strata.llm.components import components
@@ -34,6 +36,8 @@ RUN = 5
 LEAST = 0.8
 BANDS, BAND = 12, 4
 HASHES = BANDS * BAND
+#: Times as many anchors each round.
+ANCHORS = 4
 IDF_SHARE = 0.25
 SLOTS = 1 << 20
 _PARTS = 64  # that the frequency array is summed up in
@@ -265,26 +269,32 @@ def groups(docs: DataFrame, least: float = LEAST) -> DataFrame:
         "doc", F.coalesce("class_id", "doc").alias("class_id"), "bands"), "near-classes")
     banded = members.where("doc = class_id AND bands IS NOT NULL").select(
         F.posexplode("bands").alias("band", "value"), "doc")
-    anchors = banded.groupBy("band", "value").agg(F.min("doc").alias("anchor"), F.count("*").alias("n")).where("n > 1")
-    open_rows = materialise(banded.join(anchors.drop("n"), ["band", "value"]).where("doc != anchor"), "near-bands")
-    involved = open_rows.select("doc").union(open_rows.select(F.col("anchor").alias("doc"))).distinct()
-    involved = materialise(texts.join(involved, "doc").dropDuplicates(["doc"]), "near-texts")
+    shared = banded.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    open_rows = materialise(banded.join(shared, ["band", "value"]), "near-bands")
+    involved = materialise(texts.join(open_rows.select("doc").distinct(), "doc").dropDuplicates(["doc"]), "near-texts")
     anchor_texts = involved.select(F.col("doc").alias("anchor"), F.col("text").alias("other"))
-    checked = None
+    checked, number = None, 1
     while True:
-        pairs = open_rows.select("doc", "anchor").distinct()
+        order = Window.partitionBy("band", "value").orderBy("doc")
+        anchors = (open_rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= number)
+                   .select("band", "value", F.col("doc").alias("anchor")))
+        met = materialise(open_rows.join(anchors, ["band", "value"]).where("doc >= anchor"), "near-met")
+        pairs = met.where("doc > anchor").select("doc", "anchor").distinct()
         if checked is not None:
             pairs = pairs.join(checked, ["doc", "anchor"], "left_anti")
         new = (pairs.join(involved, "doc").join(anchor_texts, "anchor").select("doc", "anchor", "text", "other")
                .mapInArrow(_verified(weights, least), "doc long, anchor long, near boolean"))
         new = materialise(new, "near-checked")
         checked = new if checked is None else checked.union(new)
-        far = open_rows.join(checked.where("NOT near").select("doc", "anchor"), ["doc", "anchor"], "left_semi").select(
-            "band", "value", "doc")
-        anchors = far.groupBy("band", "value").agg(F.min("doc").alias("anchor"))
-        open_rows = materialise(far.join(anchors, ["band", "value"]).where("doc != anchor"), "near-bands")
+        # who is no anchor and near none of the band's anchors goes on
+        done = F.max((F.col("doc") == F.col("anchor")) | F.coalesce("near", F.lit(False)))
+        far = met.join(checked, ["doc", "anchor"], "left").groupBy("band", "value", "doc").agg(done.alias("done")).where("NOT done")
+        far = materialise(far.select("band", "value", "doc"), "near-bands")
+        several = far.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+        open_rows = materialise(far.join(several, ["band", "value"]), "near-bands")
         if open_rows.isEmpty():
             break
+        number *= ANCHORS
     linked = components(checked.where("near").select(F.col("doc").alias("a"), F.col("anchor").alias("b")))
     out = members.join(linked, F.col("class_id") == F.col("node"), "left").select(
         F.col("doc").alias("doc_id"), "class_id", F.coalesce("component", "class_id").alias("component_id"))
