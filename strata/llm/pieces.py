@@ -2,19 +2,15 @@
 
 A text is normalised by longest-prefix matches in the model's compiled character
 map (a double-array trie over replacement strings); every normalised byte keeps
-the source bytes it stands for. The normalised text is cut into units that no
-piece of the vocabulary can span (before a run of spaces, around newlines), so a
-unit's pieces don't depend on its neighbours; units are segmented once and kept
-in a bounded cache. Each piece is then projected through the alignment to a span
-of bytes of the original text.
+the source byte it stands for. The library segments the normalised text as it
+stands (with its own normaliser off), and each piece is projected through the
+alignment to a span of bytes of the original text.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SPACE = "▁"
-_CACHE = 400_000
-_ROWS = 512  # of a batch encoded at a time
+_ROWS = 256  # of a batch encoded at a time
 
 
 class CharacterMap:
@@ -76,10 +71,6 @@ class Pieces:
         self.map = CharacterMap(spec.precompiled_charsmap)
         self.prefix, self.tidy, self.escape = spec.add_dummy_prefix, spec.remove_extra_whitespaces, spec.escape_whitespaces
         self.whole = sentencepiece.SentencePieceProcessor(model_proto=blob)
-        names = [p.piece for p in proto.pieces]
-        cut = proto.trainer_spec.model_type == trainer.BPE and not any(re.search(f"[^{SPACE}]{SPACE}", x) for x in names)
-        lone = cut and not any("\n" in x and len(x) > 1 for x in names)
-        self.unit = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n" if lone else f"{SPACE}*[^{SPACE}]+|{SPACE}+" if cut else "(?s:.+)")
         # segments normalised text as it stands
         spec.precompiled_charsmap, spec.add_dummy_prefix, spec.remove_extra_whitespaces = b"", False, False
         self.plain = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
@@ -92,9 +83,8 @@ class Pieces:
                 self.special[i] = p.type
             else:
                 self.bytes.append(p.piece.replace(SPACE, " ").encode())
-        self.size = [1 if p.type == p.BYTE else len(p.piece.encode()) for p in proto.pieces]
+        self.size = np.array([1 if p.type == p.BYTE else len(p.piece.encode()) for p in proto.pieces])
         self.unknown = self.whole.unk_id()
-        self.units: dict[str, tuple[tuple[int, ...], tuple[int, ...]]] = {}
 
     def normalise(self, text: str) -> tuple[str, np.ndarray | None]:
         """The normalised text and, for each of its bytes and its end, the source
@@ -137,33 +127,18 @@ class Pieces:
             del source[-len(space):]
         return out.decode(), np.array([*source, end], np.int64)
 
-    def _segment(self, units: list[str]) -> None:
-        """Puts units that the cache lacks into it."""
-        if len(self.units) > _CACHE:
-            self.units.clear()
-        for unit, ids in zip(units, self.plain.encode(units, num_threads=1), strict=True):
-            if self.unknown in ids:  # without byte pieces; its text is what the model says
-                found = self.plain.encode(unit, out_type="immutable_proto").pieces
-                ids, sizes = [p.id for p in found], [len(p.surface.replace(" ", SPACE).encode()) for p in found]
-            else:
-                sizes = [self.size[i] for i in ids]
-            self.units[unit] = tuple(ids), tuple(sizes)
-
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and the first and the end byte in ``text`` of each piece. A byte
         piece of a character spans what the byte stands for."""
         normal, source = self.normalise(text)
-        units = self.unit.findall(normal)
-        cache = self.units
-        found = [cache.get(u) for u in units]
-        if None in found:
-            self._segment(list(dict.fromkeys(u for u, f in zip(units, found, strict=True) if f is None)))
-            found = [f or cache.get(u) for u, f in zip(units, found, strict=True)]
-            if None in found:  # the cache was emptied meanwhile; entries at hand are still good
-                found = [f or self.once(u) for u, f in zip(units, found, strict=True)]
-        ids = np.fromiter(chain.from_iterable(f[0] for f in found), np.int32)
-        stop = np.cumsum(np.fromiter(chain.from_iterable(f[1] for f in found), np.int64, len(ids)))
-        start = np.concatenate([[0], stop])[:-1]
+        ids = np.array(self.plain.encode(normal), np.int32)
+        if self.unknown in ids:  # of models without byte pieces; such a piece is as long as its text
+            found = self.plain.encode(normal, out_type="immutable_proto").pieces
+            size = np.array([len(p.surface.replace(" ", SPACE).encode()) for p in found])
+        else:
+            size = self.size[ids]
+        stop = np.cumsum(size)
+        start = stop - size
         if source is None:
             # three bytes of each replaced space stand for one; the prefix for none
             data = np.frombuffer(normal.encode(), np.uint8)
@@ -178,10 +153,6 @@ class Pieces:
             source = np.concatenate([np.zeros(3 * self.prefix, np.int64), origin, [len(raw)]])
         return ids, source[start].astype(np.int32), source[stop].astype(np.int32)
 
-    def once(self, unit: str) -> tuple[tuple[int, ...], tuple[int, ...]]:
-        self._segment([unit])
-        return self.units[unit]
-
     def decode(self, ids: list[int]) -> str:
         """The text of ``ids``, as the library gives it."""
         if not self.special.keys().isdisjoint(ids):
@@ -212,45 +183,50 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*parts, np.zeros(0, np.int32)]).astype(np.int32)))
 
 
-def encode(docs: DataFrame, model: bytes) -> DataFrame:
-    """Adds ``ids``, ``starts`` and ``ends`` (arrays of int: pieces and the byte
-    spans of the text's UTF-8 that they cover) to every row, without begin or
-    end ids. Null and empty texts get empty arrays. Columns of these names give
-    way, rows and repeats stay, and an empty table stays empty.
-    """
+def _coded(docs: DataFrame, model: bytes, made: tuple[str, ...]) -> DataFrame:
+    """``docs`` with the columns in ``made``, which replace ones of their names."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    taken = {"ids", "starts", "ends"}
-    rest = [c for c in docs.columns if c.lower() not in taken]
+    rest = [c for c in docs.columns if c.lower() not in made]
     rows = docs.select(*[F.col(f"`{c}`") for c in rest], F.col("text").alias("ids"))
-    whole = T.ArrayType(T.IntegerType())
-    schema = rows.drop("ids").schema.add("ids", whole).add("starts", whole).add("ends", whole)
+    schema = rows.drop("ids").schema
+    for name in made:
+        schema = schema.add(name, T.StringType() if name == "decoded" else T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _loaded(shared.value)
         for whole in batches:
             for at in range(0, whole.num_rows, _ROWS):
                 batch = whole.slice(at, _ROWS)
-                made = [pieces.encode(t or "") for t in batch.column(batch.num_columns - 1).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:-1], *[_lists([m[k] for m in made]) for k in range(3)]],
-                    [*batch.schema.names[:-1], "ids", "starts", "ends"])
+                found = [pieces.encode(t or "") for t in batch.column(batch.num_columns - 1).to_pylist()]
+                columns = {"ids": 0, "starts": 1, "ends": 2}
+                arrays = [pa.array([pieces.decode(x[0].tolist()) for x in found], pa.string()) if name == "decoded"
+                          else _lists([x[columns[name]] for x in found]) for name in made]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *arrays], [*batch.schema.names[:-1], *made])
 
     return rows.mapInArrow(run, schema)
 
 
-def decode(shared):
-    """A column function: array of ids to text (null: null)."""
+def encode(docs: DataFrame, model: bytes) -> DataFrame:
+    """Adds ``ids``, ``starts`` and ``ends`` (arrays of int: pieces and the byte
+    spans of the text's UTF-8 that they cover) to every row, without begin or
+    end ids. Null and empty texts get empty arrays. Columns of these names give
+    way, rows and repeats stay, and an empty table stays empty.
+    """
+    return _coded(docs, model, ("ids", "starts", "ends"))
+
+
+def decode(coded: DataFrame, model: bytes) -> DataFrame:
+    """Adds ``decoded``, the text of ``ids`` as the library gives it (null: null)."""
+    shared = coded.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("string")
     def run(ids: pa.Array) -> pa.Array:
         pieces = _loaded(shared.value)
         return pa.array([None if x is None else pieces.decode(x) for x in ids.to_pylist()], pa.string())
 
-    return run
+    return coded.withColumn("decoded", run(F.col("ids")))
 
 
 def round_trip(docs: DataFrame, model: bytes) -> DataFrame:
-    """``doc_id``, ``ids`` and ``decoded`` (the text that ``ids`` decode to)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    coded = encode(docs.select("doc_id", "text"), model)
-    return coded.select("doc_id", "ids", decode(shared)(F.col("ids")).alias("decoded"))
+    """``doc_id``, ``ids`` and ``decoded`` (the text that ``ids`` decode to), in one pass."""
+    return _coded(docs.select("doc_id", "text"), model, ("ids", "decoded"))

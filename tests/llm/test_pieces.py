@@ -51,11 +51,10 @@ def test_spans_cover_the_text(model):
                 assert data[s:e].decode().replace(" ", "▁").replace("▁", "▁") in name
 
 
-def test_a_small_cache_changes_nothing(model, monkeypatch):
-    want = [model.encode(t)[0].tolist() for t in texts(4, 60)]
-    monkeypatch.setattr(pieces, "_CACHE", 5)
-    other = pieces.Pieces(piece_model())
-    assert [other.encode(t)[0].tolist() for t in texts(4, 60)] == want
+def test_decode_of_given_ids(spark, model):
+    coded = spark.createDataFrame([(1, [306, 304]), (2, []), (3, None)], "k long, ids array<int>")
+    got = {r.k: r.decoded for r in pieces.decode(coded, piece_model()).collect()}
+    assert got == {1: model.whole.decode([306, 304]), 2: "", 3: None}
 
 
 @pytest.fixture(scope="module", params=[("nmt_nfkc", True, True), ("nfkc", False, True), ("nmt_nfkc_cf", True, False)])
