@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.pii import KINDS, base_spans
 
-_CACHE = 400_000
+_CACHE = 250_000
 _BACK = 2
 _ROWS = 256
 #: White space as the tokenizer's library has it (Unicode's property).
@@ -49,9 +49,8 @@ class Tokenizer:
         n = self.counts.get(piece)
         if n is None:
             n = len(self.encoding.encode_ordinary(piece))
-            if len(self.counts) >= _CACHE:
-                self.counts.clear()
-            self.counts[piece] = n
+            if len(self.counts) < _CACHE:  # common pieces come early
+                self.counts[piece] = n
         return n
 
 
