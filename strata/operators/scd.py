@@ -6,25 +6,27 @@ Two ways to build the same tables:
   Rerunning it gives the same rows, a late batch lands in order, and nothing is
   read while it is being overwritten. One shuffle by key; windows run per key
   over at most one row per (key, batch), so a hot key costs #batches rows.
-* **per batch** (``scd2_apply`` + ``Scd2State``): close/open one batch against
-  the current rows, O(current rows) per batch, state kept as immutable files
-  per batch below a shared folder (see ``Scd2State``).
+* **per batch** (``scd2_apply``, ``Scd2State``): what each batch opened and
+  closed is kept as immutable files per batch below a shared folder; all
+  pending batches are applied in one job over the staged rows and the current
+  rows of their keys (see ``Scd2State``).
 
 Versions are half-open ``[valid_from, valid_to)``; the open end is NULL and
-``is_current`` is ``valid_to IS NULL``. Changes are detected null-safely on a
+``is_current`` marks each key's last version. Changes are detected null-safely on a
 struct of the tracked columns, so a change to or from NULL is a change.
 """
 
 from __future__ import annotations
 
-import uuid
-
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.columns import changed, tracked_struct
+from strata.session import delete_path, has_data, names_below, path_exists
 
 BATCH = "batch_key"
 
@@ -73,7 +75,8 @@ def scd2(staged: DataFrame, keys: Sequence[str], tracked: Sequence[str], effecti
            .withColumn("valid_from", F.col(effective_col))
            .withColumn("valid_to", F.lead(F.col(effective_col)).over(w))
            .withColumn("closed_in", F.lead(F.col(batch_col)).over(w))
-           .withColumn("is_current", F.col("valid_to").isNull()))
+           # a version is closed by the next one, whatever dates they carry
+           .withColumn("is_current", F.lead(F.lit(True)).over(w).isNull()))
     cols = [*keys, *tracked, *carry, "valid_from", "valid_to", "is_current"]
     if with_batches:
         cols += [F.col(batch_col).alias("opened_in"), "closed_in"]
@@ -147,166 +150,243 @@ def scd2_apply(open_prev: DataFrame, staged_batch: DataFrame, keys: Sequence[str
     return from_current.unionByName(new_keys)
 
 
-def _log(spark: SparkSession, root: str, batch: str, counts: dict) -> None:
-    """One row per applied batch (a rerun replaces it): what the batch did
-    and when, next to the state, not inside it."""
-    row = {"batch_key": batch, **{k: int(v) for k, v in counts.items()}}
-    (spark.createDataFrame([row]).withColumn("applied_at", F.current_timestamp()).coalesce(1)
-     .write.mode("overwrite").parquet(f"{root}_log/batch_key={batch}"))
+class _State:
+    """Immutable per-batch state without a table format.
+
+    ``<root>/batch_key=<b>`` holds what batch ``b`` changed, ``<root>_base/``
+    what all batches up to some ``b`` add up to (``consolidate``), and
+    ``<root>_commits`` / ``<root>_base_commits`` one record for each of them.
+    A record is written after the data and removed before them; data without a
+    record (a broken run) is never read, and cleared when the batch is applied
+    again. Applying a batch drops it and every later one first, bases included,
+    so a late batch cannot meet state that does not know it.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], effective_col: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.keys, self.effective_col = list(keys), effective_col
 
+    def _names(self, path: str) -> list[str]:
+        return [n.partition("=")[2] for n in names_below(self.spark, path) if n.startswith(f"{BATCH}=")]
 
-def read_log(spark: SparkSession, root: str) -> DataFrame:
-    """The per-batch log of a state directory, oldest batch first."""
-    d = spark.read.option("basePath", f"{root}_log").parquet(f"{root}_log")
-    return d.withColumn("batch_key", F.col("batch_key").cast("string")).orderBy("batch_key")
+    def applied(self) -> list[str]:
+        """Batches with a commit record, in order."""
+        return self._names(f"{self.root}_commits")
 
+    def bases(self) -> list[str]:
+        return self._names(f"{self.root}_base_commits")
 
-class Scd2State:
-    """Immutable per-batch state of one type 2 dimension, no table format.
+    def drop_from(self, batch: str) -> None:
+        """Forgets ``batch`` and everything later."""
+        for top in (f"{self.root}_base_commits", f"{self.root}_base", f"{self.root}_commits", self.root):
+            for b in self._names(top):
+                if b >= batch:
+                    delete_path(self.spark, f"{top}/{BATCH}={b}")
 
-    Layout below ``root``: ``batch_key=<b>/kind=closed|open/``. Applying batch
-    ``b`` reads ``kind=open`` of the previous applied batch, writes the whole
-    ``batch_key=<b>`` directory by explicit path (a rerun replaces it; an empty
-    result still clears it) and never overwrites what it reads. The history
-    after ``b`` is every ``closed`` row with batch <= b plus the ``open`` rows of
-    ``b``. Every write cuts the lineage, so a lost executor only recomputes
-    the current batch. With ``log=True`` every apply also records its counts
-    (``log()``), one small extra write per batch.
+    def _commit(self, rows: Sequence[tuple], schema: str, what: str = "_commits") -> None:
+        """Records of batches whose data are written; one row and file each."""
+        (self.spark.createDataFrame(rows, f"{BATCH} string, {schema}").coalesce(1)
+         .withColumn("applied_at", F.current_timestamp())
+         .write.mode("append").partitionBy(BATCH).parquet(f"{self.root}{what}"))
+
+    def log(self) -> DataFrame:
+        """What each applied batch did, oldest first (its commit records)."""
+        d = self.spark.read.parquet(f"{self.root}_commits")
+        return d.withColumn(BATCH, F.col(BATCH).cast("string")).orderBy(BATCH)
+
+    def _base_before(self, batch: str) -> str | None:
+        found = [b for b in self.bases() if b <= batch]
+        return found[-1] if found else None
+
+    def _changes(self, schema, batch: str, after: str | None) -> DataFrame:
+        """Rows of the committed batches in (after, batch]; older partitions are pruned."""
+        wanted = [b for b in self.applied() if b <= batch and (after is None or b > after)]
+        if not wanted or not has_data(self.spark, self.root):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.root).filter(F.col(BATCH).isin(wanted))
+
+    def fold(self, every: int | None) -> None:
+        """Consolidates when ``every`` or more batches lie after the newest base."""
+        done, bases = self.applied(), self.bases()
+        if every and len([b for b in done if not bases or b > bases[-1]]) >= every:
+            self.consolidate(done[-1])
+
+
+class Scd2State(_State):
+    """Per-batch state of one type 2 dimension, as deltas.
+
+    ``kind=opened`` holds the versions a batch opened, ``kind=closed`` those it
+    ended; a batch that changes nothing writes no rows. The history after ``b``
+    is every closed version with batch <= b plus the opened ones not closed by
+    then. All pending batches are applied in one job: the staged rows and the
+    current rows of *their* keys go through the set-based ``scd2``; untouched
+    keys are neither shuffled nor written.
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], tracked: Sequence[str],
                  effective_col: str, carry: Sequence[str] = (), log: bool = False):
-        self.spark, self.root, self.keep_log = spark, root.rstrip("/"), log
-        self.keys, self.tracked, self.effective_col, self.carry = list(keys), list(tracked), effective_col, list(carry)
-
-    def _read(self) -> DataFrame:
-        # partition discovery may type a key like 2026-01-01 as DATE: keep keys as text
-        d = self.spark.read.option("basePath", self.root).parquet(self.root)
-        return d.withColumn("batch_key", F.col("batch_key").cast("string"))
+        super().__init__(spark, root, keys, effective_col)
+        self.tracked, self.carry = list(tracked), list(carry)
+
+    def _schema(self, staged: DataFrame) -> T.StructType:
+        types = {f.name: f.dataType for f in staged.schema}
+        day = types[self.effective_col]
+        cols = [(c, types[c]) for c in (*self.keys, *self.tracked, *self.carry)]
+        cols += [("valid_from", day), ("valid_to", day), ("is_current", T.BooleanType()), ("opened_in", T.StringType()),
+                 (BATCH, T.StringType()), ("kind", T.StringType())]
+        return T.StructType([T.StructField(n, t) for n, t in cols])
+
+    def _stored_schema(self) -> T.StructType:
+        """Kept next to the data, so that reads need no inference."""
+        return T.StructType.fromJson(json.loads(self.spark.read.text(f"{self.root}_schema").first()[0]))
+
+    def _parts(self, batch: str) -> tuple[DataFrame, DataFrame]:
+        """(closed, current) versions after ``batch``."""
+        schema, base = self._stored_schema(), self._base_before(batch)
+        d = self._changes(schema, batch, base)
+        closed, opened = d.filter("kind = 'closed'"), d.filter("kind = 'opened'")
+        if base is not None:
+            b = self.spark.read.schema(schema).parquet(f"{self.root}_base").filter(F.col(BATCH) == base)
+            closed, opened = b.filter("kind = 'closed'").union(closed), b.filter("kind = 'opened'").union(opened)
+        ended = d.filter("kind = 'closed'").select(*self.keys, "opened_in")
+        return closed, opened.join(ended, [*self.keys, "opened_in"], "left_anti").select(*schema.names)
 
     def open_at(self, batch: str) -> DataFrame:
-        # read by exact path: no listing of the other batches' directories
-        return self.spark.read.parquet(f"{self.root}/batch_key={batch}/kind=open")
-
-    def _bases(self) -> list[str]:
-        try:
-            d = self.spark.read.option("basePath", f"{self.root}_base").parquet(f"{self.root}_base")
-        except Exception:  # never consolidated
-            return []
-        return sorted(str(r[0]) for r in d.select(F.col("batch_key").cast("string")).distinct().collect())
+        """Current versions after ``batch``, with the batch that opened them."""
+        return self._parts(batch)[1].drop(BATCH, "kind")
 
     def history_at(self, batch: str) -> DataFrame:
-        """Closed rows up to ``batch`` plus the open rows of ``batch``; closed
-        rows come from the newest consolidated base at or before ``batch``
-        plus the batches after it."""
-        d = self._read()
-        base = [b for b in self._bases() if b <= batch]
-        lo = base[-1] if base else None
-        closed = (F.col("kind") == "closed") & (F.col("batch_key") <= batch)
-        if lo is not None:
-            closed = closed & (F.col("batch_key") > lo)
-        keep = closed | ((F.col("kind") == "open") & (F.col("batch_key") == batch))
-        out = d.filter(keep).drop("batch_key", "kind")
-        if lo is not None:
-            out = self.spark.read.parquet(f"{self.root}_base/batch_key={lo}").unionByName(out)
-        return out
-
-    def consolidate(self, batch: str, files: int = 8) -> None:
-        """Fold every closed version up to ``batch`` into one base dataset of
-        about ``files`` files, so reads stop listing one small directory per
-        old batch. Per-batch directories stay (reruns and older reads use
-        them); the base is written by explicit path, so redoing it is safe."""
-        closed = self._read().filter((F.col("kind") == "closed") & (F.col("batch_key") <= batch)) \
-            .drop("batch_key", "kind")
-        closed.repartition(files, *self.keys).write.mode("overwrite") \
-            .parquet(f"{self.root}_base/batch_key={batch}")
+        """The type 2 table as it stood after ``batch``."""
+        closed, current = self._parts(batch)
+        return closed.union(current).drop(BATCH, "kind", "opened_in")
+
+    def consolidate(self, batch: str) -> None:
+        """Folds everything up to ``batch`` into one base, so that reads stop
+        listing one small directory per old batch. Batch directories stay
+        (older reads use them); the base is dropped when a late batch comes."""
+        delete_path(self.spark, f"{self.root}_base_commits/{BATCH}={batch}")
+        delete_path(self.spark, f"{self.root}_base/{BATCH}={batch}")
+        closed, current = self._parts(batch)
+        rows = closed.union(current).withColumn(BATCH, F.lit(batch))
+        # file count from the data: AQE cuts the rebalanced rows to the advisory size
+        rows.hint("rebalance").write.mode("append").partitionBy(BATCH, "kind").parquet(f"{self.root}_base")
+        self._commit([(batch, 1)], "folded int", "_base_commits")
+
+    def apply_all(self, staged: DataFrame, batches: Sequence[str], previous: str | None) -> dict[str, dict]:
+        """Applies ``batches`` (in order, all of ``staged``'s) after ``previous``;
+        returns ``{closed, opened, current}`` per batch."""
+        self.drop_from(batches[0])
+        schema = self._schema(staged)
+        if not path_exists(self.spark, f"{self.root}_schema"):
+            self.spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.text(f"{self.root}_schema")
+        cols = [*self.keys, *self.tracked, *self.carry]
+        rows = staged.select(*cols, self.effective_col, F.col(BATCH).cast("string").alias(BATCH))
+        if previous is not None:
+            touched = rows.select(*self.keys).distinct()
+            before = self.open_at(previous).join(touched, self.keys, "left_semi")
+            rows = rows.union(before.select(*cols, F.col("valid_from").alias(self.effective_col), F.col("opened_in").alias(BATCH)))
+        versions = scd2(rows, self.keys, self.tracked, self.effective_col, carry=self.carry, with_batches=True)
+
+        def event(kind: str, batch, valid_to, current: bool):
+            return F.struct(*cols, "valid_from", valid_to.alias("valid_to"), F.lit(current).alias("is_current"), "opened_in",
+                            batch.alias(BATCH), F.lit(kind).alias("kind"))
+
+        opened = F.when(F.col("opened_in") >= batches[0],
+                        event("opened", F.col("opened_in"), F.lit(None).cast(schema["valid_to"].dataType), True))
+        closed = F.when(F.col("closed_in").isNotNull(), event("closed", F.col("closed_in"), F.col("valid_to"), False))
+        events = versions.select(F.explode(F.filter(F.array(opened, closed), lambda e: e.isNotNull())).alias("e")).select("e.*")
+        events.hint("rebalance", BATCH).write.mode("append").partitionBy(BATCH, "kind").parquet(self.root)
+        # the partitions just written, counted from their footers
+        number = {b: {"closed": 0, "opened": 0} for b in batches}
+        if has_data(self.spark, self.root):
+            written = self.spark.read.schema(schema).parquet(self.root).filter(F.col(BATCH) >= batches[0])
+            for r in written.groupBy(BATCH, "kind").count().collect():
+                number[r[BATCH]][r["kind"]] = r["count"]
+        current = self._current(previous)
+        for b in batches:
+            current += number[b]["opened"] - number[b]["closed"]
+            number[b]["current"] = current
+        self._commit([(b, n["closed"], n["opened"], n["current"]) for b, n in number.items()],
+                     "closed long, opened long, current long")
+        return number
+
+    def _current(self, batch: str | None) -> int:
+        if batch is None:
+            return 0
+        return self.spark.read.parquet(f"{self.root}_commits/{BATCH}={batch}").first()["current"]
 
     def apply(self, batch: str, staged_batch: DataFrame, previous: str | None) -> dict:
-        """Apply one batch; returns ``{closed, opened, current}`` row counts.
-        A batch without changes opens and closes nothing (``opened == 0``)."""
-        if previous is None:
-            empty_schema = staged_batch.select(
-                *self.keys, *self.tracked, *self.carry,
-                F.col(self.effective_col).alias("valid_from"),
-                F.lit(None).cast("date").alias("valid_to"), F.lit(True).alias("is_current")).schema
-            open_prev = self.spark.createDataFrame([], empty_schema)
-        else:
-            open_prev = self.open_at(previous)
-        rows = scd2_apply(open_prev, staged_batch, self.keys, self.tracked, self.effective_col, self.carry)
-        # counts ride along the single write (no second evaluation to count)
-        obs = Observation(f"scd2_{batch}_{uuid.uuid4().hex[:8]}")
-        rows = rows.observe(obs, F.count(F.when(F.col("kind") == "closed", 1)).alias("closed"),
-                            F.count(F.when((F.col("kind") == "open") & F.col("_new"), 1)).alias("opened"),
-                            F.count(F.when(F.col("kind") == "open", 1)).alias("current"))
-        (rows.drop("_new").write.mode("overwrite").partitionBy("kind")
-         .parquet(f"{self.root}/batch_key={batch}"))
-        counts = obs.get
-        if self.keep_log:
-            _log(self.spark, self.root, batch, counts)
-        return counts
-
-    def log(self) -> DataFrame:
-        return read_log(self.spark, self.root)
+        """Applies one batch; returns ``{closed, opened, current}`` row counts.
+        A batch without changes opens and closes nothing and writes no rows."""
+        return self.apply_all(staged_batch.withColumn(BATCH, F.lit(batch)), [batch], previous)[batch]
 
 
-class Scd1State:
-    """Per-batch snapshots of a type 1 dimension: ``batch_key=<b>/`` holds
-    the table after batch ``b``, built by upserting the batch into the
-    previous snapshot (every matched key is updated, like a merge)."""
+class Scd1State(_State):
+    """Per-batch state of a type 1 dimension: ``batch_key=<b>/`` holds the rows
+    batch ``b`` brought; the table after ``b`` is the last row of each key
+    among the newest base and the batches after it (every matched key is
+    updated, like a merge)."""
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], cols: Sequence[str],
                  effective_col: str, update_col: str = "update_date", log: bool = False):
-        self.spark, self.root, self.keep_log = spark, root.rstrip("/"), log
-        self.keys, self.cols, self.effective_col, self.update_col = list(keys), list(cols), effective_col, update_col
+        super().__init__(spark, root, keys, effective_col)
+        self.cols, self.update_col = list(cols), update_col
+
+    def _stored_schema(self) -> T.StructType:
+        return T.StructType.fromJson(json.loads(self.spark.read.text(f"{self.root}_schema").first()[0]))
 
-    def _read(self) -> DataFrame:
-        d = self.spark.read.option("basePath", self.root).parquet(self.root)
-        return d.withColumn("batch_key", F.col("batch_key").cast("string"))
+    def _rows(self, batch: str) -> DataFrame:
+        schema, base = self._stored_schema(), self._base_before(batch)
+        rows = self._changes(schema, batch, base)
+        if base is not None:
+            rows = self.spark.read.schema(schema).parquet(f"{self.root}_base").filter(F.col(BATCH) == base).union(rows)
+        return rows
 
     def snapshot_at(self, batch: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/batch_key={batch}")
+        return scd1(self._rows(batch), self.keys, self.cols, self.effective_col, update_col=self.update_col)
+
+    def consolidate(self, batch: str) -> None:
+        """Folds all rows up to ``batch`` into one base of a row per key."""
+        delete_path(self.spark, f"{self.root}_base_commits/{BATCH}={batch}")
+        delete_path(self.spark, f"{self.root}_base/{BATCH}={batch}")
+        rows = self.snapshot_at(batch).withColumnRenamed(self.update_col, self.effective_col).withColumn(BATCH, F.lit(batch))
+        rows.select(*self._stored_schema().names).hint("rebalance").write.mode("append").partitionBy(BATCH) \
+            .parquet(f"{self.root}_base")
+        self._commit([(batch, 1)], "folded int", "_base_commits")
+
+    def apply_all(self, staged: DataFrame, batches: Sequence[str], previous: str | None) -> dict[str, dict]:
+        self.drop_from(batches[0])
+        rows = staged.select(*self.keys, *self.cols, self.effective_col, F.col(BATCH).cast("string").alias(BATCH))
+        if not path_exists(self.spark, f"{self.root}_schema"):
+            self.spark.createDataFrame([(rows.schema.json(),)], "value string").coalesce(1).write.text(f"{self.root}_schema")
+        rows.hint("rebalance", BATCH).write.mode("append").partitionBy(BATCH).parquet(self.root)
+        number = dict.fromkeys(batches, 0)
+        if has_data(self.spark, self.root):
+            written = self.spark.read.schema(self._stored_schema()).parquet(self.root).filter(F.col(BATCH) >= batches[0])
+            number |= {r[BATCH]: r["count"] for r in written.groupBy(BATCH).count().collect()}
+        self._commit(list(number.items()), "rows long")
+        return {b: {"rows": n} for b, n in number.items()}
 
     def apply(self, batch: str, staged_batch: DataFrame, previous: str | None) -> dict:
-        from strata.operators.merge import upsert
-        src = staged_batch.select(*self.keys, *self.cols, F.col(self.effective_col).alias(self.update_col))
-        if previous is None:
-            prev = self.spark.createDataFrame([], src.schema)
-        else:
-            prev = self.snapshot_at(previous)
-        every = [*self.cols, self.update_col]
-        merged = upsert(prev, src, self.keys, {c: f"source.{c}" for c in every},
-                        {c: f"source.{c}" for c in [*self.keys, *every]})
-        obs = Observation(f"scd1_{batch}_{uuid.uuid4().hex[:8]}")
-        merged.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
-            .parquet(f"{self.root}/batch_key={batch}")
-        counts = obs.get
-        if self.keep_log:
-            _log(self.spark, self.root, batch, counts)
-        return counts
+        return self.apply_all(staged_batch.withColumn(BATCH, F.lit(batch)), [batch], previous)[batch]
 
-    def log(self) -> DataFrame:
-        return read_log(self.spark, self.root)
 
+def applied_batches(state: _State) -> list[str]:
+    """Batches whose state is committed."""
+    return state.applied()
 
-def applied_batches(state) -> list[str]:
-    """Batches whose state is written (partition values of the state root)."""
-    try:
-        d = state._read()
-    except Exception:  # nothing applied yet
-        return []
-    return sorted(r[0] for r in d.select("batch_key").distinct().collect())
-
-
-def catch_up(spark: SparkSession, staged: DataFrame, state, batch_col: str = BATCH,
-             force_from: str | None = None) -> list[str]:
-    """Apply every staged batch that is not applied yet (``state`` is a
-    ``Scd2State`` or ``Scd1State``). A late batch (one that sorts before
-    batches already applied) is applied and every later batch is re-applied
-    after it, so the result equals processing in order. ``force_from``
-    re-applies from that batch on even if it was applied (its input changed).
-    Returns the batches (re)applied."""
-    done = set(applied_batches(state))
-    staged_keys = sorted(r[0] for r in staged.select(F.col(batch_col).cast("string")).distinct().collect())
+
+def catch_up(spark: SparkSession, staged: DataFrame, state: _State, batch_col: str = BATCH,
+             force_from: str | None = None, fold_every: int | None = None) -> list[str]:
+    """Apply every staged batch that is not applied yet, all in one job. A late
+    batch (one that sorts before batches already applied) is applied and every
+    later batch is re-applied after it, so the result equals processing in
+    order. ``force_from`` re-applies from that batch on even if it was applied
+    (its input changed); ``fold_every`` consolidates the state after so many
+    batches. Returns the batches (re)applied."""
+    done = set(state.applied())
+    staged = staged.withColumn(batch_col, F.col(batch_col).cast("string"))
+    staged_keys = sorted(r[0] for r in staged.select(batch_col).distinct().collect())
     starts = [b for b in staged_keys if b not in done]
     if force_from is not None:
         starts.append(force_from)
@@ -315,19 +395,19 @@ def catch_up(spark: SparkSession, staged: DataFrame, state, batch_col: str = BAT
     start = min(starts)
     todo = [b for b in staged_keys if b >= start]
     before = [b for b in staged_keys if b < start]
-    prev = before[-1] if before else None
-    for b in todo:
-        state.apply(b, staged.filter(F.col(batch_col) == b).drop(batch_col), prev)
-        prev = b
+    state.drop_from(start)
+    if todo:
+        rows = staged.filter(F.col(batch_col) >= start).withColumnRenamed(batch_col, BATCH)
+        state.apply_all(rows, todo, before[-1] if before else None)
+        state.fold(fold_every)
     return todo
 
 
 def replay(spark: SparkSession, staged: DataFrame, batches: Sequence[str], state: Scd2State,
            batch_col: str = BATCH) -> DataFrame:
-    """Apply batches in order (the driver loop walks batch keys only, a short
-    list; every step is a distributed job) and return the final history."""
-    prev = None
-    for b in batches:
-        state.apply(b, staged.filter(F.col(batch_col) == b).drop(batch_col), prev)
-        prev = b
-    return state.history_at(prev)
+    """Apply ``batches`` from nothing, in one job, and return the final history;
+    the state can then be read as of each of them."""
+    rows = staged.filter(F.col(batch_col).isin(list(batches))).withColumnRenamed(batch_col, BATCH)
+    state.drop_from(batches[0])
+    state.apply_all(rows, list(batches), None)
+    return state.history_at(batches[-1])

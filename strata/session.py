@@ -51,13 +51,17 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def shared_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    If the session has none (local runs), set one under the system temp
-    directory once and reuse it; a cluster always supplies its own.
+    Without that setting a local session (``local``, ``local[n]``) gets a
+    directory under the system temp directory, once; any other master is an
+    error, as its executors could not reach such a directory.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"set spark.checkpoint.dir to storage that all executors share (master {master})")
         # a core setting cannot be changed on a running session; the
         # context's checkpoint directory can, and is found again next time
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strata-ckpt-"))
@@ -68,3 +72,32 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused directory below the shared root for one run."""
     return f"{shared_root(spark)}/strata/{name}-{uuid.uuid4().hex[:12]}"
+
+
+# Paths, through Hadoop's file system interface: existence is asked for, never
+# inferred from a failed read.
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs(spark, path)
+    return fs.exists(p)
+
+
+def names_below(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a directory (none if it does not exist)."""
+    p, fs = _fs(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether a directory holds a visible entry, which a reader would read."""
+    return any(not n.startswith(("_", ".")) for n in names_below(spark, path))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)

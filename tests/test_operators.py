@@ -277,7 +277,7 @@ def test_consolidated_state_reads_the_same(spark, workdir):
     st = scd.Scd2State(spark, f"{workdir}/cons", ["k"], ["v"], "eff")
     scd.replay(spark, staged, keys, st)
     before = {b: _set(st.history_at(b)) for b in (keys[1], keys[4], keys[-1])}
-    st.consolidate(keys[3], files=2)
+    st.consolidate(keys[3])
     for b, want in before.items():
         assert _set(st.history_at(b)) == want  # before and after the base
     assert _set(st.history_at(keys[-1])) == _set(scd.scd2(staged, ["k"], ["v"], "eff"))
