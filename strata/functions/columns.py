@@ -19,8 +19,17 @@ BATCH_KEY_PATTERN = r"(\d{4}-\d{2})"
 MASK_VALUE = "XXXX"
 ENGINEERS = "data_engineers"
 
-# Money is stored as double (as in the reference) but summed exactly.
-MONEY_SUM_TYPE = "decimal(18,2)"
+# Money is stored as double (as in the reference) but summed exactly, with
+# parts of a cent; sums are DECIMAL(38,6). Cleaning rejects amounts beyond
+# MOST_MONEY and ones that aren't finite.
+MONEY_SUM_TYPE = "decimal(28,6)"
+MOST_MONEY = 1e15
+
+
+def money(c: str | Column) -> Column:
+    """A money column as an exact number; NULL if it isn't finite or doesn't fit."""
+    return (F.col(c) if isinstance(c, str) else c).try_cast(MONEY_SUM_TYPE)
+
 
 
 def col_of(c: str | Column) -> Column:
@@ -67,6 +76,6 @@ def valid_on(day: str | Column, valid_from: str = "valid_from", valid_to: str =
 
 def money_sum(c: str | Column) -> Column:
     """Exact sum of a money column, returned as double."""
-    return F.sum(col_of(c).cast(MONEY_SUM_TYPE)).cast("double")
+    return F.sum(money(c)).cast("double")
 
 

@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.columns import MOST_MONEY
+
 REASON = "_reject_reason"
 
 
@@ -42,6 +44,11 @@ def positive(c: str) -> Rule:
     return Rule(f"{c} not > 0", f"`{c}` > 0")
 
 
+def amount_in_range(c: str, most: float = MOST_MONEY) -> Rule:
+    """Finite and at most ``most`` either way (NaN compares above every number)."""
+    return Rule(f"{c} not finite or beyond {most:g}", f"`{c}` BETWEEN -{most!r}D AND {most!r}D")
+
+
 def typed(df: DataFrame, exprs: Mapping[str, Column | str] | Sequence[str],
           keep_raw: Sequence[str] = ()) -> DataFrame:
     """Project raw (string) columns to typed ones. In a mapping, a string

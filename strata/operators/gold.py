@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.columns import MONEY_SUM_TYPE
+from strata.functions.columns import money
 
 
 def sales_by(fact: DataFrame, dim: DataFrame, key: str, by: Sequence[str], amount: str,
@@ -29,7 +29,7 @@ def sales_by(fact: DataFrame, dim: DataFrame, key: str, by: Sequence[str], amoun
     dim_key = dim_key or key
     pre = (fact.groupBy(F.col(key).alias("_k"))
            .agg(F.count(count_col).alias("_n"),
-                F.sum(F.col(amount).cast(MONEY_SUM_TYPE)).alias("_amt")))
+                F.sum(money(amount)).alias("_amt")))
     d = dim.select(F.col(dim_key).alias("_k"), *by)
     j = pre.join(d, "_k", "inner")
     aggs = [F.sum("_n").alias("total_orders"), F.sum("_amt").cast("double").alias("total_amount")]
@@ -43,7 +43,7 @@ def sales_by(fact: DataFrame, dim: DataFrame, key: str, by: Sequence[str], amoun
 
 def spend_per(fact: DataFrame, dim: DataFrame, key: str, attrs: Sequence[str], amount: str) -> DataFrame:
     """Exact total of ``amount`` per dimension key, with its attributes."""
-    pre = fact.groupBy(key).agg(F.sum(F.col(amount).cast(MONEY_SUM_TYPE)).alias("_amt"))
+    pre = fact.groupBy(key).agg(F.sum(money(amount)).alias("_amt"))
     j = pre.join(dim.select(key, *attrs), key, "inner")
     return j.select(key, *attrs, F.col("_amt").cast("double").alias("total_amount"))
 

@@ -403,10 +403,10 @@ def check_intervals(spark, sf):
 
 def _ingest(spark, name, fmt, df, options=None):
     root = scratch_dir(spark, f"ingest-{name}")
-    land(df, f"{root}/landing", fmt, files_per_batch=8)
+    land(df, f"{root}/landing", fmt, by_batch=True)
     spec = B.SourceSpec(name, fmt, f"{root}/landing", options or {})
     B.ingest(spark, spec, f"{root}/bronze", f"{root}/_checkpoint", f"{root}/_schema")
-    return root, B.read_bronze(spark, f"{root}/bronze")
+    return root, B.read_bronze(spark, f"{root}/bronze", f"{root}/_schema")
 
 
 def ingest_json(spark, sf):
@@ -475,7 +475,7 @@ def ingest_evolution(spark, sf):
          spec.path, "json")
     B.ingest(spark, spec, *args)
     B.ingest(spark, spec, *args)  # nothing new: adds no rows
-    b = B.read_bronze(spark, f"{root}/bronze")
+    b = B.read_bronze(spark, f"{root}/bronze", f"{root}/_schema")
     return b.select(F.col("c_custkey").try_cast("bigint").alias("c_custkey"), "c_name",
                     F.col("c_acctbal").try_cast("double").alias("c_acctbal"), "batch_key")
 
@@ -505,7 +505,7 @@ def compact_orders(spark, sf):
     """Orders rewritten into few files clustered on (customer, date), read back."""
     o = table(spark, sf, "orders")
     path = scratch_dir(spark, "compact-orders")
-    layout.compact(o, path, by=["o_custkey", "o_orderdate"], files=4)
+    layout.compact(o, path, by=["o_custkey", "o_orderdate"])
     back = spark.read.parquet(path)
     return back.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                        F.to_date("o_orderdate").alias("order_date"), "o_orderpriority")

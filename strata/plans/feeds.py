@@ -90,8 +90,8 @@ def part_history(spark: SparkSession, sf: str, **kw) -> DataFrame:
 
 def customer_feed(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "customer")
-    n = table(spark, sf, "nation")  # 25 rows by definition of the schema
-    return (c.join(F.broadcast(n), c["c_nationkey"] == n["n_nationkey"])
+    n = table(spark, sf, "nation")  # small: Spark broadcasts it by its size
+    return (c.join(n, c["c_nationkey"] == n["n_nationkey"])
             .select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name"),
                     F.col("n_name").alias("city"), F.col("c_mktsegment").alias("segment"),
                     F.lit(CUSTOMER_BATCH).alias("batch_key"),

@@ -95,7 +95,7 @@ def names_below(spark: SparkSession, path: str) -> list[str]:
 
 def has_data(spark: SparkSession, path: str) -> bool:
     """Whether a directory holds a visible entry, which a reader would read."""
-    return any(not n.startswith(("_", ".")) for n in names_below(spark, path))
+    return any(not n.startswith(".") and (not n.startswith("_") or "=" in n) for n in names_below(spark, path))
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

@@ -10,9 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from strata.session import path_exists
+
 S, L, I, D, B, DT, TS = (T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType(), T.BooleanType(),
                          T.DateType(), T.TimestampType())
 
@@ -50,19 +52,12 @@ SCHEMAS: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
 }
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018  (listing only, no data read)
-        return True
-    except Exception:
-        return False
-
-
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType,
                  partition_by: Sequence[str] = ()) -> bool:
-    """Create an empty typed table at ``path`` unless one exists. Returns
-    whether it was created."""
-    if exists(spark, path):
+    """Create an empty typed table at ``path`` unless one exists there. Returns
+    whether it was created. Read it with ``read_table``: an empty partitioned
+    table has no file to take its schema from."""
+    if path_exists(spark, path):
         return False
     w = spark.createDataFrame([], schema).write.mode("errorifexists")
     if partition_by:
@@ -71,6 +66,11 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType,
     return True
 
 
+def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table with its declared schema, empty or not."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
 def ensure_all(spark: SparkSession, root: str) -> dict[str, str]:
     """All layered tables under ``root``; existing ones are left alone."""
     paths = {}

@@ -2,41 +2,52 @@
 
 One stateless Structured Streaming query per source:
 
-    landing files --(file source, schema from the schema store)-->
-      every column cast to string + envelope (_ingestion_ts, _ingestion_date,
+    landing files --(file source)-->
+      every column as text + envelope (_ingestion_ts, _ingestion_date,
       _source_file, batch_key)
-    --(parquet file sink, partitioned by batch_key, checkpointed)--> bronze
+    --(parquet, partitioned by batch_key, checkpointed)--> bronze
 
 ``trigger(availableNow=True)`` drains what has landed and stops; the
-checkpoint makes every file count once, so a rerun adds nothing. The file
-sink's commit log gives exactly-once output, and an executor lost mid-batch
-only re-runs that micro-batch.
-
-Schema evolution: the schema store (a small JSON file under ``schema_path``)
-keeps the column list seen so far; new columns found in landing files are
-appended, the stream restarts with the wider schema, and older bronze files
-read back with NULL in the new columns (``mergeSchema``).
-
-CSV is mapped **by header name**: Spark's CSV reader maps columns by
-position when given a schema, which silently swaps columns of a file whose
-header is ordered differently. CSV micro-batches therefore go through
-``foreachBatch``: files are grouped by their header line and each group is
-read with its own header, then unioned by name.
+checkpoint makes every file count once, so a rerun adds nothing. An executor
+lost mid-batch only re-runs that micro-batch.
+
+Nothing a file holds is lost:
+
+* JSON is read once, as lines, and parsed to a map of its top-level keys
+  (nested values stay JSON text). Keys the schema store knows become columns,
+  all others go to ``_rescued_data`` (a JSON object); after the drain they are
+  added to the store, and ``read_bronze`` fills the new columns from there. A
+  line that isn't a JSON object is kept in ``_corrupt_record``.
+* CSV is mapped **by header name**: micro-batches go through ``foreachBatch``,
+  files are grouped by their header line and each group is read with its own
+  columns plus ``_corrupt_record``, which keeps the text of lines with too many
+  or too few values.
+* Parquet and ORC are read in their own types; the schema store widens a column
+  (also inside structs) when newer files carry a wider type or more fields.
+* A source column named like an envelope column is renamed ``source_<name>``.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.columns import BATCH_KEY_PATTERN, batch_key_of
+from strata.session import has_data, path_exists
 
 ENVELOPE = ("_ingestion_ts", "_ingestion_date", "_source_file", "batch_key")
+RESCUED, CORRUPT = "_rescued_data", "_corrupt_record"
+#: Columns of ours that a source may also have, in any case; and our partition of CSV micro-batches.
+EPOCH = "_csv_epoch"
+_OWN = {c.lower() for c in (*ENVELOPE, RESCUED, CORRUPT, EPOCH)}
 FORMATS = ("json", "parquet", "csv", "orc", "text")
 
 
@@ -60,11 +71,9 @@ class SourceSpec:
 # ----------------------------------------------------------------------------
 
 def _read_stored(spark: SparkSession, schema_path: str) -> T.StructType | None:
-    try:
-        row = spark.read.text(schema_path).first()
-    except Exception:  # nothing stored yet
+    if not has_data(spark, schema_path):
         return None
-    return T.StructType.fromJson(json.loads(row[0])) if row else None
+    return T.StructType.fromJson(json.loads(spark.read.text(schema_path).first()[0]))
 
 
 def _store(spark: SparkSession, schema_path: str, schema: T.StructType) -> None:
@@ -72,10 +81,31 @@ def _store(spark: SparkSession, schema_path: str, schema: T.StructType) -> None:
         .write.mode("overwrite").text(schema_path)
 
 
+def _strings(names: Iterable[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
+def _add_names(spark: SparkSession, schema_path: str, names: Iterable[str]) -> None:
+    """Appends text columns that the store lacks, in order of name."""
+    stored = _read_stored(spark, schema_path) or T.StructType([])
+    known = {f.name for f in stored}
+    new = sorted(set(names) - known)
+    if new:
+        _store(spark, schema_path, T.StructType([*stored.fields, *_strings(new).fields]))
+
+
 def _norm(c: Column) -> Column:
-    """One spelling per file: ``file:///x`` and ``file:/x`` are the same file,
-    and percent-escapes are decoded."""
-    return F.try_url_decode(F.regexp_replace(c, r"^file:(//)?/", "file:/"))
+    """One spelling per file: ``file:///x`` and ``file:/x`` are the same file."""
+    return F.regexp_replace(c, r"^file:(//)?/", "file:/")
+
+
+def _reader_path(name: str) -> str:
+    """A file name as Spark reports it (percent-encoded) as a path that a reader
+    takes literally: decoded, with glob characters escaped."""
+    path = unquote(name)
+    for c in "\\{}[]*?":
+        path = path.replace(c, "\\" + c)
+    return path
 
 
 def new_files(spark: SparkSession, spec: SourceSpec, bronze_path: str | None) -> list[str]:
@@ -83,74 +113,68 @@ def new_files(spark: SparkSession, spec: SourceSpec, bronze_path: str | None) ->
     format has a fixed schema, so nothing is read; Spark lists on the driver
     either way); the comparison with the ingested files is an anti join in
     Spark, so only the new names come back to the driver."""
-    try:
-        listed = spark.read.format("text").load(spec.path).inputFiles()
-    except Exception:  # empty or missing landing zone
+    if not path_exists(spark, spec.path):
         return []
-    if not bronze_path or not listed:
-        return list(listed)
-    try:
-        seen = read_bronze(spark, bronze_path).select(_norm(F.col("_source_file")).alias("_n")).distinct()
-    except Exception:  # no bronze yet
+    listed = spark.read.format("text").option("recursiveFileLookup", "true").load(spec.path).inputFiles()
+    if not bronze_path or not listed or not has_data(spark, bronze_path):
         return list(listed)
+    seen = spark.read.schema("_source_file string").parquet(bronze_path).select(_norm(F.col("_source_file")).alias("_n")).distinct()
     files = spark.createDataFrame([(f,) for f in listed], "f string").withColumn("_n", _norm(F.col("f")))
     return [r[0] for r in files.join(seen, "_n", "left_anti").select("f").collect()]
 
 
-def _discovered(spark: SparkSession, spec: SourceSpec, files: list[str]) -> T.StructType:
-    """Read schema of the given landing files as the stream must read them:
-    all-string for text formats, native for Parquet/ORC (cast later)."""
-    string_value = T.StructType([T.StructField("value", T.StringType())])
-    if spec.fmt in ("text", "csv"):  # csv columns are resolved per file group in foreachBatch
-        return string_value
-    if not files:
-        return T.StructType([])
-    opts = {**dict(spec.options), "basePath": spec.path}
-    if spec.fmt == "json":
-        s = spark.read.options(**opts).option("primitivesAsString", "true").json(files).schema
-    else:
-        s = spark.read.options(**opts).option("mergeSchema", "true").format(spec.fmt).load(files).schema
-    # partition columns of the landing layout are replaced by our envelope;
-    # `_corrupt_record` stays: it keeps the text of malformed lines
-    return T.StructType([f for f in s.fields if f.name not in ENVELOPE])
-
-
 # Native types a column may widen to when later files carry the wider one;
 # Spark's Parquet reader reads the older, narrower files as the wider type.
 _WIDER = {("integer", "long"), ("integer", "double"), ("float", "double"), ("short", "integer"),
           ("short", "long"), ("byte", "short"), ("byte", "integer"), ("byte", "long")}
 
 
-def _widen(stored: T.StructField, found: T.StructField | None) -> T.StructField:
-    """The stored field, widened if newer files carry a wider numeric type.
-    A narrower type in newer files keeps the stored one; an incompatible
-    change stops here with a clear message instead of failing inside a task."""
-    if found is None or found.dataType == stored.dataType:
-        return stored
-    a, b = stored.dataType.typeName(), found.dataType.typeName()
-    if (a, b) in _WIDER:
-        return T.StructField(stored.name, found.dataType, True)
-    if (b, a) in _WIDER:
-        return stored
-    raise ValueError(f"column {stored.name!r} changed type from {a} to {b}; "
+def _widened(name: str, a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type that holds both; structs field by field. A change between
+    unrelated types stops here with a clear message, not inside a task."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        return _merged(a, b, f"{name}.")
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(_widened(name, a.elementType, b.elementType))
+    x, y = a.typeName(), b.typeName()
+    if (x, y) in _WIDER:
+        return b
+    if (y, x) in _WIDER:
+        return a
+    raise ValueError(f"column {name!r} changed type from {x} to {y}; "
                      "land it under a new column name or re-ingest the source")
 
 
+def _merged(stored: T.StructType, found: T.StructType, prefix: str = "") -> T.StructType:
+    seen = {f.name: f for f in found.fields}
+    kept = [T.StructField(f.name, _widened(prefix + f.name, f.dataType, seen[f.name].dataType)) if f.name in seen else f
+            for f in stored.fields]
+    names = {f.name for f in stored.fields}
+    return T.StructType([*kept, *[f for f in found.fields if f.name not in names]])
+
+
 def evolve_schema(spark: SparkSession, spec: SourceSpec, schema_path: str,
                   bronze_path: str | None = None) -> T.StructType:
-    """Stored schema plus any new columns, appended in discovery order.
-    A column keeps its first-seen type (types never narrow or flip). Only
-    files not yet in ``bronze_path`` are inspected, so the cost of a run
-    follows what landed since the last one, not the whole landing zone."""
+    """Stored schema of a Parquet or ORC source, widened by the files not yet in
+    ``bronze_path`` (only their footers are read); new columns come last."""
     stored = _read_stored(spark, schema_path)
-    found = _discovered(spark, spec, new_files(spark, spec, bronze_path if stored is not None else None))
-    if stored is None:
-        merged = found
-    else:
-        seen = {f.name: f for f in found.fields}
-        kept = [_widen(f, seen.get(f.name)) for f in stored.fields]
-        names = {f.name for f in stored.fields}
-        merged = T.StructType(kept + [f for f in found.fields if f.name not in names])
+    files = new_files(spark, spec, bronze_path if stored is not None else None)
+    merged = stored or T.StructType([])
+    reader = spark.read.options(**dict(spec.options)).option("mergeSchema", "true").format(spec.fmt)
+    paths = [_reader_path(f) for f in files]
+    if paths:
+        try:
+            found = [reader.load(paths).schema]
+        except (PySparkException, Py4JJavaError) as e:
+            if "MERGE_SCHEMA" not in str(e):
+                raise
+            found = [reader.load(f).schema for f in paths]  # files of one drop differ in types: widen over each
+        for schema in found:
+            merged = _merged(merged, schema)
     if stored is None or merged != stored:
         _store(spark, schema_path, merged)
     return merged
@@ -166,103 +190,228 @@ def _as_text(df: DataFrame, c: str) -> Column:
     t = df.schema[c].dataType
     col = F.col(f"`{c}`")
     if isinstance(t, (T.StructType, T.ArrayType, T.MapType)):
-        return F.to_json(col).alias(c)
-    return col.cast("string").alias(c)
+        return F.to_json(col)
+    return col.cast("string")
+
+
+def source_name(name: str) -> str:
+    """The bronze column of a source column: its name, unless it is one of ours."""
+    return f"source_{name}" if name.lower() in _OWN else name
 
 
-def _envelope(df: DataFrame, pattern: str) -> DataFrame:
-    data_cols = [c for c in df.columns if c not in ENVELOPE and c != "_file"]
+def _envelope(columns: Mapping[str, Column], df: DataFrame, pattern: str) -> DataFrame:
+    """``columns`` by bronze name, plus lineage; ``__file`` is the source file."""
     return df.select(
-        *[_as_text(df, c) for c in data_cols],
+        *[c.alias(n) for n, c in columns.items()],
         F.current_timestamp().alias("_ingestion_ts"),
         F.current_date().alias("_ingestion_date"),
-        F.col("_file").alias("_source_file"),
-        batch_key_of(F.col("_file"), pattern).alias("batch_key"),
+        F.col("__file").alias("_source_file"),
+        batch_key_of(F.col("__file"), pattern).alias("batch_key"),
     )
 
 
-def _csv_by_header(spark: SparkSession, spec: SourceSpec, lines: DataFrame) -> DataFrame | None:
+class Drain:
+    """A started stream and what remains to do when it has ended."""
+
+    def __init__(self, query, after=None):
+        self.query, self._after = query, after
+
+    def awaitTermination(self) -> None:  # noqa: N802  (as a streaming query's)
+        self.query.awaitTermination()
+        if self._after:
+            self._after()
+            self._after = None
+
+
+_MAP = T.MapType(T.StringType(), T.StringType())
+
+
+def _json_rows(lines: DataFrame, spec: SourceSpec) -> DataFrame:
+    """(value, m, __file): each record's top-level keys as text. With
+    ``multiLine`` a file is one record or an array of them."""
+    options = {k: str(v) for k, v in spec.options.items() if k.lower() != "multiline"}
+    if not _multi_line(spec):
+        # blank lines aren't records, as in Spark's own reader
+        rows = lines.filter(F.trim("value") != "")
+        return rows.withColumn("m", F.from_json("value", _MAP, options))
+    many = F.from_json("value", T.ArrayType(_MAP), options)
+    whole = F.when(F.size(many) > 0, many).otherwise(F.array(F.from_json("value", _MAP, options)))
+    return lines.withColumn("m", F.explode(whole))
+
+
+def _multi_line(spec: SourceSpec) -> bool:
+    return any(k.lower() == "multiline" and str(v).lower() == "true" for k, v in spec.options.items())
+
+
+def _json_lines(reader, spec: SourceSpec) -> DataFrame:
+    reader = reader.format("text").option("recursiveFileLookup", "true").option("wholetext", str(_multi_line(spec)).lower())
+    return reader.load(spec.path).select("value", F.col("_metadata.file_path").alias("__file"))
+
+
+def _rescued_names(df: DataFrame) -> list[str]:
+    """Keys found in ``_rescued_data`` (row groups without any are skipped)."""
+    keys = df.filter(F.col(RESCUED).isNotNull()).select(F.explode(F.map_keys(F.from_json(RESCUED, _MAP))).alias("k"))
+    return [r[0] for r in keys.distinct().collect()]
+
+
+def _ingest_json(spark, spec, bronze_path, checkpoint_path, schema_path, max_files_per_trigger) -> Drain | None:
+    stored = _read_stored(spark, schema_path)
+    if stored is None:
+        if not path_exists(spark, spec.path) or not has_data(spark, spec.path):
+            return None
+        first = _json_rows(_json_lines(spark.read, spec), spec)  # the first run learns the keys from what has landed
+        names = [r[0] for r in first.select(F.explode(F.map_keys("m")).alias("k")).distinct().collect()]
+        _add_names(spark, schema_path, names)
+        stored = _strings(sorted(names))
+        if not names:
+            _store(spark, schema_path, stored)
+    names = [f.name for f in stored]
+    lines = _json_lines(spark.readStream.option("maxFilesPerTrigger", str(max_files_per_trigger)), spec)
+    rows = _json_rows(lines, spec)
+    columns = {source_name(n): F.col("m")[n] for n in names}
+    rest = F.map_filter("m", lambda k, v: ~F.coalesce(F.array_contains(F.lit(names) if names else F.array().cast("array<string>"), k), F.lit(False)))
+    columns[RESCUED] = F.when(F.size(rest) > 0, F.to_json(rest))
+    columns[CORRUPT] = F.when(F.col("m").isNull(), F.col("value"))
+    q = (_envelope(columns, rows, spec.batch_pattern).writeStream.format("parquet")
+         .option("checkpointLocation", checkpoint_path).partitionBy("batch_key")
+         .trigger(availableNow=True).start(bronze_path))
+
+    def learn() -> None:
+        if has_data(spark, bronze_path):
+            known = _strings([RESCUED])
+            _add_names(spark, schema_path, _rescued_names(spark.read.schema(known).parquet(bronze_path)))
+
+    return Drain(q, learn)
+
+
+def _csv_by_header(spark: SparkSession, spec: SourceSpec, lines: DataFrame) -> tuple[DataFrame, list[str]] | None:
     """Rows of the CSV files behind ``lines`` (a micro-batch of text lines),
     each file read with its own header; groups unioned by column name."""
-    first = (lines.filter(F.col("_block") == 0)
-             .withColumn("_mid", F.monotonically_increasing_id())
-             .groupBy("_file").agg(F.min_by("value", "_mid").alias("_header")))
+    first = (lines.filter(F.col("__block") == 0)
+             .withColumn("__mid", F.monotonically_increasing_id())
+             .groupBy("__file").agg(F.min_by("value", "__mid").alias("__header")))
     # one row per file of this micro-batch (bounded by maxFilesPerTrigger)
     by_header: dict[str, list[str]] = {}
     for r in first.collect():
-        by_header.setdefault(r["_header"], []).append(r["_file"])
-    parts = []
+        by_header.setdefault(r["__header"], []).append(_reader_path(r["__file"]))
     opts = {"header": "true", **dict(spec.options)}
+    parts, names = [], []
     for files in by_header.values():
-        g = spark.read.options(**opts).csv(files).withColumn("_file", F.col("_metadata.file_path"))
-        parts.append(g)
+        header = spark.read.options(**opts).csv(files[0]).columns
+        schema = _strings([*header, CORRUPT])
+        g = (spark.read.options(**opts).option("enforceSchema", "true").option("mode", "PERMISSIVE")
+             .option("columnNameOfCorruptRecord", CORRUPT).schema(schema).csv(files))
+        # values of a broken line may stand under the wrong names: only its text is kept
+        whole = F.col(CORRUPT).isNull()
+        parts.append(g.select(*[F.when(whole, F.col(f"`{c}`")).alias(source_name(c)) for c in header], CORRUPT,
+                              F.col("_metadata.file_path").alias("__file")))
+        names += header
     if not parts:
         return None
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
-    return out
+    return out, names
 
 
 def ingest(spark: SparkSession, spec: SourceSpec, bronze_path: str, checkpoint_path: str,
-           schema_path: str, max_files_per_trigger: int = 1000, wait: bool = True):
-    """Drain new files of ``spec`` into ``bronze_path``; returns the query
-    (finished when ``wait``), or None when nothing has landed yet."""
+           schema_path: str, max_files_per_trigger: int = 1000, wait: bool = True) -> Drain | None:
+    """Drain new files of ``spec`` into ``bronze_path``; returns the ``Drain``
+    (finished when ``wait``, else to be awaited), or None when nothing has
+    landed yet."""
     if spec.fmt == "csv":
-        return _ingest_csv(spark, spec, bronze_path, checkpoint_path, max_files_per_trigger, wait)
-    schema = evolve_schema(spark, spec, schema_path, bronze_path)
+        run = _ingest_csv(spark, spec, bronze_path, checkpoint_path, schema_path, max_files_per_trigger)
+    elif spec.fmt == "json":
+        run = _ingest_json(spark, spec, bronze_path, checkpoint_path, schema_path, max_files_per_trigger)
+    else:
+        run = _ingest_native(spark, spec, bronze_path, checkpoint_path, schema_path, max_files_per_trigger)
+    if run is not None and wait:
+        run.awaitTermination()
+    return run
+
+
+def _ingest_native(spark, spec, bronze_path, checkpoint_path, schema_path, max_files_per_trigger) -> Drain | None:
+    if spec.fmt == "text":
+        schema = _strings(["value"])
+        if not path_exists(spark, spec.path):
+            return None
+        _add_names(spark, schema_path, ["value"])
+    else:
+        schema = evolve_schema(spark, spec, schema_path, bronze_path)
     if not schema.fields:  # nothing landed yet
         return None
-    reader = (spark.readStream.schema(schema).options(**dict(spec.options))
-              .option("maxFilesPerTrigger", str(max_files_per_trigger)))
-    src = reader.format(spec.fmt).load(spec.path)
-    df = _envelope(src.withColumn("_file", F.col("_metadata.file_path")), spec.batch_pattern)
-    q = (df.writeStream.format("parquet")
-         .option("checkpointLocation", checkpoint_path)
-         .partitionBy("batch_key")
-         .trigger(availableNow=True)
-         .start(bronze_path))
-    if wait:
-        q.awaitTermination()
-    return q
-
-
-def _ingest_csv(spark, spec, bronze_path, checkpoint_path, max_files_per_trigger, wait):
-    lines = (spark.readStream.format("text")
+    src = (spark.readStream.schema(schema).options(**dict(spec.options)).option("recursiveFileLookup", "true")
+           .option("maxFilesPerTrigger", str(max_files_per_trigger)).format(spec.fmt).load(spec.path))
+    columns = {source_name(c): _as_text(src, c) for c in src.columns}
+    df = _envelope(columns, src.withColumn("__file", F.col("_metadata.file_path")), spec.batch_pattern)
+    return Drain(df.writeStream.format("parquet").option("checkpointLocation", checkpoint_path)
+                 .partitionBy("batch_key").trigger(availableNow=True).start(bronze_path))
+
+
+def _ingest_csv(spark, spec, bronze_path, checkpoint_path, schema_path, max_files_per_trigger) -> Drain | None:
+    if not path_exists(spark, spec.path):
+        return None
+    lines = (spark.readStream.format("text").option("recursiveFileLookup", "true")
              .option("maxFilesPerTrigger", str(max_files_per_trigger)).load(spec.path)
-             .select("value", F.col("_metadata.file_path").alias("_file"),
-                     F.col("_metadata.file_block_start").alias("_block")))
+             .select("value", F.col("_metadata.file_path").alias("__file"),
+                     F.col("_metadata.file_block_start").alias("__block")))
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
-        rows = _csv_by_header(spark, spec, batch)
-        if rows is None:
+        found = _csv_by_header(spark, spec, batch)
+        if found is None:
             return
+        rows, names = found
+        _add_names(spark, schema_path, names)
+        columns = {c: F.col(f"`{c}`") for c in rows.columns if c != "__file"}
         # foreachBatch is at-least-once: each epoch owns its directory and a
         # retry overwrites it, so a replayed micro-batch never duplicates rows.
-        (_envelope(rows, spec.batch_pattern).write.mode("overwrite")
-         .partitionBy("batch_key").parquet(f"{bronze_path}/epoch={epoch}"))
-
-    q = (lines.writeStream.foreachBatch(write_batch)
-         .option("checkpointLocation", checkpoint_path)
-         .trigger(availableNow=True).start())
-    if wait:
-        q.awaitTermination()
-    return q
-
-
-def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
-    """Bronze rows of one source (all columns ever seen; NULL where a file
-    did not have the column)."""
-    df = spark.read.option("mergeSchema", "true").parquet(bronze_path)
-    df = df.withColumn("batch_key", F.col("batch_key").cast("string"))  # a partition value, kept as text
-    return df.drop("epoch") if "epoch" in df.columns else df
-
-
-def discover_batches(*bronzes: DataFrame) -> DataFrame:
+        (_envelope(columns, rows, spec.batch_pattern).write.mode("overwrite")
+         .partitionBy("batch_key").parquet(f"{bronze_path}/{EPOCH}={epoch}"))
+
+    return Drain(lines.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_path)
+                 .trigger(availableNow=True).start())
+
+
+def bronze_schema(stored: T.StructType) -> T.StructType:
+    """The bronze columns of a source with the stored schema: all text."""
+    own = [("_ingestion_ts", T.TimestampType()), ("_ingestion_date", T.DateType()), ("_source_file", T.StringType()),
+           (RESCUED, T.StringType()), (CORRUPT, T.StringType()), ("batch_key", T.StringType())]
+    data = _strings(source_name(f.name) for f in stored).fields
+    return T.StructType([*data, *[T.StructField(n, t) for n, t in own]])
+
+
+def read_bronze(spark: SparkSession, bronze_path: str, schema_path: str) -> DataFrame:
+    """Bronze rows of one source: all columns ever seen, as text, NULL where a
+    file did not have the column. The columns come from the schema store (no
+    footer is opened to find them); ones that a file had before the store knew
+    them are filled from its rescued keys, and ``_rescued_data`` keeps the rest.
+    """
+    stored = _read_stored(spark, schema_path) or T.StructType([])
+    schema = bronze_schema(stored)
+    if not has_data(spark, bronze_path):
+        return spark.createDataFrame([], schema)
+    df = spark.read.schema(schema).parquet(bronze_path)
+    df = df.select(*schema.names)  # without our partition of CSV micro-batches
+    names = [f.name for f in stored]
+    if not names:
+        return df
+    late = F.from_json(RESCUED, _MAP)
+    rest = F.map_filter(late, lambda k, v: ~F.array_contains(F.lit(names), k))
+    columns = {source_name(n): F.when(F.col(RESCUED).isNull(), F.col(f"`{source_name(n)}`"))
+               .otherwise(F.coalesce(F.col(f"`{source_name(n)}`"), late[n])) for n in names}
+    columns[RESCUED] = F.when(F.col(RESCUED).isNotNull() & (F.size(rest) > 0), F.to_json(rest))
+    return df.withColumns(columns)
+
+
+def discover_batches(*bronzes: DataFrame, required: bool = False) -> DataFrame:
     """Distinct batch keys over every source (a month with only product files
-    still counts), in order. Lazy; the caller collects the short list."""
+    still counts), in order. Lazy; the caller collects the short list.
+    ``required``: an error when there is none."""
     keys = [b.select("batch_key") for b in bronzes]
     u = keys[0]
     for k in keys[1:]:
         u = u.unionByName(k)
-    return u.filter(F.col("batch_key").isNotNull() & (F.col("batch_key") != "")).distinct().orderBy("batch_key")
+    found = u.filter(F.col("batch_key").isNotNull() & (F.col("batch_key") != ""))
+    if required and found.isEmpty():
+        raise ValueError("no batch found in any source")
+    return found.distinct().orderBy("batch_key")

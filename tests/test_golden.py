@@ -115,17 +115,17 @@ def test_csv_reordered_header_and_new_json_column(spark, workdir):
     from strata.streaming.bronze import ingest, read_bronze
     ingest(spark, SourceSpec("products", "csv", f"{workdir}/land/products"),
            f"{workdir}/b/p", f"{workdir}/c/p", f"{workdir}/s/p")
-    prices = {r.product_id: r.price for r in read_bronze(spark, f"{workdir}/b/p").collect()}
+    prices = {r.product_id: r.price for r in read_bronze(spark, f"{workdir}/b/p", f"{workdir}/s/p").collect()}
     assert prices["P001"] in ("999.00", "899.00") and prices["P005"] == "199.00"
     ingest(spark, SourceSpec("customers", "json", f"{workdir}/land/customers"),
            f"{workdir}/b/c", f"{workdir}/c/c", f"{workdir}/s/c")
-    b = read_bronze(spark, f"{workdir}/b/c")
+    b = read_bronze(spark, f"{workdir}/b/c", f"{workdir}/s/c")
     tiers = {(r.batch_key, r.tier) for r in b.select("batch_key", "tier").collect()}
     assert tiers == {("2026-01", None), ("2026-06", "gold")}
     # draining again adds nothing
     ingest(spark, SourceSpec("customers", "json", f"{workdir}/land/customers"),
            f"{workdir}/b/c", f"{workdir}/c/c", f"{workdir}/s/c")
-    assert read_bronze(spark, f"{workdir}/b/c").count() == 7
+    assert read_bronze(spark, f"{workdir}/b/c", f"{workdir}/s/c").count() == 7
     from strata.streaming.bronze import new_files
     spec = SourceSpec("customers", "json", f"{workdir}/land/customers")
     assert new_files(spark, spec, f"{workdir}/b/c") == []  # schema inference skips ingested files
@@ -177,8 +177,8 @@ def test_incremental_runs_equal_rebuild(spark, workdir):
 
     def check():
         out = run_incremental(spark, landing, lake, as_of="2026-07-01")
-        cust, _ = stage_customers(read_bronze(spark, f"{lake}/bronze/customers"))
-        prod, _ = stage_products(read_bronze(spark, f"{lake}/bronze/products"))
+        cust, _ = stage_customers(read_bronze(spark, f"{lake}/bronze/customers", f"{lake}/_schemas/customers"))
+        prod, _ = stage_products(read_bronze(spark, f"{lake}/bronze/products", f"{lake}/_schemas/products"))
         want = {
             "dim_customers_type2": scd.scd2(cust, ["customer_id"], ["name", "city"], "event_date"),
             "dim_products_type2": scd.scd2(prod, ["product_id"], ["product_name", "category", "price"],
@@ -247,7 +247,7 @@ def test_parquet_column_widens(spark, workdir):
     big = spark.range(0, 5).select((F.col("id") + 3_000_000_000).alias("qty"), F.lit("2026-02").alias("batch_key"))
     land(big, spec.path, "parquet")
     ingest(spark, spec, *args)
-    got = sorted(int(r.qty) for r in read_bronze(spark, f"{workdir}/b").collect())
+    got = sorted(int(r.qty) for r in read_bronze(spark, f"{workdir}/b", f"{workdir}/s").collect())
     assert got == [0, 1, 2, 3, 4] + [3_000_000_000 + i for i in range(5)]
 
 
@@ -259,7 +259,7 @@ def test_nested_json_lands_as_json_text(spark, workdir):
     with open(f"{workdir}/land/customers_2026-01.json", "w") as f:
         f.write(json.dumps({"customer_id": "1", "address": {"city": "SF", "zip": "94105"}, "tags": ["a", "b"]}) + "\n")
     ingest(spark, SourceSpec("c", "json", f"{workdir}/land"), f"{workdir}/b", f"{workdir}/c", f"{workdir}/s")
-    r = read_bronze(spark, f"{workdir}/b").first()
+    r = read_bronze(spark, f"{workdir}/b", f"{workdir}/s").first()
     assert json.loads(r.address) == {"city": "SF", "zip": "94105"} and json.loads(r.tags) == ["a", "b"]
 
 
@@ -272,7 +272,7 @@ def test_malformed_json_line_is_rejected_with_its_text(spark, workdir):
         f.write('{"customer_id": "101", "name": "John", "city": "SF", "event_date": "2026-01-01"}\n')
         f.write('{"customer_id": "102", "name": "Mary", "city": \n')  # cut off
     ingest(spark, SourceSpec("c", "json", f"{workdir}/land"), f"{workdir}/b", f"{workdir}/c", f"{workdir}/s")
-    good, bad = stage_customers(read_bronze(spark, f"{workdir}/b"))
+    good, bad = stage_customers(read_bronze(spark, f"{workdir}/b", f"{workdir}/s"))
     assert [r.customer_id for r in good.collect()] == [101]
     rej = bad.collect()
     assert len(rej) == 1 and rej[0].reject_reason == MALFORMED and '"Mary"' in rej[0]._corrupt_record

@@ -243,7 +243,7 @@ def test_csv_header_found_when_files_are_split(spark, workdir):
         ingest(spark, SourceSpec("p", "csv", f"{workdir}/land"), f"{workdir}/b", f"{workdir}/c", f"{workdir}/s")
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    b = read_bronze(spark, f"{workdir}/b")
+    b = read_bronze(spark, f"{workdir}/b", f"{workdir}/s")
     assert b.count() == 600
     assert b.filter(~F.col("product_id").startswith("P")).count() == 0  # no header rows, no swapped columns
     assert b.filter(F.col("price").endswith(".50")).count() == 600

@@ -61,7 +61,7 @@ def test_one_batch_read_prunes_partitions(spark, workdir):
                                              F.lit("-15")).alias("batch_key"))
     land(df, f"{workdir}/land", "json")
     ingest(spark, SourceSpec("x", "json", f"{workdir}/land"), f"{workdir}/b", f"{workdir}/c", f"{workdir}/s")
-    one = read_bronze(spark, f"{workdir}/b").filter(F.col("batch_key") == "2026-02-15")
+    one = read_bronze(spark, f"{workdir}/b", f"{workdir}/s").filter(F.col("batch_key") == "2026-02-15")
     p = plan(one)
     assert "PartitionFilters: [" in p and "2026-02-15" in p.split("PartitionFilters: [")[1].split("]")[0]
     assert one.count() == 100
