@@ -45,7 +45,9 @@ def pit_join(fact: DataFrame, dim: DataFrame, keys: Sequence[str] | Mapping, dat
     to the join key: a fact row then meets only the versions overlapping its
     period. Open versions run to the last fact date (one aggregated value).
     """
-    pairs = dict(keys) if isinstance(keys, dict) else {k: k for k in keys}
+    if bucket and how not in ("inner", "left", "left_outer", "leftouter"):
+        raise ValueError("bucket replicates versions, so a join that keeps unmatched ones would repeat them")
+    pairs = dict(keys) if isinstance(keys, Mapping) else {k: k for k in keys}
     drop = set(pairs.values()) | {"valid_from", "valid_to", "is_current"}
     dim_cols = list(dim_cols) if dim_cols is not None else [c for c in dim.columns if c not in drop]
     d = dim.select(*[F.col(v).alias(f"_d_{v}") for v in pairs.values()],

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.columns import batch_key_of, business_date, valid_on
-from strata.operators import access, asof, checks, gold, joins, layout, merge, scd
+from strata.operators import access, asof, checks, gold, joins, layout, merge, ordered, scd
 from strata.operators import clean as C
 from strata.plans import feeds
 from strata.session import scratch_dir
@@ -29,8 +29,9 @@ AS_OF_BATCH = "2024-01-10"     # dimension as it stood after this batch
 CHANGE_BATCH = "2024-01-20"    # batch whose changes are detected / applied
 UPSERT_SPLIT = "2024-01-15"    # type 1 state up to here, then upsert the rest
 STALE_DAY = "2024-01-15"       # broken copy: is_current frozen on this day
-JOIN_SEGMENT = "BUILDING"      # dimension side of the join demonstrations
-JOIN_BEFORE = "1996-01-01"     # fact side: orders placed before this day
+LATE_BATCH = "2024-01-12"      # arrives after all others
+FOLDED_BATCH = "2024-01-20"    # the state was folded here before the late batch came
+REFRESH_YEAR = 1996            # year of the fact that is refreshed
 ANALYST = "data_analysts"
 
 ORDER_TYPES = {"order_id": "bigint", "customer_id": "bigint", "amount": "double",
@@ -55,13 +56,10 @@ def _current_customers(spark, sf):
 
 
 def _join_sides(spark, sf):
-    dim = _current_customers(spark, sf).filter(F.col("segment") == JOIN_SEGMENT) \
-        .select("customer_id", "name", "city")
-    o = table(spark, sf, "orders")
-    fact = o.filter(F.col("o_orderdate") < F.lit(JOIN_BEFORE).cast("timestamp_ntz")) \
-        .select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
-                F.col("o_totalprice").alias("amount"))
-    return dim, fact
+    """Whole tables with unmatched rows on both sides: prospects have no orders,
+    some orders no (known) customer."""
+    dim = _current_customers(spark, sf).select("customer_id", "name", "city").unionByName(feeds.prospects(spark, sf))
+    return dim, _clean_orders(spark, sf)[0].select("order_id", "customer_id", "amount")
 
 
 def _double_loaded(spark, sf):
@@ -112,28 +110,19 @@ def scd2_events_current(spark, sf):
 
 
 def scd2_events_replay(spark, sf):
-    """The per-batch path over every batch, in order; must equal the
+    """The per-batch path over every batch, applied in one job; must equal the
     set-based history."""
-    root = scratch_dir(spark, "scd2-replay")
-    # the staging table, written once, partitioned by batch: each step of the
-    # replay reads one partition (pruned), and the write cuts the lineage
-    (feeds.staged_users(spark, sf).select("user_id", "event_type", "event_date", "batch_key")
-     .write.mode("overwrite").partitionBy("batch_key").parquet(f"{root}/staged"))
-    staged = spark.read.parquet(f"{root}/staged").withColumn("batch_key", F.col("batch_key").cast("string"))
+    staged, state = _staged_state(spark, sf, "scd2-replay")
     batches = [r[0] for r in staged.select("batch_key").distinct().orderBy("batch_key").collect()]
-    state = scd.Scd2State(spark, f"{root}/state", feeds.USER_KEYS, feeds.USER_TRACKED, feeds.USER_EFFECTIVE)
     return scd.replay(spark, staged, batches, state) \
         .select("user_id", "event_type", "valid_from", "valid_to", "is_current")
 
 
 def scd1_events_replay(spark, sf):
-    """Type 1 batch by batch (each batch upserted into the previous
-    snapshot), over every batch in order; must equal the set-based type 1."""
-    root = scratch_dir(spark, "scd1-replay")
-    (feeds.staged_users(spark, sf).select("user_id", "event_type", "event_date", "batch_key")
-     .write.mode("overwrite").partitionBy("batch_key").parquet(f"{root}/staged"))
-    staged = spark.read.parquet(f"{root}/staged").withColumn("batch_key", F.col("batch_key").cast("string"))
-    state = scd.Scd1State(spark, f"{root}/state", feeds.USER_KEYS, feeds.USER_TRACKED, feeds.USER_EFFECTIVE)
+    """Type 1 by batches (each batch's rows kept apart), over every batch; must
+    equal the set-based type 1."""
+    staged, _ = _staged_state(spark, sf, "scd1-replay")
+    state = scd.Scd1State(spark, scratch_dir(spark, "scd1-state"), feeds.USER_KEYS, feeds.USER_TRACKED, feeds.USER_EFFECTIVE)
     scd.catch_up(spark, staged, state)
     return state.snapshot_at(scd.applied_batches(state)[-1])
 
@@ -275,19 +264,19 @@ def customer_top10(spark, sf):
 
 
 def join_inner(spark, sf):
-    """Customers of JOIN_SEGMENT with their orders before JOIN_BEFORE."""
+    """Customers with their orders."""
     dim, fact = _join_sides(spark, sf)
     return joins.inner(dim, fact, "customer_id")
 
 
 def join_left(spark, sf):
-    """Every customer of the segment, with orders if any."""
+    """Every customer and prospect, with orders if any."""
     dim, fact = _join_sides(spark, sf)
     return joins.left_outer(dim, fact, "customer_id")
 
 
 def join_right(spark, sf):
-    """Every order before JOIN_BEFORE, with its customer if in the segment."""
+    """Every order, with its customer if known."""
     dim, fact = _join_sides(spark, sf)
     return joins.right_outer(dim, fact, "customer_id")
 
@@ -299,13 +288,13 @@ def join_outer(spark, sf):
 
 
 def join_anti(spark, sf):
-    """Customers of the segment without orders."""
+    """Customers and prospects without orders."""
     dim, fact = _join_sides(spark, sf)
     return joins.anti(dim, fact, "customer_id")
 
 
 def join_semi(spark, sf):
-    """Customers of the segment with orders (customer columns only)."""
+    """Customers with orders (customer columns only)."""
     dim, fact = _join_sides(spark, sf)
     return joins.semi(dim, fact, "customer_id")
 
@@ -511,6 +500,162 @@ def compact_orders(spark, sf):
                        F.to_date("o_orderdate").alias("order_date"), "o_orderpriority")
 
 
+# --- per-batch state ---------------------------------------------------------
+
+def _staged_state(spark, sf, name):
+    root = scratch_dir(spark, name)
+    rows = feeds.staged_users(spark, sf).select("user_id", "event_type", "event_date", "batch_key")
+    layout.write_partitioned(rows, f"{root}/staged", ["batch_key"], gather=True)
+    staged = spark.read.schema(rows.schema).parquet(f"{root}/staged")
+    return staged, scd.Scd2State(spark, f"{root}/state", feeds.USER_KEYS, feeds.USER_TRACKED, feeds.USER_EFFECTIVE)
+
+
+def scd2_late_batch(spark, sf):
+    """Every batch but one, folded into a base, then the late one: the history
+    equals the rebuild (D-9)."""
+    staged, state = _staged_state(spark, sf, "scd2-late")
+    scd.catch_up(spark, staged.filter(F.col("batch_key") != LATE_BATCH), state)
+    state.consolidate(FOLDED_BATCH)
+    scd.catch_up(spark, staged, state)
+    return state.history_at(state.applied()[-1]).select("user_id", "event_type", "valid_from", "valid_to", "is_current")
+
+
+def scd2_batch_log(spark, sf):
+    """What each applied batch did; the last one re-sends every user's state and
+    changes nothing (D-7)."""
+    staged, state = _staged_state(spark, sf, "scd2-log")
+    scd.catch_up(spark, staged, state)
+    last = state.applied()[-1]
+    again = state.open_at(last).select("user_id", "event_type", F.col("valid_from").alias("event_date"))
+    state.apply("9999-12-31", again, last)
+    return state.log().select("batch_key", "closed", "opened", "current")
+
+
+def state_replayed_at_batch(spark, sf):
+    """The per-batch state read as it stood after AS_OF_BATCH, with later batches applied."""
+    staged, state = _staged_state(spark, sf, "scd2-asof")
+    scd.catch_up(spark, staged, state)
+    return state.history_at(AS_OF_BATCH).select("user_id", "event_type", "valid_from", "valid_to", "is_current")
+
+
+# --- cleaning of the other sources --------------------------------------------
+
+def _with_reasons(good, bad, cols):
+    """Accepted rows and rejected ones (raw id and batch) in one table."""
+    none = {c: F.lit(None).cast(t) for c, t in good.dtypes if c in cols and c not in bad.columns}
+    return good.select(*[F.col(c).cast("string").alias(c) if c in bad.columns else F.col(c) for c in cols],
+                       F.lit(None).cast("string").alias("reject_reason")) \
+        .unionByName(bad.withColumns(none).select(*cols, "reject_reason"))
+
+
+def clean_customers(spark, sf):
+    """Cleaned and rejected customers (missing names and keys, impossible dates, re-sent rows)."""
+    from strata.plans.flow import stage_customers
+    return _with_reasons(*stage_customers(feeds.customers_raw(spark, sf)), ["customer_id", "name", "city", "event_date", "batch_key"])
+
+
+def clean_products(spark, sf):
+    """Cleaned and rejected products (amounts out of range, month 13, missing keys)."""
+    from strata.plans.flow import stage_products
+    return _with_reasons(*stage_products(feeds.products_raw(spark, sf)),
+                         ["product_id", "product_name", "price", "launch_date", "batch_key", "business_date"])
+
+
+# --- more ingestion -----------------------------------------------------------
+
+def ingest_rescued(spark, sf):
+    """Customers in two drops; the second has keys the store doesn't know, one of
+    them named like an envelope column. Nothing is lost."""
+    c = table(spark, sf, "customer")
+    root = scratch_dir(spark, "ingest-rescued")
+    spec = B.SourceSpec("customers", "json", f"{root}/landing zone")
+    args = (f"{root}/bronze", f"{root}/_checkpoint", f"{root}/_schema")
+    early = F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING")
+    land(c.filter(early).select("c_custkey", "c_name", F.lit("1995-01").alias("batch_key")), spec.path, "json")
+    B.ingest(spark, spec, *args)
+    extra = F.struct(F.col("c_nationkey").alias("n"), F.col("c_mktsegment").alias("s"))
+    land(c.filter(~early).select("c_custkey", "c_name", F.col("c_acctbal").cast("string").alias("epoch"),
+                                 F.lit("file").alias("_source_file"), extra.alias("extra"), F.lit("1995-02").alias("batch_key")),
+         spec.path, "json")
+    B.ingest(spark, spec, *args)
+    b = B.read_bronze(spark, args[0], args[2])
+    return b.select(F.col("c_custkey").try_cast("bigint").alias("c_custkey"), "c_name", F.col("epoch").try_cast("double").alias("epoch"),
+                    F.col("source__source_file").alias("their_source_file"),
+                    F.get_json_object("extra", "$.s").alias("segment"), "batch_key")
+
+
+def ingest_csv_ragged(spark, sf):
+    """Parts as CSV lines of which some have a value too many or too few: those
+    keep their text, the others their columns."""
+    p = table(spark, sf, "part")
+    root = scratch_dir(spark, "ingest-ragged")
+    size = F.col("p_size")
+    line = F.when(size > 40, F.concat_ws(",", "p_partkey", "p_brand", "p_size", F.lit("more"))) \
+        .when(size < 5, F.concat_ws(",", "p_partkey", "p_brand")).otherwise(F.concat_ws(",", "p_partkey", "p_brand", "p_size"))
+    # one column whose name is the header and whose separator never occurs: lines as they are
+    (p.select(line.alias("p_partkey,p_brand,p_size"), F.lit("1995-01").alias("batch_key")).write.partitionBy("batch_key")
+     .option("header", "true").option("sep", "\u0001").csv(f"{root}/landing"))
+    B.ingest(spark, B.SourceSpec("parts", "csv", f"{root}/landing"), f"{root}/bronze", f"{root}/_checkpoint", f"{root}/_schema")
+    b = B.read_bronze(spark, f"{root}/bronze", f"{root}/_schema")
+    return b.select(F.col("p_partkey").try_cast("bigint").alias("p_partkey"), "p_brand", F.col("p_size").try_cast("int").alias("p_size"),
+                    F.col("_corrupt_record").alias("broken_line"))
+
+
+def ingest_files(spark, sf):
+    """Rows per source file (Q-5, S-10, H-6): the file's directory and kind, as
+    the writer's part numbers aren't fixed."""
+    _, b = _ingest(spark, "orders", "parquet", _orders_landing(spark, sf))
+    per_file = checks.lineage(b, by_basename=False)
+    parts = F.regexp_extract("source_file", r"/(batch_key=[^/]+)/part-[^/]*?(\.[a-z]+)*$", 1)
+    return per_file.filter(F.col("ingested_at").isNotNull()).groupBy(parts.alias("directory")).agg(F.sum("rows_ingested").alias("rows_ingested"))
+
+
+# --- ordered reads, views, layout ---------------------------------------------
+
+def history_sorted(spark, sf):
+    """Full history in (user, start) order with each row's position (H-2, O-1)."""
+    return ordered.with_positions(feeds.user_history(spark, sf), [F.col("user_id"), F.col("valid_from")])
+
+
+def sales_sorted(spark, sf):
+    """Category sales by amount, largest first, with each row's position (H-7, O-2)."""
+    return ordered.with_positions(sales_by_category(spark, sf), [F.col("total_amount").desc(), F.col("category")])
+
+
+def orders_limit(spark, sf):
+    """The 25 largest orders: sort and limit, a top-k without a full sort (O-3)."""
+    return (feeds.fact_orders(spark, sf).orderBy(F.col("amount").desc(), F.col("order_id")).limit(25))
+
+
+def sql_functions(spark, sf):
+    """The mask and row filter as SQL functions over a named view (G-1, S-17)."""
+    access.register_sql_functions(spark)
+    feeds.customer_dim(spark, sf).createOrReplaceTempView("strata_customers")
+    return spark.sql("""SELECT customer_id, mask_pii_name(name, :role) AS name, city FROM strata_customers
+                        WHERE filter_current_only(is_current, :role)""", args={"role": ANALYST})
+
+
+def fact_refreshed(spark, sf):
+    """A dynamic overwrite replaces only the partitions it brings (S-14)."""
+    good, _ = _clean_orders(spark, sf)
+    path = scratch_dir(spark, "fact-refreshed")
+    layout.write_partitioned(good, path, ["year", "month"], gather=True)
+    again = good.filter(F.col("year") == REFRESH_YEAR).withColumn("amount", F.col("amount") + 1)
+    layout.write_partitioned(again, path, ["year", "month"], dynamic=True, gather=True)
+    return spark.read.schema(good.schema).parquet(path).select(*good.columns)
+
+
+def compact_partitioned(spark, sf):
+    """A table of many small files per partition, compacted and clustered within its partitions."""
+    o = table(spark, sf, "orders")
+    root = scratch_dir(spark, "compact-partitioned")
+    o.write.partitionBy("o_orderstatus").parquet(f"{root}/raw")
+    layout.compact(spark.read.parquet(f"{root}/raw"), f"{root}/packed", by=["o_orderpriority", "o_custkey"], partition_by=["o_orderstatus"])
+    back = spark.read.parquet(f"{root}/packed")
+    return back.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                       F.to_date("o_orderdate").alias("order_date"), "o_orderpriority")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pit_revenue_by_type": pit_revenue_by_type,
     "scd2_events_history": scd2_events_history,
@@ -559,4 +704,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "masked_customers": masked_customers,
     "row_filtered_history": row_filtered_history,
     "compact_orders": compact_orders,
+    "scd2_late_batch": scd2_late_batch,
+    "scd2_batch_log": scd2_batch_log,
+    "state_replayed_at_batch": state_replayed_at_batch,
+    "clean_customers": clean_customers,
+    "clean_products": clean_products,
+    "ingest_rescued": ingest_rescued,
+    "ingest_csv_ragged": ingest_csv_ragged,
+    "ingest_files": ingest_files,
+    "history_sorted": history_sorted,
+    "sales_sorted": sales_sorted,
+    "orders_limit": orders_limit,
+    "sql_functions": sql_functions,
+    "fact_refreshed": fact_refreshed,
+    "compact_partitioned": compact_partitioned,
 }

@@ -39,8 +39,12 @@ RESTORE_SIZE = 40
 #   status P, priority 4-NOT SPECIFIED: customer_id missing
 #   status P, priority 5-LOW:           amount negative
 #   status F, priority 5-LOW:           re-sent in the next month's batch with amount + 1
-# The customer dimension has one batch: 1995-01, effective 1995-01-01.
-CUSTOMER_BATCH, CUSTOMER_EFFECTIVE = "1995-01", "1995-01-01"
+# The customer dimension has two batches, each effective on the first of its
+# month: 1995-01, and 1997-06, in which customers of MOVING_SEGMENT move to the
+# nation with the next key (of 25).
+CUSTOMER_BATCHES = ("1995-01", "1997-06")
+CUSTOMER_BATCH = CUSTOMER_BATCHES[0]
+MOVING_SEGMENT, NATIONS = "MACHINERY", 25
 AS_OF = "2002-01-01"
 
 
@@ -91,11 +95,15 @@ def part_history(spark: SparkSession, sf: str, **kw) -> DataFrame:
 def customer_feed(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "customer")
     n = table(spark, sf, "nation")  # small: Spark broadcasts it by its size
-    return (c.join(n, c["c_nationkey"] == n["n_nationkey"])
+    moved = F.when(F.col("c_mktsegment") == MOVING_SEGMENT, (F.col("c_nationkey") + 1) % NATIONS).otherwise(F.col("c_nationkey"))
+    homes = F.explode(F.array(
+        F.struct(F.lit(CUSTOMER_BATCHES[0]).alias("batch_key"), F.col("c_nationkey").cast("int").alias("home")),
+        F.struct(F.lit(CUSTOMER_BATCHES[1]).alias("batch_key"), moved.cast("int").alias("home"))))
+    rows = c.select("c_custkey", "c_name", "c_mktsegment", homes.alias("b"))  # one scan, two batches
+    return (rows.join(n, F.col("b.home") == n["n_nationkey"])
             .select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name"),
-                    F.col("n_name").alias("city"), F.col("c_mktsegment").alias("segment"),
-                    F.lit(CUSTOMER_BATCH).alias("batch_key"),
-                    F.to_date(F.lit(CUSTOMER_EFFECTIVE)).alias("event_date")))
+                    F.col("n_name").alias("city"), F.col("c_mktsegment").alias("segment"), "b.batch_key",
+                    business_date(F.col("b.batch_key")).alias("event_date")))
 
 
 def customer_dim(spark: SparkSession, sf: str) -> DataFrame:
@@ -129,6 +137,46 @@ def orders_raw(spark: SparkSession, sf: str) -> DataFrame:
     return o.select(F.explode(rows).alias("r")).select("r.*")
 
 
+def prospects(spark: SparkSession, sf: str) -> DataFrame:
+    """Suppliers as customers that have not ordered yet, under negative ids."""
+    s, n = table(spark, sf, "supplier"), table(spark, sf, "nation")
+    return s.join(n, s["s_nationkey"] == n["n_nationkey"]).select(
+        (-1 - F.col("s_suppkey")).cast("long").alias("customer_id"), F.col("s_name").alias("name"), F.col("n_name").alias("city"))
+
+
+# Fixed values of the raw customer and product feeds' dirty rows:
+#   customers: MACHINERY has no name; HOUSEHOLD has day 31 in February as its
+#     event date; FURNITURE has no batch key; BUILDING is sent twice, the later
+#     row in city "MOVED"
+#   products (by size): 1 price "Infinity", 2 price "1e20", 3 price "-1", 4 no
+#     price, 5 batch key 2026-13, 6 no batch key, 7 no product id, 8 launch date
+#     that is none
+def customers_raw(spark: SparkSession, sf: str) -> DataFrame:
+    """All-string customer feed with dirty and re-sent rows (one scan)."""
+    seg = F.col("c_mktsegment")
+
+    def row(city, day):
+        return F.struct(F.concat(F.lit("0"), F.col("c_custkey").cast("string")).alias("customer_id"),
+                        F.when(seg != "MACHINERY", F.col("c_name")).alias("name"), city.alias("city"),
+                        F.when(seg == "HOUSEHOLD", F.lit("1995-02-31")).otherwise(F.lit(day)).alias("event_date"),
+                        F.when(seg != "FURNITURE", F.lit("1995-02")).alias("batch_key"))
+
+    home = F.concat(F.lit("nation "), F.col("c_nationkey").cast("string"))
+    sent = F.filter(F.array(row(home, "1995-02-01"), F.when(seg == "BUILDING", row(F.lit("MOVED"), "1995-02-02"))), lambda r: r.isNotNull())
+    return table(spark, sf, "customer").select(F.explode(sent).alias("r")).select("r.*")
+
+
+def products_raw(spark: SparkSession, sf: str) -> DataFrame:
+    """All-string product feed with dirty rows."""
+    size, key = F.col("p_size"), F.col("p_partkey").cast("string")
+    price = (F.when(size == 1, "Infinity").when(size == 2, "1e20").when(size == 3, "-1").when(size == 4, F.lit(None))
+             .otherwise(F.col("p_retailprice").cast("string")))
+    batch = F.when(size == 5, "2026-13").when(size == 6, F.lit(None)).otherwise(F.lit("2026-01"))
+    return table(spark, sf, "part").select(
+        F.when(size != 7, key).alias("product_id"), F.col("p_name").alias("product_name"), F.col("p_type").alias("category"),
+        price.alias("price"), F.when(size == 8, "soon").otherwise("2026-01-01").alias("launch_date"), batch.alias("batch_key"))
+
+
 def fact_orders(spark: SparkSession, sf: str) -> DataFrame:
     """The typed order fact: (order_id, customer_id, amount)."""
     return table(spark, sf, "orders").select(F.col("o_orderkey").alias("order_id"),

@@ -66,8 +66,14 @@ PART_HISTORY = """part_history AS (
 
 CUSTOMER_DIM = f"""customer_dim AS (
   SELECT c_custkey AS customer_id, c_name AS name, n_name AS city, c_mktsegment AS segment,
-         DATE '{FD.CUSTOMER_EFFECTIVE}' AS valid_from, CAST(NULL AS DATE) AS valid_to, true AS is_current
-  FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
+         DATE '{FD.CUSTOMER_BATCHES[0]}-01' AS valid_from,
+         CASE WHEN c_mktsegment = '{FD.MOVING_SEGMENT}' THEN DATE '{FD.CUSTOMER_BATCHES[1]}-01' END AS valid_to,
+         c_mktsegment <> '{FD.MOVING_SEGMENT}' AS is_current
+  FROM customer JOIN nation ON c_nationkey = n_nationkey
+  UNION ALL
+  SELECT c_custkey, c_name, n_name, c_mktsegment, DATE '{FD.CUSTOMER_BATCHES[1]}-01', NULL, true
+  FROM customer JOIN nation ON (c_nationkey + 1) % {FD.NATIONS} = n_nationkey
+  WHERE c_mktsegment = '{FD.MOVING_SEGMENT}')"""
 
 ORDERS_RAW = """orders_raw AS (
   SELECT CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN 'ord-' || CAST(o_orderkey AS VARCHAR)
@@ -102,11 +108,11 @@ rejects_orders AS (
   FROM orders_typed WHERE order_id IS NULL OR NOT (amount > 0))"""
 
 SALES_BY_CITY = f"""sales_by_city AS (
-  SELECT n_name AS city, count(o_orderkey) AS total_orders,
+  SELECT city, count(o_orderkey) AS total_orders,
          CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_amount,
          DATE '{FD.AS_OF}' AS update_date
-  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-  GROUP BY n_name)"""
+  FROM orders JOIN customer_dim ON o_custkey = customer_id AND is_current
+  GROUP BY city)"""
 
 SALES_BY_CATEGORY = f"""sales_by_category AS (
   SELECT p_type AS category, count(l_orderkey) AS total_orders,
@@ -118,10 +124,9 @@ SALES_BY_CATEGORY = f"""sales_by_category AS (
 
 def ranking(n: int, name: str = "ranking") -> str:
     return f"""{name}_spend AS (
-  SELECT c_custkey AS customer_id, c_name AS name, n_name AS city,
-         CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_amount
-  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-  GROUP BY c_custkey, c_name, n_name),
+  SELECT customer_id, name, city, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_amount
+  FROM orders JOIN customer_dim ON o_custkey = customer_id AND is_current
+  GROUP BY customer_id, name, city),
 {name} AS (
   SELECT * FROM (
     SELECT *, CAST(row_number() OVER (ORDER BY total_amount DESC, customer_id ASC) AS INTEGER) AS ranking
@@ -129,12 +134,13 @@ def ranking(n: int, name: str = "ranking") -> str:
   WHERE ranking <= {n})"""
 
 
-JOIN_SIDES = f"""dim AS (
-  SELECT c_custkey AS customer_id, c_name AS name, n_name AS city
-  FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_mktsegment = '{Q.JOIN_SEGMENT}'),
-fact AS (
-  SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_totalprice AS amount
-  FROM orders WHERE o_orderdate < TIMESTAMP '{Q.JOIN_BEFORE}')"""
+JOIN_SIDES = f"""{CUSTOMER_DIM},
+{ORDERS_RAW},
+dim AS (
+  SELECT customer_id, name, city FROM customer_dim WHERE is_current
+  UNION ALL
+  SELECT -1 - s_suppkey, s_name, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+fact AS (SELECT order_id, customer_id, amount FROM clean_orders)"""
 
 USERS = f"{USER_FEED},\n{STAGED}"
 
@@ -148,16 +154,12 @@ BROKEN_DOUBLE = (user_history("h_full") + ",\n" + user_history("h_early", f"WHER
 double_loaded AS (SELECT * FROM h_full UNION ALL SELECT * FROM h_early)""")
 
 ORACLE: dict[str, str] = {
-    "pit_revenue_by_type": w(PART_FEED, PART_HISTORY, """per_day AS (
-  SELECT l_partkey AS product_id, CAST(o_orderdate AS DATE) AS order_date, count(*) AS lines,
-         SUM(l_quantity) AS quantity
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  GROUP BY l_partkey, CAST(o_orderdate AS DATE))""") + """
-SELECT h.category, SUM(lines) AS lines, SUM(quantity) AS quantity,
-       CAST(SUM(CAST(quantity AS DECIMAL(18,2)) * CAST(price AS DECIMAL(12,2))) AS DOUBLE) AS revenue
-FROM per_day d JOIN part_history h
-  ON h.product_id = d.product_id AND h.valid_from <= d.order_date
- AND (h.valid_to IS NULL OR h.valid_to > d.order_date)
+    "pit_revenue_by_type": w(PART_FEED, PART_HISTORY) + """
+SELECT h.category, count(*) AS lines, SUM(l_quantity) AS quantity,
+       CAST(SUM(CAST(l_quantity AS DECIMAL(18,2)) * CAST(h.price AS DECIMAL(12,2))) AS DOUBLE) AS revenue
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part_history h
+  ON h.product_id = l_partkey AND h.valid_from <= CAST(o_orderdate AS DATE)
+ AND (h.valid_to IS NULL OR h.valid_to > CAST(o_orderdate AS DATE))
 GROUP BY h.category""",
     "scd2_events_history": w(USERS, user_history()) + "SELECT * FROM user_history",
     "scd2_events_current": w(USERS, user_history()) + "SELECT * FROM user_history WHERE is_current",
@@ -203,10 +205,10 @@ FROM keys WHERE batch_key <> ''""",
     "clean_orders": w(ORDERS_RAW) + "SELECT * FROM clean_orders",
     "clean_orders_rejects": w(ORDERS_RAW) + "SELECT * FROM rejects_orders",
     "fact_partitioned": w(ORDERS_RAW) + "SELECT * FROM clean_orders",
-    "sales_by_city": w(SALES_BY_CITY) + "SELECT * FROM sales_by_city",
+    "sales_by_city": w(CUSTOMER_DIM, SALES_BY_CITY) + "SELECT * FROM sales_by_city",
     "sales_by_category": w(SALES_BY_CATEGORY) + "SELECT * FROM sales_by_category",
-    "customer_ranking": w(ranking(100)) + "SELECT * FROM ranking",
-    "customer_top10": w(ranking(10)) + "SELECT * FROM ranking",
+    "customer_ranking": w(CUSTOMER_DIM, ranking(100)) + "SELECT * FROM ranking",
+    "customer_top10": w(CUSTOMER_DIM, ranking(10)) + "SELECT * FROM ranking",
     "join_inner": w(JOIN_SIDES) + """SELECT d.customer_id, d.name, d.city, f.order_id, f.amount
 FROM dim d JOIN fact f ON d.customer_id = f.customer_id""",
     "join_left": w(JOIN_SIDES) + """SELECT d.customer_id, d.name, d.city, f.order_id, f.amount
@@ -296,8 +298,59 @@ FROM customer""",
     "ingest_lineage": """SELECT strftime(o_orderdate, '%Y-%m') AS batch_key, count(*) AS rows_ingested,
        min(CAST(o_orderdate AS DATE)) AS first_order_date
 FROM orders GROUP BY 1""",
-    "masked_customers": w(CUSTOMER_DIM) + "SELECT customer_id, 'XXXX' AS name, city FROM customer_dim",
+    "masked_customers": w(CUSTOMER_DIM) + "SELECT customer_id, 'XXXX' AS name, city FROM customer_dim WHERE is_current",
     "row_filtered_history": w(USERS, user_history()) + "SELECT * FROM user_history WHERE is_current",
     "compact_orders": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS order_date,
        o_orderpriority FROM orders""",
+    "scd2_late_batch": w(USERS, user_history()) + "SELECT * FROM user_history",
+    "state_replayed_at_batch": w(USERS, user_history(where=f"WHERE batch_key <= '{Q.AS_OF_BATCH}'")) + "SELECT * FROM user_history",
+    "scd2_batch_log": w(USERS, USER_FLAGS.format(where="")) + """, per AS (SELECT batch_key,
+    count(*) FILTER (WHERE rn > 1 AND event_type IS DISTINCT FROM prev) AS closed,
+    count(*) FILTER (WHERE rn = 1 OR event_type IS DISTINCT FROM prev) AS opened FROM user_flags GROUP BY batch_key)
+SELECT batch_key, closed, opened, CAST(SUM(opened - closed) OVER (ORDER BY batch_key) AS BIGINT) AS current FROM per
+UNION ALL SELECT '9999-12-31', 0, 0, (SELECT count(DISTINCT user_id) FROM user_feed)""",
+    "clean_customers": """WITH raw AS (
+  SELECT '0' || c_custkey AS customer_id, CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_name END AS name,
+         'nation ' || c_nationkey AS city, CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN '1995-02-31' ELSE '1995-02-01' END AS d,
+         CASE WHEN c_mktsegment <> 'FURNITURE' THEN '1995-02' END AS batch_key, c_mktsegment AS seg FROM customer),
+reasons AS (SELECT *, CASE WHEN batch_key IS NULL THEN 'batch_key is null or not parseable'
+    WHEN name IS NULL THEN 'name is null or not parseable'
+    WHEN TRY_STRPTIME(d, '%Y-%m-%d') IS NULL THEN 'event_date is null or not parseable' END AS reject_reason FROM raw)
+SELECT CASE WHEN reject_reason IS NULL THEN CAST(CAST(customer_id AS BIGINT) AS VARCHAR) ELSE customer_id END AS customer_id,
+  CASE WHEN reject_reason IS NULL THEN name END AS name,
+  CASE WHEN reject_reason IS NULL THEN CASE WHEN seg = 'BUILDING' THEN 'MOVED' ELSE city END END AS city,
+  CASE WHEN reject_reason IS NULL THEN CASE WHEN seg = 'BUILDING' THEN DATE '1995-02-02' ELSE DATE '1995-02-01' END END AS event_date,
+  batch_key, reject_reason FROM reasons""",
+    "clean_products": """WITH raw AS (
+  SELECT CASE WHEN p_size <> 7 THEN CAST(p_partkey AS VARCHAR) END AS product_id, p_name AS product_name,
+    CASE p_size WHEN 3 THEN -1.0 WHEN 4 THEN NULL ELSE p_retailprice END AS price,
+    CASE WHEN p_size <> 8 THEN DATE '2026-01-01' END AS launch_date,
+    CASE p_size WHEN 5 THEN '2026-13' WHEN 6 THEN NULL ELSE '2026-01' END AS batch_key,
+    CASE p_size WHEN 1 THEN 'price not finite or beyond 1e+15' WHEN 2 THEN 'price not finite or beyond 1e+15'
+      WHEN 3 THEN 'price not > 0' WHEN 4 THEN 'price not > 0' WHEN 5 THEN 'business_date is null or not parseable'
+      WHEN 6 THEN 'batch_key is null or not parseable' WHEN 7 THEN 'product_id is null or not parseable' END AS reject_reason FROM part)
+SELECT product_id, CASE WHEN reject_reason IS NULL THEN product_name END AS product_name,
+  CASE WHEN reject_reason IS NULL THEN price END AS price, CASE WHEN reject_reason IS NULL THEN launch_date END AS launch_date,
+  batch_key, CASE WHEN reject_reason IS NULL THEN DATE '2026-01-01' END AS business_date, reject_reason FROM raw""",
+    "ingest_rescued": """SELECT c_custkey, c_name, CASE WHEN early THEN NULL ELSE c_acctbal END AS epoch,
+  CASE WHEN early THEN NULL ELSE 'file' END AS their_source_file, CASE WHEN early THEN NULL ELSE c_mktsegment END AS segment,
+  CASE WHEN early THEN '1995-01' ELSE '1995-02' END AS batch_key
+FROM (SELECT *, c_mktsegment IN ('AUTOMOBILE', 'BUILDING') AS early FROM customer)""",
+    "ingest_csv_ragged": """SELECT CASE WHEN p_size BETWEEN 5 AND 40 THEN p_partkey END AS p_partkey,
+  CASE WHEN p_size BETWEEN 5 AND 40 THEN p_brand END AS p_brand, CASE WHEN p_size BETWEEN 5 AND 40 THEN p_size END AS p_size,
+  CASE WHEN p_size > 40 THEN p_partkey || ',' || p_brand || ',' || p_size || ',more'
+       WHEN p_size < 5 THEN p_partkey || ',' || p_brand END AS broken_line FROM part""",
+    "ingest_files": """SELECT 'batch_key=' || strftime(o_orderdate, '%Y-%m') AS directory, count(*) AS rows_ingested
+FROM orders GROUP BY 1""",
+    "history_sorted": w(USERS, user_history()) + """SELECT *, row_number() OVER (ORDER BY user_id, valid_from) AS position
+FROM user_history""",
+    "sales_sorted": w(SALES_BY_CATEGORY) + """SELECT *, row_number() OVER (ORDER BY total_amount DESC, category) AS position
+FROM sales_by_category""",
+    "orders_limit": """SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_totalprice AS amount FROM orders
+ORDER BY o_totalprice DESC, o_orderkey LIMIT 25""",
+    "sql_functions": w(CUSTOMER_DIM) + "SELECT customer_id, 'XXXX' AS name, city FROM customer_dim WHERE is_current",
+    "fact_refreshed": w(ORDERS_RAW) + f"""SELECT order_id, customer_id, CASE WHEN year = {Q.REFRESH_YEAR} THEN amount + 1 ELSE amount END AS amount,
+  order_date, year, month, batch_key FROM clean_orders""",
+    "compact_partitioned": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS order_date,
+       o_orderpriority FROM orders""",
 }
