@@ -25,7 +25,7 @@ RUN = 2
 LEAST_WORDS = 10
 #: A sentence of more words is cut where its words say so (one in eight), so that
 #: passages without full stops repeat in parts, wherever they begin.
-LONG = 24
+LONG = 12
 _CUT = 8
 #: The document of rows without an id; it comes after all others.
 NO_ID = 2**63 - 1
