@@ -4,12 +4,33 @@ any number of links is pre-aggregated and its join can be split."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import materialise
 
 
+def spanning(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
+    """Of links (a, b) inside a task only those that join what isn't joined yet."""
+    parent: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = up
+        return x
+
+    left, right = [], []
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        p, q = top(x), top(y)
+        if p != q:
+            parent[max(p, q)] = min(p, q)
+            left.append(x)
+            right.append(y)
+    return left, right
+
+
 def _stars(edges: DataFrame, larger: bool) -> DataFrame:
     """Large star: all larger neighbours of a node move to its least neighbour
     (or itself). Small star: all smaller ones and the node do."""

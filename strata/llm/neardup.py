@@ -10,12 +10,13 @@ group is large.
 
 Improved consistent weighted sampling draws for each of ``HASHES`` hash functions
 one (run, level) pair per document; two documents draw the same pair with the
-probability of their weighted Jaccard similarity. Draws are banded; documents
-share a band are compared with the band's smallest document; those that are near
-none of the anchors so far go on to the next ones, four times as many a round,
-until no one is left. A link is a
-verified weighted Jaccard similarity of ``LEAST`` or more; groups are connected
-components. Texts of equal words are one class, compared once.
+probability of their weighted Jaccard similarity. Draws are banded. Documents
+that share a band are first compared with its most central members (those that
+share bands with many), which links the bulk of a group of any size; the ones
+that stay apart from the band's largest group are compared with all of the band's
+documents, in blocks and without emitting pairs. A link is a verified weighted
+Jaccard similarity of ``LEAST`` or more; groups are connected components. Texts
+of equal words are one class, compared once.
 """
 
 from __future__ import annotations
@@ -30,14 +31,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strata.llm.common import BLANKS, materialise
-from strata.llm.components import components
+from strata.llm.components import components, spanning
 
 RUN = 5
 LEAST = 0.8
 BANDS, BAND = 12, 4
 HASHES = BANDS * BAND
-#: Times as many anchors each round.
-ANCHORS = 4
+#: Members of a band that all others are compared with first.
+ANCHORS = 2
+#: Documents and bytes of a block of queries, and of a block they are compared with.
+QUERIES, TARGETS = (512, 2 << 20), (4096, 12 << 20)
 IDF_SHARE = 0.25
 SLOTS = 1 << 20
 _PARTS = 64  # that the frequency array is summed up in
@@ -248,6 +251,114 @@ def _verified(shared, least: float):
     return run
 
 
+def _features(texts: list[bytes], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, features and weights of texts: a run that occurs c times is c
+    features, so common features weigh the lesser count. And each text's total."""
+    rows, features, weight, total = [], [], [], np.zeros(len(texts))
+    for k, text in enumerate(texts):
+        found, count = runs(text)
+        each = np.repeat(np.arange(len(found)), count)
+        nth = np.arange(len(each)) - np.repeat(np.cumsum(count) - count, count)
+        w = weights[slot(found)][each]
+        rows.append(np.full(len(each), k))
+        features.append(_mix(found[each] + nth.astype(_U) * _U(_BASE)))
+        weight.append(w)
+        total[k] = w.sum(dtype=np.float64)
+    return np.concatenate(rows), np.concatenate(features), np.concatenate(weight), total
+
+
+def similarities(left: list[bytes], right: list[bytes], weights: np.ndarray) -> np.ndarray:
+    """Weighted Jaccard similarity of each text in ``left`` with each in ``right``,
+    from the features they have in common: common ones by matrix products, rare
+    ones pair by pair."""
+    row_a, feature_a, weight_a, total_a = _features(left, weights)
+    row_b, feature_b, _, total_b = _features(right, weights)
+    known, column_a = np.unique(feature_a, return_inverse=True)
+    if not len(known) or not len(feature_b):
+        return np.zeros((len(left), len(right)))
+    column_b = np.minimum(np.searchsorted(known, feature_b), len(known) - 1)
+    there = known[column_b] == feature_b
+    row_b, column_b = row_b[there], column_b[there]
+    weight = np.zeros(len(known), np.float64)
+    weight[column_a] = weight_a
+    number_a, number_b = np.bincount(column_a, minlength=len(known)), np.bincount(column_b, minlength=len(known))
+    often = number_a * number_b > 4096
+    common = np.zeros((len(left), len(right)))
+    dense = np.flatnonzero(often)
+    place = np.full(len(known), -1)
+    for at in range(0, len(dense), 2048):
+        own = dense[at:at + 2048]
+        place[:] = -1
+        place[own] = np.arange(len(own))
+        a, b = np.zeros((len(left), len(own))), np.zeros((len(own), len(right)))
+        keep = place[column_a] >= 0
+        a[row_a[keep], place[column_a[keep]]] = weight[column_a[keep]]
+        keep = place[column_b] >= 0
+        b[place[column_b[keep]], row_b[keep]] = 1
+        common += a @ b
+    order = np.argsort(column_a, kind="stable")
+    first = np.cumsum(number_a) - number_a
+    rare = np.flatnonzero(~often[column_b])
+    for at in range(0, len(rare), 1 << 18):
+        own = rare[at:at + (1 << 18)]
+        many = number_a[column_b[own]]
+        each = np.repeat(own, many)
+        nth = np.arange(len(each)) - np.repeat(np.cumsum(many) - many, many)
+        partner = row_a[order[first[column_b[each]] + nth]]
+        common += np.bincount(partner * len(right) + row_b[each], weight[column_b[each]], common.size).reshape(common.shape)
+    return common / np.maximum(total_a[:, None] + total_b[None, :] - common, 1e-12)
+
+
+def _compared(shared, least: float):
+    """Links that join documents of a block of queries and a block of all."""
+
+    def run(left, right):
+        import pandas as pd
+
+        found: list[tuple[int, int]] = []
+        if len(left) and len(right):
+            near = similarities(left["text"].tolist(), right["text"].tolist(), shared.value) >= least
+            a, b = np.nonzero(near)
+            a, b = left["doc"].to_numpy()[a], right["doc"].to_numpy()[b]
+            found = list(zip(*spanning(a[a != b], b[a != b]), strict=True))
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+    return run
+
+
+def _rest(open_rows: DataFrame, links: DataFrame, involved: DataFrame, shared, least: float) -> DataFrame:
+    """Links of the documents that the anchors left apart: in each band those
+    outside the band's largest group so far are compared with all of the band's,
+    block by block. Only links that join something come out."""
+    grouped = components(links)
+    rows = open_rows.join(grouped, F.col("doc") == F.col("node"), "left").select(
+        "band", "value", "doc", F.coalesce("component", "doc").alias("component"))
+    rows = materialise(rows.join(involved.select("doc", F.length("text").alias("size")), "doc"), "near-rows")
+    keys = ["band", "value"]
+    largest = rows.groupBy(*keys, "component").agg(F.count("*").alias("n")).groupBy(*keys).agg(
+        F.max(F.struct("n", "component"))["component"].alias("largest"), F.count("*").alias("groups"))
+    outside = F.col("component") != F.col("largest")
+    marked = rows.join(largest.where("groups > 1").drop("groups"), keys)
+
+    def blocks(only, many: int, size: int):
+        each = F.when(only, 1)
+        return F.ceil(F.greatest(F.count(each) / many, F.sum(F.when(only, F.col("size")).otherwise(0)) / size)).cast("long")
+
+    cut = marked.groupBy(*keys).agg(blocks(outside, *QUERIES).alias("is"), blocks(F.lit(True), *TARGETS).alias("js"))
+    marked = materialise(marked.join(cut, keys).select(*keys, "doc", outside.alias("outside"), "is", "js"), "near-blocks")
+    zero, hashed = F.lit(0).cast("long"), F.xxhash64("doc")
+    queries = marked.where("outside").select(*keys, "doc", F.pmod(hashed, F.col("is")).alias("i"),
+                                             F.explode(F.sequence(zero, F.col("js") - 1)).alias("j"))
+    again = marked.select(*[F.col(c).alias(c) for c in marked.columns])
+    targets = again.select(*keys, "doc", F.pmod(hashed, F.col("js")).alias("j"),
+                           F.explode(F.sequence(zero, F.col("is") - 1)).alias("i"))
+    place = [*keys, "i", "j"]
+    left = queries.join(involved, "doc").select(*place, "doc", "text")
+    copy = involved.select(F.col("doc").alias("d"), F.col("text").alias("text"))
+    right = targets.join(copy, F.col("doc") == F.col("d")).select(*place, "doc", "text")
+    return left.groupBy(*place).cogroup(right.groupBy(*place)).applyInPandas(_compared(shared, least), "a long, b long")
+
+
 def groups(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """``doc_id``, ``class_id`` (least id of the documents with equal runs),
     ``component_id`` (least id of the group) and ``kept`` (whether it is the
@@ -269,33 +380,23 @@ def groups(docs: DataFrame, least: float = LEAST) -> DataFrame:
         "doc", F.coalesce("class_id", "doc").alias("class_id"), "bands"), "near-classes")
     banded = members.where("doc = class_id AND bands IS NOT NULL").select(
         F.posexplode("bands").alias("band", "value"), "doc")
-    shared = banded.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    open_rows = materialise(banded.join(shared, ["band", "value"]), "near-bands")
+    sizes = banded.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1")
+    rows = banded.join(sizes, ["band", "value"])
+    # documents that share bands with many stand near the middle of their group
+    central = rows.groupBy("doc").agg(F.sum("n").alias("central"))
+    open_rows = materialise(rows.join(central, "doc").select("band", "value", "doc", "central"), "near-bands")
     involved = materialise(texts.join(open_rows.select("doc").distinct(), "doc").dropDuplicates(["doc"]), "near-texts")
-    anchor_texts = involved.select(F.col("doc").alias("anchor"), F.col("text").alias("other"))
-    checked, number = None, 1
-    while True:
-        order = Window.partitionBy("band", "value").orderBy("doc")
-        anchors = (open_rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= number)
-                   .select("band", "value", F.col("doc").alias("anchor")))
-        met = materialise(open_rows.join(anchors, ["band", "value"]).where("doc >= anchor"), "near-met")
-        pairs = met.where("doc > anchor").select("doc", "anchor").distinct()
-        if checked is not None:
-            pairs = pairs.join(checked, ["doc", "anchor"], "left_anti")
-        new = (pairs.join(involved, "doc").join(anchor_texts, "anchor").select("doc", "anchor", "text", "other")
+    order = Window.partitionBy("band", "value").orderBy(F.desc("central"), "doc")
+    anchors = (open_rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= ANCHORS)
+               .select("band", "value", F.col("doc").alias("anchor")))
+    pairs = open_rows.join(anchors, ["band", "value"]).where("doc != anchor").select(
+        F.least("doc", "anchor").alias("doc"), F.greatest("doc", "anchor").alias("anchor")).distinct()
+    others = involved.select(F.col("doc").alias("anchor"), F.col("text").alias("other"))
+    checked = (pairs.join(involved, "doc").join(others, "anchor").select("doc", "anchor", "text", "other")
                .mapInArrow(_verified(weights, least), "doc long, anchor long, near boolean"))
-        new = materialise(new, "near-checked")
-        checked = new if checked is None else checked.union(new)
-        # who is no anchor and near none of the band's anchors goes on
-        done = F.max((F.col("doc") == F.col("anchor")) | F.coalesce("near", F.lit(False)))
-        far = met.join(checked, ["doc", "anchor"], "left").groupBy("band", "value", "doc").agg(done.alias("done")).where("NOT done")
-        far = materialise(far.select("band", "value", "doc"), "near-bands")
-        several = far.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-        open_rows = materialise(far.join(several, ["band", "value"]), "near-bands")
-        if open_rows.isEmpty():
-            break
-        number *= ANCHORS
-    linked = components(checked.where("near").select(F.col("doc").alias("a"), F.col("anchor").alias("b")))
+    links = materialise(checked.where("near").select(F.col("doc").alias("a"), F.col("anchor").alias("b")), "near-links")
+    links = links.union(_rest(open_rows.select("band", "value", "doc"), links, involved, weights, least))
+    linked = components(links)
     out = members.join(linked, F.col("class_id") == F.col("node"), "left").select(
         F.col("doc").alias("doc_id"), "class_id", F.coalesce("component", "class_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))

@@ -108,3 +108,34 @@ def test_edges(edges, nothing):
     assert neardup.groups(nothing).count() == 0
     assert neardup.one_of_each(edges).where("doc_id IS NULL").count() == 2
     assert neardup.one_of_each(nothing).count() == 0
+
+
+def test_block_similarities_equal_single_ones():
+    rnd = random.Random(4)
+    weights = np.random.default_rng(1).uniform(1, 1.25, neardup.SLOTS).astype(np.float32)
+    base = rnd.choices([f"w{k}" for k in range(500)], k=300)
+    texts = ["", "a b", "x " * 60, "x " * 80]
+    for _ in range(150):
+        words = [w if rnd.random() < 0.97 else f"n{rnd.randrange(10**6)}" for w in base]
+        texts.append(" ".join(words[:rnd.randrange(1, 300)] if rnd.random() < 0.2 else words))
+    data = [t.encode() for t in texts]
+    got = neardup.similarities(data[:90], data, weights)
+    want = [[neardup.similarity(a, b, weights) for b in data] for a in data[:90]]
+    assert np.allclose(got, want, atol=1e-6)
+
+
+def test_a_loose_group_of_which_no_member_is_near_all(make, monkeypatch):
+    """Members differ from each other about as much as the threshold allows;
+    what the anchors don't reach is compared in blocks."""
+    monkeypatch.setattr(neardup, "QUERIES", (7, 1 << 20))
+    monkeypatch.setattr(neardup, "TARGETS", (11, 1 << 20))
+    rnd = random.Random(6)
+    base = " ".join(rnd.choices([f"w{k}" for k in range(3000)], k=300))
+    rows = [(k, changed(base, rnd, 3 + k % 6), None, None) for k in range(60)]
+    docs = make(rows)
+    weights = neardup.idf(docs)
+    texts = {i: t.encode() for i, t, *_ in rows}
+    ids = sorted(texts)
+    near = [(a, b) for a in ids for b in ids if a < b and neardup.similarity(texts[a], texts[b], weights) >= neardup.LEAST]
+    got = {r.doc_id: r.component_id for r in neardup.groups(docs).collect()}
+    assert got == union(near, ids)
