@@ -25,6 +25,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -133,7 +134,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array([docs] * _PARTS, pa.int64())], ["part", "counts", "docs"])
 
 
-def _summed(pdf):
+def _summed(pdf: pd.DataFrame) -> pd.DataFrame:
     total = np.zeros(SLOTS // _PARTS, np.int64)
     for x in pdf["counts"]:
         total += np.frombuffer(zlib.decompress(x), np.int64)
@@ -312,9 +313,7 @@ def similarities(left: list[bytes], right: list[bytes], weights: np.ndarray) ->
 def _compared(shared, least: float):
     """Links that join documents of a block of queries and a block of all."""
 
-    def run(left, right):
-        import pandas as pd
-
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple[int, int]] = []
         if len(left) and len(right):
             near = similarities(left["text"].tolist(), right["text"].tolist(), shared.value) >= least
@@ -336,9 +335,11 @@ def _rest(open_rows: DataFrame, links: DataFrame, involved: DataFrame, shared, l
     rows = materialise(rows.join(involved.select("doc", F.length("text").alias("size")), "doc"), "near-rows")
     keys = ["band", "value"]
     largest = rows.groupBy(*keys, "component").agg(F.count("*").alias("n")).groupBy(*keys).agg(
-        F.max(F.struct("n", "component"))["component"].alias("largest"), F.count("*").alias("groups"))
+        F.max(F.struct("n", "component"))["component"].alias("largest"), F.count("*").alias("groups"), F.sum("n").alias("total"))
     outside = F.col("component") != F.col("largest")
-    marked = rows.join(largest.where("groups > 1").drop("groups"), keys)
+    # in a band of one more than the anchors every pair has been compared
+    left_over = largest.where((F.col("groups") > 1) & (F.col("total") > ANCHORS + 1)).select(*keys, "largest")
+    marked = rows.join(left_over, keys)
 
     def blocks(only, many: int, size: int):
         each = F.when(only, 1)
