@@ -51,10 +51,3 @@ def words_of(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     return F.size(words_of(text)).cast("long")
-
-
-def replace_columns(df: DataFrame, **columns: Column) -> DataFrame:
-    """Adds columns; one of the same name (in any case) gives way."""
-    taken = {k.lower() for k in columns}
-    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in taken]
-    return df.select(*kept, *[v.alias(k) for k, v in columns.items()])

@@ -27,8 +27,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from strata.llm.common import replace_columns
-
 ORDER = 3
 #: Stands before every text, so that each byte has a full context.
 START = b"\n" * ORDER
@@ -250,7 +248,3 @@ def accepted(docs: DataFrame, most_bits: float = 8.0) -> DataFrame:
     no language explains the dropped ones; same columns."""
     marked = identify(docs.select(F.struct("*").alias("whole"), "text"), learned(docs))
     return marked.where((F.col("lang_pred") != UNDETERMINED) & (F.col("bits_per_byte") < most_bits)).select("whole.*")
-
-
-__all__ = ["LanguageModel", "accepted", "build", "code_lengths", "fit", "held_out", "identify", "learned",
-           "replace_columns"]
