@@ -7,9 +7,15 @@ entity e estimates what t reveals: p(e | t) = windows of e that hold t over all
 occurrences of t, and log2(p(e | t) / p(e)) bits of information. A term discloses
 an entity if p(e | t) reaches ``LEAST_SHARE``, the information ``LEAST_BITS``,
 and at least ``LEAST_CONTEXTS`` different windows support it (copies of a
-document are one window). Such terms become spans of their own; in the
+document are one window). Such terms become spans of their own wherever they
+stand, near the entity or not and in documents without base spans too; in the
 sanitised text they are generalised to their kind, or removed where they
 determine the entity almost surely.
+
+The disclosing terms are joined back to the words of all texts. A table of
+``SLOTS`` bytes keeps words that are surely none of them out of that join, and
+tells over how many salts a frequent one is spread; it bounds what a task holds,
+and terms that share a slot cost rows, not results.
 """
 
 from __future__ import annotations
@@ -18,6 +24,8 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -33,6 +41,10 @@ LEAST_BITS = 8.0
 LEAST_CONTEXTS = 3
 #: From this share on a term is removed instead of generalised.
 SURE = 0.9
+#: Slots of the table of disclosing terms, and occurrences that one salt gets.
+SLOTS = 1 << 23
+SALT_WORDS = 100_000
+_CHUNK = 1 << 16
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -90,7 +102,7 @@ def term_of(word: str) -> str:
 
 def contexts(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
     """The terms around each span that aren't part of one: term, entity and window
-    (as hashes), and where the term stands."""
+    (as hashes)."""
     out = []
     taken = [(s, e) for s, _, e in spans]
     for start, kind, end in spans:
@@ -109,18 +121,28 @@ def contexts(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
         window = xxhash.xxh3_64_intdigest(" ".join(m.group() for m in found)) - 2**63
         for m in found:
             if term := term_of(m.group()):
-                at = m.start() + len(m.group()) - len(m.group().lstrip(_EDGES))
-                out.append({"term": term, "entity": entity, "start": at, "end": at + len(m.group().strip(_EDGES)), "around": window})
+                out.append({"term": term, "entity": entity, "around": window})
     return out
 
 
+def words_apart(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[str, int, int]]:
+    """(term, start, end) of all words outside the spans, which words end at."""
+    at = 0
+    for start, _, end in [*spans, (len(text), 0, len(text))]:
+        for m in _WORD.finditer(text, at, max(at, start)):
+            if term := term_of(m.group()):
+                first = m.start() + len(m.group()) - len(m.group().lstrip(_EDGES))
+                yield term, first, first + len(m.group().strip(_EDGES))
+        at = max(at, end)
+
+
 _SPAN = "struct<start:int,kind:int,end:int>"
-_FOUND = f"doc_id long, hash long, spans array<{_SPAN}>, terms array<struct<term:string,entity:long,start:int,end:int,around:long>>"
+_FOUND = f"doc_id long, hash long, spans array<{_SPAN}>, terms array<struct<term:string,entity:long,around:long>>"
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     span = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
-    term = pa.struct([("term", pa.string()), ("entity", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("around", pa.int64())])
+    term = pa.struct([("term", pa.string()), ("entity", pa.int64()), ("around", pa.int64())])
     for batch in batches:
         spans, terms = [], []
         for text in batch.column(2).to_pylist():
@@ -163,7 +185,8 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def disclosing(docs: DataFrame, scanned: DataFrame) -> DataFrame:
-    """(term, entity, share, bits) of the terms that give an entity away."""
+    """(term, entity, n, share, bits) of the terms that give an entity away; ``n``
+    is how often the term occurs."""
     near = scanned.select(F.explode("terms").alias("x")).select("x.term", "x.entity", "x.around")
     pairs = near.groupBy("term", "entity").agg(F.count("*").alias("both"), F.approx_count_distinct("around", 0.02).alias("windows"))
     pairs = pairs.where(F.col("windows") >= LEAST_CONTEXTS)
@@ -176,27 +199,99 @@ def disclosing(docs: DataFrame, scanned: DataFrame) -> DataFrame:
     met = pairs.join(counts.where("term != ''").withColumnRenamed("term", "t"), F.col("term") == F.col("t")).join(
         entities, F.col("entity") == F.col("e"))
     share = F.least(F.lit(1.0), F.col("both") / F.col("n"))
-    met = met.select("term", "entity", share.alias("share"), F.log2(share / (F.col("words_near") / F.lit(float(total)))).alias("bits"))
+    met = met.select("term", "entity", "n", share.alias("share"), F.log2(share / (F.col("words_near") / F.lit(float(total)))).alias("bits"))
     return met.where((F.col("share") >= LEAST_SHARE) & (F.col("bits") >= LEAST_BITS))
 
 
+def slot_of(term: str) -> int:
+    """The slot of a term; Spark's ``pmod(xxhash64(term), SLOTS)``."""
+    return xxhash.xxh64_intdigest(term.encode("utf-8", "replace"), 42) % SLOTS
+
+
+def _levels(pdf: pd.DataFrame) -> pd.DataFrame:
+    levels = np.zeros(_CHUNK, np.uint8)
+    np.maximum.at(levels, pdf["slot"].to_numpy() % _CHUNK, pdf["level"].to_numpy().astype(np.uint8))
+    return pd.DataFrame({"chunk": [pdf["slot"].iloc[0] // _CHUNK], "levels": [levels.tobytes()]})
+
+
+def _located(levels):
+    """Places of the words whose slot is taken, a row for each term of a text."""
+    row = pa.struct([("term", pa.string()), ("salt", pa.int64()), ("places", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = levels.value
+        taken: dict[bytes, bool] = {}  # of words; bounded
+        for batch in batches:
+            at, rows = [], []
+            for k, (key, text) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+                places: dict[str, list] = {}
+                spans, rest, free = base_spans(text), [], 0
+                for start, _, end in spans:
+                    rest.append(text[free:max(free, start)])
+                    free = max(free, end)
+                words = set(" ".join([*rest, text[free:]]).encode("utf-8", "replace").split())
+                if len(taken) > 200_000:
+                    taken.clear()
+                for word in words.difference(taken):
+                    term = term_of(word.decode("utf-8", "replace"))
+                    taken[word] = bool(term and table[slot_of(term)])
+                if not any(map(taken.__getitem__, words)):
+                    continue
+                for term, start, end in words_apart(text, spans):
+                    places.setdefault(term, []).append({"start": start, "end": end})
+                for term, own in places.items():
+                    if level := table[slot_of(term)]:
+                        at.append(k)
+                        rows.append({"term": term, "salt": key % (1 << (level - 1)), "places": own})
+            found = pa.array(rows, row)
+            yield pa.RecordBatch.from_arrays([c.take(pa.array(at, pa.int64())) for c in batch.columns[:2]] + found.flatten(),
+                                             ["d", "h", "term", "salt", "places"])
+
+    return run
+
+
+def _located_terms(docs: DataFrame, terms: DataFrame) -> DataFrame | None:
+    """(d, h, term, places, share) of all occurrences of ``terms`` (term, n, share);
+    None if there are no terms."""
+    # level 1 is one salt, each further level twice as many
+    level = 1 + F.ceil(F.log2(F.greatest(F.lit(1.0), F.col("n") / SALT_WORDS))).cast("int")
+    dealt = materialise(terms.select("term", "share", F.pmod(F.xxhash64("term"), F.lit(SLOTS)).alias("slot"), level.alias("level")), "pii-terms")
+    chunks = dealt.groupBy(F.floor(F.col("slot") / _CHUNK)).applyInPandas(_levels, "chunk long, levels binary").collect()
+    if not chunks:
+        return None
+    table = bytearray(SLOTS)
+    for r in chunks:
+        table[r.chunk * _CHUNK:(r.chunk + 1) * _CHUNK] = r.levels
+    spark = docs.sparkSession
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash(F.col("text")).alias("hash"), F.coalesce("text", F.lit("")).alias("text"))
+    words = rows.mapInArrow(_located(spark.sparkContext.broadcast(bytes(table))),
+                            "d long, h long, term string, salt long, places array<struct<start:int,end:int>>")
+    # terms of one slot are spread alike
+    slots = dealt.groupBy("slot").agg(F.max("level").alias("level"))
+    spread = dealt.drop("level").join(slots, "slot").select(
+        F.col("term").alias("t"), "share", F.explode(F.sequence(F.lit(0).cast("long"), F.pow(F.lit(2.0), F.col("level") - 1).cast("long") - 1)).alias("s"))
+    met = words.join(spread, (F.col("term") == F.col("t")) & (F.col("salt") == F.col("s")))
+    return met.groupBy("d", "h", "term").agg(F.first("places").alias("places"), F.first("share").alias("share"))  # copies of a row are alike
+
+
 def find(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``hash`` (of the text) and ``spans``: base and term spans with
     ``share`` (null of base spans), sorted by start, then kind; one row per row.
+    Every occurrence of a disclosing term outside base spans is a span.
 
     A null or empty text has no spans. Rows that repeat an id with another text are
     told apart by the hash. No documents give no rows.
     """
     scanned = materialise(scan(docs), "pii")
-    known = disclosing(docs, scanned).select(F.col("term").alias("t"), F.col("entity").alias("e"), "share")
-    places = scanned.where(F.size("terms") > 0).select("doc_id", "hash", F.explode("terms").alias("x"))
-    added = places.join(known, (F.col("x.term") == F.col("t")) & (F.col("x.entity") == F.col("e"))).groupBy(
-        F.col("doc_id").alias("d"), F.col("hash").alias("h"), F.col("x.start").alias("start"), F.col("x.end").alias("end")).agg(
-        F.max("share").alias("share"))
+    terms = disclosing(docs, scanned).groupBy("term").agg(F.max("n").alias("n"), F.max("share").alias("share"))
+    located = _located_terms(docs, terms)
+    base = F.transform("spans", lambda x: F.struct(x["start"], x["kind"], x["end"], F.lit(None).cast("double").alias("share")))
+    if located is None:
+        return scanned.select("doc_id", "hash", base.alias("spans"))
+    added = located.select("d", "h", "share", F.explode("places").alias("x")).select("d", "h", "x.start", "x.end", "share")
     added = added.groupBy("d", "h").agg(F.collect_list(F.struct(
         "start", F.lit(KINDS.index("term")).alias("kind"), "end", "share")).alias("added"))
     met = scanned.join(added, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("hash") == F.col("h")), "left")
-    base = F.transform("spans", lambda x: F.struct(x["start"], x["kind"], x["end"], F.lit(None).cast("double").alias("share")))
     return met.select("doc_id", "hash", F.when(F.col("added").isNull(), base).otherwise(
         F.array_sort(F.concat(base, "added"))).alias("spans"))
 

@@ -78,6 +78,30 @@ def test_terms_that_reveal_an_entity(make):
     assert pii.sanitise(docs).columns == docs.columns
 
 
+def test_terms_are_spans_wherever_they_stand(make, monkeypatch):
+    monkeypatch.setattr(pii, "SALT_WORDS", 4, raising=False)  # more than one salt
+    rnd = random.Random(9)
+
+    def noise(n):
+        return " ".join("".join(rnd.choices("abcdefghij", k=6)) for _ in range(n))
+
+    rows = [(k, f"{noise(20)} contact Zebulon at zeb.kowalski@mail.example.com the {noise(20)}", None, None) for k in range(20, 30)]
+    rows += [(k, f"{noise(20)} contact the person at p{k}@mail.example.com the {noise(20)}", None, None) for k in range(60, 90)]
+    rows += [(k, f"{noise(20)} (Zebulon) {noise(20)}", None, None) for k in range(10, 13)]  # no address at all
+    rows.append((13, f"a@b.cd,Zebulon {noise(9)} zeb.kowalski@mail.example.com", None, None))  # the tenth word from it, beside another address
+    rows += [rows[-1], (None, "Zebulon.", None, None), (None, "Zebulon.", None, None), (50, noise(150_000), None, None)]
+    docs = make(rows)
+    for r in pii.find(docs).collect():
+        text = [t for i, t, *_ in rows if i == r.doc_id][0]
+        assert [text[s.start:s.end] for s in r.spans if s.kind == 4] == ["Zebulon"] * ("Zebulon" in text)
+    assert not any("Zebulon" in r.text for r in pii.sanitise(docs).collect())
+
+
+def test_slots_are_those_of_spark(spark):
+    for term in ("zebulon", "é", "a" * 99):
+        assert spark.sql(f"SELECT pmod(xxhash64('{term}'), {pii.SLOTS})").first()[0] == pii.slot_of(term)
+
+
 def test_edges(make, edges, nothing):
     got = pii.find(edges).collect()
     assert len(got) == len(EDGES) and not any(r.spans for r in got)
