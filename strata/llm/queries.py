@@ -67,7 +67,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without sentences of repeated passages."""
-    kept = spans.drop_repeated_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = spans.drop_repeated_spans(table(spark, sf_dir, "documents").select("doc_id", "text"), grow=True)
     return kept.select("doc_id", "n_sentences", "n_removed", _sha(F.col("text")).alias("kept_sha256"))
 
 

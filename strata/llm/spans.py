@@ -1,7 +1,7 @@
 """Repeated spans of sentences.
 
-Every run of ``RUN`` consecutive sentences with at least ``LEAST_WORDS`` words is
-hashed (128 bits, white space collapsed); runs are joined over all documents; in
+Every run of ``RUN`` consecutive sentences with at least ``LEAST_WORDS`` words (of
+as many more as it takes, where sentences are short and runs may grow) is hashed (128 bits, white space collapsed); runs are joined over all documents; in
 every occurrence but the first (by document id, then position) the sentences of
 the run are removed. A passage that several documents share loses all the
 sentences that lie wholly in it, everywhere but in its first place.
@@ -56,47 +56,59 @@ def sentences(text: bytes) -> list[tuple[int, int, list[bytes]]]:
     return out
 
 
-def _runs(found: list[tuple[int, int, list[bytes]]], run: int, least: int) -> list[bytes | None]:
-    """The hash of the run that begins at each sentence; None of one with too few words."""
+def _runs(found: list[tuple[int, int, list[bytes]]], run: int, least: int, grow: bool) -> dict[tuple[int, int], bytes]:
+    """(first sentence, number of sentences) of the runs, and their hashes.
+
+    Runs have ``run`` sentences and ``least`` words. With ``grow``, a run of fewer
+    words grows forward from each sentence, and backward to each one, until it has
+    as many; so every stretch with as many is covered by runs inside it."""
+    size = np.concatenate([[0], np.cumsum([len(w) for _, _, w in found], dtype=np.int64)])
+    at = np.arange(len(found))
     own = [xxhash.xxh3_128_digest(b" ".join(w)) for _, _, w in found]
-    size = [len(w) for _, _, w in found]
-    return [xxhash.xxh3_128_digest(b"".join(own[k:k + run])) if sum(size[k:k + run]) >= least else None
-            for k in range(len(own) - run + 1)]
+    if not grow:
+        whole = np.flatnonzero(size[run:] - size[:-run] >= least).tolist() if len(found) >= run else []
+        return {(k, run): xxhash.xxh3_128_digest(b"".join(own[k:k + run])) for k in whole}
+    end = np.maximum(at + run, np.searchsorted(size, size[:-1] + least))
+    start = np.minimum(at + 1 - run, np.searchsorted(size, size[1:] - least, "right") - 1)
+    spans = {(k, e - k) for k, e in zip(at.tolist(), end.tolist(), strict=True) if e <= len(found)}
+    spans.update((s, k + 1 - s) for k, s in zip(at.tolist(), start.tolist(), strict=True) if s >= 0)
+    return {(k, n): xxhash.xxh3_128_digest(b"".join(own[k:k + n])) for k, n in sorted(spans)}
 
 
-def _hashed(run: int, least: int):
+def _hashed(run: int, least: int, grow: bool):
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, at, many = [], [], []
+            keys, at, size, many = [], [], [], []
             for text in batch.column(1).to_pylist():
-                made = [(h, k) for k, h in enumerate(_runs(sentences(text), run, least)) if h]
-                keys.extend(h for h, _ in made)
-                at.extend(k for _, k in made)
+                made = _runs(sentences(text), run, least, grow)
+                keys.extend(made.values())
+                at.extend(k for k, _ in made)
+                size.extend(n for _, n in made)
                 many.append(len(made))
             both = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(np.repeat(np.arange(len(many)), many))), pa.array(at, pa.int32()),
+                [batch.column(0).take(pa.array(np.repeat(np.arange(len(many)), many))), pa.array(at, pa.int32()), pa.array(size, pa.int32()),
                  pa.array(np.ascontiguousarray(both[:, 0])), pa.array(np.ascontiguousarray(both[:, 1]))],
-                ["doc", "at", "high", "low"])
+                ["doc", "at", "size", "high", "low"])
 
     return go
 
 
-def repeated_runs(docs: DataFrame, run: int = RUN, least: int = LEAST_WORDS) -> DataFrame:
-    """(doc, at, low): the runs that aren't the first of their kind; ``at`` is the
-    number of the run's first sentence."""
+def repeated_runs(docs: DataFrame, run: int = RUN, least: int = LEAST_WORDS, grow: bool = False) -> DataFrame:
+    """(doc, at, size, low): the runs that aren't the first of their kind; ``at`` is
+    the number of the run's first sentence, ``size`` how many it has."""
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
                         F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    runs = materialise(texts.mapInArrow(_hashed(run, least), "doc long, at int, high long, low long"), "runs")
+    runs = materialise(texts.mapInArrow(_hashed(run, least, grow), "doc long, at int, size int, high long, low long"), "runs")
     first = runs.groupBy("high", "low").agg(F.count("*").alias("n"), F.min(F.struct("doc", "at")).alias("first"))
     first = first.where("n > 1").select("high", "low", F.col("first.doc").alias("first_doc"), F.col("first.at").alias("first_at"))
-    return runs.join(first, ["high", "low"]).where("doc != first_doc OR at != first_at").select("doc", "at", "low")
+    return runs.join(first, ["high", "low"]).where("doc != first_doc OR at != first_at").select("doc", "at", "size", "low")
 
 
 _MADE = "text binary, n_sentences int, n_removed int, spans array<struct<start:int,end:int>>"
 
 
-def _without(run: int, least: int):
+def _without(run: int, least: int, grow: bool):
     def go(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, repeated in batches:
             out = []
@@ -104,10 +116,10 @@ def _without(run: int, least: int):
                 found = sentences(text) if text else []
                 gone: set[int] = set()
                 if runs:
-                    own = _runs(found, run, least)
+                    own = _runs(found, run, least, grow)
                     for x in runs:  # rows that share an id may differ in text
-                        if x["at"] < len(own) and own[x["at"]] and own[x["at"]][8:] == x["low"].to_bytes(8, "little", signed=True):
-                            gone.update(range(x["at"], x["at"] + run))
+                        if own.get((x["at"], x["size"]), b"")[8:] == x["low"].to_bytes(8, "little", signed=True):
+                            gone.update(range(x["at"], x["at"] + x["size"]))
                 spans = [{"start": found[k][0], "end": found[k][1]} for k in sorted(gone)]
                 kept, at = [], 0
                 for s in spans:
@@ -121,18 +133,20 @@ def _without(run: int, least: int):
     return F.arrow_udf(go, _MADE)
 
 
-def drop_repeated_spans(docs: DataFrame, run: int = RUN, least: int = LEAST_WORDS) -> DataFrame:
+def drop_repeated_spans(docs: DataFrame, run: int = RUN, least: int = LEAST_WORDS, grow: bool = False) -> DataFrame:
     """``docs`` without the sentences of repeated runs, plus ``n_sentences``,
     ``n_removed`` and ``removed`` (byte spans of the old text).
 
+    Without ``grow``, runs are of ``run`` sentences and short ones have none; with
+    it, runs of short sentences grow until they have ``least`` words.
     A null text stays null and an empty one empty. Rows of one id are one
     document; rows without an id together are one that comes last. Columns named
     like the new ones give way; an empty table stays empty.
     """
-    gone = repeated_runs(docs, run, least).groupBy("doc").agg(F.collect_set(F.struct("at", "low")).alias("runs"))
+    gone = repeated_runs(docs, run, least, grow).groupBy("doc").agg(F.collect_set(F.struct("at", "size", "low")).alias("runs"))
     rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"))
     met = rows.join(gone, F.col("id") == F.col("doc"), "left")
-    made = met.select("row", _without(run, least)(F.col("row.text").cast("binary"), F.col("runs")).alias("made"))
+    made = met.select("row", _without(run, least, grow)(F.col("row.text").cast("binary"), F.col("runs")).alias("made"))
     taken = {"n_sentences", "n_removed", "removed"}
     return made.select(
         *[(F.col("made.text").cast("string").alias(c) if c == "text" else F.col(f"row.`{c}`"))

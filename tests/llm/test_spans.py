@@ -4,6 +4,7 @@ import random
 
 from llm_rows import EDGES
 from strata.llm import spans
+from strata.llm.queries import op5_substring_dedup
 
 
 def brute(rows):
@@ -62,6 +63,19 @@ def test_passages_go_except_the_first(make):
     check(make, rows)
 
 
+def test_passages_of_short_sentences_go(make, spark, workdir):
+    rnd = random.Random(5)
+
+    def lines(n, words):
+        return "\n".join(" ".join("".join(rnd.choices("abcdeé", k=6)) for _ in range(words)) for _ in range(n))
+
+    passages = [lines(15, 4), lines(60, 1), f"{lines(1, 12)}\n{lines(2, 2)}"]  # verse, a table, a long line and short ones
+    docs = make([(10 * p + k, f"{lines(3, 4)}\n{passage}\n{lines(3, 4)}", None, None) for p, passage in enumerate(passages) for k in range(3)])
+    docs.write.parquet(f"{workdir}/documents.parquet")
+    got = {r.doc_id: (r.n_sentences, r.n_removed) for r in op5_substring_dedup(spark, workdir).collect()}
+    assert got == {10 * p + k: (n + 6, n * (k > 0)) for p, n in enumerate((15, 60, 3)) for k in range(3)}
+
+
 def test_sentences_cover_the_words():
     rnd = random.Random(4)
     for _ in range(200):
