@@ -23,10 +23,13 @@ from strata.llm.common import materialise
 
 RUN = 2
 LEAST_WORDS = 10
-#: A sentence of more words is cut where its words say so (one in eight), so that
-#: passages without full stops repeat in parts, wherever they begin.
+#: A sentence of more words is cut after the word of least hash of every ``WINDOW``
+#: neighbouring ones, so that passages without full stops repeat in parts, wherever
+#: they begin: cuts at least a window from a passage's ends are the same in all its
+#: copies and at most a window apart, so one of over 50 words shares two parts with
+#: ten words or more; up to two windows at either end may stay.
 LONG = 12
-_CUT = 8
+WINDOW = 10
 #: The document of rows without an id; it comes after all others.
 NO_ID = 2**63 - 1
 
@@ -34,6 +37,13 @@ _END = re.compile(rb"[.!?](?=[\x20\x09-\x0d])|\n")
 _WORD = re.compile(rb"[^\x20\x09-\x0d]+")
 
 
+def _cuts(words: list[bytes]) -> list[int]:
+    """The first word of least hash of every window, in order."""
+    hashed = np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
+    least = np.lib.stride_tricks.sliding_window_view(hashed, WINDOW).argmin(axis=1)
+    return np.unique(least + np.arange(len(least))).tolist()
+
+
 def sentences(text: bytes) -> list[tuple[int, int, list[bytes]]]:
     """(start, end, words) of the sentences that have a word, in order; between
     them they cover the text but for leading and trailing blanks."""
@@ -41,14 +51,13 @@ def sentences(text: bytes) -> list[tuple[int, int, list[bytes]]]:
     for end in [*(m.end() for m in _END.finditer(text)), len(text)]:
         words = text[start:end].split()
         if len(words) > LONG:
-            at, own = start, []
-            for m in _WORD.finditer(text, start, end):
-                own.append(m.group())
-                if zlib.crc32(m.group()) % _CUT == 0:
-                    out.append((at, m.end(), own))
-                    at, own = m.end(), []
-            if own:
-                out.append((at, end, own))
+            ends = [m.end() for m in _WORD.finditer(text, start, end)]
+            at, first = start, 0
+            for cut in _cuts(words):
+                out.append((at, ends[cut], words[first:cut + 1]))
+                at, first = ends[cut], cut + 1
+            if first < len(words):
+                out.append((at, end, words[first:]))
             start = end
         elif words:
             out.append((start, end, words))

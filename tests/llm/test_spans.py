@@ -76,6 +76,18 @@ def test_passages_of_short_sentences_go(make, spark, workdir):
     assert got == {10 * p + k: (n + 6, n * (k > 0)) for p, n in enumerate((15, 60, 3)) for k in range(3)}
 
 
+def test_passages_inside_other_running_text_share_a_run():
+    rnd = random.Random(6)
+    for trial in range(2000):
+        pool = ["".join(rnd.choices("abcdefgh", k=5)) for _ in range(rnd.choice([5, 20, 500]))]
+        passage = rnd.choices(pool, k=51)
+        if trial % 4 == 0:
+            passage[rnd.randrange(50)] += "."
+        texts = [" ".join([*rnd.choices(pool, k=rnd.randrange(40)), *passage, *rnd.choices(pool, k=rnd.randrange(40))]).encode() for _ in range(2)]
+        one, two = (set(spans._runs(spans.sentences(t), 2, spans.LEAST_WORDS, True).values()) for t in texts)
+        assert one & two, trial
+
+
 def test_sentences_cover_the_words():
     rnd = random.Random(4)
     for _ in range(200):
