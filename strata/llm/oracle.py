@@ -115,9 +115,88 @@ SELECT b.doc_id, b.size, p2.source_size, p2.target,
 FROM b JOIN p2 ON b.source IS NOT DISTINCT FROM p2.source
 """
 
+OP11 = r"""
+WITH lab AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+             FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+f AS (SELECT t.part, coalesce(lab.good, false) AS good, coalesce(lab.toxic, false) AS toxic,
+        len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b,
+        100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) AS c, regexp_matches(text, '[#$%&*|]') AS d,
+        coalesce(t.doc_id > min(t.doc_id) OVER (PARTITION BY text), false) AS e
+      FROM t LEFT JOIN lab ON t.doc_id = lab.doc_id),
+m AS (SELECT part, a, b, c, d, e, good, toxic, count(*)::BIGINT AS n FROM f GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT p.x || q.x || r.x || s.x || t.x AS filter_order FROM x p, x q, x r, x s, x t
+      WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
+g AS (SELECT m.*, filter_order, coalesce(least(CASE WHEN a THEN strpos(filter_order, 'A') END, CASE WHEN b THEN strpos(filter_order, 'B') END,
+        CASE WHEN c THEN strpos(filter_order, 'C') END, CASE WHEN d THEN strpos(filter_order, 'D') END,
+        CASE WHEN e THEN strpos(filter_order, 'E') END), 9) AS gone FROM m, o),
+h AS (SELECT g.*, step, substr(filter_order, step::INT, 1) AS letter,
+        CASE substr(filter_order, step::INT, 1) WHEN 'A' THEN a WHEN 'B' THEN b WHEN 'C' THEN c WHEN 'D' THEN d ELSE e END AS fails,
+        a::INT + b::INT + c::INT + d::INT + e::INT AS failures FROM g, (SELECT unnest(range(1, 6)) AS step)),
+r AS (SELECT part, filter_order, step::INT AS step, letter, coalesce(sum(n) FILTER (gone > step), 0)::BIGINT AS kept,
+        coalesce(sum(n) FILTER (gone = step), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (fails AND gone < step), 0)::BIGINT AS redundant,
+        coalesce(sum(n) FILTER (fails AND failures = 1), 0)::BIGINT AS unique_fails,
+        coalesce(sum(n) FILTER (gone = step AND good), 0)::BIGINT AS good_lost,
+        coalesce(sum(n) FILTER (gone = step AND toxic), 0)::BIGINT AS toxic_lost FROM h GROUP BY ALL)
+SELECT * EXCLUDE (letter), (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM r
+"""
+
+# bytes as two hex digits each; a string of 50 bytes starts at an even offset
+OP12 = """
+WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM t)),
+g AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS least FROM w) WHERE least < doc_id),
+n AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS fresh FROM g),
+r AS (SELECT doc_id, run, min(i) AS a, max(i) + 50 AS b FROM
+        (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM n) GROUP BY doc_id, run),
+k AS (SELECT doc_id, count(*)::BIGINT AS n_spans, sum(b - a)::BIGINT AS n_removed, max(b) AS last FROM r GROUP BY doc_id),
+e AS (SELECT r.doc_id, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept FROM
+        (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM r) r JOIN t ON r.doc_id = t.doc_id GROUP BY r.doc_id)
+SELECT t.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(e.kept || substr(h, 2 * last + 1), h))) AS kept_sha256
+FROM t LEFT JOIN k ON t.doc_id = k.doc_id LEFT JOIN e ON t.doc_id = e.doc_id
+"""
+
+
+def _op13() -> str:
+    from strata.llm.collocations import LEAST, TOP
+
+    cut = "1000000::HUGEINT * {0}.n * {0}.n // ({1}.n::HUGEINT * {2}.n)"
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang,
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT row, lang, unnest(string_split_regex(text, '[.,;:!?
+-]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM p),
+i AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+g1 AS (SELECT lang, w[i] AS x, count(*)::BIGINT AS n FROM i GROUP BY ALL),
+g2 AS (SELECT lang, w[i] AS x, w[i+1] AS y, count(*)::BIGINT AS n FROM i WHERE i + 1 <= len(w) GROUP BY ALL),
+g3 AS (SELECT lang, w[i] AS x, w[i+1] AS y, w[i+2] AS z, count(*)::BIGINT AS n FROM i WHERE i + 2 <= len(w) GROUP BY ALL HAVING count(*) >= {LEAST}),
+total AS (SELECT lang, sum(n)::BIGINT AS n FROM g1 GROUP BY lang),
+two AS (SELECT g.lang, g.x || ' ' || g.y AS phrase, g.n AS a, u.n AS l, v.n AS r, ({cut.format('g', 'u', 'v')})::BIGINT AS score
+        FROM g2 g JOIN g1 u ON g.lang = u.lang AND g.x = u.x JOIN g1 v ON g.lang = v.lang AND g.y = v.x
+        WHERE g.n >= {LEAST} AND NOT EXISTS (SELECT 1 FROM g3 t WHERE t.lang = g.lang AND 100 * t.n >= 50 * g.n
+          AND ((t.x = g.x AND t.y = g.y) OR (t.y = g.x AND t.z = g.y)))),
+both_cuts AS (SELECT g.lang, g.x || ' ' || g.y || ' ' || g.z AS phrase, g.n AS a,
+          {cut.format('g', 'a', 'b')} AS first_score, a.n AS l1, b.n AS r1, {cut.format('g', 'c', 'd')} AS second_score, c.n AS l2, d.n AS r2
+        FROM g3 g JOIN g1 a ON g.lang = a.lang AND g.x = a.x JOIN g2 b ON g.lang = b.lang AND g.y = b.x AND g.z = b.y
+          JOIN g2 c ON g.lang = c.lang AND g.x = c.x AND g.y = c.y JOIN g1 d ON g.lang = d.lang AND g.z = d.x),
+three AS (SELECT lang, phrase, a, CASE WHEN first_score <= second_score THEN l1 ELSE l2 END AS l,
+            CASE WHEN first_score <= second_score THEN r1 ELSE r2 END AS r, least(first_score, second_score)::BIGINT AS score FROM both_cuts),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+           FROM (SELECT * FROM two UNION ALL SELECT * FROM three))
+SELECT lang, rank, phrase, a, l, r, total.n, score FROM ranked JOIN total USING (lang) WHERE rank <= {TOP}
+"""
+
+
 ORACLE: dict[str, str] = {
     "op2_quality_rules": _op2(),
     "op3_line_dedup": OP3,
     "op6_embedding_near_dedup": OP6,
     "op7_mixing": OP7,
+    "op11_filter_audit": OP11,
+    "op12_suffix_array_dedup": OP12,
+    "op13_collocations": _op13(),
 }

@@ -8,7 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import language, lines, mixing, neardup, pieces, pii, quality, spans, tokencount, vectors
+from strata.llm import (audit, collocations, language, lines, mixing, neardup, pieces, pii, quality, spans, suffixes, tokencount,
+                        vectors)
 from strata.llm.common import ship
 from strata.sources.tables import table
 
@@ -107,6 +108,23 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                         _sha(F.col("decoded")).alias("decoded_sha256"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each step of every order of five filters removes, by language."""
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the strings of 50 bytes that a smaller document has."""
+    kept = suffixes.drop_repeated_strings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of each language whose words belong together most."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: _query(f) for f in (
     op1_language_id, op2_quality_rules, op3_line_dedup, op4_token_counts, op5_substring_dedup, op6_embedding_near_dedup,
-    op7_mixing, op8_minhash_near_dedup, op9_pii, op10_sentencepiece)}
+    op7_mixing, op8_minhash_near_dedup, op9_pii, op10_sentencepiece, op11_filter_audit, op12_suffix_array_dedup, op13_collocations)}

@@ -11,7 +11,7 @@ from strata.llm.queries import QUERIES
 
 
 def test_registered():
-    assert {f"op{k}" for k in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{k}" for k in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(queries())
     assert set(ORACLE) <= set(oracle_sql()) and "pipeline" not in oracle_sql()
 
