@@ -21,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,38 +30,38 @@ from strata.llm.common import materialise
 LEAST = 50
 #: Bytes of an anchor, and of the longer one that splits the pieces of a frequent anchor.
 GRAM, LONG_GRAM = 24, 40
-#: Text behind one bucket of anchors, piece bytes in one shard, text that a task looks at at once.
-BUCKET_BYTES, SHARD_BYTES, CHUNK = 32_000_000, 4_000_000, 2_000_000
+#: Text behind one bucket of anchors and behind one shard of pieces, text that a
+#: task looks at at once, and distinct pieces that it holds before it sends them.
+BUCKET_BYTES, SHARD_BYTES, CHUNK, HELD = 32_000_000, 600_000, 2_000_000, 200_000
 #: An anchor that so many texts of one chunk have is frequent; the most frequent
 #: ones (so many at most, whatever the input) are known everywhere and spread over ``SALTS`` copies.
 FREQUENT, MOST_FREQUENT, SALTS = 64, 1 << 17, 16
+#: Positions hashed at a time, so that their hashes stay in the processor's cache.
+BLOCK = 1 << 15
+#: Anchors have 48 bits, in the upper ones of 64.
+_UPPER = np.uint64(0xFFFF_FFFF_FFFF_0000)
+_TABLE = np.random.default_rng(50).integers(0, 2**64, 256, np.uint64)
 
-_A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0xD6E8FEB86659FD93)
 
-
-def _join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    x = a * _A
-    x ^= b
-    x ^= x >> np.uint64(29)
-    x *= _B
-    return x
+def _rotated(x: np.ndarray, by: int) -> np.ndarray:
+    by %= 64
+    return (x << np.uint64(by)) | (x >> np.uint64(64 - by)) if by else x
 
 
 def gram_hashes(text: np.ndarray, size: int) -> np.ndarray:
-    """64-bit hashes of all byte grams of ``size``, by doubling."""
-    power, length, have, at = (text.astype(np.uint64) + np.uint64(1)) * _C, 1, None, 0
+    """64-bit cyclic polynomial hashes of all byte grams of ``size``, by doubling."""
+    power, length, have, at = _TABLE[text], 1, None, 0
     while True:
         if size & length:  # the binary digits of the size, least first
             if have is None:
                 have, at = power, length
             else:
                 n = len(text) - at - length + 1
-                have, at = _join(have[:n], power[at:at + n]), at + length
+                have, at = _rotated(have[:n], length) ^ power[at:at + n], at + length
         if at == size:
-            break
+            return have
         n = len(power) - length
-        power, length = _join(power[:n], power[length:]), 2 * length
-    return have ^ (have >> np.uint64(32))
+        power, length = _rotated(power[:n], length) ^ power[length:], 2 * length
 
 
 def window_minima(values: np.ndarray, width: int) -> np.ndarray:
@@ -71,6 +72,15 @@ def window_minima(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:len(values) - (width - span)], values[width - span:]) if span < width else values
 
 
+def _anchor_of_each(text: np.ndarray, gram: int, least: int) -> np.ndarray:
+    """The anchor of the string of ``least`` bytes at each position."""
+    out = np.empty(len(text) - least + 1, np.uint64)
+    for at in range(0, len(out), BLOCK):
+        hashes = gram_hashes(text[at:at + BLOCK + least - 1], gram)
+        out[at:at + BLOCK] = window_minima(hashes, least - gram + 1)
+    return out & _UPPER
+
+
 def anchors(text: bytes, lengths: np.ndarray, least: int, frequent: np.ndarray) -> tuple[np.ndarray, ...]:
     """(start, strings, key, is_frequent) of the pieces of concatenated texts:
     ``strings`` neighbouring strings of ``least`` bytes from ``start`` on, of one
@@ -88,12 +98,12 @@ def anchors(text: bytes, lengths: np.ndarray, least: int, frequent: np.ndarray)
     at = np.flatnonzero(np.cumsum(whole[:len(a) - least + 1]))
     # fewer than GRAM bytes in all strings: the whole string is its anchor
     small, large = min(GRAM, least), min(LONG_GRAM, least)
-    key = window_minima(gram_hashes(a, small), least - small + 1)[at]
+    key = _anchor_of_each(a, small, least)[at]
     hot = np.zeros(len(at), bool)
     if len(frequent):
         hot = frequent[np.minimum(np.searchsorted(frequent, key), len(frequent) - 1)] == key
         if hot.any():
-            finer = window_minima(gram_hashes(a, large), least - large + 1)[at]
+            finer = _anchor_of_each(a, large, least)[at]
             key = np.where(hot, finer, key)
     new = np.ones(len(at), bool)
     new[1:] = (np.diff(at) != 1) | (key[1:] != key[:-1]) | (hot[1:] != hot[:-1])
@@ -151,16 +161,17 @@ def _listed(least: int, buckets: int, frequent: np.ndarray):
         for rows, text, lengths, _ in _chunks(batches, 2, least):
             start, _, key, hot = anchors(text, lengths, least, frequent)
             key, row = _row_keys(start[~hot], key[~hot], lengths)
-            bucket = (key >> np.uint64(20)) % np.uint64(buckets)
-            order = np.argsort(bucket, kind="stable")
+            bucket = (key >> np.uint64(24)) % np.uint64(buckets)
+            order = np.lexsort((row, bucket))
             key, row, bucket = key[order], row[order], bucket[order]
             cuts = np.flatnonzero(np.diff(bucket)) + 1
             ids = np.array(rows, np.int64).reshape(-1, 2)
             out = []
             for k, r, b in zip(np.split(key, cuts), np.split(row, cuts), np.split(bucket, cuts), strict=True):
                 if len(k):
-                    used, place = np.unique(r, return_inverse=True)
-                    out.append((int(b[0]), ids[used].tobytes(), place.astype(np.uint32).tobytes(), k.tobytes()))
+                    used, many = np.unique(r, return_counts=True)
+                    out.append((int(b[0]), ids[used].tobytes(), many.astype(np.uint32).tobytes(),
+                                k.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()),
                                                   *[pa.array([x[c] for x in out], pa.binary()) for c in (1, 2, 3)]], LISTED_COLUMNS)
@@ -168,16 +179,23 @@ def _listed(least: int, buckets: int, frequent: np.ndarray):
     return run
 
 
-LISTED_COLUMNS = ["bucket", "ids", "places", "keys"]
-LISTED = "bucket long, ids binary, places binary, keys binary"
+LISTED_COLUMNS = ["bucket", "ids", "counts", "keys"]
+LISTED = "bucket long, ids binary, counts binary, keys binary"
+
+
+def _widened(keys: bytes) -> np.ndarray:
+    """Anchors from their upper six bytes."""
+    out = np.zeros((len(keys) // 6, 8), np.uint8)
+    out[:, 2:] = np.frombuffer(keys, np.uint8).reshape(-1, 6)
+    return out.view(np.uint64).ravel()
 
 
 def _shared(listed: pa.Table) -> pa.Table:
     """(doc, sign, keys): a bucket's anchors that rows of several documents have."""
     docs, keys = [], []
-    for ids, places, own in zip(*(listed.column(c).to_pylist() for c in LISTED_COLUMNS[1:]), strict=True):
-        docs.append(np.frombuffer(ids, np.int64).reshape(-1, 2)[np.frombuffer(places, np.uint32)])
-        keys.append(np.frombuffer(own, np.uint64))
+    for ids, counts, own in zip(*(listed.column(c).to_pylist() for c in LISTED_COLUMNS[1:]), strict=True):
+        docs.append(np.repeat(np.frombuffer(ids, np.int64).reshape(-1, 2), np.frombuffer(counts, np.uint32), axis=0))
+        keys.append(_widened(own))
     rows, key = np.concatenate(docs), np.concatenate(keys)
     order = np.argsort(key, kind="stable")
     rows, key = rows[order], key[order]
@@ -191,49 +209,96 @@ def _shared(listed: pa.Table) -> pa.Table:
     start = np.flatnonzero(np.append(True, (np.diff(rows, axis=0) != 0).any(axis=1))) if len(rows) else np.zeros(0, np.int64)
     parts = np.split(key, start[1:]) if len(start) else []
     return pa.table({"doc": pa.array(rows[start, 0], pa.int64()), "sign": pa.array(rows[start, 1], pa.int64()),
-                     "keys": pa.array([p.tobytes() for p in parts], pa.binary())})
+                     "keys": pa.array([p.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes() for p in parts], pa.binary())})
+
+
+PIECES = "shard long, salt int, content binary, first long, packed binary"
 
 
-PIECES = "key long, hot boolean, salt int, content binary, first long, rows binary"
+def _pack(found: dict[bytes, set]) -> bytes:
+    """Contents with their (doc, sign, start), compressed."""
+    rows = [r for occurs in found.values() for r in sorted(occurs)]
+    ids, which = np.unique(np.array([r[:2] for r in rows], np.int64).reshape(-1, 2), axis=0, return_inverse=True)
+    arrays = (np.fromiter(map(len, found), np.uint32, len(found)), np.fromiter(map(len, found.values()), np.uint32, len(found)), ids,
+              which.astype(np.uint32), np.fromiter((r[2] for r in rows), np.int64, len(rows)))
+    head = struct.pack("<3q", len(found), len(rows), len(ids))
+    return zstandard.compress(head + b"".join(a.tobytes() for a in arrays) + b"".join(found), 3)
 
 
-def _cut(least: int, frequent: np.ndarray):
-    """Pieces whose anchor several documents have: each distinct one of a chunk
-    once, with its smallest document and the (doc, sign, start) of all."""
+def _unpack(packed: bytes) -> Iterator[tuple[bytes, list[tuple[int, int, int]]]]:
+    data = zstandard.decompress(packed)
+    number, rows, ids = struct.unpack_from("<3q", data)
+    at, arrays = 24, []
+    for count, kind in ((number, np.uint32), (number, np.uint32), (2 * ids, np.int64), (rows, np.uint32), (rows, np.int64)):
+        arrays.append(np.frombuffer(data, kind, count, at))
+        at += arrays[-1].nbytes
+    sizes, many, ids, which, start = arrays
+    places = list(zip(*ids.reshape(-1, 2)[which].T.tolist(), start.tolist(), strict=True)) if rows else []
+    begin = 0
+    for size, count in zip(sizes.tolist(), many.tolist(), strict=True):
+        yield data[at:at + size], places[begin:begin + count]
+        at, begin = at + size, begin + count
+
+
+def _cut(least: int, frequent: np.ndarray, shards: int):
+    """Pieces whose anchor several documents have, by shard: each distinct one
+    that a task holds once, with the (doc, sign, start) of all. A frequent one goes by
+    itself, with its smallest document, to one of ``SALTS`` copies of its shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, dict[bytes, set]] = {}
+        often: dict[tuple[int, bytes], set] = {}
+        number = 0
+
+        def flush(salt: int) -> pa.RecordBatch:
+            out = [(shard, 0, None, None, _pack(found)) for shard, found in held.items()]
+            out += [(shard, salt, content, min(occurs)[0], _pack({content: occurs})) for (shard, content), occurs in often.items()]
+            held.clear()
+            often.clear()
+            kinds = (pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], t) for c, t in enumerate(kinds)],
+                                              ["shard", "salt", "content", "first", "packed"])
+
+        salt = 0
         for rows, text, lengths, begin in _chunks(batches, 3, least):
             start, many, key, hot = anchors(text, lengths, least, frequent)
             begins = np.cumsum(lengths) - lengths
             row = np.searchsorted(begins + lengths, start, "right")
-            known = [np.frombuffer(k, np.uint64) for r in rows for k in (r[2] or ())]
-            owner = np.repeat(np.arange(len(rows)), [sum(len(k) // 8 for k in (r[2] or ())) for r in rows])
-            pairs = np.zeros(len(owner), [("key", np.uint64), ("row", np.int64)])
-            pairs["key"], pairs["row"] = np.concatenate(known) if known else 0, owner
-            mine = np.zeros(len(start), pairs.dtype)
-            mine["key"], mine["row"] = key, row
-            wanted = np.flatnonzero(hot | np.isin(_folded(mine), _folded(pairs)))
-            found: dict[tuple, list[int]] = {}
-            for k, s, m in zip(wanted.tolist(), start[wanted].tolist(), many[wanted].tolist(), strict=True):
-                found.setdefault((int(key[k]), text[s:s + m + least - 1]), []).append(k)
-            ids = np.array([r[:2] for r in rows], np.int64).reshape(-1, 2)
-            out = []
-            for (own, content), at in found.items():
-                r = row[at]
-                place = np.column_stack([ids[r], start[at] - begins[r] + begin[r]])
-                out.append((own - (1 << 64) if own >> 63 else own, bool(hot[at[0]]), content, int(place[:, 0].min()), place.tobytes()))
-            salt = xxhash.xxh32_intdigest(text[:64]) % SALTS
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.bool_()),
-                 pa.array([salt if x[1] else 0 for x in out], pa.int32()), pa.array([x[2] for x in out], pa.binary()),
-                 pa.array([x[3] for x in out], pa.int64()), pa.array([x[4] for x in out], pa.binary())],
-                ["key", "hot", "salt", "content", "first", "rows"])
+            lists = [b"".join(r[2] or ()) for r in rows]
+            known = _widened(b"".join(lists))
+            owner = np.repeat(np.arange(len(rows)), [len(x) // 6 for x in lists])
+            wanted = np.flatnonzero(hot | np.isin(_folded(key, row), _folded(known, owner)))
+            shard = ((key[wanted] >> np.uint64(16)) * _ODD >> np.uint64(20)) % np.uint64(shards)
+            first = (start - begins[row] + begin[row])[wanted]
+            for s, m, h, d, r, f in zip(start[wanted].tolist(), many[wanted].tolist(), hot[wanted].tolist(), shard.tolist(),
+                                        row[wanted].tolist(), first.tolist(), strict=True):
+                content = text[s:s + m + least - 1]
+                if h:
+                    occurs = often.get((d, content))
+                    if occurs is None:
+                        occurs = often[d, content] = set()
+                        number += 1
+                else:
+                    found = held.setdefault(d, {})
+                    occurs = found.get(content)
+                    if occurs is None:
+                        occurs = found[content] = set()
+                        number += 1
+                occurs.add((*rows[r][:2], f))
+            salt = xxhash.xxh32_intdigest(text[:64], salt) % SALTS
+            if number > HELD:
+                yield flush(salt)
+                number = 0
+        yield flush(salt)
 
     return run
 
 
-def _folded(pairs: np.ndarray) -> np.ndarray:
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _folded(key: np.ndarray, row: np.ndarray) -> np.ndarray:
     """(key, row) in 64 bits; a clash lets a piece of one document in, which does no harm."""
-    return _join(pairs["key"], pairs["row"].astype(np.uint64) * _C)
+    return key ^ (row.astype(np.uint64) + np.uint64(1)) * _ODD
 
 
 class Collection:
@@ -246,12 +311,16 @@ class Collection:
         number = len(strings)
         self.lengths = np.fromiter(map(len, strings), np.int64, number)
         longest = int(self.lengths.max()) if number else 0
-        self.bytes = np.zeros((number, longest), np.uint8)  # aligned at their ends
+        self.bytes = np.zeros((longest, number), np.uint8)  # columns, aligned at the strings' ends
         flat = np.frombuffer(b"".join(strings), np.uint8)
         begins = np.cumsum(self.lengths) - self.lengths
-        self.bytes[np.repeat(np.arange(number), self.lengths),
-                   np.arange(len(flat)) - np.repeat(begins - (longest - self.lengths), self.lengths)] = flat
-        # symbols are bytes + 1 and 0 for the start of a string
+        self.bytes[np.arange(len(flat)) - np.repeat(begins - (longest - self.lengths), self.lengths),
+                   np.repeat(np.arange(number), self.lengths)] = flat
+        # symbols are the bytes that occur, in order, from 1 on; 0 is the start of a string
+        occur = np.zeros(256, bool)
+        occur[flat] = True
+        self.code = np.cumsum(occur).astype(np.uint8 if occur.sum() < 256 else np.uint16)
+        self.whole = 0  # strings inserted whole
         self.bwt = self._before(np.arange(number), 0)
         self.lcp = np.zeros(number, np.uint8)
         place, alive = np.arange(number), np.arange(number)
@@ -260,52 +329,49 @@ class Collection:
 
     def _before(self, strings: np.ndarray, length: int) -> np.ndarray:
         """The symbol before the suffix of that length, of each string."""
-        column = self.bytes.shape[1] - 1 - length
-        if column < 0:
-            return np.zeros(len(strings), np.uint16)
-        return np.where(self.lengths[strings] > length, self.bytes[strings, column].astype(np.uint16) + 1, 0)
+        row = len(self.bytes) - 1 - length
+        symbol = self.code[self.bytes[row][strings]] if row >= 0 else np.zeros(len(strings), self.code.dtype)
+        ended = self.lengths[strings] <= length
+        symbol[ended] = 0
+        self.whole += np.count_nonzero(ended)
+        return symbol
 
     def _insert(self, place: np.ndarray, strings: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         """One round: the suffixes of ``length`` of all strings that have one, by
         the places of their suffixes one shorter."""
         more = self.lengths[strings] >= length
         place, strings = place[more], strings[more]
+        down = np.argsort(place)[::-1]
+        place, strings = place[down], strings[down]
         size, number = len(self.bwt), len(self.lengths)
-        order = np.argsort(self.bwt, kind="stable")
-        order = order[np.count_nonzero(self.bwt == 0):]  # suffixes by the byte that goes before them
-        rank = np.empty(size, np.int64)
-        rank[order] = np.arange(len(order))
+        order = np.argsort(self.bwt, kind="stable")[self.whole:]  # suffixes by the byte that goes before them
+        rank = np.empty(size, np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
         at = rank[place]  # among all suffixes with a byte in front, those known and those of this round
-        by = np.argsort(at)
-        at, place, strings = at[by], place[by], strings[by]
-        symbol = self.bwt[place]
-
-        def least(to: np.ndarray, valid: np.ndarray) -> np.ndarray:
-            """One more than the common prefix of two neighbours with the same byte in front."""
-            out = np.zeros(len(to), np.int64)
-            ends = order[to[valid]] + 1
-            starts = order[to[valid] - 1] + 1
-            if len(ends):
-                pairs = np.column_stack([starts, ends]).ravel()
-                lcp = np.append(self.lcp, 0)
-                out[valid] = np.minimum.reduceat(lcp, pairs)[::2].astype(np.int64) + 1
-            return np.minimum(out, 255)
-
-        above = at > 0
-        above[above] = self.bwt[order[at[above] - 1]] == symbol[above]
-        below = at < len(order) - 1
-        below[below] = self.bwt[order[at[below] + 1]] == symbol[below]
-        own, following = least(at, above), least(np.minimum(at + 1, len(order) - 1), below)
-        spot = number + at
+        symbol, lcp = self.bwt[place], np.append(self.lcp, np.uint8(0))
+
+        def common(other: np.ndarray, inside: np.ndarray, is_above: bool) -> np.ndarray:
+            """One more than the common prefix with the neighbour of the same byte in
+            front; as places fall, nothing is read between two ranges."""
+            out = np.zeros(len(at), np.uint8)
+            near = order[np.where(inside, other, at)]
+            same = np.flatnonzero(inside & (self.bwt[near] == symbol))
+            ends = (near[same], place[same]) if is_above else (place[same], near[same])
+            if len(same):
+                pairs = np.column_stack(ends).ravel() + 1
+                out[same] = np.minimum(np.minimum.reduceat(lcp, pairs)[::2], 254) + 1
+            return out
+
+        own, following = common(at - 1, at > 0, True), common(at + 1, at < len(order) - 1, False)
+        spot = at + number
         old = np.ones(size + len(at), bool)
         old[spot] = False
-        bwt, lcp = np.empty(len(old), np.uint16), np.empty(len(old), np.uint8)
-        bwt[old], lcp[old] = self.bwt, self.lcp
+        bwt, new = np.empty(len(old), self.bwt.dtype), np.zeros(len(old) + 1, np.uint8)
+        bwt[old], new[:-1][old] = self.bwt, self.lcp
         bwt[spot] = self._before(strings, length)
-        last = spot == len(old) - 1
-        lcp[spot[~last] + 1] = following[~last]
-        lcp[spot] = own  # a suffix of this round below another: its own says the same
-        self.bwt, self.lcp = bwt, lcp
+        new[spot + 1] = following
+        new[spot] = own  # a suffix of this round below another: its own says the same
+        self.bwt, self.lcp = bwt, new[:-1]
         return spot, strings
 
     def places(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -313,10 +379,9 @@ class Collection:
         order = np.argsort(self.bwt, kind="stable")
         number = len(self.lengths)
         rank = np.empty(len(self.bwt), np.int64)
-        none = np.count_nonzero(self.bwt == 0)
-        rank[order[none:]] = np.arange(len(order) - none) + number
+        rank[order[self.whole:]] = np.arange(len(order) - self.whole) + number
         place, strings = np.arange(number), np.arange(number)
-        for length in range(1, self.bytes.shape[1] + 1):
+        for length in range(1, len(self.bytes) + 1):
             more = self.lengths[strings] >= length
             strings = strings[more]
             place = rank[place[more]]
@@ -351,15 +416,18 @@ def _judge(least: int):
     smaller document has."""
     def run(shard: pa.Table) -> pa.Table:
         place: dict[bytes, int] = {}
-        at = [place.setdefault(c, len(place)) for c in shard.column("content").to_pylist()]
-        first = np.full(len(place), np.iinfo(np.int64).max)
-        np.minimum.at(first, np.array(at, np.int64), np.array(shard.column("first").to_pylist(), np.int64))
-        occurs: list[set] = [set() for _ in place]  # repeated rows are one
-        for k, rows in zip(at, shard.column("rows").to_pylist(), strict=True):
-            if rows is not None:
-                occurs[k].update(struct.iter_unpack("<qqq", rows))
+        first: list[int] = []
+        occurs: list[set] = []  # repeated rows are one
+        for content, least_doc, packed in zip(*(shard.column(c).to_pylist() for c in ("content", "first", "packed")), strict=True):
+            for own, rows in _unpack(packed) if packed is not None else [(content, [])]:
+                k = place.setdefault(own, len(place))
+                if k == len(first):
+                    first.append(np.iinfo(np.int64).max)
+                    occurs.append(set())
+                occurs[k].update(rows)
+                first[k] = min(first[k], least_doc if packed is None else min(r[0] for r in rows))
         found: dict[tuple[int, int], list[int]] = {}
-        for low, rows in zip(smallest(list(place), first, least), occurs, strict=True):
+        for low, rows in zip(smallest(list(place), np.array(first, np.int64), least), occurs, strict=True):
             least_low, most_low = int(low.min()), int(low.max())
             for doc, sign, start in rows:
                 if most_low < doc:
@@ -396,15 +464,13 @@ def repeated_strings(docs: DataFrame, least: int = LEAST) -> DataFrame:
     shared = listed.groupBy("bucket").applyInArrow(_shared, "doc long, sign long, keys binary")
     lists = shared.groupBy("doc", "sign").agg(F.collect_list("keys").alias("keys"))
     met = texts.join(lists, ["doc", "sign"], "left").select("doc", "sign", "keys", "text")
-    pieces = materialise(met.mapInArrow(_cut(least, frequent), PIECES), "pieces")
-    number = max(1, -(-(pieces.agg(F.sum(F.length("content"))).first()[0] or 0) // SHARD_BYTES))
+    number = max(1, -(-size // SHARD_BYTES))
+    pieces = materialise(met.mapInArrow(_cut(least, frequent, number), PIECES), "pieces")
     # rows of a frequent piece stay spread; its smallest document is sent to all of them
-    hot = pieces.filter("hot").groupBy("key", "content").agg(F.min("first").alias("first"))
-    known = hot.select("key", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), "content", "first",
-                       F.lit(None).cast("binary").alias("rows"))
-    sent = pieces.select("key", "salt", "content", "first", "rows").unionByName(known)
-    sent = sent.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(number)))
-    return sent.groupBy("shard", "salt").applyInArrow(_judge(least), GONE)
+    hot = pieces.filter("content IS NOT NULL").groupBy("shard", "content").agg(F.min("first").alias("first"))
+    known = hot.select("shard", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), "content", "first",
+                       F.lit(None).cast("binary").alias("packed"))
+    return pieces.unionByName(known).groupBy("shard", "salt").applyInArrow(_judge(least), GONE)
 
 
 def _merged(parts: list[bytes], size: int) -> np.ndarray:
