@@ -17,6 +17,35 @@ from pyspark.sql import functions as F
 from strata.functions.columns import money
 
 
+def sums_per(fact: DataFrame, key: str, amount: str, count_col: str, by: Sequence[str] = ()) -> DataFrame:
+    """``(*by, key, _n, _amt)``: the fact's ``count(count_col)`` and exact
+    ``sum(amount)`` per key. Kept per partition of the fact (``by``, e.g. year and
+    month), these sums are mergeable: what depends on all of the fact is made from
+    them, and when orders enter, change or leave a month only its rows are made
+    anew. A key counts in as many of them as it has months, so it is gone from distinct
+    counts when it has left the last one."""
+    return fact.groupBy(*by, key).agg(F.count(count_col).alias("_n"), F.sum(money(amount)).alias("_amt"))
+
+
+def merged_sums(sums: DataFrame, key: str) -> DataFrame:
+    """The sums of ``sums_per`` over all its partitions."""
+    return sums.groupBy(key).agg(F.sum("_n").alias("_n"), F.sum("_amt").alias("_amt"))
+
+
+def sales_from(sums: DataFrame, dim: DataFrame, key: str, by: Sequence[str], distinct_key: bool = False,
+               as_of: str | None = None, dim_key: str | None = None) -> DataFrame:
+    """``sales_by`` from one row of sums per key."""
+    pre = sums.select(F.col(key).alias("_k"), "_n", "_amt")
+    j = pre.join(dim.select(F.col(dim_key or key).alias("_k"), *by), "_k", "inner")
+    aggs = [F.sum("_n").alias("total_orders"), F.sum("_amt").cast("double").alias("total_amount")]
+    if distinct_key:
+        aggs.append(F.count_distinct("_k").alias("unique_products"))
+    out = j.groupBy(*by).agg(*aggs)
+    if as_of is not None:
+        out = out.withColumn("update_date", F.to_date(F.lit(as_of)))
+    return out
+
+
 def sales_by(fact: DataFrame, dim: DataFrame, key: str, by: Sequence[str], amount: str,
              count_col: str, distinct_key: bool = False, as_of: str | None = None,
              dim_key: str | None = None) -> DataFrame:
@@ -26,26 +55,18 @@ def sales_by(fact: DataFrame, dim: DataFrame, key: str, by: Sequence[str], amoun
     ``distinct_key`` adds ``unique_products`` (distinct keys per group);
     ``as_of`` adds a fixed ``update_date`` (repeatable, unlike the current date).
     """
-    dim_key = dim_key or key
-    pre = (fact.groupBy(F.col(key).alias("_k"))
-           .agg(F.count(count_col).alias("_n"),
-                F.sum(money(amount)).alias("_amt")))
-    d = dim.select(F.col(dim_key).alias("_k"), *by)
-    j = pre.join(d, "_k", "inner")
-    aggs = [F.sum("_n").alias("total_orders"), F.sum("_amt").cast("double").alias("total_amount")]
-    if distinct_key:
-        aggs.append(F.count_distinct("_k").alias("unique_products"))
-    out = j.groupBy(*by).agg(*aggs)
-    if as_of is not None:
-        out = out.withColumn("update_date", F.to_date(F.lit(as_of)))
-    return out
+    return sales_from(sums_per(fact, key, amount, count_col), dim, key, by, distinct_key, as_of, dim_key)
+
+
+def spend_from(sums: DataFrame, dim: DataFrame, key: str, attrs: Sequence[str]) -> DataFrame:
+    """``spend_per`` from one row of sums per key."""
+    j = sums.select(key, "_amt").join(dim.select(key, *attrs), key, "inner")
+    return j.select(key, *attrs, F.col("_amt").cast("double").alias("total_amount"))
 
 
 def spend_per(fact: DataFrame, dim: DataFrame, key: str, attrs: Sequence[str], amount: str) -> DataFrame:
     """Exact total of ``amount`` per dimension key, with its attributes."""
-    pre = fact.groupBy(key).agg(F.sum(money(amount)).alias("_amt"))
-    j = pre.join(dim.select(key, *attrs), key, "inner")
-    return j.select(key, *attrs, F.col("_amt").cast("double").alias("total_amount"))
+    return spend_from(fact.groupBy(key).agg(F.sum(money(amount)).alias("_amt")), dim, key, attrs)
 
 
 def rank_top(df: DataFrame, value: str, tie_key: str, n: int, rank_col: str = "ranking") -> DataFrame:

@@ -11,13 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.columns import batch_key_of, business_date, valid_on
 from strata.operators import access, asof, checks, gold, joins, layout, merge, ordered, scd
 from strata.operators import clean as C
-from strata.plans import feeds
+from strata.operators.publish import Progress, publish
+from strata.plans import feeds, flow
 from strata.session import scratch_dir
 from strata.sources.landing import land
 from strata.sources.tables import table
@@ -32,6 +33,7 @@ STALE_DAY = "2024-01-15"       # broken copy: is_current frozen on this day
 LATE_BATCH = "2024-01-12"      # arrives after all others
 FOLDED_BATCH = "2024-01-20"    # the state was folded here before the late batch came
 REFRESH_YEAR = 1996            # year of the fact that is refreshed
+EMPTIED = (1998, 8)            # month of the fact that loses all its orders
 ANALYST = "data_analysts"
 
 ORDER_TYPES = {"order_id": "bigint", "customer_id": "bigint", "amount": "double",
@@ -656,6 +658,83 @@ def compact_partitioned(spark, sf):
                        F.to_date("o_orderdate").alias("order_date"), "o_orderpriority")
 
 
+# --- the daily run, and what it is made of --------------------------------------
+
+class _Stopped(Exception):
+    """A run that ends where the query wants it to."""
+
+
+def _stopping_at(step: str):
+    def on_step(name: str) -> None:
+        if name == step:
+            raise _Stopped(name)
+
+    return on_step
+
+
+def incremental_recovered(spark, sf):
+    """The daily run over two drops; the second is stopped after staging, after
+    the first dimension and before the sums, and run again each time (D-9, T-2).
+    Sales by category as the last run leaves them."""
+    root = scratch_dir(spark, "incremental-recovered")
+    orders = feeds.flow_orders(spark, sf).persist()
+    customers, products = feeds.flow_customers(spark, sf), feeds.flow_products(spark, sf)
+    landing = flow.Landing(B.SourceSpec("customers", "json", f"{root}/landing/customers"),
+                           B.SourceSpec("products", "csv", f"{root}/landing/products"),
+                           B.SourceSpec("orders", "parquet", f"{root}/landing/orders"))
+    early = F.substring("batch_key", 1, 4).cast("int") < feeds.SECOND_DROP
+    late_price = F.col("batch_key") == feeds.PRICE_BATCHES[-1]
+    sent = orders.drop("again")
+    land(customers.filter(F.col("batch_key") == feeds.CUSTOMER_BATCHES[0]), landing.customers.path, "json", by_batch=True)
+    land(products.filter(~late_price), landing.products.path, "csv", by_batch=True)
+    land(sent.filter(early), landing.orders.path, "parquet", by_batch=True)
+    flow.run_incremental(spark, landing, f"{root}/lake", feeds.AS_OF)
+    land(customers.filter(F.col("batch_key") != feeds.CUSTOMER_BATCHES[0]), landing.customers.path, "json", by_batch=True)
+    land(products.filter(late_price), landing.products.path, "csv", by_batch=True)
+    land(sent.filter(~early).unionByName(feeds.flow_resent(orders).drop("again")), landing.orders.path, "parquet", by_batch=True)
+    for step in ("silver/dim_customers_type1", "silver/dim_customers_type2", "state/sums_customers"):
+        try:
+            flow.run_incremental(spark, landing, f"{root}/lake", feeds.AS_OF, on_step=_stopping_at(step))
+        except _Stopped:
+            pass
+    orders.unpersist()
+    return flow.run_incremental(spark, landing, f"{root}/lake", feeds.AS_OF)["sales_by_category"]
+
+
+def _flow_facts(spark, sf):
+    """The fact before and after the second drop, as typed rows by month."""
+    orders = feeds.flow_orders(spark, sf)
+    again = feeds.flow_resent(orders)
+
+    def fact(rows: DataFrame) -> DataFrame:
+        return flow.fact_of(rows.select(*[F.expr(e) for e in flow.ORDER_TYPES]))
+
+    return fact(orders), fact(orders.unionByName(again))
+
+
+def sales_refreshed(spark, sf):
+    """Sales by city from sums kept per month: orders that were re-sent leave
+    their months, only the months they left or entered are summed again, and a
+    month that was emptied is retracted (A-1, A-2)."""
+    root = scratch_dir(spark, "sales-refreshed")
+    before, after = _flow_facts(spark, sf)
+    gone = before.unionByName(after).filter(f"year = {EMPTIED[0]} AND month = {EMPTIED[1]}").select("order_id").distinct()
+    after = after.join(gone, "order_id", "left_anti").select(*before.columns)
+    before = publish(before, f"{root}/fact", flow.MONTH)
+    progress = Progress(spark, f"{root}/progress")
+    months = {flow._month(r["year"], r["month"]): 1 for r in before.select(*flow.MONTH).distinct().collect()}
+    flow.refresh_sums(spark, f"{root}/sums", before, "customer_id", months, progress)
+    after = publish(after, f"{root}/fact", flow.MONTH)
+    # months that the re-sent orders left or entered, and the emptied one (its re-sent orders left others)
+    moved = feeds.flow_resent(feeds.flow_orders(spark, sf)).select(F.to_date("order_date").alias("d"))
+    touched = moved.select(F.explode(F.array("d", F.add_months("d", -1))).alias("d")).select(F.year("d").alias("y"), F.month("d").alias("m")).distinct()
+    for r in [*touched.collect(), Row(y=EMPTIED[0], m=EMPTIED[1])]:
+        months[flow._month(r["y"], r["m"])] = 2
+    sums = flow.refresh_sums(spark, f"{root}/sums", after, "customer_id", months, progress)
+    customers = scd.scd2(feeds.flow_customers(spark, sf), ["customer_id"], ["name", "city"], "event_date")
+    return gold.sales_from(gold.merged_sums(sums, "customer_id"), customers.filter("is_current"), "customer_id", ["city"], as_of=feeds.AS_OF)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pit_revenue_by_type": pit_revenue_by_type,
     "scd2_events_history": scd2_events_history,
@@ -718,4 +797,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_functions": sql_functions,
     "fact_refreshed": fact_refreshed,
     "compact_partitioned": compact_partitioned,
+    "incremental_recovered": incremental_recovered,
+    "sales_refreshed": sales_refreshed,
 }

@@ -189,3 +189,35 @@ def fact_lines(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("order_id"),
                                                F.col("l_partkey").alias("product_id"),
                                                F.col("l_extendedprice").alias("amount"))
+
+
+# The landing files of the layered flow, in two drops. Batches are years (their
+# January). The second drop has the customers' second batch, the products' third,
+# the orders from SECOND_DROP on, and the orders of RESENT_STATUS with priority
+# 5-LOW again, a month later and with amount + 1, in their first batch.
+SECOND_DROP, RESENT_STATUS = 1997, "F"
+
+
+def flow_customers(spark: SparkSession, sf: str) -> DataFrame:
+    return customer_feed(spark, sf).select("customer_id", "name", "city", "event_date", "batch_key")
+
+
+def flow_products(spark: SparkSession, sf: str) -> DataFrame:
+    return part_feed(spark, sf).select("product_id", "product_name", "category", "price",
+                                       F.col("business_date").alias("launch_date"), "batch_key")
+
+
+def flow_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders with the least part of their lines (some have none); ``again`` marks what is sent twice."""
+    part = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.min("l_partkey").alias("l_partkey"))
+    o = table(spark, sf, "orders").join(part, "o_orderkey", "left")
+    return o.select(F.col("o_orderkey").cast("string").alias("order_id"), F.col("o_custkey").cast("string").alias("customer_id"),
+                    F.col("l_partkey").cast("string").alias("product_id"), F.col("o_totalprice").cast("string").alias("amount"),
+                    F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"), F.concat(F.year("o_orderdate"), F.lit("-01")).alias("batch_key"),
+                    ((F.col("o_orderstatus") == RESENT_STATUS) & (F.col("o_orderpriority") == "5-LOW")).alias("again"))
+
+
+def flow_resent(orders: DataFrame) -> DataFrame:
+    day = F.add_months(F.to_date("order_date"), 1)
+    return orders.filter("again").withColumns({"amount": (F.col("amount").cast("double") + 1).cast("string"),
+                                               "order_date": F.date_format(day, "yyyy-MM-dd")})

@@ -122,6 +122,14 @@ SALES_BY_CATEGORY = f"""sales_by_category AS (
   GROUP BY p_type)"""
 
 
+FLOW_ORDERS = f"""flow_orders AS (
+  SELECT o_orderkey AS order_id, o_custkey AS customer_id, product_id, CAST(o_orderdate AS DATE) AS first_date,
+    CAST(CASE WHEN again THEN CAST(o_orderdate AS DATE) + INTERVAL 1 MONTH ELSE o_orderdate END AS DATE) AS order_date,
+    CAST(o_totalprice AS DECIMAL(18,2)) + CASE WHEN again THEN 1 ELSE 0 END AS amount
+  FROM (SELECT *, o_orderstatus = '{FD.RESENT_STATUS}' AND o_orderpriority = '5-LOW' AS again FROM orders)
+  LEFT JOIN (SELECT l_orderkey, min(l_partkey) AS product_id FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey)"""
+
+
 def ranking(n: int, name: str = "ranking") -> str:
     return f"""{name}_spend AS (
   SELECT customer_id, name, city, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_amount
@@ -351,6 +359,14 @@ ORDER BY o_totalprice DESC, o_orderkey LIMIT 25""",
     "sql_functions": w(CUSTOMER_DIM) + "SELECT customer_id, 'XXXX' AS name, city FROM customer_dim WHERE is_current",
     "fact_refreshed": w(ORDERS_RAW) + f"""SELECT order_id, customer_id, CASE WHEN year = {Q.REFRESH_YEAR} THEN amount + 1 ELSE amount END AS amount,
   order_date, year, month, batch_key FROM clean_orders""",
+    "incremental_recovered": w(FLOW_ORDERS) + f"""SELECT p_type AS category, count(*) AS total_orders, CAST(SUM(amount) AS DOUBLE) AS total_amount,
+  count(DISTINCT p_partkey) AS unique_products, DATE '{FD.AS_OF}' AS update_date
+FROM flow_orders JOIN part ON product_id = p_partkey GROUP BY p_type""",
+    "sales_refreshed": w(CUSTOMER_DIM, FLOW_ORDERS) + f"""SELECT city, count(*) AS total_orders, CAST(SUM(amount) AS DOUBLE) AS total_amount,
+  DATE '{FD.AS_OF}' AS update_date
+FROM flow_orders JOIN customer_dim ON flow_orders.customer_id = customer_dim.customer_id AND is_current
+WHERE NOT ({Q.EMPTIED[0] * 100 + Q.EMPTIED[1]} IN (year(first_date) * 100 + month(first_date), year(order_date) * 100 + month(order_date)))
+GROUP BY city""",
     "compact_partitioned": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS order_date,
        o_orderpriority FROM orders""",
 }
