@@ -19,7 +19,7 @@ from strata.operators import access, asof, checks, gold, joins, layout, merge, o
 from strata.operators import clean as C
 from strata.operators.publish import Progress, publish
 from strata.plans import feeds, flow
-from strata.session import scratch_dir
+from strata.session import delete_path, scratch_dir
 from strata.sources.landing import land
 from strata.sources.tables import table
 from strata.streaming import bronze as B
@@ -33,6 +33,7 @@ STALE_DAY = "2024-01-15"       # broken copy: is_current frozen on this day
 LATE_BATCH = "2024-01-12"      # arrives after all others
 FOLDED_BATCH = "2024-01-20"    # the state was folded here before the late batch came
 REFRESH_YEAR = 1996            # year of the fact that is refreshed
+DROP_YEARS = (1997, 2000)      # first years of the second and third drop
 EMPTIED = (1998, 8)            # month of the fact that loses all its orders
 ANALYST = "data_analysts"
 
@@ -658,6 +659,53 @@ def compact_partitioned(spark, sf):
                        F.to_date("o_orderdate").alias("order_date"), "o_orderpriority")
 
 
+def ingest_manifest(spark, sf):
+    """Orders in three drops, the last micro-batch run twice as if it had ended
+    before its commit: per month, the rows and the epoch that the manifest has for
+    its files, rows whose file it doesn't have, and files it has twice (S-8, Q-5)."""
+    root = scratch_dir(spark, "ingest-manifest")
+    spec = B.SourceSpec("orders", "parquet", f"{root}/landing")
+    args = (f"{root}/bronze", f"{root}/_checkpoint", f"{root}/_schema")
+    rows = _orders_landing(spark, sf)
+    year = F.year("o_orderdate")
+    for drop in (year < DROP_YEARS[0], (year >= DROP_YEARS[0]) & (year < DROP_YEARS[1]), year >= DROP_YEARS[1]):
+        land(rows.filter(drop), spec.path, "parquet", by_batch=True)
+        B.ingest(spark, spec, *args)
+    delete_path(spark, f"{args[1]}/commits/2")
+    B.ingest(spark, spec, *args)
+    files = B.manifest(spark, args[0]).groupBy("file").agg(F.count(F.lit(1)).alias("times"), F.max("epoch").alias("epoch"))
+    # the stream's names are plain, a row's are percent-encoded
+    name = F.regexp_replace(F.url_decode(F.regexp_replace("_source_file", r"\+", "%2B")), r"^file:(//)?/", "file:/")
+    per_file = B.read_bronze(spark, args[0], args[2]).groupBy("batch_key", name.alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+    return (per_file.join(files, "file", "left").groupBy("batch_key")
+            .agg(F.sum("rows").alias("rows_ingested"), F.max("epoch").alias("epoch"),
+                 F.sum(F.when(F.col("times").isNull(), F.col("rows")).otherwise(0)).alias("rows_without_file"),
+                 F.count(F.when(F.col("times") > 1, 1)).alias("files_twice")))
+
+
+def ingest_mixed_case(spark, sf):
+    """Customers as JSON whose keys differ in case between drops and within one,
+    with a dotted and an empty key, and with two spellings in one record (S-1, S-6, S-7)."""
+    c = table(spark, sf, "customer")
+    root = scratch_dir(spark, "ingest-mixed-case")
+    spec = B.SourceSpec("customers", "json", f"{root}/landing")
+    args = (f"{root}/bronze", f"{root}/_checkpoint", f"{root}/_schema")
+    early = F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING")
+
+    def record(*pairs):
+        return F.to_json(F.map_from_entries(F.array(*[F.struct(F.lit(k), v.cast("string")) for k, v in pairs])))
+
+    first = record(("custKey", F.col("c_custkey")), ("c.name", F.col("c_name")), ("", F.col("c_mktsegment")))
+    later = record(("CUSTKEY", F.col("c_custkey")), ("custkey", -F.col("c_custkey")), ("C.Name", F.col("c_name")), ("Balance", F.col("c_acctbal")))
+    for rows, value, batch in ((c.filter(early), first, "1995-01"), (c.filter(~early), later, "1995-02")):
+        rows.select(value.alias("value"), F.lit(batch).alias("batch_key")).write.mode("append").partitionBy("batch_key").text(spec.path)
+        B.ingest(spark, spec, *args)
+    b = B.read_bronze(spark, args[0], args[2])
+    return b.select(F.col("custKey").try_cast("bigint").alias("customer_id"), F.col("`c.name`").alias("name"), F.col("source_").alias("segment"),
+                    F.col("Balance").try_cast("double").alias("balance"),
+                    F.get_json_object("_rescued_data", "$.custkey").try_cast("bigint").alias("other_spelling"), "batch_key")
+
+
 # --- the daily run, and what it is made of --------------------------------------
 
 class _Stopped(Exception):
@@ -797,6 +845,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_functions": sql_functions,
     "fact_refreshed": fact_refreshed,
     "compact_partitioned": compact_partitioned,
+    "ingest_manifest": ingest_manifest,
+    "ingest_mixed_case": ingest_mixed_case,
     "incremental_recovered": incremental_recovered,
     "sales_refreshed": sales_refreshed,
 }

@@ -359,6 +359,13 @@ ORDER BY o_totalprice DESC, o_orderkey LIMIT 25""",
     "sql_functions": w(CUSTOMER_DIM) + "SELECT customer_id, 'XXXX' AS name, city FROM customer_dim WHERE is_current",
     "fact_refreshed": w(ORDERS_RAW) + f"""SELECT order_id, customer_id, CASE WHEN year = {Q.REFRESH_YEAR} THEN amount + 1 ELSE amount END AS amount,
   order_date, year, month, batch_key FROM clean_orders""",
+    "ingest_manifest": f"""SELECT strftime(o_orderdate, '%Y-%m') AS batch_key, count(*) AS rows_ingested,
+  CASE WHEN min(year(o_orderdate)) < {Q.DROP_YEARS[0]} THEN 0 WHEN min(year(o_orderdate)) < {Q.DROP_YEARS[1]} THEN 1 ELSE 2 END AS epoch,
+  0 AS rows_without_file, 0 AS files_twice FROM orders GROUP BY 1""",
+    "ingest_mixed_case": """SELECT c_custkey AS customer_id, c_name AS name, CASE WHEN early THEN c_mktsegment END AS segment,
+  CASE WHEN NOT early THEN c_acctbal END AS balance, CASE WHEN NOT early THEN NULLIF(-c_custkey, c_custkey) END AS other_spelling,
+  CASE WHEN early THEN '1995-01' ELSE '1995-02' END AS batch_key
+FROM (SELECT *, c_mktsegment IN ('AUTOMOBILE', 'BUILDING') AS early FROM customer)""",
     "incremental_recovered": w(FLOW_ORDERS) + f"""SELECT p_type AS category, count(*) AS total_orders, CAST(SUM(amount) AS DOUBLE) AS total_amount,
   count(DISTINCT p_partkey) AS unique_products, DATE '{FD.AS_OF}' AS update_date
 FROM flow_orders JOIN part ON product_id = p_partkey GROUP BY p_type""",

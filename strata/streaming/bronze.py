@@ -2,29 +2,35 @@
 
 One stateless Structured Streaming query per source:
 
-    landing files --(file source)-->
-      every column as text + envelope (_ingestion_ts, _ingestion_date,
-      _source_file, batch_key)
-    --(parquet, partitioned by batch_key, checkpointed)--> bronze
+    landing files --(file source: names, sizes, times)-->
+      each micro-batch's files, read in their format, every column as text
+      + envelope (_ingestion_ts, _ingestion_date, _source_file, batch_key)
+    --(parquet, one directory per epoch, partitioned by batch_key)--> bronze
+    --(one row per file)--> manifest
 
 ``trigger(availableNow=True)`` drains what has landed and stops; the
-checkpoint makes every file count once, so a rerun adds nothing. An executor
-lost mid-batch only re-runs that micro-batch.
+checkpoint makes every file count once, so a rerun adds nothing. A micro-batch
+that is run again (an executor or the driver was lost) overwrites its own epoch
+in bronze and in the manifest. A run looks at the files of its own
+micro-batches only: neither older bronze nor older files are read to find out
+what is new or which columns there are.
 
 Nothing a file holds is lost:
 
-* JSON is read once, as lines, and parsed to a map of its top-level keys
+* JSON is read as lines and parsed to a map of its top-level keys
   (nested values stay JSON text). Keys the schema store knows become columns,
-  all others go to ``_rescued_data`` (a JSON object); after the drain they are
+  all others go to ``_rescued_data`` (a JSON object); after the micro-batch they are
   added to the store, and ``read_bronze`` fills the new columns from there. A
   line that isn't a JSON object is kept in ``_corrupt_record``.
-* CSV is mapped **by header name**: micro-batches go through ``foreachBatch``,
-  files are grouped by their header line and each group is read with its own
+* Names that differ only in case are one column, under the spelling seen first;
+  the store keeps every spelling. Where one record has several with different
+  values, the first spelling's is the column's and the others stay in ``_rescued_data``.
+* CSV is mapped **by header name**: files are grouped by their header line and each group is read with its own
   columns plus ``_corrupt_record``, which keeps the text of lines with too many
   or too few values.
 * Parquet and ORC are read in their own types; the schema store widens a column
   (also inside structs) when newer files carry a wider type or more fields.
-* A source column named like an envelope column is renamed ``source_<name>``.
+* A source column named like an envelope column, or not named at all, is renamed ``source_<name>``.
 """
 
 from __future__ import annotations
@@ -45,8 +51,8 @@ from strata.session import has_data, path_exists
 
 ENVELOPE = ("_ingestion_ts", "_ingestion_date", "_source_file", "batch_key")
 RESCUED, CORRUPT = "_rescued_data", "_corrupt_record"
-#: Columns of ours that a source may also have, in any case; and our partition of CSV micro-batches.
-EPOCH = "_csv_epoch"
+#: Columns of ours that a source may also have, in any case; and our partition of micro-batches.
+EPOCH = "_ingest_epoch"
 _OWN = {c.lower() for c in (*ENVELOPE, RESCUED, CORRUPT, EPOCH)}
 FORMATS = ("json", "parquet", "csv", "orc", "text")
 
@@ -81,46 +87,98 @@ def _store(spark: SparkSession, schema_path: str, schema: T.StructType) -> None:
         .write.mode("overwrite").text(schema_path)
 
 
+SPELLINGS = "spellings"
+
+
+def _spellings(field: T.StructField) -> list[str]:
+    """The names under which files have the column, the first seen first."""
+    return list((field.metadata or {}).get(SPELLINGS, [field.name]))
+
+
+def _spelled(field: T.StructField, more: Iterable[str]) -> T.StructField:
+    known = _spellings(field)
+    new = [n for n in more if n not in known]
+    return T.StructField(field.name, field.dataType, True, {SPELLINGS: [*known, *new]}) if new else field
+
+
 def _strings(names: Iterable[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def _add_names(spark: SparkSession, schema_path: str, names: Iterable[str]) -> None:
-    """Appends text columns that the store lacks, in order of name."""
-    stored = _read_stored(spark, schema_path) or T.StructType([])
-    known = {f.name for f in stored}
-    new = sorted(set(names) - known)
-    if new:
-        _store(spark, schema_path, T.StructType([*stored.fields, *_strings(new).fields]))
+def _with_names(stored: T.StructType, names: Iterable[str]) -> T.StructType:
+    """Adds text columns that are missing, and spellings of ones that aren't."""
+    fields = {f.name.lower(): f for f in stored}
+    for n in sorted(set(names)):
+        old = fields.get(n.lower())
+        fields[n.lower()] = T.StructField(n, T.StringType()) if old is None else _spelled(old, [n])
+    return T.StructType(list(fields.values()))
 
 
-def _norm(c: Column) -> Column:
-    """One spelling per file: ``file:///x`` and ``file:/x`` are the same file."""
-    return F.regexp_replace(c, r"^file:(//)?/", "file:/")
+def _add_names(spark: SparkSession, schema_path: str, names: Iterable[str]) -> T.StructType:
+    """The store with ``names`` added, in order of name."""
+    stored = _read_stored(spark, schema_path)
+    wanted = _with_names(stored or T.StructType([]), names)
+    if stored is None or wanted.json() != stored.json():
+        _store(spark, schema_path, wanted)
+    return wanted
+
 
+def _q(name: str) -> str:
+    """A column name, quoted whole: dots in it are part of it."""
+    return f"`{name.replace('`', '``')}`"
 
-def _reader_path(name: str) -> str:
-    """A file name as Spark reports it (percent-encoded) as a path that a reader
-    takes literally: decoded, with glob characters escaped."""
-    path = unquote(name)
+
+def _literal_path(path: str) -> str:
+    """A path that a reader takes literally: with glob characters escaped."""
     for c in "\\{}[]*?":
         path = path.replace(c, "\\" + c)
     return path
 
 
+def _norm(c: Column) -> Column:
+    """One spelling per file: ``file:///x`` and ``file:/x`` are the same file."""
+    return F.regexp_replace(c, r"^file:(//)?/", "file:/")
+
+
+# ----------------------------------------------------------------------------
+# Manifest
+# ----------------------------------------------------------------------------
+
+FILES = T.StructType([T.StructField("file", T.StringType()), T.StructField("bytes", T.LongType()),
+                      T.StructField("modified", T.TimestampType()), T.StructField("epoch", T.LongType())])
+
+
+def _manifest_path(bronze_path: str) -> str:
+    return f"{bronze_path.rstrip('/')}_files"
+
+
+def manifest(spark: SparkSession, bronze_path: str) -> DataFrame:
+    """One row for each file ingested: (file, bytes, modified, epoch), as the
+    micro-batches wrote them. Files of no bytes hold nothing and aren't listed."""
+    path = _manifest_path(bronze_path)
+    if not has_data(spark, path):
+        return spark.createDataFrame([], FILES)
+    rows = spark.read.schema(T.StructType([*FILES.fields[:3], T.StructField(EPOCH, T.LongType())])).parquet(path)
+    return rows.withColumnRenamed(EPOCH, "epoch")
+
+
+def _landed(reader, spec: SourceSpec) -> DataFrame:
+    """(path, modificationTime, length) of the source's files; none is opened."""
+    chosen = {k: v for k, v in spec.options.items() if k.lower() in ("pathglobfilter", "modifiedafter", "modifiedbefore")}
+    whole = "path string, modificationTime timestamp, length long, content binary"
+    return (reader.format("binaryFile").schema(whole).options(**chosen).option("recursiveFileLookup", "true").load(spec.path)
+            .select("path", "modificationTime", "length"))
+
+
 def new_files(spark: SparkSession, spec: SourceSpec, bronze_path: str | None) -> list[str]:
-    """Landing files not yet in bronze. The landing zone is listed (the text
-    format has a fixed schema, so nothing is read; Spark lists on the driver
-    either way); the comparison with the ingested files is an anti join in
-    Spark, so only the new names come back to the driver."""
+    """Landing files that the manifest doesn't have (a report; the ingest itself
+    knows them from its checkpoint). Only the new names come to the driver."""
     if not path_exists(spark, spec.path):
         return []
-    listed = spark.read.format("text").option("recursiveFileLookup", "true").load(spec.path).inputFiles()
-    if not bronze_path or not listed or not has_data(spark, bronze_path):
-        return list(listed)
-    seen = spark.read.schema("_source_file string").parquet(bronze_path).select(_norm(F.col("_source_file")).alias("_n")).distinct()
-    files = spark.createDataFrame([(f,) for f in listed], "f string").withColumn("_n", _norm(F.col("f")))
-    return [r[0] for r in files.join(seen, "_n", "left_anti").select("f").collect()]
+    files = _landed(spark.read, spec).select(_norm(F.col("path")).alias("file"))
+    if bronze_path:
+        files = files.join(manifest(spark, bronze_path).select("file"), "file", "left_anti")
+    return [r[0] for r in files.collect()]
 
 
 # Native types a column may widen to when later files carry the wider one;
@@ -150,32 +208,33 @@ def _widened(name: str, a: T.DataType, b: T.DataType) -> T.DataType:
 
 
 def _merged(stored: T.StructType, found: T.StructType, prefix: str = "") -> T.StructType:
-    seen = {f.name: f for f in found.fields}
-    kept = [T.StructField(f.name, _widened(prefix + f.name, f.dataType, seen[f.name].dataType)) if f.name in seen else f
-            for f in stored.fields]
-    names = {f.name for f in stored.fields}
-    return T.StructType([*kept, *[f for f in found.fields if f.name not in names]])
-
-
-def evolve_schema(spark: SparkSession, spec: SourceSpec, schema_path: str,
-                  bronze_path: str | None = None) -> T.StructType:
-    """Stored schema of a Parquet or ORC source, widened by the files not yet in
-    ``bronze_path`` (only their footers are read); new columns come last."""
+    seen = {f.name.lower(): f for f in found.fields}
+    kept = []
+    for f in stored.fields:
+        new = seen.get(f.name.lower())
+        kept.append(f if new is None else _spelled(T.StructField(
+            f.name, _widened(prefix + f.name, f.dataType, new.dataType), True, f.metadata), [new.name] if not prefix else []))
+    names = {f.name.lower() for f in stored.fields}
+    return T.StructType([*kept, *[f for f in found.fields if f.name.lower() not in names]])
+
+
+def evolve_schema(spark: SparkSession, spec: SourceSpec, schema_path: str, files: Iterable[str]) -> T.StructType:
+    """Stored schema of a Parquet or ORC source, widened by ``files`` (paths; only
+    their footers are read); new columns come last."""
     stored = _read_stored(spark, schema_path)
-    files = new_files(spark, spec, bronze_path if stored is not None else None)
     merged = stored or T.StructType([])
     reader = spark.read.options(**dict(spec.options)).option("mergeSchema", "true").format(spec.fmt)
-    paths = [_reader_path(f) for f in files]
+    paths = [_literal_path(f) for f in files]
     if paths:
         try:
             found = [reader.load(paths).schema]
         except (PySparkException, Py4JJavaError) as e:
-            if "MERGE_SCHEMA" not in str(e):
+            if "MERGE_SCHEMA" not in str(e) and "COLUMN_ALREADY_EXISTS" not in str(e):
                 raise
             found = [reader.load(f).schema for f in paths]  # files of one drop differ in types: widen over each
         for schema in found:
             merged = _merged(merged, schema)
-    if stored is None or merged != stored:
+    if stored is None or merged.json() != stored.json():
         _store(spark, schema_path, merged)
     return merged
 
@@ -188,15 +247,15 @@ def _as_text(df: DataFrame, c: str) -> Column:
     """A raw column as text: nested values (struct, array, map) as JSON,
     everything else by a plain cast."""
     t = df.schema[c].dataType
-    col = F.col(f"`{c}`")
+    col = F.col(_q(c))
     if isinstance(t, (T.StructType, T.ArrayType, T.MapType)):
         return F.to_json(col)
     return col.cast("string")
 
 
 def source_name(name: str) -> str:
-    """The bronze column of a source column: its name, unless it is one of ours."""
-    return f"source_{name}" if name.lower() in _OWN else name
+    """The bronze column of a source column: its name, unless it is one of ours or empty."""
+    return f"source_{name}" if not name or name.lower() in _OWN else name
 
 
 def _envelope(columns: Mapping[str, Column], df: DataFrame, pattern: str) -> DataFrame:
@@ -210,19 +269,6 @@ def _envelope(columns: Mapping[str, Column], df: DataFrame, pattern: str) -> Dat
     )
 
 
-class Drain:
-    """A started stream and what remains to do when it has ended."""
-
-    def __init__(self, query, after=None):
-        self.query, self._after = query, after
-
-    def awaitTermination(self) -> None:  # noqa: N802  (as a streaming query's)
-        self.query.awaitTermination()
-        if self._after:
-            self._after()
-            self._after = None
-
-
 _MAP = T.MapType(T.StringType(), T.StringType())
 
 
@@ -243,133 +289,116 @@ def _multi_line(spec: SourceSpec) -> bool:
     return any(k.lower() == "multiline" and str(v).lower() == "true" for k, v in spec.options.items())
 
 
-def _json_lines(reader, spec: SourceSpec) -> DataFrame:
-    reader = reader.format("text").option("recursiveFileLookup", "true").option("wholetext", str(_multi_line(spec)).lower())
-    return reader.load(spec.path).select("value", F.col("_metadata.file_path").alias("__file"))
+def _lines(spark: SparkSession, spec: SourceSpec, files: list[str]) -> DataFrame:
+    reader = spark.read.format("text").option("wholetext", str(spec.fmt == "json" and _multi_line(spec)).lower())
+    return reader.load([_literal_path(f) for f in files]).select("value", F.col("_metadata.file_path").alias("__file"),
+                                                                 F.col("_metadata.file_block_start").alias("__block"))
 
 
-def _rescued_names(df: DataFrame) -> list[str]:
-    """Keys found in ``_rescued_data`` (row groups without any are skipped)."""
-    keys = df.filter(F.col(RESCUED).isNotNull()).select(F.explode(F.map_keys(F.from_json(RESCUED, _MAP))).alias("k"))
-    return [r[0] for r in keys.distinct().collect()]
+def _keys(maps: DataFrame, c: str) -> list[str]:
+    return [r[0] for r in maps.select(F.explode(F.map_keys(c)).alias("k")).distinct().collect()]
 
 
-def _ingest_json(spark, spec, bronze_path, checkpoint_path, schema_path, max_files_per_trigger) -> Drain | None:
-    stored = _read_stored(spark, schema_path)
-    if stored is None:
-        if not path_exists(spark, spec.path) or not has_data(spark, spec.path):
-            return None
-        first = _json_rows(_json_lines(spark.read, spec), spec)  # the first run learns the keys from what has landed
-        names = [r[0] for r in first.select(F.explode(F.map_keys("m")).alias("k")).distinct().collect()]
-        _add_names(spark, schema_path, names)
-        stored = _strings(sorted(names))
-        if not names:
-            _store(spark, schema_path, stored)
-    names = [f.name for f in stored]
-    lines = _json_lines(spark.readStream.option("maxFilesPerTrigger", str(max_files_per_trigger)), spec)
-    rows = _json_rows(lines, spec)
-    columns = {source_name(n): F.col("m")[n] for n in names}
-    rest = F.map_filter("m", lambda k, v: ~F.coalesce(F.array_contains(F.lit(names) if names else F.array().cast("array<string>"), k), F.lit(False)))
-    columns[RESCUED] = F.when(F.size(rest) > 0, F.to_json(rest))
-    columns[CORRUPT] = F.when(F.col("m").isNull(), F.col("value"))
-    q = (_envelope(columns, rows, spec.batch_pattern).writeStream.format("parquet")
-         .option("checkpointLocation", checkpoint_path).partitionBy("batch_key")
-         .trigger(availableNow=True).start(bronze_path))
+def _first_spelling(m: Column, spellings: list[str]) -> Column:
+    return m[spellings[0]] if len(spellings) == 1 else F.coalesce(*[m[n] for n in spellings])
 
-    def learn() -> None:
-        if has_data(spark, bronze_path):
-            known = _strings([RESCUED])
-            _add_names(spark, schema_path, _rescued_names(spark.read.schema(known).parquet(bronze_path)))
 
-    return Drain(q, learn)
+def _json_batch(spark: SparkSession, spec: SourceSpec, files: list[str], schema_path: str) -> tuple[dict[str, Column], DataFrame]:
+    rows = _json_rows(_lines(spark, spec, files), spec)
+    stored = _read_stored(spark, schema_path)
+    if stored is None:  # the first files tell the first columns
+        stored = _add_names(spark, schema_path, _keys(rows, "m"))
+    m, known = F.col("m"), [n for f in stored for n in _spellings(f)]
+    columns = {source_name(f.name): _first_spelling(m, _spellings(f)) for f in stored}
+
+    def rescued(k: Column, v: Column) -> Column:
+        unknown = ~F.array_contains(F.lit(known), k) if known else F.lit(True)
+        for f in stored:  # a further spelling beside one that has a value
+            names = _spellings(f)
+            for n in range(1, len(names)):
+                unknown = unknown | ((k == names[n]) & _first_spelling(m, names[:n]).isNotNull())
+        return unknown
+
+    rest = F.map_filter("m", rescued)
+    columns[RESCUED] = F.when(F.size(rest) > 0, F.to_json(rest))
+    columns[CORRUPT] = F.when(m.isNull(), F.col("value"))
+    return columns, rows
 
 
-def _csv_by_header(spark: SparkSession, spec: SourceSpec, lines: DataFrame) -> tuple[DataFrame, list[str]] | None:
-    """Rows of the CSV files behind ``lines`` (a micro-batch of text lines),
-    each file read with its own header; groups unioned by column name."""
-    first = (lines.filter(F.col("__block") == 0)
+def _csv_batch(spark: SparkSession, spec: SourceSpec, files: list[str], schema_path: str) -> tuple[dict[str, Column], DataFrame] | None:
+    """Each file read with its own header; groups of one header unioned by column name."""
+    first = (_lines(spark, spec, files).filter(F.col("__block") == 0)
              .withColumn("__mid", F.monotonically_increasing_id())
              .groupBy("__file").agg(F.min_by("value", "__mid").alias("__header")))
     # one row per file of this micro-batch (bounded by maxFilesPerTrigger)
     by_header: dict[str, list[str]] = {}
     for r in first.collect():
-        by_header.setdefault(r["__header"], []).append(_reader_path(r["__file"]))
+        by_header.setdefault(r["__header"], []).append(_literal_path(unquote(r["__file"])))
     opts = {"header": "true", **dict(spec.options)}
-    parts, names = [], []
-    for files in by_header.values():
-        header = spark.read.options(**opts).csv(files[0]).columns
-        schema = _strings([*header, CORRUPT])
-        g = (spark.read.options(**opts).option("enforceSchema", "true").option("mode", "PERMISSIVE")
-             .option("columnNameOfCorruptRecord", CORRUPT).schema(schema).csv(files))
+    read = []
+    for group in by_header.values():
+        header = spark.read.options(**opts).csv(group[0]).columns
+        rows = (spark.read.options(**opts).option("enforceSchema", "true").option("mode", "PERMISSIVE")
+                .option("columnNameOfCorruptRecord", CORRUPT).schema(_strings([*header, CORRUPT])).csv(group))
+        read.append((header, rows))
+    if not read:
+        return None
+    stored = _add_names(spark, schema_path, [n for header, _ in read for n in header])
+    column = {f.name.lower(): source_name(f.name) for f in stored}
+    out = None
+    for header, rows in read:
         # values of a broken line may stand under the wrong names: only its text is kept
         whole = F.col(CORRUPT).isNull()
-        parts.append(g.select(*[F.when(whole, F.col(f"`{c}`")).alias(source_name(c)) for c in header], CORRUPT,
-                              F.col("_metadata.file_path").alias("__file")))
-        names += header
-    if not parts:
-        return None
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out, names
+        part = rows.select(*[F.when(whole, F.col(_q(c))).alias(column[c.lower()]) for c in header], CORRUPT,
+                           F.col("_metadata.file_path").alias("__file"))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return {c: F.col(_q(c)) for c in out.columns if c != "__file"}, out
 
 
-def ingest(spark: SparkSession, spec: SourceSpec, bronze_path: str, checkpoint_path: str,
-           schema_path: str, max_files_per_trigger: int = 1000, wait: bool = True) -> Drain | None:
-    """Drain new files of ``spec`` into ``bronze_path``; returns the ``Drain``
-    (finished when ``wait``, else to be awaited), or None when nothing has
-    landed yet."""
-    if spec.fmt == "csv":
-        run = _ingest_csv(spark, spec, bronze_path, checkpoint_path, schema_path, max_files_per_trigger)
-    elif spec.fmt == "json":
-        run = _ingest_json(spark, spec, bronze_path, checkpoint_path, schema_path, max_files_per_trigger)
-    else:
-        run = _ingest_native(spark, spec, bronze_path, checkpoint_path, schema_path, max_files_per_trigger)
-    if run is not None and wait:
-        run.awaitTermination()
-    return run
-
-
-def _ingest_native(spark, spec, bronze_path, checkpoint_path, schema_path, max_files_per_trigger) -> Drain | None:
+def _native_batch(spark: SparkSession, spec: SourceSpec, files: list[str], schema_path: str) -> tuple[dict[str, Column], DataFrame]:
     if spec.fmt == "text":
-        schema = _strings(["value"])
-        if not path_exists(spark, spec.path):
-            return None
         _add_names(spark, schema_path, ["value"])
-    else:
-        schema = evolve_schema(spark, spec, schema_path, bronze_path)
-    if not schema.fields:  # nothing landed yet
-        return None
-    src = (spark.readStream.schema(schema).options(**dict(spec.options)).option("recursiveFileLookup", "true")
-           .option("maxFilesPerTrigger", str(max_files_per_trigger)).format(spec.fmt).load(spec.path))
-    columns = {source_name(c): _as_text(src, c) for c in src.columns}
-    df = _envelope(columns, src.withColumn("__file", F.col("_metadata.file_path")), spec.batch_pattern)
-    return Drain(df.writeStream.format("parquet").option("checkpointLocation", checkpoint_path)
-                 .partitionBy("batch_key").trigger(availableNow=True).start(bronze_path))
+        return {"value": F.col("value")}, _lines(spark, spec, files)
+    schema = evolve_schema(spark, spec, schema_path, files)
+    rows = (spark.read.schema(schema).options(**dict(spec.options)).format(spec.fmt).load([_literal_path(f) for f in files])
+            .withColumn("__file", F.col("_metadata.file_path")))
+    return {source_name(f.name): _as_text(rows, f.name) for f in schema}, rows
+
+
+_READERS = {"json": _json_batch, "csv": _csv_batch}
 
 
-def _ingest_csv(spark, spec, bronze_path, checkpoint_path, schema_path, max_files_per_trigger) -> Drain | None:
+def ingest(spark: SparkSession, spec: SourceSpec, bronze_path: str, checkpoint_path: str,
+           schema_path: str, max_files_per_trigger: int = 1000, wait: bool = True):
+    """Drain new files of ``spec`` into ``bronze_path``; returns the streaming
+    query (finished when ``wait``, else to be awaited), or None when the landing
+    zone doesn't exist yet."""
     if not path_exists(spark, spec.path):
         return None
-    lines = (spark.readStream.format("text").option("recursiveFileLookup", "true")
-             .option("maxFilesPerTrigger", str(max_files_per_trigger)).load(spec.path)
-             .select("value", F.col("_metadata.file_path").alias("__file"),
-                     F.col("_metadata.file_block_start").alias("__block")))
+    read = _READERS.get(spec.fmt, _native_batch)
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
-        found = _csv_by_header(spark, spec, batch)
-        if found is None:
+        landed = batch.collect()  # names only, at most max_files_per_trigger
+        if not landed:
             return
-        rows, names = found
-        _add_names(spark, schema_path, names)
-        columns = {c: F.col(f"`{c}`") for c in rows.columns if c != "__file"}
-        # foreachBatch is at-least-once: each epoch owns its directory and a
-        # retry overwrites it, so a replayed micro-batch never duplicates rows.
-        (_envelope(columns, rows, spec.batch_pattern).write.mode("overwrite")
-         .partitionBy("batch_key").parquet(f"{bronze_path}/{EPOCH}={epoch}"))
-
-    return Drain(lines.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_path)
-                 .trigger(availableNow=True).start())
+        found = read(spark, spec, [r["path"] for r in landed], schema_path)
+        here = f"{bronze_path}/{EPOCH}={epoch}"
+        if found is not None:
+            columns, rows = found
+            # foreachBatch is at-least-once: each epoch owns its directories and a
+            # retry overwrites them, so a replayed micro-batch never duplicates rows
+            _envelope(columns, rows, spec.batch_pattern).write.mode("overwrite").partitionBy("batch_key").parquet(here)
+            if spec.fmt == "json" and has_data(spark, here):
+                left = spark.read.schema(_strings([RESCUED])).parquet(here).filter(F.col(RESCUED).isNotNull())
+                _add_names(spark, schema_path, _keys(left.select(F.from_json(RESCUED, _MAP).alias("m")), "m"))
+        (batch.select(_norm(F.col("path")).alias("file"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
+         .coalesce(1).write.mode("overwrite").parquet(f"{_manifest_path(bronze_path)}/{EPOCH}={epoch}"))
+
+    files = _landed(spark.readStream.option("maxFilesPerTrigger", str(max_files_per_trigger)), spec)
+    query = files.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_path).trigger(availableNow=True).start()
+    if wait:
+        query.awaitTermination()
+    return query
 
 
 def bronze_schema(stored: T.StructType) -> T.StructType:
@@ -391,16 +420,18 @@ def read_bronze(spark: SparkSession, bronze_path: str, schema_path: str) -> Data
     if not has_data(spark, bronze_path):
         return spark.createDataFrame([], schema)
     df = spark.read.schema(schema).parquet(bronze_path)
-    df = df.select(*schema.names)  # without our partition of CSV micro-batches
-    names = [f.name for f in stored]
-    if not names:
+    df = df.select(*map(_q, schema.names))  # without our partition of micro-batches
+    if not stored.fields:
         return df
     late = F.from_json(RESCUED, _MAP)
-    rest = F.map_filter(late, lambda k, v: ~F.array_contains(F.lit(names), k))
-    columns = {source_name(n): F.when(F.col(RESCUED).isNull(), F.col(f"`{source_name(n)}`"))
-               .otherwise(F.coalesce(F.col(f"`{source_name(n)}`"), late[n])) for n in names}
+    value = {f.name: F.coalesce(F.col(_q(source_name(f.name))), _first_spelling(late, _spellings(f))) for f in stored}
+    columns = {source_name(f.name): F.when(F.col(RESCUED).isNull(), F.col(_q(source_name(f.name)))).otherwise(value[f.name]) for f in stored}
+    # a key whose value has become its column's is no longer rescued
+    taken = F.create_map(*[c for f in stored for n in _spellings(f) for c in (F.lit(n), value[f.name])])
+    known = F.lit([n for f in stored for n in _spellings(f)])
+    rest = F.map_filter(late, lambda k, v: ~(F.array_contains(known, k) & (v.isNull() | v.eqNullSafe(taken[k]))))
     columns[RESCUED] = F.when(F.col(RESCUED).isNotNull() & (F.size(rest) > 0), F.to_json(rest))
-    return df.withColumns(columns)
+    return df.select(*[columns.get(n, F.col(_q(n))).alias(n) for n in schema.names])
 
 
 def discover_batches(*bronzes: DataFrame, required: bool = False) -> DataFrame:

@@ -205,3 +205,88 @@ def test_shared_root_needs_shared_storage():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_root(Session())
+
+
+def test_names_that_differ_in_case_are_one_column(spark, workdir):
+    folder = f"{workdir}/land"
+    spec = SourceSpec("c", "json", folder)
+    put(folder, "a_2026-01.json", '{"Id": 1, "a.b": "x", "": "none", "t`k": 5}\n{"id": 2, "ID": 3, "Id": null}\n')
+    first = drain(spark, spec, workdir)
+    assert [c for c in first.columns if c.lower() == "id"] == ["ID"]  # in order of name
+    assert sorted(r["ID"] for r in first.collect()) == ["1", "3"]
+    assert [json.loads(r._rescued_data) for r in first.filter("_rescued_data IS NOT NULL").collect()] == [{"id": "2"}]
+    row = first.filter("ID = '1'").first()
+    assert (row["a.b"], row["source_"], row["t`k"]) == ("x", "none", "5")
+    put(folder, "b_2026-02.json", '{"iD": 4, "A.B": "y"}\n{"id": 5, "iD": 6, "new": 1}\n{"id": 7, "iD": 7, "new": null}\n')
+    both = drain(spark, spec, workdir)
+    assert sorted(r["ID"] for r in both.collect()) == ["1", "3", "4", "5", "7"]
+    assert {r["a.b"] for r in both.collect()} == {"x", "y", None}
+    assert sorted(json.loads(r._rescued_data).popitem() for r in both.filter("_rescued_data IS NOT NULL").collect()) == [("iD", "6"), ("id", "2")]
+    put(folder, "c_2026-03.json", '{"id": 8, "iD": 9, "NEW": 2}\n')
+    last = drain(spark, spec, workdir).filter("batch_key = '2026-03'").first()
+    assert (last["ID"], last["new"], json.loads(last._rescued_data)) == ("8", "2", {"iD": "9"})
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc"])
+def test_typed_columns_that_differ_in_case(spark, workdir, fmt):
+    folder = f"{workdir}/land"
+    spark.range(2).selectExpr("id", "'x' AS `a.b`").write.format(fmt).save(f"{folder}/x_2026-01")
+    spec = SourceSpec("t", fmt, folder)
+    assert drain(spark, spec, workdir).count() == 2
+    spark.range(10, 12).selectExpr("CAST(id AS INT) AS ID", "'y' AS `A.b`").write.format(fmt).save(f"{folder}/y_2026-02")
+    got = drain(spark, spec, workdir)
+    assert sorted((r.id, r["a.b"]) for r in got.collect()) == [("0", "x"), ("1", "x"), ("10", "y"), ("11", "y")]
+
+
+def test_csv_headers_that_differ_in_case(spark, workdir):
+    folder = f"{workdir}/land"
+    put(folder, "a_2026-01.csv", "Id,a.b\n1,x\n")
+    put(folder, "b_2026-01.csv", "A.B,id\ny,2\n")
+    got = drain(spark, SourceSpec("c", "csv", folder), workdir)
+    column = {c.lower(): c for c in got.columns}
+    assert sorted((r[column["id"]], r[column["a.b"]]) for r in got.collect()) == [("1", "x"), ("2", "y")]
+
+
+def test_manifest_and_a_retried_micro_batch(spark, workdir):
+    from strata.session import delete_path
+    from strata.streaming.bronze import manifest, new_files
+    folder = f"{workdir}/land"
+    spec = SourceSpec("c", "json", folder)
+    put(folder, "a 2026-01.json", '{"id": 1}\n')
+    put(folder, "empty_2026-01.json", "")
+    drain(spark, spec, workdir)
+    put(folder, "b_2026-02.json", '{"id": 2}\n{"id": 3}\n')
+    assert [n.rpartition("/")[2] for n in new_files(spark, spec, f"{workdir}/b")] == ["b_2026-02.json"]
+    drain(spark, spec, workdir)
+    delete_path(spark, f"{workdir}/c/commits/1")  # as if the run had ended before its commit
+    again = drain(spark, spec, workdir)
+    assert sorted(r.id for r in again.collect()) == ["1", "2", "3"]
+    files = manifest(spark, f"{workdir}/b").collect()
+    assert sorted((r.file.rpartition("/")[2], r.epoch) for r in files) == [("a 2026-01.json", 0), ("b_2026-02.json", 1)]
+    assert all(r.modified is not None for r in files) and sum(r.bytes for r in files) == 30
+
+
+@pytest.mark.parametrize("fmt", ["json", "parquet", "csv"])
+def test_a_run_reads_no_older_bronze_and_no_older_file(spark, workdir, fmt):
+    """Old data that cannot be read doesn't disturb a later drop."""
+    folder = f"{workdir}/land"
+    df = spark.range(3).withColumn("v", F.lit("x")).coalesce(1)
+
+    def drop(month):
+        w = df.write.option("header", "true") if fmt == "csv" else df.write
+        w.format(fmt).save(f"{folder}/batch_key={month}")
+
+    spec, args = SourceSpec("t", fmt, folder), (f"{workdir}/b", f"{workdir}/c", f"{workdir}/s")
+    drop("2026-01")
+    ingest(spark, spec, *args)
+    local = workdir.removeprefix("file:")
+    for top, suffix in ((f"{local}/b", ".parquet"), (f"{local}/land", f".{fmt}")):
+        for d, _, names in os.walk(top):
+            for n in names:
+                if n.endswith(suffix):
+                    os.remove(f"{d}/.{n}.crc")
+                    with open(f"{d}/{n}", "wb") as f:
+                        f.write(b"\x00broken")
+    drop("2026-02")
+    ingest(spark, spec, *args)
+    assert read_bronze(spark, args[0], args[2]).filter("batch_key = '2026-02'").count() == 3
