@@ -23,6 +23,32 @@ from strata.session import delete_path, move_path, names_below, path_exists, rea
 READY = ".ready"
 
 
+class Progress:
+    """What one consumer has applied: a small JSON value, replaced as a whole.
+
+    Every write is a new file, moved into place under the next number; the
+    highest number counts, so a stop leaves the old value or the new one.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def _numbers(self) -> list[int]:
+        return sorted(int(n.removesuffix(".json")) for n in names_below(self.spark, self.path) if n.endswith(".json"))
+
+    def read(self) -> dict:
+        found = self._numbers()
+        return json.loads(read_text(self.spark, f"{self.path}/{found[-1]:08d}.json")) if found else {}
+
+    def write(self, value: Mapping) -> None:
+        found = self._numbers()
+        number = found[-1] + 1 if found else 1
+        write_text(self.spark, f"{self.path}/{number:08d}.tmp", json.dumps(value))
+        move_path(self.spark, f"{self.path}/{number:08d}.tmp", f"{self.path}/{number:08d}.json")
+        for old in found:
+            delete_path(self.spark, f"{self.path}/{old:08d}.json")
+
+
 def _partitions(spark: SparkSession, path: str, depth: int) -> list[str]:
     """Relative directories of the partitions below ``path``."""
     found = [""]
@@ -51,6 +77,8 @@ def _move(spark: SparkSession, path: str) -> None:
                 move_path(spark, f"{ready}/data/{part}", f"{path}/{part}")
         for part in plan["emptied"]:
             delete_path(spark, f"{path}/{part}")
+    if plan["record"]:
+        Progress(spark, plan["record"]["path"]).write(plan["record"]["value"])
     delete_path(spark, f"{ready}/data")
     delete_path(spark, ready)
 
@@ -73,51 +101,28 @@ def read_table(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
 
 
 def publish(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-            replace: Sequence[Mapping[str, object]] | None = None) -> DataFrame:
+            replace: Sequence[Mapping[str, object]] | None = None, record: tuple[Progress, Mapping] | None = None) -> DataFrame:
     """Replaces the table at ``path`` by ``df``, or only the partitions named in
     ``replace`` (values by partition column): those which ``df`` has no rows
     for are removed, and ``df`` must have none of others. Returns the table.
 
-    A table that doesn't exist yet is written whole.
+    A table that doesn't exist yet is written whole. ``record`` is a value that a
+    ``Progress`` gets with the table: after a stop both are new or both are old.
     """
     spark = df.sparkSession
     recover(spark, path)
     data = f"{path}{READY}/data"
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (w.partitionBy(*partition_by) if partition_by else w).parquet(data)
-    plan: dict = {"partitions": None, "emptied": []}
+    plan: dict = {"partitions": None, "emptied": [], "record": None}
+    if record is not None:
+        plan["record"] = {"path": record[0].path, "value": dict(record[1])}
     if replace is not None and path_exists(spark, path):
         there = _partitions(spark, data, len(partition_by))
         wanted = [partition_dir(spark, {c: v[c] for c in partition_by}) for v in replace]
         if not set(there) <= set(wanted):
             raise ValueError(f"rows outside of the partitions to replace: {sorted(set(there) - set(wanted))[:5]}")
-        plan = {"partitions": there, "emptied": sorted(set(wanted) - set(there))}
+        plan |= {"partitions": there, "emptied": sorted(set(wanted) - set(there))}
     write_text(spark, f"{path}{READY}/plan.json", json.dumps(plan))
     _move(spark, path)
     return read_table(spark, path, df)
-
-
-class Progress:
-    """What one consumer has applied: a small JSON value, replaced as a whole.
-
-    Every write is a new file, moved into place under the next number; the
-    highest number counts, so a stop leaves the old value or the new one.
-    """
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
-
-    def _numbers(self) -> list[int]:
-        return sorted(int(n.removesuffix(".json")) for n in names_below(self.spark, self.path) if n.endswith(".json"))
-
-    def read(self) -> dict:
-        found = self._numbers()
-        return json.loads(read_text(self.spark, f"{self.path}/{found[-1]:08d}.json")) if found else {}
-
-    def write(self, value: Mapping) -> None:
-        found = self._numbers()
-        number = found[-1] + 1 if found else 1
-        write_text(self.spark, f"{self.path}/{number:08d}.tmp", json.dumps(value))
-        move_path(self.spark, f"{self.path}/{number:08d}.tmp", f"{self.path}/{number:08d}.json")
-        for old in found:
-            delete_path(self.spark, f"{self.path}/{old:08d}.json")

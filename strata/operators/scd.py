@@ -212,6 +212,11 @@ class _State:
             self.consolidate(done[-1])
 
 
+def image_type(schema: T.StructType, tracked: Sequence[str]) -> T.StructType:
+    """A version's start and tracked values."""
+    return T.StructType([schema["valid_from"], *[schema[c] for c in tracked]])
+
+
 class Scd2State(_State):
     """Per-batch state of one type 2 dimension, as deltas.
 
@@ -260,6 +265,33 @@ class Scd2State(_State):
         closed, current = self._parts(batch)
         return closed.union(current).drop(BATCH, "kind", "opened_in")
 
+    def changes_between(self, after: str | None, upto: str) -> DataFrame:
+        """What the batches in (after, upto] did to each key, net: one row per key
+        with ``change`` (insert, update or delete) and the images before and
+        after (``old_<c>`` / ``new_<c>`` of the tracked columns, their ``valid_from``).
+
+        A key whose last version has the tracked values of its first again (A, B, A) has
+        no row. Only those batches' partitions are read: a version that was
+        current at ``after`` and isn't any more was closed in one of them, with
+        its values, and one that is new was opened in one.
+        """
+        schema = self._stored_schema()
+        d = self._changes(schema, upto, after)
+        image = F.struct("valid_from", *self.tracked)
+        opened_before = F.lit(False) if after is None else F.col("opened_in") <= after
+        ended = d.filter("kind = 'closed'").select(*self.keys, "opened_in", F.lit(True).alias("_ended"))
+        # one version per key and batch: an opened one stands unless it was closed since
+        opened = d.filter("kind = 'opened'").join(ended, [*self.keys, "opened_in"], "left").filter("_ended IS NULL")
+        old = d.filter("kind = 'closed'").filter(opened_before).select(*self.keys, image.alias("_old"), F.lit(None).cast(image_type(schema, self.tracked)).alias("_new"))
+        new = opened.select(*self.keys, F.lit(None).cast(image_type(schema, self.tracked)).alias("_old"), image.alias("_new"))
+        net = old.unionByName(new).groupBy(*self.keys).agg(F.max("_old").alias("_old"), F.max("_new").alias("_new"))
+        same = F.struct(*[F.col(f"_old.{c}") for c in self.tracked]).eqNullSafe(F.struct(*[F.col(f"_new.{c}") for c in self.tracked]))
+        change = F.when(F.col("_old").isNull(), "insert").when(F.col("_new").isNull(), "delete").when(~same, "update")
+        return net.withColumn("change", change).filter("change IS NOT NULL").select(
+            *self.keys, "change", *[F.col(f"_old.{c}").alias(f"old_{c}") for c in self.tracked],
+            *[F.col(f"_new.{c}").alias(f"new_{c}") for c in self.tracked],
+            F.col("_old.valid_from").alias("old_valid_from"), F.col("_new.valid_from").alias("new_valid_from"))
+
     def consolidate(self, batch: str) -> None:
         """Folds everything up to ``batch`` into one base, so that reads stop
         listing one small directory per old batch. Batch directories stay

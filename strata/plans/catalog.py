@@ -9,8 +9,10 @@ under the session's shared checkpoint folder and return what they read back.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,7 @@ from strata.session import delete_path, scratch_dir
 from strata.sources.landing import land
 from strata.sources.tables import table
 from strata.streaming import bronze as B
+from strata.streaming.sink import StateSink
 
 # Query parameters (dates inside the 30 days that `events` covers).
 AS_OF_DATE = "2024-01-15"      # state of every user on this day
@@ -706,6 +709,74 @@ def ingest_mixed_case(spark, sf):
                     F.get_json_object("_rescued_data", "$.custkey").try_cast("bigint").alias("other_spelling"), "batch_key")
 
 
+# --- state that changes in place, streams, co-located tables ---------------------
+
+def upsert_buckets(spark, sf):
+    """Type 1 state of every user up to a day in hash buckets, then the later days
+    merged in one by one, each recorded; the last one is sent twice (D-1)."""
+    staged = feeds.staged_users(spark, sf).persist()
+    table_ = merge.BucketedTable(spark, scratch_dir(spark, "upsert-buckets"), ["user_id"], buckets=16)
+    cols = ["user_id", "event_type", "update_date", "n_updates"]
+    first = scd.scd1(staged.filter(F.col("batch_key") <= UPSERT_SPLIT), ["user_id"], ["event_type"], "event_date")
+    table_.create(first.withColumn("n_updates", F.lit(0).cast("long")).select(*cols))
+    days = [r[0] for r in staged.select("batch_key").distinct().filter(F.col("batch_key") > UPSERT_SPLIT).orderBy("batch_key").collect()]
+    days = [days[:len(days) // 2], days[len(days) // 2:]]
+    for epoch, part in ((0, days[0]), (1, days[1]), (1, days[1])):
+        late = staged.filter(F.col("batch_key").isin(part))
+        source = scd.scd1(late, ["user_id"], ["event_type"], "event_date").select("user_id", "event_type", "update_date")
+        table_.upsert(source, {"event_type": "source.event_type", "update_date": "source.update_date", "n_updates": "target.n_updates + 1"},
+                      {"user_id": "source.user_id", "event_type": "source.event_type", "update_date": "source.update_date", "n_updates": "0L"}, epoch)
+    staged.unpersist()
+    return table_.rows()
+
+
+def net_changes(spark, sf):
+    """Each user's net change between two batches, with both images; read from the
+    deltas of the batches in between only (H-5)."""
+    staged, state = _staged_state(spark, sf, "net-changes")
+    batches = [r[0] for r in staged.select("batch_key").distinct().orderBy("batch_key").collect()]
+    scd.replay(spark, staged, batches, state)
+    return state.changes_between(AS_OF_BATCH, CHANGE_BATCH)
+
+
+def stream_history(spark, sf):
+    """Events streamed straight into the users' versioned state in three drops; the
+    second is stopped between applying it and its record, and run again (T-1, D-5)."""
+    root = scratch_dir(spark, "stream-history")
+    events = feeds.user_feed(spark, sf)
+    state = scd.Scd2State(spark, f"{root}/state", feeds.USER_KEYS, feeds.USER_TRACKED, feeds.USER_EFFECTIVE)
+    schema = events.drop("batch_key").schema
+
+    def stage(rows):
+        return C.dedup_latest(rows, ["user_id", "batch_key"], ["ts", "event_id"]).select("user_id", "batch_key", "event_id", "event_type", "event_date")
+
+    def stop(epoch):
+        raise _Stopped(epoch)
+
+    third = F.pmod(F.col("event_id"), F.lit(3))  # every day comes in parts
+    for drop in range(3):
+        land(events.filter(third == drop), f"{root}/landing", "parquet", by_batch=True)
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{root}/landing")
+        stream = stream.withColumn("batch_key", F.date_format("ts", "yyyy-MM-dd"))
+        if drop == 1:
+            try:
+                StateSink(spark, f"{root}/sink", state, stage, on_apply=stop).drain(stream, f"{root}/checkpoint")
+            except StreamingQueryException:
+                pass
+        StateSink(spark, f"{root}/sink", state, stage).drain(stream, f"{root}/checkpoint")
+    return state.history_at(state.applied()[-1]).select("user_id", "event_type", "valid_from", "valid_to", "is_current")
+
+
+def join_bucketed(spark, sf):
+    """Current customers and their orders from tables bucketed alike: no shuffle
+    of either side (J-1, S-13)."""
+    root, name = scratch_dir(spark, "join-bucketed"), f"strata_{uuid.uuid4().hex[:12]}"
+    dim, fact = _join_sides(spark, sf)
+    d = layout.write_bucketed(dim, f"{name}_dim", f"{root}/dim", ["customer_id"], 8)
+    f = layout.write_bucketed(fact, f"{name}_fact", f"{root}/fact", ["customer_id"], 8)
+    return f.hint("merge").join(d, "customer_id").select("customer_id", "name", "city", "order_id", "amount")
+
+
 # --- the daily run, and what it is made of --------------------------------------
 
 class _Stopped(Exception):
@@ -845,6 +916,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_functions": sql_functions,
     "fact_refreshed": fact_refreshed,
     "compact_partitioned": compact_partitioned,
+    "upsert_buckets": upsert_buckets,
+    "net_changes": net_changes,
+    "stream_history": stream_history,
+    "join_bucketed": join_bucketed,
     "ingest_manifest": ingest_manifest,
     "ingest_mixed_case": ingest_mixed_case,
     "incremental_recovered": incremental_recovered,

@@ -359,6 +359,20 @@ ORDER BY o_totalprice DESC, o_orderkey LIMIT 25""",
     "sql_functions": w(CUSTOMER_DIM) + "SELECT customer_id, 'XXXX' AS name, city FROM customer_dim WHERE is_current",
     "fact_refreshed": w(ORDERS_RAW) + f"""SELECT order_id, customer_id, CASE WHEN year = {Q.REFRESH_YEAR} THEN amount + 1 ELSE amount END AS amount,
   order_date, year, month, batch_key FROM clean_orders""",
+    "upsert_buckets": w(USERS) + f"""SELECT user_id, max_by(event_type, batch_key) AS event_type, max_by(event_date, batch_key) AS update_date,
+  count(DISTINCT part) - 1 AS n_updates FROM (
+  SELECT *, CASE WHEN batch_key <= '{Q.UPSERT_SPLIT}' THEN 0 WHEN day_number <= days // 2 THEN 1 ELSE 2 END AS part FROM staged_users
+  LEFT JOIN (SELECT batch_key, row_number() OVER (ORDER BY batch_key) AS day_number, count(*) OVER () AS days
+             FROM (SELECT DISTINCT batch_key FROM staged_users WHERE batch_key > '{Q.UPSERT_SPLIT}')) USING (batch_key))
+GROUP BY user_id""",
+    "net_changes": w(USERS, user_history()) + f"""SELECT coalesce(a.user_id, b.user_id) AS user_id, CASE WHEN a.user_id IS NULL THEN 'insert' ELSE 'update' END AS change,
+  a.event_type AS old_event_type, b.event_type AS new_event_type, a.valid_from AS old_valid_from, b.valid_from AS new_valid_from
+FROM (SELECT * FROM user_history WHERE valid_from <= DATE '{Q.AS_OF_BATCH}' AND coalesce(valid_to > DATE '{Q.AS_OF_BATCH}', true)) a
+FULL JOIN (SELECT * FROM user_history WHERE valid_from <= DATE '{Q.CHANGE_BATCH}' AND coalesce(valid_to > DATE '{Q.CHANGE_BATCH}', true)) b
+  ON a.user_id = b.user_id WHERE a.event_type IS DISTINCT FROM b.event_type""",
+    "stream_history": w(USERS, user_history()) + "SELECT * FROM user_history",
+    "join_bucketed": w(JOIN_SIDES) + """SELECT f.customer_id, d.name, d.city, f.order_id, f.amount
+FROM dim d JOIN fact f ON d.customer_id = f.customer_id""",
     "ingest_manifest": f"""SELECT strftime(o_orderdate, '%Y-%m') AS batch_key, count(*) AS rows_ingested,
   CASE WHEN min(year(o_orderdate)) < {Q.DROP_YEARS[0]} THEN 0 WHEN min(year(o_orderdate)) < {Q.DROP_YEARS[1]} THEN 1 ELSE 2 END AS epoch,
   0 AS rows_without_file, 0 AS files_twice FROM orders GROUP BY 1""",
