@@ -3,10 +3,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import basename
@@ -22,6 +23,16 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
                    .select(F.lit(name).alias("table_name"), "rows") for name, df in tables.items()])
 
 
+def write_observed(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> dict[str, int]:
+    """Writes ``df`` and returns, out of the same pass over it, its rows and each
+    column's NULLs (``rows``, ``nulls_<column>``): no second scan to count."""
+    seen = Observation(f"write_{uuid.uuid4().hex[:12]}")
+    nulls = [F.count(F.when(F.col(f"`{c}`").isNull(), 1)).alias(f"nulls_{c}") for c in df.columns]
+    w = df.observe(seen, F.count(F.lit(1)).alias("rows"), *nulls).write.mode("overwrite")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+    return dict(seen.get)
+
+
 def current_version_violations(dims: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """Keys without exactly one current version (more than one, or none).
     Keys are reported as strings so integer and string keys can be unioned."""

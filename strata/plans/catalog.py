@@ -16,12 +16,14 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions import variants
 from strata.functions.columns import batch_key_of, business_date, valid_on
 from strata.operators import access, asof, checks, gold, joins, layout, merge, ordered, scd
 from strata.operators import clean as C
 from strata.operators.publish import Progress, publish
 from strata.plans import feeds, flow
 from strata.session import delete_path, scratch_dir
+from strata.sources import schemas
 from strata.sources.landing import land
 from strata.sources.tables import table
 from strata.streaming import bronze as B
@@ -37,6 +39,7 @@ LATE_BATCH = "2024-01-12"      # arrives after all others
 FOLDED_BATCH = "2024-01-20"    # the state was folded here before the late batch came
 REFRESH_YEAR = 1996            # year of the fact that is refreshed
 DROP_YEARS = (1997, 2000)      # first years of the second and third drop
+RETENTION_START, RETENTION_END, RETENTION_DAYS = "2024-01-20", "2024-03-01", 20
 EMPTIED = (1998, 8)            # month of the fact that loses all its orders
 ANALYST = "data_analysts"
 
@@ -709,6 +712,87 @@ def ingest_mixed_case(spark, sf):
                     F.get_json_object("_rescued_data", "$.custkey").try_cast("bigint").alias("other_spelling"), "batch_key")
 
 
+def ingest_variant(spark, sf):
+    """Customers as JSON records kept whole: keys that differ in case, a dotted
+    and an empty key, and a value whose type changes between drops (S-6, S-7)."""
+    c = table(spark, sf, "customer")
+    root = scratch_dir(spark, "ingest-variant")
+    spec = B.SourceSpec("customers", "json", f"{root}/landing", {"singleVariantColumn": "record"})
+    args = (f"{root}/bronze", f"{root}/_checkpoint", f"{root}/_schema")
+    early = F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING")
+    quoted = F.to_json(F.struct(F.col("c_name").alias("n")))  # a JSON string, taken out of its object
+    name = F.expr("substring(q, 6, length(q) - 6)")
+    first = F.format_string('{"Key": %d, "c.name": %s, "": "none", "balance": %d}', "c_custkey", name, F.round("c_acctbal").cast("bigint"))
+    later = F.format_string('{"KEY": "%d", "C.Name": %s, "balance": %s}', "c_custkey", name,
+                            F.when(F.col("c_mktsegment") == "MACHINERY", '{"amount": 1}').otherwise(
+                                F.concat(F.lit('"'), F.col("c_acctbal").cast("decimal(12,2)").cast("string"), F.lit('"'))))
+    for rows, value, batch in ((c.filter(early), first, "1995-01"), (c.filter(~early), later, "1995-02")):
+        (rows.withColumn("q", quoted).select(value.alias("value"), F.lit(batch).alias("batch_key"))
+         .write.mode("append").partitionBy("batch_key").text(spec.path))
+        B.ingest(spark, spec, *args)
+    whole = B.read_bronze(spark, args[0], args[2])
+    types = {"key": "bigint", "c.name": "string", "": "string", "balance": "double"}
+    b = variants.fields(whole, "record", types).toDF(*whole.columns, "customer_id", "name", "unnamed", "balance", "unfit")
+    upper = F.startswith(F.schema_of_variant("record"), F.lit("OBJECT<C.Name")) | F.startswith(F.schema_of_variant("record"), F.lit("OBJECT<`C.Name"))
+    return b.select("customer_id", "name", "unnamed", "balance", F.array_join("unfit", ",").alias("unfit"), upper.alias("upper_keys"), "batch_key")
+
+
+def ingest_csv_options(spark, sf):
+    """Parts as CSV with another separator and quote and values over two lines,
+    typed by SQL expressions, old ones filtered by age and day (S-5, P-2, X-12)."""
+    root = scratch_dir(spark, "ingest-csv-options")
+    p = table(spark, sf, "part")
+    landed = p.select("p_partkey", F.concat_ws("\n", "p_name", "p_brand").alias("label"),
+                      F.concat(F.lit("a;b'"), F.col("p_size").cast("string")).alias("note"),
+                      F.date_add(F.lit(RETENTION_START).cast("date"), F.col("p_size")).alias("seen"), F.lit("1995-01").alias("batch_key"))
+    landed.write.partitionBy("batch_key").options(header=True, sep=";", quote="'", escape="'").csv(f"{root}/landing")
+    spec = B.SourceSpec("parts", "csv", f"{root}/landing", {"sep": ";", "quote": "'", "escape": "'", "multiLine": "true"})
+    B.ingest(spark, spec, f"{root}/bronze", f"{root}/_checkpoint", f"{root}/_schema")
+    typed = C.typed(B.read_bronze(spark, f"{root}/bronze", f"{root}/_schema"), [
+        "TRY_CAST(p_partkey AS BIGINT) AS p_partkey", "split(label, '\n')[0] AS p_name", "split(label, '\n')[1] AS p_brand", "note",
+        "TRY_TO_DATE(seen) AS seen"])
+    # kept for RETENTION_DAYS, and for good if seen on the first ten days of a month
+    kept = (F.date_add("seen", RETENTION_DAYS) >= F.lit(RETENTION_END).cast("date")) | (F.dayofmonth("seen") <= 10)
+    return typed.filter(kept).withColumn("expires", F.date_add("seen", RETENTION_DAYS))
+
+
+def write_metrics(spark, sf):
+    """Rows and NULLs per column of three tables, out of their writes (A-9, Q-1)."""
+    root = scratch_dir(spark, "write-metrics")
+    good, bad = _clean_orders(spark, sf)
+    tables = {"fact_orders": good, "rejects_orders": bad, "dim_customers": feeds.customer_dim(spark, sf)}
+    rows = [(name, metric, n) for name, df in tables.items() for metric, n in checks.write_observed(df, f"{root}/{name}").items()]
+    return spark.createDataFrame(rows, "table_name string, metric string, value long")
+
+
+def schema_report(spark, sf):
+    """Tables written under older schemas against the declared ones: each column's
+    status, and how many of the values read as declared are not NULL (S-15)."""
+    root = scratch_dir(spark, "schema-report")
+    o, c = table(spark, sf, "orders"), table(spark, sf, "customer")
+    day = F.to_date("o_orderdate")
+    older = {
+        "fact_orders": o.select(F.col("o_orderkey").cast("int").alias("ORDER_ID"), F.col("o_custkey").cast("string").alias("customer_id"),
+                                F.col("o_totalprice").cast("string").alias("amount"), day.alias("order_date"),
+                                F.year(day).alias("year"), F.month(day).alias("month"), "o_orderpriority"),
+        "dim_customers_type1": c.select(F.col("c_custkey").cast("int").alias("customer_id"), F.col("c_name").alias("name"),
+                                        F.when(F.col("c_mktsegment") == "BUILDING", "1995-02-31").otherwise("1995-02-01").alias("update_date")),
+    }
+    out = None
+    for name, df in older.items():
+        declared, parts = schemas.SCHEMAS[name]
+        df.write.parquet(f"{root}/{name}")
+        schemas.ensure_table(spark, f"{root}/{name}", declared, parts)  # exists: left alone
+        there = spark.read.parquet(f"{root}/{name}")
+        report = spark.createDataFrame(schemas.compare_schema(there.schema, declared), "column_name string, status string, was string, declared string")
+        back = schemas.as_declared(there, declared)
+        filled = back.agg(*[F.count(f.name).alias(f.name) for f in declared]).select(
+            F.explode(F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.col(f.name).alias("filled")) for f in declared])).alias("f")).select("f.*")
+        one = report.join(filled, "column_name", "left").select(F.lit(name).alias("table_name"), "column_name", "status", "was", "declared", "filled")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # --- state that changes in place, streams, co-located tables ---------------------
 
 def upsert_buckets(spark, sf):
@@ -916,6 +1000,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_functions": sql_functions,
     "fact_refreshed": fact_refreshed,
     "compact_partitioned": compact_partitioned,
+    "ingest_variant": ingest_variant,
+    "ingest_csv_options": ingest_csv_options,
+    "write_metrics": write_metrics,
+    "schema_report": schema_report,
     "upsert_buckets": upsert_buckets,
     "net_changes": net_changes,
     "stream_history": stream_history,

@@ -161,6 +161,11 @@ BROKEN_DOUBLE = (user_history("h_full") + ",\n" + user_history("h_early", f"WHER
                  + """,
 double_loaded AS (SELECT * FROM h_full UNION ALL SELECT * FROM h_early)""")
 
+def _metrics(name: str, source: str, columns: str) -> str:
+    counts = [("rows", "count(*)"), *[(f"nulls_{c}", f"count(*) FILTER ({c} IS NULL)") for c in columns.split()]]
+    return "\nUNION ALL ".join(f"SELECT '{name}' AS table_name, '{m}' AS metric, {e} AS value FROM {source}" for m, e in counts)
+
+
 ORACLE: dict[str, str] = {
     "pit_revenue_by_type": w(PART_FEED, PART_HISTORY) + """
 SELECT h.category, count(*) AS lines, SUM(l_quantity) AS quantity,
@@ -359,6 +364,31 @@ ORDER BY o_totalprice DESC, o_orderkey LIMIT 25""",
     "sql_functions": w(CUSTOMER_DIM) + "SELECT customer_id, 'XXXX' AS name, city FROM customer_dim WHERE is_current",
     "fact_refreshed": w(ORDERS_RAW) + f"""SELECT order_id, customer_id, CASE WHEN year = {Q.REFRESH_YEAR} THEN amount + 1 ELSE amount END AS amount,
   order_date, year, month, batch_key FROM clean_orders""",
+    "ingest_variant": """SELECT c_custkey AS customer_id, c_name AS name, CASE WHEN early THEN 'none' END AS unnamed,
+  CASE WHEN early THEN round(c_acctbal) WHEN c_mktsegment <> 'MACHINERY' THEN c_acctbal END AS balance,
+  CASE WHEN c_mktsegment = 'MACHINERY' THEN 'balance' ELSE '' END AS unfit, NOT early AS upper_keys,
+  CASE WHEN early THEN '1995-01' ELSE '1995-02' END AS batch_key
+FROM (SELECT *, c_mktsegment IN ('AUTOMOBILE', 'BUILDING') AS early FROM customer)""",
+    "ingest_csv_options": f"""SELECT p_partkey, p_name, p_brand, 'a;b' || chr(39) || p_size AS note, seen,
+  CAST(seen + INTERVAL {Q.RETENTION_DAYS} DAY AS DATE) AS expires
+FROM (SELECT *, CAST(DATE '{Q.RETENTION_START}' + p_size::INT AS DATE) AS seen FROM part)
+WHERE seen + INTERVAL {Q.RETENTION_DAYS} DAY >= DATE '{Q.RETENTION_END}' OR day(seen) <= 10""",
+    "write_metrics": w(ORDERS_RAW, CUSTOMER_DIM) + _metrics("fact_orders", "clean_orders", "order_id customer_id amount order_date year month batch_key")
+    + " UNION ALL " + _metrics("rejects_orders", "rejects_orders", "order_id batch_key reject_reason")
+    + " UNION ALL " + _metrics("dim_customers", "customer_dim", "customer_id name city segment valid_from valid_to is_current"),
+    "schema_report": """SELECT table_name, column_name, status, was, declared,
+  CASE status WHEN 'added' THEN 0 WHEN 'extra' THEN NULL ELSE CASE WHEN column_name = 'update_date' THEN n - b ELSE n END END AS filled
+FROM (VALUES
+  ('fact_orders', 'order_id', 'widened', 'int', 'bigint'), ('fact_orders', 'customer_id', 'conflict', 'string', 'bigint'),
+  ('fact_orders', 'product_id', 'added', NULL, 'string'), ('fact_orders', 'amount', 'conflict', 'string', 'double'),
+  ('fact_orders', 'order_date', 'same', 'date', 'date'), ('fact_orders', 'batch_key', 'added', NULL, 'string'),
+  ('fact_orders', 'year', 'same', 'int', 'int'), ('fact_orders', 'month', 'same', 'int', 'int'),
+  ('fact_orders', 'o_orderpriority', 'extra', 'string', NULL),
+  ('dim_customers_type1', 'customer_id', 'widened', 'int', 'bigint'), ('dim_customers_type1', 'name', 'same', 'string', 'string'),
+  ('dim_customers_type1', 'city', 'added', NULL, 'string'), ('dim_customers_type1', 'update_date', 'conflict', 'string', 'date')
+) t(table_name, column_name, status, was, declared)
+JOIN (SELECT 'fact_orders' AS table_name, count(*) AS n, 0 AS b FROM orders
+      UNION ALL SELECT 'dim_customers_type1', count(*), count(*) FILTER (c_mktsegment = 'BUILDING') FROM customer) USING (table_name)""",
     "upsert_buckets": w(USERS) + f"""SELECT user_id, max_by(event_type, batch_key) AS event_type, max_by(event_date, batch_key) AS update_date,
   count(DISTINCT part) - 1 AS n_updates FROM (
   SELECT *, CASE WHEN batch_key <= '{Q.UPSERT_SPLIT}' THEN 0 WHEN day_number <= days // 2 THEN 1 ELSE 2 END AS part FROM staged_users

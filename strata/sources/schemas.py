@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.session import path_exists
@@ -66,6 +67,38 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType,
     return True
 
 
+# Types that an existing table's column can be read as without losing anything.
+_WIDENS = {("int", "bigint"), ("smallint", "int"), ("smallint", "bigint"), ("tinyint", "smallint"), ("tinyint", "int"),
+           ("tinyint", "bigint"), ("float", "double"), ("int", "double"), ("smallint", "double")}
+
+
+def compare_schema(existing: T.StructType, declared: T.StructType) -> list[tuple[str, str, str | None, str | None]]:
+    """(column, status, existing type, declared type) in the declared order, then
+    the table's own: ``same``, ``widened`` (can be read as declared), ``conflict``
+    (cannot), ``added`` (declared only: NULL when read), ``extra`` (the table's only).
+    Names are compared without case, as Spark does."""
+    old = {f.name.lower(): f for f in existing}
+    out = []
+    for f in declared:
+        there = old.pop(f.name.lower(), None)
+        new = f.dataType.simpleString()
+        if there is None:
+            out.append((f.name, "added", None, new))
+        else:
+            was = there.dataType.simpleString()
+            out.append((f.name, "same" if was == new else "widened" if (was, new) in _WIDENS else "conflict", was, new))
+    return out + [(f.name, "extra", f.dataType.simpleString(), None) for f in old.values()]
+
+
+def as_declared(df: DataFrame, declared: T.StructType) -> DataFrame:
+    """A table's rows under the declared schema: missing columns are NULL, wider
+    types are cast, conflicting values are ``try_cast`` (NULL where they don't fit),
+    further columns are left out."""
+    there = {c.lower(): c for c in df.columns}
+    return df.select(*[(F.col(f"`{there[f.name.lower()]}`").try_cast(f.dataType) if f.name.lower() in there
+                        else F.lit(None).cast(f.dataType)).alias(f.name) for f in declared])
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A table with its declared schema, empty or not."""
     return spark.read.schema(schema).parquet(path).select(*schema.names)

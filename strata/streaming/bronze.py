@@ -25,6 +25,9 @@ Nothing a file holds is lost:
 * Names that differ only in case are one column, under the spelling seen first;
   the store keeps every spelling. Where one record has several with different
   values, the first spelling's is the column's and the others stay in ``_rescued_data``.
+* With the option ``singleVariantColumn`` a JSON record is kept whole, as VARIANT,
+  in the column that it names: keys keep their case, numbers their type, and new
+  keys need no new columns (``functions.variants`` takes typed columns from it).
 * CSV is mapped **by header name**: files are grouped by their header line and each group is read with its own
   columns plus ``_corrupt_record``, which keeps the text of lines with too many
   or too few values.
@@ -47,6 +50,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.columns import BATCH_KEY_PATTERN, batch_key_of
+from strata.functions.variants import parsed
 from strata.session import has_data, path_exists
 
 ENVELOPE = ("_ingestion_ts", "_ingestion_date", "_source_file", "batch_key")
@@ -285,6 +289,11 @@ def _json_rows(lines: DataFrame, spec: SourceSpec) -> DataFrame:
     return lines.withColumn("m", F.explode(whole))
 
 
+def _whole_record(spec: SourceSpec) -> str | None:
+    """The column that keeps whole records as VARIANT, if the source wants one."""
+    return next((str(v) for k, v in spec.options.items() if k.lower() == "singlevariantcolumn"), None)
+
+
 def _multi_line(spec: SourceSpec) -> bool:
     return any(k.lower() == "multiline" and str(v).lower() == "true" for k, v in spec.options.items())
 
@@ -304,6 +313,14 @@ def _first_spelling(m: Column, spellings: list[str]) -> Column:
 
 
 def _json_batch(spark: SparkSession, spec: SourceSpec, files: list[str], schema_path: str) -> tuple[dict[str, Column], DataFrame]:
+    whole = _whole_record(spec)
+    if whole is not None:
+        lines = _lines(spark, spec, files).filter(F.trim("value") != "")
+        if _read_stored(spark, schema_path) is None:
+            _store(spark, schema_path, T.StructType([T.StructField(whole, T.VariantType())]))
+        record = parsed("value")
+        return {source_name(whole): record, RESCUED: F.lit(None).cast("string"),
+                CORRUPT: F.when(record.isNull(), F.col("value"))}, lines
     rows = _json_rows(_lines(spark, spec, files), spec)
     stored = _read_stored(spark, schema_path)
     if stored is None:  # the first files tell the first columns
@@ -388,7 +405,7 @@ def ingest(spark: SparkSession, spec: SourceSpec, bronze_path: str, checkpoint_p
             # foreachBatch is at-least-once: each epoch owns its directories and a
             # retry overwrites them, so a replayed micro-batch never duplicates rows
             _envelope(columns, rows, spec.batch_pattern).write.mode("overwrite").partitionBy("batch_key").parquet(here)
-            if spec.fmt == "json" and has_data(spark, here):
+            if spec.fmt == "json" and _whole_record(spec) is None and has_data(spark, here):
                 left = spark.read.schema(_strings([RESCUED])).parquet(here).filter(F.col(RESCUED).isNotNull())
                 _add_names(spark, schema_path, _keys(left.select(F.from_json(RESCUED, _MAP).alias("m")), "m"))
         (batch.select(_norm(F.col("path")).alias("file"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
@@ -402,10 +419,10 @@ def ingest(spark: SparkSession, spec: SourceSpec, bronze_path: str, checkpoint_p
 
 
 def bronze_schema(stored: T.StructType) -> T.StructType:
-    """The bronze columns of a source with the stored schema: all text."""
+    """The bronze columns of a source with the stored schema: all text, but for whole records."""
     own = [("_ingestion_ts", T.TimestampType()), ("_ingestion_date", T.DateType()), ("_source_file", T.StringType()),
            (RESCUED, T.StringType()), (CORRUPT, T.StringType()), ("batch_key", T.StringType())]
-    data = _strings(source_name(f.name) for f in stored).fields
+    data = [T.StructField(source_name(f.name), f.dataType if isinstance(f.dataType, T.VariantType) else T.StringType()) for f in stored]
     return T.StructType([*data, *[T.StructField(n, t) for n, t in own]])
 
 
@@ -421,7 +438,7 @@ def read_bronze(spark: SparkSession, bronze_path: str, schema_path: str) -> Data
         return spark.createDataFrame([], schema)
     df = spark.read.schema(schema).parquet(bronze_path)
     df = df.select(*map(_q, schema.names))  # without our partition of micro-batches
-    if not stored.fields:
+    if not stored.fields or any(isinstance(f.dataType, T.VariantType) for f in stored):
         return df
     late = F.from_json(RESCUED, _MAP)
     value = {f.name: F.coalesce(F.col(_q(source_name(f.name))), _first_spelling(late, _spellings(f))) for f in stored}
