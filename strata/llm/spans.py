@@ -84,51 +84,116 @@ def _runs(found: list[tuple[int, int, list[bytes]]], run: int, least: int, grow:
     return {(k, n): xxhash.xxh3_128_digest(b"".join(own[k:k + n])) for k, n in sorted(spans)}
 
 
-def _hashed(run: int, least: int, grow: bool):
+#: Bytes of text behind one bucket of hashes, and hashes that a task holds before it sends them.
+BUCKET_BYTES, HELD = 8_000_000, 300_000
+LISTED = "bucket long, ids binary, places binary, keys binary, doc long, sign long, gone binary"
+GONE = "doc long, sign long, gone binary"
+
+
+def _packed(places: list[tuple[int, int]]) -> bytes:
+    return np.array(places, np.int32).tobytes()
+
+
+def _listed(run: int, least: int, grow: bool, buckets: int):
+    """Runs by bucket of their hash, each with the first of its places that the
+    task holds: (document, text hash, number of runs) of the texts, then first
+    sentence and size, and hash, of each run. A task's later places of a hash can't
+    be the first anywhere, so they go; they travel on their own, by document, and
+    a hash that a third of all texts have is one row a task."""
+    def send(held: dict[bytes, tuple], more: list[tuple], gone: dict[tuple, list]) -> pa.RecordBatch:
+        out = [(doc % buckets, None, None, None, doc, sign, _packed(places)) for (doc, sign), places in gone.items()]
+        rows = [(*place, key) for key, place in held.items()] + more
+        if rows:
+            keys = np.frombuffer(b"".join(r[4] for r in rows), np.uint64).reshape(-1, 2)
+            places = np.array([r[:4] for r in rows], np.int64)  # document, first sentence, size, text hash
+            bucket = (keys[:, 0] >> np.uint64(16)) % np.uint64(buckets)
+            order = np.lexsort((places[:, 1], places[:, 3], places[:, 0], bucket))
+            keys, places, bucket = keys[order], places[order], bucket[order].astype(np.int64)
+            cuts = np.flatnonzero(np.diff(bucket)) + 1
+            for own, part, b in zip(np.split(keys, cuts), np.split(places, cuts), bucket[np.append(0, cuts)].tolist(), strict=True):
+                first = np.flatnonzero(np.append(True, (np.diff(part[:, [0, 3]], axis=0) != 0).any(axis=1)))
+                ids = np.column_stack([part[first, 0], part[first, 3], np.diff(np.append(first, len(part)))])
+                out.append((b, ids.tobytes(), part[:, 1:3].astype(np.int32).tobytes(), own.tobytes(), None, None, None))
+        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], t) for c, t in enumerate(kinds)],
+                                          ["bucket", "ids", "places", "keys", "doc", "sign", "gone"])
+
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[bytes, tuple] = {}
+        more: list[tuple] = []  # the same place in another text of the document
+        gone: dict[tuple, list] = {}
         for batch in batches:
-            keys, at, size, many = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                made = _runs(sentences(text), run, least, grow)
-                keys.extend(made.values())
-                at.extend(k for k, _ in made)
-                size.extend(n for _, n in made)
-                many.append(len(made))
-            both = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(np.repeat(np.arange(len(many)), many))), pa.array(at, pa.int32()), pa.array(size, pa.int32()),
-                 pa.array(np.ascontiguousarray(both[:, 0])), pa.array(np.ascontiguousarray(both[:, 1]))],
-                ["doc", "at", "size", "high", "low"])
+            for doc, sign, text in zip(*(c.to_pylist() for c in batch.columns[:2]), batch.column(2), strict=True):
+                for (at, size), key in _runs(sentences(text.as_py()), run, least, grow).items():
+                    old = held.get(key)
+                    if old is None:
+                        held[key] = (doc, at, size, sign)
+                    elif (doc, at) > old[:2]:
+                        gone.setdefault((doc, sign), []).append((at, size))
+                    elif (doc, at) < old[:2]:
+                        gone.setdefault((old[0], old[3]), []).append(old[1:3])
+                        held[key] = (doc, at, size, sign)
+                    elif sign != old[3]:
+                        more.append((doc, at, size, sign, key))
+                if len(held) > HELD:
+                    yield send(held, more, gone)
+                    held, more, gone = {}, [], {}
+        yield send(held, more, gone)
 
     return go
 
 
+def _decide(bucket: pa.Table) -> pa.Table:
+    """All places of the bucket's hashes but the first of each, by text."""
+    gone = bucket.filter(bucket.column("gone").is_valid()).select(["doc", "sign", "gone"])
+    columns = [bucket.column(c).to_pylist() for c in ("ids", "places", "keys")]
+    ids, places, keys = ([x for x in c if x is not None] for c in columns)
+    if not ids:
+        return gone
+    ids = np.concatenate([np.frombuffer(x, np.int64).reshape(-1, 3) for x in ids])
+    places = np.concatenate([np.frombuffer(x, np.int32).reshape(-1, 2) for x in places])
+    keys = np.concatenate([np.frombuffer(x, np.uint64).reshape(-1, 2) for x in keys])
+    owner = np.repeat(np.arange(len(ids)), ids[:, 2])
+    doc, at = ids[owner, 0], places[:, 0]
+    order = np.lexsort((at, doc, keys[:, 1], keys[:, 0]))
+    new = np.append(True, (np.diff(keys[order].view(np.int64), axis=0) != 0).any(axis=1))
+    first = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+    later = order[(doc[order] != doc[first]) | (at[order] != at[first])]
+    later = later[np.argsort(owner[later], kind="stable")]
+    start = np.flatnonzero(np.append(True, np.diff(owner[later]) != 0)) if len(later) else np.zeros(0, np.int64)
+    own = owner[later][start]
+    found = pa.table({"doc": pa.array(ids[own, 0], pa.int64()), "sign": pa.array(ids[own, 1], pa.int64()),
+                      "gone": pa.array([p.tobytes() for p in np.split(places[later], start[1:])] if len(start) else [], pa.binary())})
+    return pa.concat_tables([gone, found])
+
+
+def _id():
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+
+
 def repeated_runs(docs: DataFrame, run: int = RUN, least: int = LEAST_WORDS, grow: bool = False) -> DataFrame:
-    """(doc, at, size, low): the runs that aren't the first of their kind; ``at`` is
-    the number of the run's first sentence, ``size`` how many it has."""
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
-                        F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    runs = materialise(texts.mapInArrow(_hashed(run, least, grow), "doc long, at int, size int, high long, low long"), "runs")
-    first = runs.groupBy("high", "low").agg(F.count("*").alias("n"), F.min(F.struct("doc", "at")).alias("first"))
-    first = first.where("n > 1").select("high", "low", F.col("first.doc").alias("first_doc"), F.col("first.at").alias("first_at"))
-    return runs.join(first, ["high", "low"]).where("doc != first_doc OR at != first_at").select("doc", "at", "size", "low")
+    """(doc, sign, gone): the runs, of the text with hash ``sign`` of document
+    ``doc``, that aren't the first of their kind, packed as (number of the run's
+    first sentence, how many it has) of 32 bits; a text may have several rows."""
+    texts = docs.filter("text IS NOT NULL").select(_id().alias("doc"), F.xxhash64("text").alias("sign"), F.col("text").cast("binary").alias("text"))
+    size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    buckets = max(1, -(-size // BUCKET_BYTES))
+    return texts.mapInArrow(_listed(run, least, grow, buckets), LISTED).groupBy("bucket").applyInArrow(_decide, GONE)
 
 
 _MADE = "text binary, n_sentences int, n_removed int, spans array<struct<start:int,end:int>>"
 
 
-def _without(run: int, least: int, grow: bool):
+def _without():
     def go(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, repeated in batches:
             out = []
             for text, runs in zip(texts.to_pylist(), repeated.to_pylist(), strict=True):
                 found = sentences(text) if text else []
                 gone: set[int] = set()
-                if runs:
-                    own = _runs(found, run, least, grow)
-                    for x in runs:  # rows that share an id may differ in text
-                        if own.get((x["at"], x["size"]), b"")[8:] == x["low"].to_bytes(8, "little", signed=True):
-                            gone.update(range(x["at"], x["at"] + x["size"]))
+                for packed in runs or ():
+                    for at, size in np.frombuffer(packed, np.int32).reshape(-1, 2).tolist():
+                        gone.update(range(at, at + size))
                 spans = [{"start": found[k][0], "end": found[k][1]} for k in sorted(gone)]
                 kept, at = [], 0
                 for s in spans:
@@ -152,10 +217,10 @@ def drop_repeated_spans(docs: DataFrame, run: int = RUN, least: int = LEAST_WORD
     document; rows without an id together are one that comes last. Columns named
     like the new ones give way; an empty table stays empty.
     """
-    gone = repeated_runs(docs, run, least, grow).groupBy("doc").agg(F.collect_set(F.struct("at", "size", "low")).alias("runs"))
-    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"))
-    met = rows.join(gone, F.col("id") == F.col("doc"), "left")
-    made = met.select("row", _without(run, least, grow)(F.col("row.text").cast("binary"), F.col("runs")).alias("made"))
+    gone = materialise(repeated_runs(docs, run, least, grow).groupBy("doc", "sign").agg(F.collect_list("gone").alias("runs")), "gone")
+    rows = docs.select(F.struct("*").alias("row"), _id().alias("doc"), F.xxhash64("text").alias("sign"))
+    met = rows.join(gone, ["doc", "sign"], "left")
+    made = met.select("row", _without()(F.col("row.text").cast("binary"), F.col("runs")).alias("made"))
     taken = {"n_sentences", "n_removed", "removed"}
     return made.select(
         *[(F.col("made.text").cast("string").alias(c) if c == "text" else F.col(f"row.`{c}`"))

@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from llm_rows import EDGES
 from strata.llm import spans
 from strata.llm.queries import op5_substring_dedup
@@ -101,3 +102,53 @@ def test_edges(make, nothing):
     check(make, [r for r in EDGES if r[0] is not None])
     assert spans.drop_repeated_spans(make(EDGES)).count() == len(EDGES)
     assert spans.drop_repeated_spans(nothing).count() == 0
+
+
+def grown(words, run, least):
+    """(first, end) of the runs over sentences of so many words each, tried one by one."""
+    out = set()
+    for k in range(len(words)):
+        for step in (1, -1):
+            i = j = k
+            while 0 <= i and j < len(words):
+                if j - i + 1 >= run and sum(words[i:j + 1]) >= least:
+                    out.add((i, j + 1))
+                    break
+                i, j = (i, j + 1) if step == 1 else (i - 1, j)
+    return out
+
+
+def brute_grown(rows):
+    """Runs that grow: all places of each run of equal words, the first stays."""
+    places, own = {}, []
+    for i, t, *_ in rows:
+        found = spans.sentences((t or "").encode())
+        runs = {(a, b): tuple(map(tuple, (x[2] for x in found[a:b]))) for a, b in grown([len(x[2]) for x in found], spans.RUN, spans.LEAST_WORDS)}
+        own.append((spans.NO_ID if i is None else i, found, runs))
+        for (a, _), words in runs.items():
+            places.setdefault(words, set()).add((own[-1][0], a))
+    out = []
+    for (i, found, runs), (_, t, *_) in zip(own, rows, strict=True):
+        gone = {k for (a, b), words in runs.items() if min(places[words]) != (i, a) for k in range(a, b)}
+        data = (t or "").encode()
+        for k in sorted(gone, reverse=True):
+            data = data[:found[k][0]] + data[found[k][1]:]
+        out.append((None if i == spans.NO_ID else i, len(found), len(gone), None if t is None else data.decode()))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("seed,held,bucket", [(1, 10**6, 10**7), (2, 30, 10**7), (3, 200, 2000), (4, 10**6, 500)])
+def test_growing_runs_equal_brute_force(make, monkeypatch, seed, held, bucket):
+    """As the registered query has them; also with hashes sent early and in many buckets."""
+    monkeypatch.setattr(spans, "HELD", held)
+    monkeypatch.setattr(spans, "BUCKET_BYTES", bucket)
+    rnd = random.Random(seed)
+    pool = [" ".join(sentence(rnd, rnd.randrange(1, 7)) for _ in range(rnd.randrange(2, 9))) for _ in range(8)]
+    pool.append(" ".join("".join(rnd.choices("abcdefgh", k=4)) for _ in range(60)))
+    rows = []
+    for k in range(60):
+        parts = [rnd.choice(pool) if rnd.random() < 0.5 else sentence(rnd) for _ in range(rnd.randrange(0, 8))]
+        rows.append((rnd.choice([k, k, k, 5, None]), rnd.choice([" ", "\n", "  "]).join(parts), None, None))
+    rows += [rows[3], rows[4], (7, None, None, None), (8, "", None, None)]
+    got = spans.drop_repeated_spans(make(rows), grow=True).select("doc_id", "n_sentences", "n_removed", "text").collect()
+    assert sorted(map(tuple, got), key=repr) == brute_grown(rows)
