@@ -47,18 +47,28 @@ def pieces(text: bytes) -> Iterator[list[bytes]]:
             yield words
 
 
-def _grams(words: list[bytes], longest: int) -> Iterator[bytes]:
-    yield from map(b" ".join, zip(*(words[k:] for k in range(longest))))
-    for k in range(max(0, len(words) - longest + 1), len(words)):
-        yield b" ".join(words[k:])
+def _grams(text: bytes, longest: int) -> list[bytes]:
+    """The gram that starts at each word, up to its piece's end."""
+    out: list[bytes] = []
+    for words in pieces(text):
+        out += map(b" ".join, zip(*(words[k:] for k in range(longest))))
+        out += [b" ".join(words[k:]) for k in range(max(0, len(words) - longest + 1), len(words))]
+    return out
 
 
 def _pack(lang: str, counted: dict[bytes, int], buckets: int) -> pa.RecordBatch:
     """One row for each bucket; grams contain no line feed."""
     by: dict[int, list[bytes]] = {}
-    for gram in sorted(counted):
-        by.setdefault(xxhash.xxh3_64_intdigest(gram) % buckets, []).append(gram)
-    pack = zstandard.ZstdCompressor(level=3).compress
+    digest = xxhash.xxh3_64_intdigest
+    for gram in counted:
+        bucket = digest(gram) % buckets
+        if bucket in by:
+            by[bucket].append(gram)
+        else:
+            by[bucket] = [gram]
+    for grams in by.values():  # sorted, neighbours share their first words
+        grams.sort()
+    pack = zstandard.ZstdCompressor(level=1).compress
     return pa.RecordBatch.from_arrays(
         [pa.array([lang] * len(by), pa.string()), pa.array(list(by), pa.int64()),
          pa.array([pack(b"\n".join(g)) for g in by.values()], pa.binary()),
@@ -84,8 +94,7 @@ def _count(longest: int, buckets: int):
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 counted = held.setdefault(lang, Counter())
-                for words in pieces(text.as_py()):
-                    counted.update(_grams(words, longest))
+                counted.update(_grams(text.as_py(), longest))
                 if sum(map(len, held.values())) > HELD:
                     yield from flush()
         yield from flush()
@@ -97,20 +106,23 @@ def _merge(words: int, least: int, buckets: int):
     """Sums a bucket's grams of up to ``words`` words: the frequent ones with
     exactly as many, and the prefixes of all, packed for the next level."""
     def run(key: tuple, packed: pa.Table) -> pa.Table:
-        total: Counter = Counter()
+        total: dict[bytes, int] = {}
+        known = total.get
         for grams, counts in _unpack(packed):
             for gram, n in zip(grams, counts, strict=True):
-                total[gram] += n
+                total[gram] = known(gram, 0) + n
         lang = key[0].as_py()
         kept = [(g, n) for g, n in total.items() if n >= least and g.count(b" ") == words - 1]
-        sums: Counter = Counter()
+        sums: dict[bytes, int] = {}
+        known = sums.get
         if words > 1:
             for gram, n in total.items():
-                sums[gram.rpartition(b" ")[0] if gram.count(b" ") == words - 1 else gram] += n
-            sent = _pack(lang, sums, buckets)
+                if gram.count(b" ") == words - 1:
+                    gram = gram[:gram.rindex(b" ")]
+                sums[gram] = known(gram, 0) + n
         else:  # the words that there are
             kept.append((None, sum(total.values())))
-            sent = _pack(lang, sums, buckets)
+        sent = _pack(lang, sums, buckets)
         rows = pa.Table.from_batches([sent])
         rows = rows.append_column("phrase", pa.nulls(len(rows), pa.binary())).append_column("n", pa.nulls(len(rows), pa.int64()))
         found = pa.table({"lang": pa.array(list(repeat(lang, len(kept))), pa.string()), "bucket": pa.nulls(len(kept), pa.int64()),
