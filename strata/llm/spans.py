@@ -39,9 +39,18 @@ _WORD = re.compile(rb"[^\x20\x09-\x0d]+")
 
 def _cuts(words: list[bytes]) -> list[int]:
     """The first word of least hash of every window, in order."""
-    hashed = np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
-    least = np.lib.stride_tricks.sliding_window_view(hashed, WINDOW).argmin(axis=1)
-    return np.unique(least + np.arange(len(least))).tolist()
+    hashed = list(map(zlib.crc32, words))
+    cuts, best = [], -1
+    for start in range(len(hashed) - WINDOW + 1):
+        last = start + WINDOW - 1
+        if best < start:  # the least has left the window
+            window = hashed[start:last + 1]
+            best = start + window.index(min(window))
+            cuts.append(best)
+        elif hashed[last] < hashed[best]:
+            best = last
+            cuts.append(best)
+    return cuts
 
 
 def sentences(text: bytes) -> list[tuple[int, int, list[bytes]]]:
@@ -85,7 +94,9 @@ def _runs(found: list[tuple[int, int, list[bytes]]], run: int, least: int, grow:
 
 
 #: Bytes of text behind one bucket of hashes, and hashes that a task holds before it sends them.
-BUCKET_BYTES, HELD = 8_000_000, 300_000
+BUCKET_BYTES, HELD = 16_000_000, 300_000
+#: Small inputs have so many buckets too, so that all cores have some.
+LEAST_BUCKETS = 64
 LISTED = "bucket long, ids binary, places binary, keys binary, doc long, sign long, gone binary"
 GONE = "doc long, sign long, gone binary"
 
@@ -177,7 +188,7 @@ def repeated_runs(docs: DataFrame, run: int = RUN, least: int = LEAST_WORDS, gro
     first sentence, how many it has) of 32 bits; a text may have several rows."""
     texts = docs.filter("text IS NOT NULL").select(_id().alias("doc"), F.xxhash64("text").alias("sign"), F.col("text").cast("binary").alias("text"))
     size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    buckets = max(1, -(-size // BUCKET_BYTES))
+    buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
     return texts.mapInArrow(_listed(run, least, grow, buckets), LISTED).groupBy("bucket").applyInArrow(_decide, GONE)
 
 
