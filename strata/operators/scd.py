@@ -29,6 +29,8 @@ from strata.functions.columns import changed, tracked_struct
 from strata.session import delete_path, has_data, names_below, path_exists
 
 BATCH = "batch_key"
+#: Partition of a base by the key's hash, and how many there are.
+BUCKET, BASE_BUCKETS = "_bucket", 64
 
 
 def _version_order(effective_col: str, batch_col: str):
@@ -178,7 +180,7 @@ class _State:
 
     def drop_from(self, batch: str) -> None:
         """Forgets ``batch`` and everything later."""
-        for top in (f"{self.root}_base_commits", f"{self.root}_base", f"{self.root}_commits", self.root):
+        for top in (f"{self.root}_base_commits", f"{self.root}_base", f"{self.root}_base_prints", f"{self.root}_commits", self.root):
             for b in self._names(top):
                 if b >= batch:
                     delete_path(self.spark, f"{top}/{BATCH}={b}")
@@ -225,7 +227,9 @@ class Scd2State(_State):
     is every closed version with batch <= b plus the opened ones not closed by
     then. All pending batches are applied in one job: the staged rows and the
     current rows of *their* keys go through the set-based ``scd2``; untouched
-    keys are neither shuffled nor written.
+    keys are neither shuffled nor written. A base has a file of keys and
+    fingerprints beside it: rows that say what is current already are found by
+    it and go no further, and wide rows are read for the other keys' buckets only.
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], tracked: Sequence[str],
@@ -251,11 +255,44 @@ class Scd2State(_State):
         d = self._changes(schema, batch, base)
         closed, opened = d.filter("kind = 'closed'"), d.filter("kind = 'opened'")
         if base is not None:
-            b = self.spark.read.schema(schema).parquet(f"{self.root}_base").filter(F.col(BATCH) == base)
+            b = self._base(base)
             closed, opened = b.filter("kind = 'closed'").union(closed), b.filter("kind = 'opened'").union(opened)
         ended = d.filter("kind = 'closed'").select(*self.keys, "opened_in")
         return closed, opened.join(ended, [*self.keys, "opened_in"], "left_anti").select(*schema.names)
 
+    def _base(self, base: str, buckets: Sequence[int] | None = None) -> DataFrame:
+        """Rows of a base, of some buckets of the key only if told."""
+        schema = self._stored_schema()
+        wide = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+        rows = self.spark.read.schema(wide).parquet(f"{self.root}_base").filter(F.col(BATCH) == base)
+        return (rows if buckets is None else rows.filter(F.col(BUCKET).isin(list(buckets)))).select(*schema.names)
+
+    def _bucket(self):
+        return F.pmod(F.xxhash64(*self.keys), F.lit(BASE_BUCKETS)).cast("int")
+
+    def _prints(self) -> list:
+        """128 bits of the tracked columns and carried ones; NULL is a value of its own."""
+        values = [v for c in (*self.tracked, *self.carry) for v in (F.col(c).isNull(), F.col(c))]
+        return [F.xxhash64(*values).alias("_p1"), F.xxhash64(F.lit("second"), *values).alias("_p2")]
+
+    def unchanged_keys(self, rows: DataFrame, previous: str) -> DataFrame | None:
+        """Keys whose rows all have the values that are current after ``previous``,
+        by their fingerprints; None if there is no base to compare with. Of the
+        state only the base's (key, fingerprint) file is read, and the keys of the
+        batches after it."""
+        base = self._base_before(previous)
+        if base is None or not path_exists(self.spark, f"{self.root}_base_prints/{BATCH}={base}"):
+            return None
+        types = [self._stored_schema()[k] for k in self.keys]
+        narrow = T.StructType([*types, T.StructField("_p1", T.LongType()), T.StructField("_p2", T.LongType())])
+        prints = self.spark.read.schema(narrow).parquet(f"{self.root}_base_prints/{BATCH}={base}")
+        own = rows.select(*self.keys, *self._prints()).groupBy(*self.keys).agg(
+            F.min(F.struct("_p1", "_p2")).alias("_least"), F.max(F.struct("_p1", "_p2")).alias("_most"))
+        same = prints.withColumn("_print", F.struct("_p1", "_p2")).select(*self.keys, "_print").join(own, self.keys)
+        same = same.filter((F.col("_least") == F.col("_print")) & (F.col("_most") == F.col("_print"))).select(*self.keys)
+        since = self._changes(self._stored_schema(), previous, base).select(*self.keys).distinct()
+        return same.join(since, self.keys, "left_anti")
+
     def open_at(self, batch: str) -> DataFrame:
         """Current versions after ``batch``, with the batch that opened them."""
         return self._parts(batch)[1].drop(BATCH, "kind")
@@ -298,10 +335,13 @@ class Scd2State(_State):
         (older reads use them); the base is dropped when a late batch comes."""
         delete_path(self.spark, f"{self.root}_base_commits/{BATCH}={batch}")
         delete_path(self.spark, f"{self.root}_base/{BATCH}={batch}")
+        delete_path(self.spark, f"{self.root}_base_prints/{BATCH}={batch}")
         closed, current = self._parts(batch)
-        rows = closed.union(current).withColumn(BATCH, F.lit(batch))
+        rows = closed.union(current).withColumn(BATCH, F.lit(batch)).withColumn(BUCKET, self._bucket())
         # file count from the data: AQE cuts the rebalanced rows to the advisory size
-        rows.hint("rebalance").write.mode("append").partitionBy(BATCH, "kind").parquet(f"{self.root}_base")
+        rows.hint("rebalance", "kind", BUCKET).write.mode("append").partitionBy(BATCH, "kind", BUCKET).parquet(f"{self.root}_base")
+        prints = self._base(batch).filter("kind = 'opened'").select(*self.keys, *self._prints())
+        prints.hint("rebalance").sortWithinPartitions(*self.keys).write.parquet(f"{self.root}_base_prints/{BATCH}={batch}")
         self._commit([(batch, 1)], "folded int", "_base_commits")
 
     def apply_all(self, staged: DataFrame, batches: Sequence[str], previous: str | None) -> dict[str, dict]:
@@ -314,8 +354,11 @@ class Scd2State(_State):
         cols = [*self.keys, *self.tracked, *self.carry]
         rows = staged.select(*cols, self.effective_col, F.col(BATCH).cast("string").alias(BATCH))
         if previous is not None:
+            same = self.unchanged_keys(rows, previous)
+            if same is not None:
+                rows = rows.join(same, self.keys, "left_anti").select(*rows.columns)
             touched = rows.select(*self.keys).distinct()
-            before = self.open_at(previous).join(touched, self.keys, "left_semi")
+            before = self._open_of(touched, previous, same is not None)
             rows = rows.union(before.select(*cols, F.col("valid_from").alias(self.effective_col), F.col("opened_in").alias(BATCH)))
         versions = scd2(rows, self.keys, self.tracked, self.effective_col, carry=self.carry, with_batches=True)
 
@@ -342,6 +385,22 @@ class Scd2State(_State):
                      "closed long, opened long, current long")
         return number
 
+    def _open_of(self, touched: DataFrame, previous: str, few: bool) -> DataFrame:
+        """Current versions after ``previous`` of some keys; if they are ``few``, wide
+        rows of the base are read from their buckets only."""
+        base = self._base_before(previous)
+        if not few or base is None:
+            return self.open_at(previous).join(touched, self.keys, "left_semi")
+        schema = self._stored_schema()
+        buckets = [r[0] for r in touched.select(self._bucket().alias("b")).distinct().collect()]  # at most BASE_BUCKETS
+        d = self._changes(schema, previous, base)
+        opened = d.filter("kind = 'opened'")
+        if buckets:
+            opened = self._base(base, buckets).filter("kind = 'opened'").union(opened)
+        ended = d.filter("kind = 'closed'").select(*self.keys, "opened_in")
+        current = opened.join(ended, [*self.keys, "opened_in"], "left_anti").select(*schema.names).drop(BATCH, "kind")
+        return current.join(touched, self.keys, "left_semi")
+
     def _current(self, batch: str | None) -> int:
         if batch is None:
             return 0

@@ -814,6 +814,23 @@ def upsert_buckets(spark, sf):
     return table_.rows()
 
 
+def fingerprint_changes(spark, sf):
+    """Users' history folded at a batch, then the later batches applied in two steps
+    with what they repeat found by fingerprints; what each batch did (D-4, D-7)."""
+    staged, state = _staged_state(spark, sf, "fingerprints")
+    batches = [r[0] for r in staged.select("batch_key").distinct().orderBy("batch_key").collect()]
+    early = [b for b in batches if b <= UPSERT_SPLIT]
+    scd.replay(spark, staged, early, state)
+    state.consolidate(early[-1])
+    late = batches[len(early):]
+    previous = early[-1]
+    for part in (late[:len(late) // 2], late[len(late) // 2:]):
+        if part:
+            state.apply_all(staged.filter(F.col("batch_key").isin(part)), part, previous)
+            previous = part[-1]
+    return state.log().select("batch_key", "opened", "closed", "current")
+
+
 def net_changes(spark, sf):
     """Each user's net change between two batches, with both images; read from the
     deltas of the batches in between only (H-5)."""
@@ -1005,6 +1022,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "write_metrics": write_metrics,
     "schema_report": schema_report,
     "upsert_buckets": upsert_buckets,
+    "fingerprint_changes": fingerprint_changes,
     "net_changes": net_changes,
     "stream_history": stream_history,
     "join_bucketed": join_bucketed,

@@ -395,6 +395,10 @@ JOIN (SELECT 'fact_orders' AS table_name, count(*) AS n, 0 AS b FROM orders
   LEFT JOIN (SELECT batch_key, row_number() OVER (ORDER BY batch_key) AS day_number, count(*) OVER () AS days
              FROM (SELECT DISTINCT batch_key FROM staged_users WHERE batch_key > '{Q.UPSERT_SPLIT}')) USING (batch_key))
 GROUP BY user_id""",
+    "fingerprint_changes": w(USERS, user_history()) + """SELECT batch_key, opened, closed, sum(opened - closed) OVER (ORDER BY batch_key)::BIGINT AS current
+FROM (SELECT batch_key, (SELECT count(*) FROM user_history h WHERE h.valid_from = CAST(b.batch_key AS DATE)) AS opened,
+        (SELECT count(*) FROM user_history h WHERE h.valid_to = CAST(b.batch_key AS DATE)) AS closed
+      FROM (SELECT DISTINCT batch_key FROM staged_users) b)""",
     "net_changes": w(USERS, user_history()) + f"""SELECT coalesce(a.user_id, b.user_id) AS user_id, CASE WHEN a.user_id IS NULL THEN 'insert' ELSE 'update' END AS change,
   a.event_type AS old_event_type, b.event_type AS new_event_type, a.valid_from AS old_valid_from, b.valid_from AS new_valid_from
 FROM (SELECT * FROM user_history WHERE valid_from <= DATE '{Q.AS_OF_BATCH}' AND coalesce(valid_to > DATE '{Q.AS_OF_BATCH}', true)) a
