@@ -34,6 +34,8 @@ BUCKET_BYTES = 4_000_000
 HELD = 400_000
 #: Edges of one row of a compacted path; longer ones are cut.
 PATH_EDGES = 1024
+#: Parts of a language that are ranked each by itself before the language is.
+PARTS = 256
 _CUT = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
 
 PACKED = "lang string, bucket long, grams binary, counts binary"
@@ -224,6 +226,9 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, to
     heaviest = heaviest.groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))
     kept = best.join(heaviest, ["lang", "phrase"], "left").filter(
         F.col("longer").isNull() | (100 * F.col("longer") < share * F.col("a")))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    # the first of a language are among the first of its parts, so that no task sorts all of it
+    best_first = (F.desc("score"), F.desc("a"), F.asc("phrase"))
+    parts = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(*best_first)
+    first = kept.withColumn("rank", F.row_number().over(parts)).filter(F.col("rank") <= top)
+    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best_first))).filter(F.col("rank") <= top)
     return ranked.join(words, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
