@@ -3,8 +3,9 @@
 Base spans are e-mail addresses, IP addresses, card numbers and phone numbers.
 Each is a protected entity. Terms (words) within ``AROUND`` words of an entity
 are its context; over the whole corpus, the co-occurrence of a term t and an
-entity e estimates what t reveals: p(e | t) = windows of e that hold t over all
-occurrences of t, and log2(p(e | t) / p(e)) bits of information. A term discloses
+entity e estimates what t reveals: p(e | t) = occurrences of t near e over all
+occurrences of t, and log2(p(e | t) / p(e)) bits of information, all counted over
+the same words: those outside base spans, which end at a span's border. A term discloses
 an entity if p(e | t) reaches ``LEAST_SHARE``, the information ``LEAST_BITS``,
 and at least ``LEAST_CONTEXTS`` different windows support it (copies of a
 document are one window). Such terms become spans of their own wherever they
@@ -21,6 +22,7 @@ and terms that share a slot cost rows, not results.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -100,31 +102,6 @@ def term_of(word: str) -> str:
     return word.strip(_EDGES).lower()
 
 
-def contexts(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
-    """The terms around each span that aren't part of one: term, entity and window
-    (as hashes)."""
-    out = []
-    taken = [(s, e) for s, _, e in spans]
-    for start, kind, end in spans:
-        # words are looked for in a stretch around the span; it grows until it has enough
-        before, after = [], []
-        reach = 16 * AROUND
-        while True:
-            low, high = max(0, start - reach), min(len(text), end + reach)
-            before = [m for m in _WORD.finditer(text, low, start) if m.start() > low or low == 0][-AROUND:]
-            after = [m for m in _WORD.finditer(text, end, high) if m.end() < high or high == len(text)][:AROUND]
-            if (len(before) == AROUND or low == 0) and (len(after) == AROUND or high == len(text)):
-                break
-            reach *= 4
-        found = [m for m in (*before, *after) if not any(s < m.end() and m.start() < e for s, e in taken)]
-        entity = xxhash.xxh3_64_intdigest(f"{kind}:{text[start:end].lower()}") - 2**63
-        window = xxhash.xxh3_64_intdigest(" ".join(m.group() for m in found)) - 2**63
-        for m in found:
-            if term := term_of(m.group()):
-                out.append({"term": term, "entity": entity, "around": window})
-    return out
-
-
 def words_apart(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[str, int, int]]:
     """(term, start, end) of all words outside the spans, which words end at."""
     at = 0
@@ -136,6 +113,25 @@ def words_apart(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[
         at = max(at, end)
 
 
+def contexts(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
+    """Terms among the ``AROUND`` words before and after each span, of the words
+    outside spans: term, entity and window (as hashes). An occurrence counts once
+    for an entity, also near two spans of it; its window is that of the first."""
+    words = list(words_apart(text, spans))
+    starts = [start for _, start, _ in words]
+    out, met = [], set()
+    for start, kind, end in spans:
+        before, after = bisect_left(starts, start), bisect_left(starts, end)
+        near = [*range(max(0, before - AROUND), before), *range(after, min(len(words), after + AROUND))]
+        entity = xxhash.xxh3_64_intdigest(f"{kind}:{text[start:end].lower()}") - 2**63
+        window = xxhash.xxh3_64_intdigest(" ".join(words[k][0] for k in near)) - 2**63
+        for k in near:
+            if (k, entity) not in met:
+                met.add((k, entity))
+                out.append({"term": words[k][0], "entity": entity, "around": window})
+    return out
+
+
 _SPAN = "struct<start:int,kind:int,end:int>"
 _FOUND = f"doc_id long, hash long, spans array<{_SPAN}>, terms array<struct<term:string,entity:long,around:long>>"
 
@@ -153,12 +149,21 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["doc_id", "hash", "spans", "terms"])
 
 
+def _outside(text: str, spans: list[tuple[int, int, int]]) -> list[bytes]:
+    """The words outside the spans, which words end at."""
+    parts, at = [], 0
+    for start, _, end in spans:
+        parts.append(text[at:max(at, start)])
+        at = max(at, end)
+    return " ".join([*parts, text[at:]]).encode("utf-8", "replace").split()
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Occurrences of terms, and words in all (the empty term)."""
+    """Occurrences of terms outside base spans, and words there in all (the empty term)."""
     total: Counter = Counter()
     for batch in batches:
         for text in batch.column(0).to_pylist():
-            total.update(text.split())
+            total.update(_outside(text, base_spans(text)))
         if len(total) > 200_000:
             yield _terms(total)
             total.clear()
@@ -186,19 +191,21 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def disclosing(docs: DataFrame, scanned: DataFrame) -> DataFrame:
     """(term, entity, n, share, bits) of the terms that give an entity away; ``n``
-    is how often the term occurs."""
+    is how often the term occurs outside base spans. What is near an entity is part
+    of what is counted, so no share exceeds 1."""
     near = scanned.select(F.explode("terms").alias("x")).select("x.term", "x.entity", "x.around")
-    pairs = near.groupBy("term", "entity").agg(F.count("*").alias("both"), F.approx_count_distinct("around", 0.02).alias("windows"))
+    windows = near.groupBy("term", "entity", "around").agg(F.count("*").alias("n"))
+    pairs = windows.groupBy("term", "entity").agg(F.sum("n").alias("both"), F.count("*").alias("windows"))
     pairs = pairs.where(F.col("windows") >= LEAST_CONTEXTS)
     entities = scanned.select(F.explode("terms").alias("x")).groupBy(F.col("x.entity").alias("e")).agg(F.count("*").alias("words_near"))
-    counts = docs.select(F.coalesce("text", F.lit("")).cast("binary").alias("text")).mapInArrow(
+    counts = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
         _counted, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
     counts = materialise(counts, "term-counts")
     words = counts.where("term = ''").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
     total = max(1, words.first()[0])
     met = pairs.join(counts.where("term != ''").withColumnRenamed("term", "t"), F.col("term") == F.col("t")).join(
         entities, F.col("entity") == F.col("e"))
-    share = F.least(F.lit(1.0), F.col("both") / F.col("n"))
+    share = F.col("both") / F.col("n")
     met = met.select("term", "entity", "n", share.alias("share"), F.log2(share / (F.col("words_near") / F.lit(float(total)))).alias("bits"))
     return met.where((F.col("share") >= LEAST_SHARE) & (F.col("bits") >= LEAST_BITS))
 
@@ -225,11 +232,8 @@ def _located(levels):
             at, rows = [], []
             for k, (key, text) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
                 places: dict[str, list] = {}
-                spans, rest, free = base_spans(text), [], 0
-                for start, _, end in spans:
-                    rest.append(text[free:max(free, start)])
-                    free = max(free, end)
-                words = set(" ".join([*rest, text[free:]]).encode("utf-8", "replace").split())
+                spans = base_spans(text)
+                words = set(_outside(text, spans))
                 if len(taken) > 200_000:
                     taken.clear()
                 for word in words.difference(taken):

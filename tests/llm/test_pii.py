@@ -1,5 +1,6 @@
 """Base patterns and disclosing terms."""
 
+import math
 import random
 import re
 
@@ -97,6 +98,60 @@ def test_terms_are_spans_wherever_they_stand(make, monkeypatch):
     assert not any("Zebulon" in r.text for r in pii.sanitise(docs).collect())
 
 
+def disclosed(make, rows):
+    docs = make(rows)
+    return {(r.term, r.entity): (r.n, r.share, r.bits) for r in pii.disclosing(docs, pii.scan(docs)).collect()}
+
+
+def test_co_occurrence_equals_brute_force(make, monkeypatch):
+    monkeypatch.setattr(pii, "LEAST_SHARE", 0.0)
+    monkeypatch.setattr(pii, "LEAST_BITS", -99.0)
+    rnd = random.Random(12)
+    kinds = ["ann@x.org", "bob@y.net", "10.0.0.1", "mailto:ann@x.org", "(bob@y.net)", "ann@x.org,10.0.0.1", "--"]
+    rows = [(k, " ".join(rnd.choice(kinds) if rnd.random() < 0.15 else rnd.choice(["Red", "red,", "mailto", "blue", "green\n", "(", "tea"])
+                         for _ in range(rnd.randrange(0, 40))), None, None) for k in range(120)]
+    rows += [rows[5]] * 4 + [(None, rows[6][1], None, None), (700, None, None, None)]
+    both, windows, n, around, total = {}, {}, {}, {}, 0
+    for _, text, *_ in rows:
+        text = text or ""
+        spans = pii.base_spans(text)
+        blank = list(text)
+        for s, _, e in spans:
+            blank[s:e] = " " * (e - s)
+        total += len("".join(blank).split())
+        words = [(m.start(), m.group().strip(pii._EDGES).lower()) for m in re.finditer(r"\S+", "".join(blank))]
+        words = [w for w in words if w[1]]
+        for _, term in words:
+            n[term] = n.get(term, 0) + 1
+        seen = set()
+        for s, kind, e in spans:
+            near = [w for w in words if w[0] < s][-pii.AROUND:] + [w for w in words if w[0] >= e][:pii.AROUND]
+            entity = (kind, text[s:e].lower())
+            for start, term in near:
+                if (start, entity) not in seen:
+                    seen.add((start, entity))
+                    both[term, entity] = both.get((term, entity), 0) + 1
+                    windows.setdefault((term, entity), set()).add(" ".join(w for _, w in near))
+                    around[entity] = around.get(entity, 0) + 1
+    want = sorted((t, n[t], b / n[t], math.log2(b / n[t] / (around[e] / total))) for (t, e), b in both.items()
+                  if len(windows[t, e]) >= pii.LEAST_CONTEXTS)
+    got = sorted((t, *x) for (t, _), x in disclosed(make, rows).items())
+    assert len(got) == len(want) > 10 and all(share <= 1 for _, _, share, _ in got)
+    assert all(g[:2] == w[:2] and g[2:] == pytest.approx(w[2:]) for g, w in zip(got, want, strict=True))
+
+
+def test_a_fragment_beside_many_entities_reveals_none(make):
+    rnd = random.Random(13)
+
+    def noise(n):
+        return " ".join("".join(rnd.choices("abcdefghij", k=6)) for _ in range(n))
+
+    rows = [(k, f"{noise(30)} mailto:p{k % 12}@mail.example.com {noise(30)}", None, None) for k in range(48)]
+    rows.append((90, f"{noise(40)} mailto {noise(4000)}", None, None))
+    assert not any(term == "mailto" for term, _ in disclosed(make, rows))
+    assert not any(s.kind == 4 for r in pii.find(make(rows)).collect() for s in r.spans)
+
+
 def test_slots_are_those_of_spark(spark):
     for term in ("zebulon", "é", "a" * 99):
         assert spark.sql(f"SELECT pmod(xxhash64('{term}'), {pii.SLOTS})").first()[0] == pii.slot_of(term)
