@@ -210,8 +210,8 @@ def _signatures(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = shared.value
         for batch in batches:
-            ids, same, bands = batch.column(0), [], []
-            for text in batch.column(1).to_pylist():
+            same, bands = [], []
+            for text in batch.column(2).to_pylist():
                 found, count = runs(text)
                 if not len(found):
                     same.append(None)
@@ -224,8 +224,8 @@ def _signatures(shared):
                 words = _mix(found + _U(1)) * count.astype(_U)
                 same.append(f"{len(found)}:{int(words.sum()):x}:{int(np.bitwise_xor.reduce(_mix(words))):x}")
                 bands.append(band.view(np.int64).tolist())
-            yield pa.RecordBatch.from_arrays([ids, pa.array(same, pa.string()), pa.array(bands, pa.list_(pa.int64()))],
-                                             ["doc", "same", "bands"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(same, pa.string()), pa.array(bands, pa.list_(pa.int64()))],
+                                             ["doc", "hash", "same", "bands"])
 
     return run
 
@@ -366,19 +366,20 @@ def groups(docs: DataFrame, least: float = LEAST) -> DataFrame:
     document's own), one row per id that isn't null.
 
     Null and empty texts and texts without words have no runs and stay alone. Rows
-    that share an id are one document, whose text is that of the least row by
-    value. An empty table gives no rows.
+    that share an id are one document, whose text is the one of least hash, in whatever order
+    the rows come. An empty table gives no rows.
     """
     spark = docs.sparkSession
     texts = docs.where("doc_id IS NOT NULL").select(
         F.col("doc_id").cast("long").alias("doc"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    texts = texts.select("doc", F.xxhash64("text").alias("hash"), "text")
     weights = spark.sparkContext.broadcast(idf(docs))
-    signed = texts.mapInArrow(_signatures(weights), "doc long, same string, bands array<long>")
+    signed = texts.mapInArrow(_signatures(weights), "doc long, hash long, same string, bands array<long>")
     signed = materialise(signed, "near-signatures")
-    single = signed.groupBy("doc").agg(F.min(F.struct("same", "bands")).alias("x")).select("doc", "x.same", "x.bands")
+    single = signed.groupBy("doc").agg(F.min(F.struct("hash", "same", "bands")).alias("x")).select("doc", "x.hash", "x.same", "x.bands")
     classes = single.where("same IS NOT NULL").groupBy("same").agg(F.min("doc").alias("class_id"))
     members = materialise(single.join(classes, "same", "left").select(
-        "doc", F.coalesce("class_id", "doc").alias("class_id"), "bands"), "near-classes")
+        "doc", "hash", F.coalesce("class_id", "doc").alias("class_id"), "bands"), "near-classes")
     banded = members.where("doc = class_id AND bands IS NOT NULL").select(
         F.posexplode("bands").alias("band", "value"), "doc")
     sizes = banded.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1")
@@ -386,7 +387,9 @@ def groups(docs: DataFrame, least: float = LEAST) -> DataFrame:
     # documents that share bands with many stand near the middle of their group
     central = rows.groupBy("doc").agg(F.sum("n").alias("central"))
     open_rows = materialise(rows.join(central, "doc").select("band", "value", "doc", "central"), "near-bands")
-    involved = materialise(texts.join(open_rows.select("doc").distinct(), "doc").dropDuplicates(["doc"]), "near-texts")
+    # a narrow table of known size: while it is small, texts that no band holds aren't shuffled
+    wanted = materialise(members.select("doc", "hash").join(open_rows.select("doc").distinct(), "doc", "left_semi"), "near-wanted")
+    involved = materialise(texts.join(wanted, ["doc", "hash"], "left_semi").select("doc", "text").dropDuplicates(["doc"]), "near-texts")
     order = Window.partitionBy("band", "value").orderBy(F.desc("central"), "doc")
     anchors = (open_rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= ANCHORS)
                .select("band", "value", F.col("doc").alias("anchor")))

@@ -139,3 +139,16 @@ def test_a_loose_group_of_which_no_member_is_near_all(make, monkeypatch):
     near = [(a, b) for a in ids for b in ids if a < b and neardup.similarity(texts[a], texts[b], weights) >= neardup.LEAST]
     got = {r.doc_id: r.component_id for r in neardup.groups(docs).collect()}
     assert got == union(near, ids)
+
+
+def test_rows_that_share_an_id_are_one_text_in_any_order(make):
+    rnd = random.Random(8)
+    base, other = (" ".join(rnd.choices([f"w{k}" for k in range(900)], k=120)) for _ in range(2))
+    near = [changed(base, rnd, 1) for _ in range(2)], [changed(other, rnd, 1) for _ in range(2)]
+    rows = [(1, base, None, None), (1, other, None, None), (2, near[0][0], None, None), (3, near[0][1], None, None),
+            (4, near[1][0], None, None), (5, near[1][1], None, None)]
+    found = [{r.doc_id: r.component_id for r in neardup.groups(make(own)).collect()}
+             for own in (rows, rows[::-1], [rows[1], rows[0], *rows[2:], rows[0]])]
+    assert found[0] == found[1] == found[2]
+    # id 1 goes with the group of the one text it has
+    assert found[0] in ({1: 1, 2: 1, 3: 1, 4: 4, 5: 4}, {1: 1, 4: 1, 5: 1, 2: 2, 3: 2})
