@@ -4,10 +4,15 @@ Equal vectors are one class, compared once. A pass hashes every class to 64 sign
 of random projections, sorts by label and by the concatenated signs, and compares
 each with its ``WINDOW`` next neighbours; verified pairs of all passes are united
 to groups. Vectors are projected less their label's mean. The number of passes of a
-label follows from the window, its size, the wanted recall, and how closely a
-sample of it lies together; no pass holds more than a window of rows at a time. A
-label that makes no more blocks of ``BLOCK`` rows than it would take passes is
-compared whole, block by block: that moves no more rows and misses nothing.
+label, of any size, follows from the window, its size, the wanted recall, and how
+closely a sample of it lies together; a window that holds the whole label needs one.
+No pass holds more than a window of rows at a time. Where a label lies so closely
+that ``MOST`` passes don't reach the recall (whatever its size), it is compared
+whole, block by block.
+
+Passes carry a vector as bytes with the length of its rounding error, a quarter of
+its size. Pairs that are similar by more than their errors are links; those that
+the errors leave open are compared by the vectors themselves, joined back.
 
 A window bounds a vector's partners, so links are counted apart and exactly, once
 groups are known: all members within half the threshold's angle of the group's
@@ -24,7 +29,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import materialise
@@ -37,6 +42,8 @@ BLOCK = 1024
 _BITS = 64
 #: Classes of a label whose neighbourhood is measured.
 SAMPLE = 1024
+#: Passes beyond which a label is compared whole.
+MOST = 4096
 
 
 def passes(largest: int, least: float = LEAST, window: int = WINDOW, recall: float = RECALL) -> int:
@@ -53,9 +60,9 @@ def _unit(vectors: list) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def measured_passes(x: np.ndarray, mean: np.ndarray, n: int, least: float, window: int, recall: float, most: int) -> int:
+def measured_passes(x: np.ndarray, mean: np.ndarray, n: int, least: float, window: int, recall: float) -> int:
     """Passes for a label of ``n`` classes of which the unit vectors ``x`` are a
-    sample, up to ``most``. For each of them: the signs it takes until the classes
+    sample, more than ``MOST`` if so many don't do. For each of them: the signs it takes until the classes
     that agree in all and aren't linked with it fill half a window at most, and the
     chance that a partner at the threshold agrees in as many."""
     apart = x - mean
@@ -70,9 +77,9 @@ def measured_passes(x: np.ndarray, mean: np.ndarray, n: int, least: float, windo
     same = 1 - np.arccos(np.clip(1 - (1 - least) / norm**2, -1, 1)) / math.pi
     hit = np.minimum(0.999, same**bits)
     number = 2
-    while number < most and ((1 - hit) ** number).mean() > 1 - recall:
+    while number <= MOST and ((1 - hit) ** number).mean() > 1 - recall:
         number += max(1, number // 50)
-    return min(number, most)
+    return number
 
 
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,27 +97,31 @@ def _mean(frame: pd.DataFrame) -> pd.DataFrame:
     return frame.head(1)[["label", "size"]].assign(n=n, mean=[(np.sum(frame["sum"].tolist(), axis=0) / n).tolist()])
 
 
-def _planned(least: float, window: int, block: int):
+def _planned(least: float, window: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         n = int(frame["n"].iloc[0])
-        blocks = -(-n // block)
-        number = max(passes(n, least, window), measured_passes(
-            _unit(frame["vector"].tolist()), np.array(frame["mean"].iloc[0]), n, least, window, RECALL, blocks))
-        return frame.head(1)[["label", "size"]].assign(number=number if number < blocks else 0)
+        number = 1
+        if n > window + 1:
+            number = max(passes(n, least, window), measured_passes(
+                _unit(frame["vector"].tolist()), np.array(frame["mean"].iloc[0]), n, least, window, RECALL))
+        return frame.head(1)[["label", "size"]].assign(number=number if number <= MOST else 0)
 
     return run
 
 
 def planned(each: DataFrame, least: float = LEAST, window: int = WINDOW) -> DataFrame:
-    """(label, size, n, mean, number): the passes of each label; 0 of one that is
-    compared whole."""
+    """(label, size, n, mean, number): the passes of each label; 0 of one that lies
+    too closely for them."""
     sums = each.select("label", "size", "vector").mapInArrow(_sums, "label long, size int, n long, sum array<double>")
     means = materialise(sums.groupBy("label", "size").applyInPandas(_mean, "label long, size int, n long, mean array<double>"), "vector-means")
-    fewest = passes(2, least, window)
-    large = means.where(F.col("n") > fewest * BLOCK)
-    sampled = each.select("label", "size", "id", "vector").join(large, ["label", "size"]).where(F.pmod(F.xxhash64("id"), F.col("n")) < SAMPLE).select("label", "size", "n", "mean", "vector")
-    number = sampled.groupBy("label", "size").applyInPandas(_planned(least, window, BLOCK), "label long, size int, number int")
-    return materialise(means.join(number, ["label", "size"], "left").withColumn("number", F.coalesce("number", F.lit(0))), "vector-plan")
+    sampled = each.select("label", "size", "id", "vector").join(means, ["label", "size"]).where(
+        F.pmod(F.xxhash64("id"), F.col("n")) < SAMPLE).select("label", "size", "n", "mean", "vector")
+    number = sampled.groupBy("label", "size").applyInPandas(_planned(least, window), "label long, size int, number int")
+    # a label of which the sample holds nothing gets the passes of its size alone
+    same = 1 - math.acos(least) / math.pi
+    hit = F.least(F.lit(0.999), F.pow(F.lit(same), F.log2(F.greatest(F.lit(2.0), 2 * F.col("n") / window))))
+    plain = F.greatest(F.lit(2), F.ceil(math.log(1 - RECALL) / F.log(1 - hit)).cast("int"))
+    return materialise(means.join(number, ["label", "size"], "left").withColumn("number", F.coalesce("number", plain)), "vector-plan")
 
 
 def _compared(least: float):
@@ -148,17 +159,29 @@ def block_links(each: DataFrame, least: float = LEAST) -> DataFrame:
     return paired.groupBy(*keys).applyInPandas(_compared(least), "id long, other long").toDF("a", "b")
 
 
+def _rounded(x: np.ndarray) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """Unit vectors as signed bytes and a factor, and how far that is from them."""
+    scale = (np.abs(x).max(axis=1) / 127).astype(np.float32)
+    small = np.rint(x / scale[:, None].astype(np.float64)).clip(-127, 127).astype(np.int8)
+    error = np.linalg.norm(x - small * scale[:, None].astype(np.float64), axis=1).astype(np.float32)
+    return pa.array([r.tobytes() for r in small], pa.binary()), pa.array(scale), pa.array(error)
+
+
 def _projected():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
+            if not batch.num_rows:
+                continue
             size, number = batch.column("size").to_numpy(), batch.column("number").to_numpy()
             for d in np.unique(size).tolist():
                 at = np.flatnonzero(size == d)
                 at = at[np.argsort(-number[at], kind="stable")]
                 own, many = batch.take(pa.array(at)), number[at]
                 x = own.column("vector").flatten().to_numpy().reshape(-1, d).astype(np.float64)
-                x = x / np.linalg.norm(x, axis=1, keepdims=True) - own.column("mean").flatten().to_numpy().reshape(-1, d)
+                x = x / np.linalg.norm(x, axis=1, keepdims=True)
+                small, scale, error = _rounded(x)
+                x = x - own.column("mean").flatten().to_numpy().reshape(-1, d)
                 for p in range(int(many[0])):
                     if (d, p) not in planes:
                         planes[d, p] = np.random.default_rng([d, p]).standard_normal((d, _BITS))
@@ -166,24 +189,33 @@ def _projected():
                     keys = np.packbits(x[:len(rows)] @ planes[d, p] > 0, axis=1).view(">u8")[:, 0]
                     keys = (keys.astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)  # signed, in the same order
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(rows), p, np.int32)), rows.column("label"), rows.column("size"),
-                         pa.array(keys), rows.column("id"), rows.column("vector")],
-                        ["pass", "label", "size", "key", "id", "vector"])
+                        [pa.array(np.full(len(rows), p, np.int32)), rows.column("label"), rows.column("size"), pa.array(keys),
+                         rows.column("id"), *(c.slice(0, len(rows)) for c in (small, scale, error))],
+                        ["pass", "label", "size", "key", "id", "small", "scale", "error"])
 
     return run
 
 
-def _near(group: np.ndarray, x: np.ndarray, least: float, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows at most ``window`` apart, of one group, that are similar."""
-    left, right = [], []
+#: Beyond the errors of a pair: what single precision of them may hide.
+_SLACK = 1e-6
+
+
+def _near(group: np.ndarray, x: np.ndarray, error: np.ndarray, least: float, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of rows at most ``window`` apart, of one group, that are similar, or
+    may be by their rounding errors; and which of them surely are."""
+    left, right, sure = [], [], []
     for step in range(1, min(window, len(x) - 1) + 1):
         same = np.flatnonzero(group[:-step] == group[step:])
         if len(same):
-            hit = same[np.einsum("ij,ij->i", x[same], x[same + step]) >= least]
-            left.append(hit)
-            right.append(hit + step)
+            dot = np.einsum("ij,ij->i", x[same], x[same + step])
+            a, b = error[same], error[same + step]
+            off = a + b + a * b + _SLACK
+            hit = dot + off >= least
+            left.append(same[hit])
+            right.append(same[hit] + step)
+            sure.append((dot - off >= least)[hit])
     none = np.zeros(0, np.int64)
-    return np.concatenate(left or [none]), np.concatenate(right or [none])
+    return np.concatenate(left or [none]), np.concatenate(right or [none]), np.concatenate(sure or [np.zeros(0, bool)])
 
 
 def _grouped(frame: pd.DataFrame) -> np.ndarray:
@@ -192,22 +224,26 @@ def _grouped(frame: pd.DataFrame) -> np.ndarray:
     return (keys != keys.shift()).any(axis=1).cumsum().to_numpy()
 
 
-_ROW = "seam int, late boolean, at int, pass int, label long, size int, id long, vector array<float>, other long"
+_ROW = ("seam int, late boolean, at int, pass int, label long, size int, id long, small binary, scale float, error float, "
+        "other long, sure boolean")
 
 
-def _pairs(frame: pd.DataFrame, least: float, window: int) -> list[tuple[int, int]]:
+def _pairs(frame: pd.DataFrame, least: float, window: int) -> list[tuple[int, int, bool]]:
     group, ids, out = _grouped(frame), frame["id"].to_numpy(), []
     # vectors of one size lie together; other sizes are other groups
     for size in frame["size"].unique():
         own = np.flatnonzero((frame["size"] == size).to_numpy())
-        a, b = _near(group[own], _unit(frame["vector"].iloc[own].tolist()), least, window)
-        a, b = spanning(ids[own[a]], ids[own[b]])
-        out.extend(zip(a, b, strict=True))
+        small = np.frombuffer(b"".join(frame["small"].iloc[own]), np.int8).reshape(len(own), -1)
+        x = small * frame["scale"].iloc[own].to_numpy(np.float64)[:, None]
+        a, b, sure = _near(group[own], x, frame["error"].iloc[own].to_numpy(np.float64), least, window)
+        a, b = ids[own[a]], ids[own[b]]
+        out.extend((i, k, True) for i, k in zip(*spanning(a[sure], b[sure]), strict=True))
+        out.extend((i, k, False) for i, k in zip(a[~sure].tolist(), b[~sure].tolist(), strict=True))
     return out
 
 
 def _windows(least: float, window: int):
-    columns = ["seam", "late", "at", "pass", "label", "size", "id", "vector", "other"]
+    columns = ["seam", "late", "at", "pass", "label", "size", "id", "small", "scale", "error", "other", "sure"]
 
     def filled(frame: pd.DataFrame) -> pd.DataFrame:
         for c in columns:
@@ -215,8 +251,8 @@ def _windows(least: float, window: int):
                 frame[c] = pd.Series([None] * len(frame), dtype=object, index=frame.index)
         return frame[columns]
 
-    def links(pairs: list[tuple[int, int]]) -> pd.DataFrame:
-        return filled(pd.DataFrame(pairs, columns=["id", "other"]))
+    def links(pairs: list[tuple[int, int, bool]]) -> pd.DataFrame:
+        return filled(pd.DataFrame(pairs, columns=["id", "other", "sure"]))
 
     def edge(rows: pd.DataFrame, seam: int, late: bool) -> pd.DataFrame:
         return filled(rows.assign(seam=seam, late=late, at=range(len(rows))))
@@ -244,7 +280,8 @@ def _seam(least: float, window: int):
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["late", "at"])
-        return pd.DataFrame(_pairs(frame, least, window), columns=["id", "other"]).astype("int64")
+        found = pd.DataFrame(_pairs(frame, least, window), columns=["id", "other", "sure"])
+        return found.astype({"id": "int64", "other": "int64", "sure": "bool"})
 
     return run
 
@@ -261,21 +298,34 @@ def classes(rows: DataFrame) -> DataFrame:
     return each.select("label", F.size("vector").alias("size"), "vector", "id", "n")
 
 
+def _dot(a: str, b: str) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, x: s + x)
+
+
+def _cosine(a: str, b: str) -> Column:
+    return _dot(a, b) / (F.sqrt(_dot(a, a)) * F.sqrt(_dot(b, b)))
+
+
 def window_links(each: DataFrame, least: float = LEAST, window: int = WINDOW) -> DataFrame:
     """(a, b) of verified pairs that join classes to groups, from all passes and
-    from the labels compared whole."""
+    from the labels that lie too closely for passes."""
     plan = planned(each, least, window).withColumnRenamed("n", "n_label")
-    each = each.select("label", "size", "id", "vector").join(plan, ["label", "size"])
-    whole = block_links(each.where("number = 0"), least)
-    each = each.where("number > 0")
+    rows = each.select("label", "size", "id", "vector").join(plan, ["label", "size"])
+    whole = block_links(rows.where("number = 0"), least)
     order = ["pass", "label", "size", "key", "id"]
-    hashed = each.select("label", "size", "id", "vector", "mean", "number").mapInArrow(
-        _projected(), "pass int, label long, size int, key long, id long, vector array<float>")
+    kept = ["small", "scale", "error"]
+    hashed = rows.where("number > 0").select("label", "size", "id", "vector", "mean", "number").mapInArrow(
+        _projected(), "pass int, label long, size int, key long, id long, small binary, scale float, error float")
     swept = hashed.repartitionByRange(*order).sortWithinPartitions(*order).select(
-        "pass", "label", "size", "id", "vector").mapInPandas(_windows(least, window), _ROW)
+        "pass", "label", "size", "id", *kept).mapInPandas(_windows(least, window), _ROW)
     swept = materialise(swept, "vector-windows")
-    across = swept.where("seam IS NOT NULL").groupBy("seam").applyInPandas(_seam(least, window), "id long, other long")
-    return swept.where("other IS NOT NULL").select("id", "other").union(across).toDF("a", "b").union(whole)
+    across = swept.where("seam IS NOT NULL").groupBy("seam").applyInPandas(_seam(least, window), "id long, other long, sure boolean")
+    found = materialise(swept.where("other IS NOT NULL").select("id", "other", "sure").union(across), "vector-pairs")
+    left_open = found.where("NOT sure").select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+    first = each.select(F.col("id").alias("a"), F.col("vector").alias("x"))
+    second = each.select(F.col("id").alias("b"), F.col("vector").alias("y"))
+    closed = left_open.join(first, "a").join(second, "b").where(_cosine("x", "y") >= least).select("a", "b")
+    return found.where("sure").select("id", "other").toDF("a", "b").union(closed).union(whole)
 
 
 def _linked(least: float):
@@ -301,13 +351,8 @@ def count_links(each: DataFrame, grouped: DataFrame, least: float = LEAST) -> Da
     pivot = members.where("id = component").select(F.col("component").alias("c"), F.col("vector").alias("pivot"))
     # half the angle, and a little less against rounding
     close = math.cos(math.acos(least) / 2) + 1e-9
-    dot = F.aggregate(F.zip_with("vector", "pivot", lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, x: s + x)
-
-    def norm(name: str):
-        return F.sqrt(F.aggregate(name, F.lit(0.0), lambda s, x: s + x.cast("double") * x))
-
     members = members.join(pivot, F.col("component") == F.col("c")).select(
-        "component", "id", "n", "vector", (dot / (norm("vector") * norm("pivot")) >= close).alias("core"))
+        "component", "id", "n", "vector", (_cosine("vector", "pivot") >= close).alias("core"))
     members = materialise(members, "vector-members")
     sums = members.groupBy("component").agg(
         F.sum(F.when(F.col("core"), F.col("n")).otherwise(0)).alias("core_n"),

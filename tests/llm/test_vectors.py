@@ -86,32 +86,50 @@ def test_seams_join_partitions(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-@pytest.mark.parametrize("block", [16, 1024])
-def test_pairs_among_vectors_with_a_shared_mean(spark, monkeypatch, block):
-    """Passes (small blocks are too many) and whole comparison."""
-    monkeypatch.setattr(vectors, "BLOCK", block)
-    rng = np.random.default_rng(10)
+def planted(n, pairs, close, lowest, seed):
+    """``n`` unit vectors of 64 components that have a cosine near ``close`` with each
+    other, and ``pairs`` partners of the first of them at cosines from ``lowest`` on."""
+    rng = np.random.default_rng(seed)
 
-    def units(n):
-        x = rng.standard_normal((n, 64))
+    def units(k):
+        x = rng.standard_normal((k, 64))
         x[:, 0] = 0
         return x / np.linalg.norm(x, axis=1, keepdims=True)
 
-    close = 0.6 if block == 16 else 0.85  # cosine of unrelated vectors
-
-    def placed(x):
-        x = np.sqrt(1 - close) * x
-        x[:, 0] = np.sqrt(close)
-        return x
-
-    x = units(3000)
-    inner = 1 - (1 - 0.935) / (1 - close)  # so that pairs have 0.935
-    y = units(200)
-    y -= (y * x[:200]).sum(axis=1, keepdims=True) * x[:200]
-    y = inner * x[:200] + np.sqrt(1 - inner**2) * y / np.linalg.norm(y, axis=1, keepdims=True)
-    both = np.concatenate([placed(x), placed(y)])
-    df = spark.createDataFrame([(k, v.astype(np.float32).tolist(), 0) for k, v in enumerate(both)], "vec_id long, embedding array<float>, label int")
-    unit = both / np.linalg.norm(both, axis=1, keepdims=True)
-    links = (unit @ unit.T >= 0.93).sum(axis=1) - 1
-    got = {r.vec_id: r.n_links for r in vectors.near_duplicates(df).collect()}
-    assert links.sum() >= 400 and sum(got[k] != n for k, n in enumerate(links.tolist())) == 0
+    x = units(n)
+    cosine = lowest + 0.02 * rng.random((pairs, 1))
+    inner = 1 - (1 - cosine) / (1 - close)
+    y = units(pairs)
+    y -= (y * x[:pairs]).sum(axis=1, keepdims=True) * x[:pairs]
+    y = inner * x[:pairs] + np.sqrt(1 - inner**2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    both = np.sqrt(1 - close) * np.concatenate([x, y])
+    both[:, 0] = np.sqrt(close)
+    return both.astype(np.float32)
+
+
+@pytest.mark.parametrize("close, n", [(0.0, 200), (0.0, 5000), (0.6, 3000), (0.85, 3000)])
+def test_passes_find_planted_pairs(spark, close, n):
+    """By the windows alone: no label is compared whole."""
+    both = planted(n, n // 10, close, 0.931, n)
+    df = spark.createDataFrame([(k, v.tolist(), 0) for k, v in enumerate(both)], "vec_id long, embedding array<float>, label int")
+    each = vectors.classes(df)
+    assert vectors.planned(each).where("number = 0").count() == 0
+    x = both.astype(np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = np.argwhere(np.triu(x @ x.T >= 0.93, 1))
+    grouped = {r.node: r.component for r in vectors.components(vectors.window_links(each)).collect()}
+    assert len(near) >= n // 10 and all(a in grouped and grouped[a] == grouped.get(b) for a, b in near.tolist())
+    assert len(grouped) == len(set(near.ravel().tolist()))
+
+
+def test_rounding_leaves_no_pair_out_and_none_in(spark):
+    """Cosines around the threshold, closer to it than the rounding errors are."""
+    both = planted(400, 400, 0.0, 0.92, 3)
+    check(spark, [(k, v.tolist(), k % 400) for k, v in enumerate(both)])
+
+
+def test_labels_too_close_for_passes_are_compared_whole(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "MOST", 3)
+    monkeypatch.setattr(vectors, "BLOCK", 64)
+    both = planted(300, 30, 0.6, 0.931, 4)
+    check(spark, [(k, v.tolist(), 0) for k, v in enumerate(both)])
