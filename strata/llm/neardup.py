@@ -387,9 +387,10 @@ def groups(docs: DataFrame, least: float = LEAST) -> DataFrame:
     # documents that share bands with many stand near the middle of their group
     central = rows.groupBy("doc").agg(F.sum("n").alias("central"))
     open_rows = materialise(rows.join(central, "doc").select("band", "value", "doc", "central"), "near-bands")
-    # a narrow table of known size: while it is small, texts that no band holds aren't shuffled
     wanted = materialise(members.select("doc", "hash").join(open_rows.select("doc").distinct(), "doc", "left_semi"), "near-wanted")
-    involved = materialise(texts.join(wanted, ["doc", "hash"], "left_semi").select("doc", "text").dropDuplicates(["doc"]), "near-texts")
+    # shuffled at every size: this table grows with the corpus, so a broadcast would only be of use in small ones
+    held = texts.join(wanted.hint("shuffle_hash"), ["doc", "hash"], "left_semi")
+    involved = materialise(held.select("doc", "text").dropDuplicates(["doc"]), "near-texts")
     order = Window.partitionBy("band", "value").orderBy(F.desc("central"), "doc")
     anchors = (open_rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= ANCHORS)
                .select("band", "value", F.col("doc").alias("anchor")))
