@@ -17,6 +17,7 @@ import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.session import delete_path, move_path, names_below, path_exists, read_text, write_text
 
@@ -112,7 +113,9 @@ def publish(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     spark = df.sparkSession
     recover(spark, path)
     data = f"{path}{READY}/data"
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    # one task a partition, more where it is large: not a file for each task and partition
+    dealt = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+    w = dealt.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (w.partitionBy(*partition_by) if partition_by else w).parquet(data)
     plan: dict = {"partitions": None, "emptied": [], "record": None}
     if record is not None:

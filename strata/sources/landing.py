@@ -11,19 +11,22 @@ def land(df: DataFrame, path: str, fmt: str, batch_col: str = "batch_key", files
          text_sep: str = "|", by_batch: bool = False) -> None:
     """Write ``df`` as ``fmt`` files partitioned by ``batch_col`` (append, so a
     zone can receive several drops). Text landing joins the columns with
-    ``text_sep`` into one ``value`` line. ``by_batch``: tasks write contiguous
-    batch ranges (fewer, larger files) instead of one file per task and batch,
-    as many as the data's size asks for, or ``files_per_batch``."""
+    ``text_sep`` into one ``value`` line. ``by_batch``: tasks write whole
+    batches, and several one that is large (fewer, larger files), instead of one
+    file per task and batch; ``df`` is evaluated once. With ``files_per_batch``
+    so many tasks write contiguous batch ranges."""
     out = df
     if fmt == "text":
         data = [c for c in df.columns if c != batch_col]
         out = df.select(F.concat_ws(text_sep, *[F.col(c).cast("string") for c in data]).alias("value"),
                         batch_col)
-    if by_batch or files_per_batch:
+    if files_per_batch:
         # contiguous ranges of batches per task: about one file per batch, and
         # the row hash splits a batch that holds a large share of the rows
         order = [F.col(batch_col), F.xxhash64(*[F.col(c) for c in out.columns])]
-        out = out.repartitionByRange(files_per_batch, *order) if files_per_batch else out.repartitionByRange(*order)
+        out = out.repartitionByRange(files_per_batch, *order)
+    elif by_batch:
+        out = out.hint("rebalance", F.col(batch_col))
     w = out.write.mode("append").partitionBy(batch_col)
     if fmt == "csv":
         w = w.option("header", "true")
