@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from strata.llm.common import slices
+
 ORDER = 3
 #: Stands before every text, so that each byte has a full context.
 START = b"\n" * ORDER
@@ -208,7 +210,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     @F.arrow_udf(RESULT)
     def scored(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         frozen = shared.value
-        for array in texts:
+        for array in (whole.slice(*part) for whole in texts for part in (slices(whole) if len(whole) else [(0, 0)])):
             values = array.to_pylist()
             place = [i for i, x in enumerate(values) if x]
             lang, score, bits = [UNDETERMINED] * len(values), [0.0] * len(values), [None] * len(values)

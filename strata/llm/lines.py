@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import BLANKS, materialise
+from strata.llm.common import BLANKS, materialise, slices
 from strata.llm.perfect import PerfectHash, mixed
 
 _STRIP = BLANKS.encode()
@@ -42,16 +42,17 @@ def _key(line: bytes, least: int) -> bytes | None:
 def _hashes(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, keys, many = batch.column(0).to_pylist(), [], []
-            for text in batch.column(1).to_pylist():
-                own = {k for line in text.split(b"\n") if (k := _key(line, least))}
-                keys.extend(own)
-                many.append(len(own))
-            both = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
-            ids = pa.array(docs, pa.int64()).take(pa.array(np.repeat(np.arange(len(docs)), many)))
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(np.ascontiguousarray(both[:, 0])), pa.array(np.ascontiguousarray(both[:, 1]))],
-                ["doc", "high", "low"])
+            for start, length in slices(batch.column(1)):
+                part, keys, many = batch.slice(start, length), [], []
+                for text in part.column(1).to_pylist():
+                    own = {k for line in text.split(b"\n") if (k := _key(line, least))}
+                    keys.extend(own)
+                    many.append(len(own))
+                both = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
+                ids = part.column(0).take(pa.array(np.repeat(np.arange(length), many)))
+                yield pa.RecordBatch.from_arrays(
+                    [ids, pa.array(np.ascontiguousarray(both[:, 0])), pa.array(np.ascontiguousarray(both[:, 1]))],
+                    ["doc", "high", "low"])
 
     return run
 
@@ -126,27 +127,34 @@ def repeated_lines(docs: DataFrame, least: int = 20, min_docs: int = 3) -> DataF
     return probes.groupBy("shard", "copy").cogroup(copies.groupBy("shard", "copy")).applyInPandas(_probe(min_docs), HASHED)
 
 
+def _made(out: list, lost: list) -> pa.Array:
+    return pa.StructArray.from_arrays(
+        [pa.array(out, pa.binary()), pa.array([x[0] for x in lost], pa.int64()),
+         pa.array([x[1] for x in lost], pa.int64())], ["text", "n_lines", "n_dropped"])
+
+
 def _without(least: int):
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, dropped in batches:
-            out, lost = [], []
-            for text, drop in zip(texts.to_pylist(), dropped.to_pylist(), strict=True):
-                if text is None:
-                    out.append(None)
-                    lost.append((1, 0))
-                    continue
-                lines = text.split(b"\n")
-                if drop:
-                    gone = {np.array([x["high"], x["low"]], np.int64).tobytes() for x in drop}
-                    kept = [x for x in lines if _key(x, least) not in gone]
-                    out.append(b"\n".join(kept))
-                    lost.append((len(lines), len(lines) - len(kept)))
-                else:
-                    out.append(text)
-                    lost.append((len(lines), 0))
-            yield pa.StructArray.from_arrays(
-                [pa.array(out, pa.binary()), pa.array([x[0] for x in lost], pa.int64()),
-                 pa.array([x[1] for x in lost], pa.int64())], ["text", "n_lines", "n_dropped"])
+            if not len(texts):
+                yield _made([], [])
+            for start, length in slices(texts):
+                out, lost = [], []
+                for text, drop in zip(texts.slice(start, length).to_pylist(), dropped.slice(start, length).to_pylist(), strict=True):
+                    if text is None:
+                        out.append(None)
+                        lost.append((1, 0))
+                        continue
+                    lines = text.split(b"\n")
+                    if drop:
+                        gone = {np.array([x["high"], x["low"]], np.int64).tobytes() for x in drop}
+                        kept = [x for x in lines if _key(x, least) not in gone]
+                        out.append(b"\n".join(kept))
+                        lost.append((len(lines), len(lines) - len(kept)))
+                    else:
+                        out.append(text)
+                        lost.append((len(lines), 0))
+                yield _made(out, lost)
 
     return F.arrow_udf(run, "text binary, n_lines long, n_dropped long")
 

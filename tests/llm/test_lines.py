@@ -4,10 +4,12 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from llm_rows import EDGES
 from strata.llm import lines
+from strata.llm.common import SLICE_BYTES, SLICE_ROWS, slices
 from strata.llm.perfect import PerfectHash
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -67,3 +69,15 @@ def test_edges(make, edges, nothing):
     assert lines.drop_repeated_lines(nothing).count() == 0
     got = lines.drop_repeated_lines(edges)
     assert got.columns.count("n_lines") == 1 and "row" in got.columns and got.select(F.min("row")).first()[0] == "x"
+
+
+def test_a_batch_is_taken_in_slices():
+    """Workers hold the objects of few rows at a time, whatever a batch has."""
+    texts = [f"a line that is long enough {k % 7}\nshort {k}".encode() for k in range(5000)]
+    batch = pa.RecordBatch.from_arrays([pa.array([None, *range(1, 5000)], pa.int64()), pa.array(texts, pa.binary())], ["doc", "text"])
+    out = list(lines._hashes(20)(iter([batch, batch.slice(0, 0)])))
+    assert len(out) > 4 and max(x.num_rows for x in out) <= SLICE_ROWS
+    assert [d for x in out for d in x.column(0).to_pylist()] == [None, *range(1, 5000)]
+    parts = list(slices(pa.array([None, b"x" * (2 * SLICE_BYTES), b"", b"y" * SLICE_BYTES, b"z", None], pa.binary())))
+    assert [p for start, n in parts for p in range(start, start + n)] == list(range(6)) and len(parts) > 2
+    assert list(slices(pa.array([], pa.binary()))) == []
