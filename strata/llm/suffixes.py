@@ -450,8 +450,8 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def repeated_strings(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """(doc, sign, spans): bytes of the text with hash ``sign`` of document ``doc``
-    covered by a string that a smaller document has; ``spans`` are packed
+    """(doc, sign, gone): bytes of the text with hash ``sign`` of document ``doc``
+    covered by a string that a smaller document has; ``gone`` lists packed
     (start, end) pairs of 64 bits, which may overlap."""
     texts = _keyed(docs).filter(F.length("text") >= least)
     size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -462,15 +462,17 @@ def repeated_strings(docs: DataFrame, least: int = LEAST) -> DataFrame:
     buckets = max(1, -(-size // BUCKET_BYTES))
     listed = texts.mapInArrow(_listed(least, buckets, frequent), LISTED)
     shared = listed.groupBy("bucket").applyInArrow(_shared, "doc long, sign long, keys binary")
-    lists = shared.groupBy("doc", "sign").agg(F.collect_list("keys").alias("keys"))
+    # the anchors' shuffle is over before the texts' begins
+    lists = materialise(shared.groupBy("doc", "sign").agg(F.collect_list("keys").alias("keys")), "anchors")
     met = texts.join(lists, ["doc", "sign"], "left").select("doc", "sign", "keys", "text")
     number = max(1, -(-size // SHARD_BYTES))
-    pieces = materialise(met.mapInArrow(_cut(least, frequent, number), PIECES), "pieces")
+    pieces = materialise(met.mapInArrow(_cut(least, frequent, number), PIECES), "pieces", over=[lists])
     # rows of a frequent piece stay spread; its smallest document is sent to all of them
     hot = pieces.filter("content IS NOT NULL").groupBy("shard", "content").agg(F.min("first").alias("first"))
     known = hot.select("shard", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), "content", "first",
                        F.lit(None).cast("binary").alias("packed"))
-    return pieces.unionByName(known).groupBy("shard", "salt").applyInArrow(_judge(least), GONE)
+    judged = pieces.unionByName(known).groupBy("shard", "salt").applyInArrow(_judge(least), GONE)
+    return materialise(judged.groupBy("doc", "sign").agg(F.collect_list("spans").alias("gone")), "gone", over=[pieces])
 
 
 def _merged(parts: list[bytes], size: int) -> np.ndarray:
@@ -508,7 +510,7 @@ def drop_repeated_strings(docs: DataFrame, least: int = LEAST) -> DataFrame:
     touch each other, equal texts of theirs lose the same. Columns named like the
     new ones give way; an empty table stays empty.
     """
-    gone = materialise(repeated_strings(docs, least).groupBy("doc", "sign").agg(F.collect_list("spans").alias("gone")), "gone")
+    gone = repeated_strings(docs, least)
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("sign"))
     met = rows.join(gone, ["doc", "sign"], "left")
     made = met.select("row", F.arrow_udf(_without, "kept binary, spans array<struct<start:long,end:long>>")(

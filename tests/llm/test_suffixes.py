@@ -1,11 +1,13 @@
 """Repeated byte strings against brute force; the transform against sorting."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from strata.llm import suffixes as S
+from strata.session import shared_root
 
 
 def brute(rows, least=50):
@@ -112,3 +114,14 @@ def test_equal_strings_have_equal_anchors():
         own = {s: key_ for s0, m, key_ in zip(start, many, key) for s in range(s0, s0 + m)}
         keys.append([own[100 + k + i] for i in range(151)])
     assert all(k == keys[0] for k in keys)
+
+
+def test_what_pieces_need_not_meet_is_not_kept(spark):
+    """Anchors and pieces go once the verdict is written."""
+    text = "".join(chr(97 + (k * k * 7 + k) % 26) for k in range(400))
+    docs = spark.createDataFrame([(1, text), (2, "0123456789" + text[100:300]), (3, None)], "doc_id long, text string")
+    root = Path(shared_root(spark).removeprefix("file:")) / "strata"
+    before = set(root.glob("*")) if root.exists() else set()
+    got = {r["doc_id"]: r["n_removed"] for r in S.drop_repeated_strings(docs).collect()}
+    assert got == {1: 0, 2: 200, 3: 0}
+    assert {p.name.split("-")[0] for p in set(root.glob("*")) - before} == {"gone"}
