@@ -125,3 +125,39 @@ def test_what_pieces_need_not_meet_is_not_kept(spark):
     got = {r["doc_id"]: r["n_removed"] for r in S.drop_repeated_strings(docs).collect()}
     assert got == {1: 0, 2: 200, 3: 0}
     assert {p.name.split("-")[0] for p in set(root.glob("*")) - before} == {"gone"}
+
+
+def test_rows_of_the_plan_do_not_multiply(make, monkeypatch):
+    """Frequent pieces aren't copied, and what a step says of a document is one row."""
+    monkeypatch.setattr(S, "FREQUENT", 2)
+    monkeypatch.setattr(S, "BUCKET_BYTES", 2000)
+    monkeypatch.setattr(S, "SHARD_BYTES", 2000)
+    made = {}
+    keep = S.materialise
+    monkeypatch.setattr(S, "materialise", lambda df, name, over=(): made.setdefault(name, keep(df, name)))
+    rng = random.Random(9)
+    line = "".join(rng.choice("abcdefgh ") for _ in range(90))
+    rows = [(doc, "".join(rng.choice("ijklmnop ") for _ in range(60)) + line, "en", "a") for doc in range(80)]
+    rows += [(doc + 100, rows[doc][1][:60] * 2, "en", "a") for doc in range(20)]
+    assert found(S.drop_repeated_strings(make(rows))) == brute([r[:2] for r in rows])
+    assert made["anchors"].count() <= len(rows) and made["gone"].count() <= len(rows)
+    hot = made["pieces"].filter("content IS NOT NULL")
+    assert 0 < made["verdicts"].filter("content IS NOT NULL").count() == hot.select("shard", "content").distinct().count()
+
+
+@pytest.mark.parametrize("least,wide", [(50, 10), (50, 1), (12, 10), (7, 10), (22, 8)])
+def test_smallest_of_equal_strings(monkeypatch, least, wide):
+    """With symbols of several bytes, whatever place a string begins at."""
+    monkeypatch.setattr(S, "WIDE", wide)
+    rng = random.Random(least)
+    shared = bytes(rng.choice(b"ab") for _ in range(3 * least))
+    strings = list({bytes(rng.choice(b"ab\x00\xff") for _ in range(rng.randrange(9))) + shared[k:k + least + rng.randrange(20)]
+                    for k in range(2 * least) for _ in range(3)})
+    first = np.array([rng.randrange(100) for _ in strings])
+    low, begin = S.smallest(strings, first, least)
+    want = {}
+    for s, f in zip(strings, first.tolist(), strict=True):
+        for k in range(len(s) - least + 1):
+            want[s[k:k + least]] = min(want.get(s[k:k + least], f), f)
+    assert low.tolist() == [want[s[k:k + least]] for s in strings for k in range(len(s) - least + 1)]
+    assert begin.tolist() == np.cumsum([0, *(len(s) - least + 1 for s in strings[:-1])]).tolist()
